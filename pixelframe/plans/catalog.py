@@ -57,3 +57,271 @@ def region_class_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     regions = fx.probe_regions(spark)
     inside = spatial.spatial_join(pts, regions, bin_size=25.0, how="inner")
     return inside.groupBy("region_id", "class").agg(F.count(F.lit(1)).alias("n_pixels"))
+
+
+_BBOX_SQL = f"""
+    SELECT region_id, min(least(x1, x2)) AS minx, max(greatest(x1, x2)) AS maxx,
+           min(least(y1, y2)) AS miny, max(greatest(y1, y2)) AS maxy
+    FROM {fx.sql_edges_values()} GROUP BY region_id"""
+
+
+@register("clip_mask", f"""
+WITH bb AS ({_BBOX_SQL}),
+cand AS (SELECT ev.event_id, bb.region_id, ev.value FROM events ev JOIN bb
+         ON CAST(ev.user_id AS DOUBLE) BETWEEN bb.minx AND bb.maxx AND ev.value BETWEEN bb.miny AND bb.maxy),
+ins AS ({_sql_events_in_probe()})
+SELECT c.region_id, c.event_id, CAST(ins.event_id IS NOT NULL AS INTEGER) AS inside,
+       CASE WHEN ins.event_id IS NOT NULL THEN c.value END AS masked_value
+FROM cand c LEFT JOIN ins ON c.event_id = ins.event_id AND c.region_id = ins.region_id
+""")
+def clip_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clip without drop (P4 mask): every pixel of a region's bbox, value NULL outside the polygon."""
+    pts = fx.events_points(spark, sf_dir)
+    out = spatial.clip(pts, fx.probe_regions(spark), 25.0, value_cols=["y"], drop=False)
+    return out.select("region_id", "event_id", F.col("_inside").cast("int").alias("inside"),
+                      F.col("y").alias("masked_value"))
+
+
+@register("region_coverage", f"""
+WITH ins AS ({_sql_events_in_probe()}),
+r AS (SELECT DISTINCT region_id FROM {fx.sql_edges_values()})
+SELECT r.region_id, CAST(count(ins.event_id) AS BIGINT) AS pixel_count,
+       CAST(count(ins.event_id) = 0 AS INTEGER) AS is_empty
+FROM r LEFT JOIN ins ON r.region_id = ins.region_id GROUP BY r.region_id
+""")
+def region_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-region failure isolation (P13): regions with no pixels are reported, not lost."""
+    regions = fx.probe_regions(spark)
+    inside = spatial.spatial_join(fx.events_points(spark, sf_dir), regions, 25.0)
+    rep = spatial.coverage_report(regions, inside)
+    return rep.select("region_id", "pixel_count", F.col("empty").cast("int").alias("is_empty"))
+
+
+_CENTRES_SQL = "(VALUES " + ", ".join(f"({i}, {x!r}, {y!r})" for i, x, y in fx.PROBE_CENTRES) + ") AS c(centre_id, cx, cy)"
+
+
+@register("point_radius", f"""
+SELECT centre_id, shape, CAST(count(*) AS BIGINT) AS n_points FROM (
+  SELECT c.centre_id, 'square' AS shape FROM events ev JOIN {_CENTRES_SQL}
+    ON abs(CAST(ev.user_id AS DOUBLE) - c.cx) <= {fx.PROBE_RADIUS!r} AND abs(ev.value - c.cy) <= {fx.PROBE_RADIUS!r}
+  UNION ALL
+  SELECT c.centre_id, 'disc' FROM events ev JOIN {_CENTRES_SQL}
+    ON (CAST(ev.user_id AS DOUBLE) - c.cx) * (CAST(ev.user_id AS DOUBLE) - c.cx) + (ev.value - c.cy) * (ev.value - c.cy)
+       <= {fx.PROBE_RADIUS!r} * {fx.PROBE_RADIUS!r}
+) s GROUP BY centre_id, shape
+""")
+def point_radius(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extent by centre and radius (P3), square and disc."""
+    pts = fx.events_points(spark, sf_dir)
+    centres = spark.createDataFrame(fx.PROBE_CENTRES, "centre_id int, cx double, cy double")
+    parts = []
+    for shape in ("square", "disc"):
+        m = spatial.within_radius(pts, centres, fx.PROBE_RADIUS, shape=shape)
+        parts.append(m.groupBy("centre_id").agg(F.count(F.lit(1)).alias("n_points")).withColumn("shape", F.lit(shape)))
+    return parts[0].unionByName(parts[1])
+
+
+@register("clip_any_region", f"""
+SELECT DISTINCT ins.event_id, ev.event_type AS class
+FROM ({_sql_events_in_probe()}) ins JOIN events ev ON ev.event_id = ins.event_id
+""")
+def clip_any_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clip to the union of all regions (G14, R6) as a LEFT SEMI spatial join: each pixel once."""
+    pts = fx.events_points(spark, sf_dir)
+    return spatial.spatial_join(pts, fx.probe_regions(spark), 25.0, how="semi").select("event_id", "class")
+
+
+@register("bbox_extent", """
+SELECT event_id, event_type AS class FROM events
+WHERE CAST(user_id AS DOUBLE) BETWEEN 30.0 AND 90.0 AND value BETWEEN 100.0 AND 200.0
+  AND ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts < TIMESTAMP '2024-01-20 00:00:00'
+""")
+def bbox_extent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extent by bounding box and date range (P2, S7): range predicates pushed to the parquet scan."""
+    import datetime as dt
+    pts = fx.events_points(spark, sf_dir)
+    pts = pts.where((F.col("t") >= F.lit(dt.datetime(2024, 1, 5))) & (F.col("t") < F.lit(dt.datetime(2024, 1, 20))))
+    return spatial.bbox_filter(pts, 30.0, 100.0, 90.0, 200.0).select("event_id", "class")
+
+
+@register("date_window", """
+SELECT event_id, event_type AS class FROM events
+WHERE ts >= TIMESTAMP '2023-01-01 00:00:00' AND ts < TIMESTAMP '2024-08-20 00:00:00'
+""")
+def date_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Acquisition window of map year 2023 (P1): 2023-01-01 .. 2024-08-19 inclusive."""
+    from ..operators import cube
+    return cube.filter_dates(fx.events_points(spark, sf_dir), 2023).select("event_id", "class")
+
+
+# ---------------------------------------------------------------------------------------------
+# Regions and grids over customer-derived polygons
+# ---------------------------------------------------------------------------------------------
+
+from ..operators import grid as G  # noqa: E402
+from ..operators import regions as RG  # noqa: E402
+
+_CR = fx.sql_customer_regions()
+
+
+@register("polygon_area", f"""
+WITH {_CR},
+ra AS (SELECT region_id, ring, abs(sum(x1 * y2 - x2 * y1) / 2.0) AS a FROM ce GROUP BY region_id, ring)
+SELECT cb.region_id,
+       round(sum(CASE WHEN ring = 0 THEN a ELSE -a END), 3) AS area,
+       cb.minx, cb.miny, cb.maxx, cb.maxy
+FROM ra JOIN cb ON ra.region_id = cb.region_id
+GROUP BY cb.region_id, cb.minx, cb.miny, cb.maxx, cb.maxy
+""")
+def polygon_area(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Planar area, outer minus holes (G4), and bounds."""
+    r = RG.area(fx.customer_regions(spark, sf_dir))
+    return r.select("region_id", F.round("area", 3).alias("area"), "minx", "miny", "maxx", "maxy")
+
+
+_STEP = 4500.0
+_GRID = 5000.0
+
+
+def _sql_grid_cells(where_regions: str = "TRUE") -> str:
+    return f"""
+    gn AS (SELECT region_id, minx, miny,
+                  CAST(ceil((maxx - minx) / {_STEP!r}) AS BIGINT) AS nx,
+                  CAST(ceil((maxy - miny) / {_STEP!r}) AS BIGINT) AS ny
+           FROM cb WHERE {where_regions}),
+    gx AS (SELECT region_id, minx, miny, ny, unnest(range(0, nx)) AS ix FROM gn WHERE nx > 0 AND ny > 0),
+    gxy AS (SELECT region_id, minx, miny, ix, unnest(range(0, ny)) AS iy FROM gx),
+    cells AS (SELECT region_id, CAST(ix AS INTEGER) AS ix, CAST(iy AS INTEGER) AS iy,
+                     minx + ix * {_STEP!r} AS cx0, miny + iy * {_STEP!r} AS cy0,
+                     minx + ix * {_STEP!r} + {_GRID!r} AS cx1, miny + iy * {_STEP!r} + {_GRID!r} AS cy1
+              FROM gxy),
+    tests AS (
+      SELECT c.region_id, c.ix, c.iy, c.cx0, c.cy0, c.cx1, c.cy1,
+        bool_or(least(e.x1, e.x2) <= c.cx1 AND greatest(e.x1, e.x2) >= c.cx0
+                AND least(e.y1, e.y2) <= c.cy1 AND greatest(e.y1, e.y2) >= c.cy0
+                AND NOT ((e.x2 - e.x1) * (c.cy0 - e.y1) - (e.y2 - e.y1) * (c.cx0 - e.x1) > 0
+                     AND (e.x2 - e.x1) * (c.cy0 - e.y1) - (e.y2 - e.y1) * (c.cx1 - e.x1) > 0
+                     AND (e.x2 - e.x1) * (c.cy1 - e.y1) - (e.y2 - e.y1) * (c.cx1 - e.x1) > 0
+                     AND (e.x2 - e.x1) * (c.cy1 - e.y1) - (e.y2 - e.y1) * (c.cx0 - e.x1) > 0)
+                AND NOT ((e.x2 - e.x1) * (c.cy0 - e.y1) - (e.y2 - e.y1) * (c.cx0 - e.x1) < 0
+                     AND (e.x2 - e.x1) * (c.cy0 - e.y1) - (e.y2 - e.y1) * (c.cx1 - e.x1) < 0
+                     AND (e.x2 - e.x1) * (c.cy1 - e.y1) - (e.y2 - e.y1) * (c.cx1 - e.x1) < 0
+                     AND (e.x2 - e.x1) * (c.cy1 - e.y1) - (e.y2 - e.y1) * (c.cx0 - e.x1) < 0)) AS any_edge,
+        sum(CASE WHEN ((e.y1 > (c.cy0 + c.cy1) / 2.0) <> (e.y2 > (c.cy0 + c.cy1) / 2.0))
+                  AND ((e.x2 - e.x1) * ((c.cy0 + c.cy1) / 2.0 - e.y1) - ((c.cx0 + c.cx1) / 2.0 - e.x1) * (e.y2 - e.y1)) * (e.y2 - e.y1) > 0
+                 THEN 1 ELSE 0 END) % 2 = 1 AS centre_in
+      FROM cells c JOIN ce e ON c.region_id = e.region_id
+      GROUP BY c.region_id, c.ix, c.iy, c.cx0, c.cy0, c.cx1, c.cy1),
+    kept AS (SELECT * FROM tests WHERE any_edge OR centre_in)"""
+
+
+@register("grid_cells", f"""
+WITH {_CR}, {_sql_grid_cells()}
+SELECT region_id * 1099511627776 + (CAST(ix AS BIGINT) + 1) * 1048576 + (CAST(iy AS BIGINT) + 1) AS grid_id,
+       region_id, ix, iy, cx0 AS minx, cy0 AS miny, cx1 AS maxx, cy1 AS maxy
+FROM kept
+""")
+def grid_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlapping square grid over each region, cells meeting the polygon."""
+    return G.grid_cells(fx.customer_regions(spark, sf_dir), _GRID, _GRID - _STEP)
+
+
+@register("grid_branch", f"""
+WITH {_CR},
+ra AS (SELECT region_id, ring, abs(sum(x1 * y2 - x2 * y1) / 2.0) AS a FROM ce GROUP BY region_id, ring),
+area AS (SELECT region_id, sum(CASE WHEN ring = 0 THEN a ELSE -a END) AS area FROM ra GROUP BY region_id),
+big AS (SELECT region_id FROM area WHERE area > 1e8),
+{_sql_grid_cells("region_id IN (SELECT region_id FROM big)")}
+SELECT region_id * 1099511627776 + (CAST(ix AS BIGINT) + 1) * 1048576 + (CAST(iy AS BIGINT) + 1) AS grid_id,
+       region_id, ix, iy, cx0 AS minx, cy0 AS miny, cx1 AS maxx, cy1 AS maxy
+FROM kept
+UNION ALL
+SELECT cb.region_id * 1099511627776 AS grid_id, cb.region_id, -1, -1, cb.minx, cb.miny, cb.maxx, cb.maxy
+FROM cb JOIN area ON cb.region_id = area.region_id WHERE NOT (area.area > 1e8)
+""")
+def grid_branch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Area branch (G8, G11): regions over 1e8 m² become grid cells, the rest stay whole."""
+    g = G.add_grids_if_needed(fx.customer_regions(spark, sf_dir), 1e8, _GRID, _GRID - _STEP)
+    return g.select("grid_id", "region_id", "ix", "iy", "minx", "miny", "maxx", "maxy")
+
+
+@register("sample_grids", f"""
+WITH {_CR}, {_sql_grid_cells()},
+ids AS (SELECT region_id * 1099511627776 + (CAST(ix AS BIGINT) + 1) * 1048576 + (CAST(iy AS BIGINT) + 1) AS grid_id,
+               region_id FROM kept)
+SELECT grid_id, region_id FROM ids ORDER BY md5(concat(CAST(grid_id AS VARCHAR), ':', '7')), grid_id LIMIT 50
+""")
+def sample_grids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seeded sample of 50 grids without replacement."""
+    cells = G.grid_cells(fx.customer_regions(spark, sf_dir), _GRID, _GRID - _STEP)
+    return G.sample_grids(cells, 50, seed=7).select("grid_id", "region_id")
+
+
+@register("region_counts", f"""
+WITH {_CR}, {_sql_grid_cells()}
+SELECT (SELECT CAST(count(*) AS BIGINT) FROM cb) AS n_regions, CAST(count(*) AS BIGINT) AS n_grids FROM kept
+""")
+def region_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts of the region and grid tables (G16), one aggregate each."""
+    regions = fx.customer_regions(spark, sf_dir)
+    n_regions = G.count_rows(regions, "n_regions")
+    n_grids = G.count_rows(G.grid_cells(regions, _GRID, _GRID - _STEP), "n_grids")
+    # two one-row aggregates side by side (a join of two single rows on a constant key)
+    return n_regions.withColumn("_k", F.lit(1)).join(n_grids.withColumn("_k", F.lit(1)), "_k").drop("_k")
+
+
+@register("tile_cover", f"""
+WITH {_CR},
+tx AS (SELECT region_id, miny, maxy, unnest(range(CAST(floor(minx / 20000.0) AS BIGINT), CAST(floor(maxx / 20000.0) AS BIGINT) + 1)) AS tile_x FROM cb)
+SELECT region_id, tile_x, unnest(range(CAST(floor(miny / 20000.0) AS BIGINT), CAST(floor(maxy / 20000.0) AS BIGINT) + 1)) AS tile_y FROM tx
+""")
+def tile_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tiles covering each region's bounds (G12), 20 km tiles."""
+    return spatial.tile_cover(fx.customer_regions(spark, sf_dir), 20000.0)
+
+
+@register("tile_regions", f"""
+WITH {_CR},
+tx AS (SELECT region_id, miny, maxy, unnest(range(CAST(floor(minx / 20000.0) AS BIGINT), CAST(floor(maxx / 20000.0) AS BIGINT) + 1)) AS tile_x FROM cb),
+txy AS (SELECT region_id, tile_x, unnest(range(CAST(floor(miny / 20000.0) AS BIGINT), CAST(floor(maxy / 20000.0) AS BIGINT) + 1)) AS tile_y FROM tx)
+SELECT tile_x, tile_y, CAST(count(*) AS BIGINT) AS n_regions, min(region_id) AS first_region, max(region_id) AS last_region
+FROM txy GROUP BY tile_x, tile_y
+""")
+def tile_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tile → regions inverse index (G13) as an aggregate — no per-tile list is materialised."""
+    return spatial.tile_to_regions(fx.customer_regions(spark, sf_dir), 20000.0)
+
+
+@register("mercator_xy", """
+WITH ll AS (SELECT event_id, CAST(user_id AS DOUBLE) - 75.0 AS lon, value / 6.0 - 40.0 AS lat FROM events),
+m AS (SELECT event_id, lon, lat, 6378137.0 * radians(lon) AS mx,
+             6378137.0 * ln(tan(pi() / 4 + radians(lat) / 2.0)) AS my FROM ll)
+SELECT event_id, round(mx, 3) AS mx, round(my, 3) AS my,
+       round(degrees(mx / 6378137.0), 6) AS lon_rt,
+       round(degrees(2.0 * atan(exp(my / 6378137.0)) - pi() / 2), 6) AS lat_rt
+FROM m
+""")
+def mercator_xy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """EPSG:4326 ⇄ EPSG:3857 (G2) on points mapped from events."""
+    from ..functions import geo
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        "event_id", (F.col("user_id").cast("double") - 75.0).alias("lon"), (F.col("value") / 6.0 - 40.0).alias("lat"))
+    mx, my = geo.lonlat_to_mercator("lon", "lat")
+    m = ev.select("event_id", mx.alias("mx"), my.alias("my"))
+    lon, lat = geo.mercator_to_lonlat("mx", "my")
+    return m.select("event_id", F.round("mx", 3).alias("mx"), F.round("my", 3).alias("my"),
+                    F.round(lon, 6).alias("lon_rt"), F.round(lat, 6).alias("lat_rt"))
+
+
+@register("utm_roundtrip", """
+SELECT event_id, round(72.0 + CAST(user_id AS DOUBLE) / 25.0, 6) AS lon, round(value / 10.0, 6) AS lat FROM events
+""")
+def utm_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Geographic → UTM zone 43N → geographic (G3); the round trip must return the input."""
+    from ..functions import geo
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        "event_id", (F.lit(72.0) + F.col("user_id").cast("double") / 25.0).alias("lon"), (F.col("value") / 10.0).alias("lat"))
+    e, n = geo.lonlat_to_utm("lon", "lat", zone=43)
+    u = ev.select("event_id", e.alias("e"), n.alias("n"))
+    lon, lat = geo.utm_to_lonlat("e", "n", zone=43)
+    return u.select("event_id", F.round(lon, 6).alias("lon"), F.round(lat, 6).alias("lat"))

@@ -15,8 +15,13 @@ from ..operators.regions import with_geometry
 PROBE_POLYGONS = {
     1: [(10.5, 5.0), (90.5, 20.0), (60.5, 90.0), (20.5, 60.0)],
     2: [(50.5, 30.0), (140.5, 30.0), (140.5, 110.0), (95.5, 45.0), (50.5, 110.0)],
+    3: [(1000.0, 1000.0), (1010.0, 1000.0), (1010.0, 1010.0), (1000.0, 1010.0)],
 }
 
+# Centres (centre_id, cx, cy) and radius of the extent queries.
+PROBE_CENTRES = [(1, 40.0, 100.0), (2, 100.0, 300.0), (3, 75.0, 250.0)]
+PROBE_RADIUS = 30.0
+
 # Land-cover legend (code, name, colour).
 LEGEND = [
     (0, "background / no data / built-up / farm land", "saddlebrown"),
@@ -65,3 +70,64 @@ def events_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = spark.read.parquet(f"{sf_dir}/events.parquet")
     return ev.select("event_id", F.col("user_id").cast("double").alias("x"), F.col("value").alias("y"),
                      F.col("ts").alias("t"), F.col("event_type").alias("class"))
+
+
+# ---------------------------------------------------------------------------------------------
+# Regions derived from ``customer`` rows (metres, a planar CRS): one polygon per customer.
+#   centre   cx = (k % 97)·30000,  cy = nationkey·60000 + (k % 7)·5000
+#   half     h  = 4000 + ((k·37) % 1000)·10
+#   k % 4 = 0: concave dart (cx−h, cy−h) (cx, cy+h) (cx+h, cy−h) (cx, cy−h/5)
+#   else     : kite (cx−h, cy) (cx, cy−0.6h) (cx+h, cy) (cx, cy+h); k % 5 = 0 adds a square hole of half h/4
+# ---------------------------------------------------------------------------------------------
+
+def customer_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
+        F.col("c_custkey").alias("region_id"),
+        ((F.col("c_custkey") % 97).cast("double") * 30000.0).alias("cx"),
+        (F.col("c_nationkey").cast("double") * 60000.0 + (F.col("c_custkey") % 7).cast("double") * 5000.0).alias("cy"),
+        (F.lit(4000.0) + ((F.col("c_custkey") * 37) % 1000).cast("double") * 10.0).alias("h"),
+        (F.col("c_custkey") % 4 == 0).alias("dart"),
+        ((F.col("c_custkey") % 4 != 0) & (F.col("c_custkey") % 5 == 0)).alias("holed"),
+    )
+    cx, cy, h = F.col("cx"), F.col("cy"), F.col("h")
+
+    def p(x, y):
+        return F.struct(x.alias("x"), y.alias("y"))
+
+    dart = [p(cx - h, cy - h), p(cx, cy + h), p(cx + h, cy - h), p(cx, cy - h / 5.0)]
+    kite = [p(cx - h, cy), p(cx, cy - h * 0.6), p(cx + h, cy), p(cx, cy + h)]
+    q = h / 4.0
+    hole = [p(cx - q, cy - q), p(cx - q, cy + q), p(cx + q, cy + q), p(cx + q, cy - q)]
+    outer = F.when(F.col("dart"), F.array(*dart, dart[0])).otherwise(F.array(*kite, kite[0]))
+    rings = F.when(F.col("holed"), F.array(outer, F.array(*hole, hole[0]))).otherwise(F.array(outer))
+    df = c.select("region_id", F.lit(0).alias("part"), rings.alias("rings"), F.lit(3857).alias("srid"))
+    return with_geometry(df)
+
+
+def sql_customer_regions() -> str:
+    """CTEs ``cv`` (vertices), ``ce`` (edges: region_id, ring, x1, y1, x2, y2), ``cb`` (bounds)."""
+    return """
+    cc AS (
+      SELECT c_custkey AS k,
+             CAST(c_custkey % 97 AS DOUBLE) * 30000.0 AS cx,
+             CAST(c_nationkey AS DOUBLE) * 60000.0 + CAST(c_custkey % 7 AS DOUBLE) * 5000.0 AS cy,
+             4000.0 + CAST((c_custkey * 37) % 1000 AS DOUBLE) * 10.0 AS h,
+             c_custkey % 4 = 0 AS dart,
+             (c_custkey % 4 <> 0) AND (c_custkey % 5 = 0) AS holed
+      FROM customer),
+    cv AS (
+      SELECT k, 0 AS ring, 0 AS i, CASE WHEN dart THEN cx - h ELSE cx - h END AS x, CASE WHEN dart THEN cy - h ELSE cy END AS y FROM cc
+      UNION ALL SELECT k, 0, 1, CASE WHEN dart THEN cx ELSE cx END, CASE WHEN dart THEN cy + h ELSE cy - h * 0.6 END FROM cc
+      UNION ALL SELECT k, 0, 2, CASE WHEN dart THEN cx + h ELSE cx + h END, CASE WHEN dart THEN cy - h ELSE cy END FROM cc
+      UNION ALL SELECT k, 0, 3, CASE WHEN dart THEN cx ELSE cx END, CASE WHEN dart THEN cy - h / 5.0 ELSE cy + h END FROM cc
+      UNION ALL SELECT k, 1, 0, cx - h / 4.0, cy - h / 4.0 FROM cc WHERE holed
+      UNION ALL SELECT k, 1, 1, cx - h / 4.0, cy + h / 4.0 FROM cc WHERE holed
+      UNION ALL SELECT k, 1, 2, cx + h / 4.0, cy + h / 4.0 FROM cc WHERE holed
+      UNION ALL SELECT k, 1, 3, cx + h / 4.0, cy - h / 4.0 FROM cc WHERE holed),
+    ce AS (
+      SELECT a.k AS region_id, a.ring, a.i, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2
+      FROM cv a JOIN cv b ON a.k = b.k AND a.ring = b.ring AND b.i = (a.i + 1) % 4),
+    cb AS (
+      SELECT region_id, min(least(x1, x2)) AS minx, min(least(y1, y2)) AS miny,
+             max(greatest(x1, x2)) AS maxx, max(greatest(y1, y2)) AS maxy
+      FROM ce GROUP BY region_id)"""
