@@ -325,3 +325,6 @@ def utm_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     u = ev.select("event_id", e.alias("e"), n.alias("n"))
     lon, lat = geo.utm_to_lonlat("e", "n", zone=43)
     return u.select("event_id", F.round(lon, 6).alias("lon"), F.round(lat, 6).alias("lat"))
+
+
+from . import catalog_data  # noqa: E402,F401  (registers more queries)

@@ -131,3 +131,30 @@ def sql_customer_regions() -> str:
       SELECT region_id, min(least(x1, x2)) AS minx, min(least(y1, y2)) AS miny,
              max(greatest(x1, x2)) AS maxx, max(greatest(y1, y2)) AS maxy
       FROM ce GROUP BY region_id)"""
+
+
+# The class mapping used by the labelling queries (customer segments in config order).
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+def events_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as feature rows with injected gaps (by key, identical in the SQL oracle):
+    k % 13 = 0 → all features missing; k % 7 = 0 → f1 NaN; k % 11 = 0 → f2 NULL."""
+    ev = spark.read.parquet(f"{sf_dir}/events.parquet")
+    k = F.col("event_id")
+    allm = k % 13 == 0
+    f0 = F.when(allm, F.lit(None).cast("double")).otherwise(F.col("user_id").cast("double"))
+    f1 = F.when(allm | (k % 7 == 0), F.lit(float("nan"))).otherwise(F.col("value"))
+    f2 = F.when(allm | (k % 11 == 0), F.lit(None).cast("double")).otherwise(F.hour("ts").cast("double"))
+    return ev.select("event_id", F.col("event_type").alias("class_"), F.array(f0, f1, f2).alias("features"))
+
+
+def embedding_pixels(spark: SparkSession, sf_dir: str, n_pixels: int = 100) -> DataFrame:
+    """``embeddings`` as a cube: pixel = vec_id % n_pixels, time step t = vec_id div n_pixels."""
+    e = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return e.select((F.col("vec_id") % n_pixels).alias("pixel"), F.floor(F.col("vec_id") / n_pixels).alias("t"),
+                    "vec_id", F.col("embedding").alias("bands"), "label")
+
+
+def band_sum(arr: str = "bands", digits: int = 4):
+    return F.round(F.aggregate(arr, F.lit(0.0), lambda a, b: a + b.cast("double")), digits)
