@@ -329,3 +329,4 @@ def utm_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 from . import catalog_data  # noqa: E402,F401  (registers more queries)
 from . import catalog_models  # noqa: E402,F401
+from . import catalog_jobs  # noqa: E402,F401

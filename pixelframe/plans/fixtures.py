@@ -158,3 +158,47 @@ def embedding_pixels(spark: SparkSession, sf_dir: str, n_pixels: int = 100) -> D
 
 def band_sum(arr: str = "bands", digits: int = 4):
     return F.round(F.aggregate(arr, F.lit(0.0), lambda a, b: a + b.cast("double")), digits)
+
+
+# Regions of the extraction / map queries, in pixel units of the embedding cube
+# (x = pixel % 25 + 0.5, y = pixel div 25 + 0.5 with pixel = vec_id % 250).
+EXTRACT_POLYGONS = {
+    1: [(2.2, 1.3), (20.7, 3.1), (15.4, 8.8), (4.1, 7.6)],
+    2: [(10.6, 0.2), (24.8, 0.4), (24.6, 9.7), (18.3, 4.4), (10.9, 9.6)],
+}
+
+# Regions of the tile queries, in the tiles' affine coordinates.
+TILE_POLYGONS = {
+    1: [(5.0, 925.0), (300.0, 930.0), (250.0, 995.0), (20.0, 990.0)],
+    2: [(280.0, 922.0), (600.0, 940.0), (500.0, 998.0)],
+}
+
+
+def polygons_df(spark: SparkSession, polys: dict) -> DataFrame:
+    rows = [(rid, 0, [[{"x": float(x), "y": float(y)} for x, y in closed(r)]], 0) for rid, r in polys.items()]
+    df = spark.createDataFrame(rows, "region_id bigint, part int, rings array<array<struct<x:double,y:double>>>, srid int")
+    return with_geometry(df)
+
+
+def cube_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``embeddings`` as a pixel cube: 250 pixel positions on a 25-wide lattice, one day per layer."""
+    import datetime as dt
+    e = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    pixel = F.col("vec_id") % 250
+    return e.select("vec_id", "label",
+                    ((pixel % 25).cast("double") + 0.5).alias("x"),
+                    (F.floor(pixel / 25).cast("double") + 0.5).alias("y"),
+                    F.timestamp_add("DAY", F.floor(F.col("vec_id") / 250).cast("int"), F.lit(dt.datetime(2024, 1, 1))).alias("t"),
+                    F.col("embedding").alias("bands"))
+
+
+SQL_CUBE_PIXELS = """cpx AS (SELECT vec_id, label, CAST(vec_id % 250 % 25 AS DOUBLE) + 0.5 AS x,
+                      CAST((vec_id % 250) // 25 AS DOUBLE) + 0.5 AS y, vec_id // 250 AS step, embedding FROM embeddings)"""
+
+
+def sql_ray_inside(points: str, px: str, py: str, key: str, edges: str) -> str:
+    """(key, region_id) pairs with the point inside by the even-odd rule."""
+    return f"""SELECT {key}, r.region_id FROM {points} JOIN {edges}
+      ON ((r.y1 > {py}) <> (r.y2 > {py}))
+     AND ((r.x2 - r.x1) * ({py} - r.y1) - ({px} - r.x1) * (r.y2 - r.y1)) * (r.y2 - r.y1) > 0
+    GROUP BY ALL HAVING count(*) % 2 = 1"""
