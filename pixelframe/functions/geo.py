@@ -4,8 +4,10 @@ A polygon is held as ``rings: array<array<struct<x,y>>>`` (ring 0 = outer, other
 ``edges: array<struct<x1,y1,x2,y2>>`` — every ring's closed edge list flattened together.  The even-odd
 rule over all edges treats holes correctly, so no ring bookkeeping is needed for point tests.
 
-Everything here is a built-in higher-order / math expression: it stays inside whole-stage codegen
-and needs no Python on the executors.
+Everything here is a built-in higher-order / math expression evaluated in the JVM — no Python on the
+executors.  Higher-order lambdas are interpreted inside their codegen stage, so callers keep the
+number of (row × edge) evaluations small: per-bin edge filtering in the spatial join, short-circuit
+order in the predicates.
 """
 
 from __future__ import annotations
@@ -130,9 +132,8 @@ def segment_intersects_box(e: Column, bx0: Column, by0: Column, bx1: Column, by1
         return (e["x2"] - e["x1"]) * (cy - e["y1"]) - (e["y2"] - e["y1"]) * (cx - e["x1"])
 
     s = [side(bx0, by0), side(bx1, by0), side(bx1, by1), side(bx0, by1)]
-    all_pos = (s[0] > 0) & (s[1] > 0) & (s[2] > 0) & (s[3] > 0)
-    all_neg = (s[0] < 0) & (s[1] < 0) & (s[2] < 0) & (s[3] < 0)
-    return bbox_overlap & ~all_pos & ~all_neg
+    # the segment's line separates the box only when all four corners lie strictly on one side
+    return bbox_overlap & (F.least(*s) <= 0) & (F.greatest(*s) >= 0)
 
 
 def box_intersects_polygon(edges: Column | str, bx0: Column, by0: Column, bx1: Column, by1: Column) -> Column:

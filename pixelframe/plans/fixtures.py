@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.regions import with_geometry
+from ..session import materialize
 
 # Probe polygons (region_id → outer ring, open form).
 PROBE_POLYGONS = {
@@ -101,7 +102,7 @@ def customer_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     outer = F.when(F.col("dart"), F.array(*dart, dart[0])).otherwise(F.array(*kite, kite[0]))
     rings = F.when(F.col("holed"), F.array(outer, F.array(*hole, hole[0]))).otherwise(F.array(outer))
     df = c.select("region_id", F.lit(0).alias("part"), rings.alias("rings"), F.lit(3857).alias("srid"))
-    return with_geometry(df)
+    return materialize(with_geometry(df))
 
 
 def sql_customer_regions() -> str:

@@ -55,3 +55,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/pixelframe-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Cut lineage of a small, reused table (regions, grids) with ``checkpoint()`` into the shared folder.
+
+    Geometry columns are nested higher-order expressions; without this, optimizer rewrites may inline
+    them into every filter that reads a derived column.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
