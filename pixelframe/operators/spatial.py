@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geo import point_in_polygon
+from ..functions.geo import point_in_polygon, segment_intersects_box
 
 # Region-side rows (region × bin) × edges below which the region side is broadcast.
 DEFAULT_BROADCAST_EDGE_LIMIT = 4_000_000
@@ -39,7 +39,12 @@ def point_bins(points: DataFrame, bin_size: float, x: str = "x", y: str = "y") -
 
 
 def region_bins(regions: DataFrame, bin_size: float, keep_edges: bool = True) -> DataFrame:
-    """Explode each region into the bins its bounding box covers, with per-bin relevant edges."""
+    """Explode each region into the bins its bounding box covers, with per-bin relevant edges.
+
+    ``_full`` marks interior bins — no edge touches the closed bin and its centre is inside — whose
+    points are all inside: they skip the per-point ray cast (``_edges`` is emptied).  Large polygons
+    over small bins are mostly interior, so the per-pixel work drops to an equality join.
+    """
     b = F.lit(float(bin_size))
     out = (
         regions.withColumn("_bx", F.explode(F.sequence(F.floor(F.col("minx") / b), F.floor(F.col("maxx") / b))))
@@ -49,14 +54,17 @@ def region_bins(regions: DataFrame, bin_size: float, keep_edges: bool = True) ->
         lo = F.col("_by") * b
         hi = (F.col("_by") + 1) * b
         left = F.col("_bx") * b
-        out = out.withColumn(
+        right = (F.col("_bx") + 1) * b
+        touched = F.exists("edges", lambda e: segment_intersects_box(e, left, lo, right, hi))
+        centre_in = point_in_polygon(F.col("edges"), (left + right) / 2.0, (lo + hi) / 2.0)
+        out = out.withColumn("_full", ~touched & centre_in).withColumn(
             "_edges",
-            F.filter(
+            F.when(F.col("_full"), F.array().cast(regions.schema["edges"].dataType)).otherwise(F.filter(
                 "edges",
                 lambda e: (F.greatest(e["y1"], e["y2"]) >= lo)
                 & (F.least(e["y1"], e["y2"]) <= hi)
                 & (F.greatest(e["x1"], e["x2"]) >= left),
-            ),
+            )),
         )
     return out
 
@@ -80,8 +88,9 @@ def checked_broadcast(df: DataFrame, weight: Column | None = None,
 
 
 def _region_side(regions: DataFrame, bin_size: float, region_cols: list[str], broadcast: bool | None) -> DataFrame:
-    rb = region_bins(regions, bin_size).where(F.size("_edges") > 0)
-    rb = rb.select(*region_cols, "minx", "miny", "maxx", "maxy", "_bx", "_by", "_edges")
+    # a bin with no edge a rightward ray can reach, and not interior, holds no inside point
+    rb = region_bins(regions, bin_size).where((F.size("_edges") > 0) | F.col("_full"))
+    rb = rb.select(*region_cols, "minx", "miny", "maxx", "maxy", "_bx", "_by", "_full", "_edges")
     if broadcast is None:
         return checked_broadcast(rb, F.size("_edges"))
     return F.broadcast(rb) if broadcast else rb
@@ -102,14 +111,14 @@ def spatial_join(points: DataFrame, regions: DataFrame, bin_size: float, x: str
     rs = rs.select(*[F.col(c).alias(c) for c in region_cols],
                    F.col("minx").alias("_minx"), F.col("miny").alias("_miny"),
                    F.col("maxx").alias("_maxx"), F.col("maxy").alias("_maxy"),
-                   F.col("_bx").alias("_rbx"), F.col("_by").alias("_rby"), "_edges")
+                   F.col("_bx").alias("_rbx"), F.col("_by").alias("_rby"), "_full", "_edges")
     px, py = F.col(x), F.col(y)
     key = (pts["_bx"] == rs["_rbx"]) & (pts["_by"] == rs["_rby"])
     in_box = px.between(rs["_minx"], rs["_maxx"]) & py.between(rs["_miny"], rs["_maxy"])
-    inside = point_in_polygon(rs["_edges"], px, py)
+    inside = rs["_full"] | point_in_polygon(rs["_edges"], px, py)
     if how == "inner":
         out = pts.join(rs, key & in_box & inside, "inner")
-        return out.drop("_bx", "_by", "_rbx", "_rby", "_edges", "_minx", "_miny", "_maxx", "_maxy")
+        return out.drop("_bx", "_by", "_rbx", "_rby", "_full", "_edges", "_minx", "_miny", "_maxx", "_maxy")
     if how in ("semi", "anti"):
         out = pts.join(rs, key & in_box & inside, "left_semi" if how == "semi" else "left_anti")
         return out.drop("_bx", "_by")
@@ -118,14 +127,14 @@ def spatial_join(points: DataFrame, regions: DataFrame, bin_size: float, x: str
         rs_all = region_bins(regions, bin_size).select(
             *region_cols, F.col("minx").alias("_minx"), F.col("miny").alias("_miny"),
             F.col("maxx").alias("_maxx"), F.col("maxy").alias("_maxy"),
-            F.col("_bx").alias("_rbx"), F.col("_by").alias("_rby"), "_edges")
+            F.col("_bx").alias("_rbx"), F.col("_by").alias("_rby"), "_full", "_edges")
         rs_all = checked_broadcast(rs_all, F.size("_edges")) if broadcast is None else (
             F.broadcast(rs_all) if broadcast else rs_all)
         key = (pts["_bx"] == rs_all["_rbx"]) & (pts["_by"] == rs_all["_rby"])
         in_box = px.between(rs_all["_minx"], rs_all["_maxx"]) & py.between(rs_all["_miny"], rs_all["_maxy"])
         out = pts.join(rs_all, key & in_box, "inner").withColumn(
-            "_inside", point_in_polygon(F.col("_edges"), px, py))
-        return out.drop("_bx", "_by", "_rbx", "_rby", "_edges", "_minx", "_miny", "_maxx", "_maxy")
+            "_inside", F.col("_full") | point_in_polygon(F.col("_edges"), px, py))
+        return out.drop("_bx", "_by", "_rbx", "_rby", "_full", "_edges", "_minx", "_miny", "_maxx", "_maxy")
     raise ValueError(f"unknown how={how!r}")
 
 

@@ -264,10 +264,10 @@ SELECT (SELECT CAST(count(*) AS BIGINT) FROM cb) AS n_regions, CAST(count(*) AS
 def region_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row counts of the region and grid tables (G16), one aggregate each."""
     regions = fx.customer_regions(spark, sf_dir)
-    n_regions = G.count_rows(regions, "n_regions")
-    n_grids = G.count_rows(G.grid_cells(regions, _GRID, _GRID - _STEP), "n_grids")
-    # two one-row aggregates side by side (a join of two single rows on a constant key)
-    return n_regions.withColumn("_k", F.lit(1)).join(n_grids.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    cells = G.grid_cells(regions, _GRID, _GRID - _STEP)
+    tagged = regions.select(F.lit(True).alias("_r")).unionByName(cells.select(F.lit(False).alias("_r")))
+    # one aggregate over both tables: no join between the two counts
+    return tagged.agg(F.count_if("_r").alias("n_regions"), F.count_if(~F.col("_r")).alias("n_grids"))
 
 
 @register("tile_cover", f"""

@@ -79,7 +79,7 @@ def _map_inputs(spark: SparkSession, sf_dir: str):
 
     def predict_fn(df: DataFrame) -> DataFrame:
         out = learn.nearest_centre(df, centres, "bands", "_centre")
-        return out.withColumn("pred", F.element_at(lab_map, F.col("_centre"))).drop("_centre", "_centre_d2")
+        return out.withColumn("pred", F.element_at(lab_map, F.col("_centre"))).drop("_centre")
 
     return latest, predict_fn
 
