@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 def confusion(df: DataFrame, y: str = "y", p: str = "p", group: list[str] | None = None) -> DataFrame:
     """Sparse confusion matrix (E1): one row per observed (truth, prediction) pair."""
@@ -44,7 +46,8 @@ def classification_report(df: DataFrame, y: str = "y", p: str = "p") -> DataFram
     Labels are the union of truth and prediction values.  Built from the sparse confusion counts: every
     count contributes to its truth class (support, tp) and to its predicted class (predicted total).
     """
-    cm = confusion(df, y, p)
+    # classes² rows: materialized once so the four report parts never rescan the predictions
+    cm = materialize(confusion(df, y, p))
     by_class = cm.select(F.explode(F.array(
         F.struct(F.col("y").alias("label"), F.col("n").alias("support"), F.when(F.col("y") == F.col("p"), F.col("n")).otherwise(0).alias("tp"), F.lit(0).cast("bigint").alias("pred")),
         F.struct(F.col("p").alias("label"), F.lit(0).cast("bigint").alias("support"), F.lit(0).cast("bigint").alias("tp"), F.col("n").alias("pred")),

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import cube
+from ..session import materialize
 from .spatial import checked_broadcast
 
 
@@ -59,14 +60,15 @@ def balance_classes(df: DataFrame, id_cols: list[str], label: str = "class_", se
     ``row_number() over (partition by class order by hash, id) <= min_count``.
     """
     keyed = df.withColumn("_h", seeded_key(id_cols, seed)).withColumn("_b", F.substring("_h", 1, prefix_digits))
-    hist = keyed.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    # classes × 16^digits rows at most: materialized once, both scalars and boundaries read it
+    hist = materialize(keyed.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n")))
+    min_count = hist.groupBy(label).agg(F.sum("_n").alias("_c")).agg(F.min("_c")).first()[0]
+    if min_count is None:
+        return df.limit(0)
     w = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = hist.withColumn("_cum", F.sum("_n").over(w))
-    min_count = F.min("_cum_total").over(Window.partitionBy())
-    totals = hist.groupBy(label).agg(F.max("_cum").alias("_cum_total"))
-    hist = hist.join(totals.withColumn("_min", min_count).select(label, "_min"), label)
-    boundary = (hist.where((F.col("_cum") - F.col("_n") < F.col("_min")) & (F.col("_cum") >= F.col("_min")))
-                .select(label, F.col("_b").alias("_bb"), (F.col("_min") - (F.col("_cum") - F.col("_n"))).alias("_need")))
+    boundary = (hist.withColumn("_cum", F.sum("_n").over(w))
+                .where((F.col("_cum") - F.col("_n") < F.lit(min_count)) & (F.col("_cum") >= F.lit(min_count)))
+                .select(label, F.col("_b").alias("_bb"), (F.lit(min_count) - (F.col("_cum") - F.col("_n"))).alias("_need")))
     boundary = checked_broadcast(boundary)  # one row per class
     j = keyed.join(boundary, label)
     whole = j.where(F.col("_b") < F.col("_bb"))
