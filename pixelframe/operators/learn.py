@@ -29,18 +29,33 @@ def _drop_helpers(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith("_f")], "rawPrediction", "probability")
 
 
+def _spread(df: DataFrame, id_col: str | None) -> DataFrame:
+    """Give a small training input one partition per core (hash on the row id, so the layout — and with
+    it MLlib's per-partition bagging — is the same on every run); large inputs are left as they are."""
+    if not id_col or id_col not in df.columns:
+        return df
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(par, id_col) if df.rdd.getNumPartitions() < par else df
+
+
 def fit_random_forest(train: DataFrame, n_features: int, features: str = "features", label: str = "class_",
-                      num_trees: int = 100, max_depth: int = 15, seed: int = 42) -> PipelineModel:
-    """Random forest (M1): ``numTrees`` from config (100), explicit depth, seeded."""
+                      num_trees: int = 100, max_depth: int = 15, seed: int = 42,
+                      id_col: str | None = "pixel_id") -> PipelineModel:
+    """Random forest (M1): ``numTrees`` from config (100), explicit depth, seeded.
+
+    Node ids are cached between levels (``cacheNodeIds``), which avoids re-walking every tree per level.
+    """
+    train = _spread(train, id_col)
     rf = RandomForestClassifier(featuresCol="_fv", labelCol="_label", predictionCol="prediction",
-                                numTrees=num_trees, maxDepth=max_depth, seed=seed)
+                                numTrees=num_trees, maxDepth=max_depth, seed=seed, cacheNodeIds=True)
     label_cast = SQLTransformer(statement=f"SELECT *, CAST({label} AS DOUBLE) AS _label FROM __THIS__")
     return Pipeline(stages=[*_feature_stages(n_features, features), label_cast, rf]).fit(train)
 
 
 def fit_kmeans(train: DataFrame, n_features: int, k: int, features: str = "features", seed: int = 42,
-               max_iter: int = 20) -> PipelineModel:
+               max_iter: int = 20, id_col: str | None = "pixel_id") -> PipelineModel:
     """K-means (M3); the target column, if any, is ignored."""
+    train = _spread(train, id_col)
     km = KMeans(featuresCol="_fv", predictionCol="prediction", k=k, seed=seed, maxIter=max_iter)
     return Pipeline(stages=[*_feature_stages(n_features, features), km]).fit(train)
 
