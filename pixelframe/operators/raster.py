@@ -75,15 +75,21 @@ def binarise(df: DataFrame, value: str = "value", target: int = TARGET_CODE, out
 
 
 def align_nearest(pred: DataFrame, reference: DataFrame, pred_x0: float, pred_y0: float, pred_res: float,
-                  ref_x0: float, ref_y0: float, ref_res: float, keys: list[str] | None = None) -> DataFrame:
+                  ref_x0: float, ref_y0: float, ref_res: float, keys: list[str] | None = None,
+                  ref_to_pred=None) -> DataFrame:
     """Prediction resampled onto the reference lattice by nearest neighbour.
 
     For every reference cell centre the prediction cell holding it is found by the inverse affine and
     joined on integer (col, row) — an equi-join, planned as hash/sort-merge join on the cell key.
-    ``keys`` (e.g. ``grid_id``) stay with the prediction side.
+    ``keys`` (e.g. ``grid_id``) stay with the prediction side.  When the two maps are in different CRSs,
+    ``ref_to_pred(x, y) -> (x', y')`` takes reference cell centres into the prediction CRS first (R7):
+    the prediction is resampled at the *target* cell centres, as a warp to the reference grid does.
     """
     keys = list(keys or [])
     rx, ry = cell_centre(F.col("col"), F.col("row"), ref_x0, ref_y0, ref_res)
+    if ref_to_pred is not None:
+        tx, ty = ref_to_pred(rx, ry)
+        rx, ry = tx.alias("x"), ty.alias("y")
     ref = reference.select(F.col("col").alias("ref_col"), F.col("row").alias("ref_row"), "value", rx, ry)
     pc, pr = to_cell(F.col("x"), F.col("y"), pred_x0, pred_y0, pred_res)
     ref = ref.select("*", pc.alias("_pc"), pr.alias("_pr")).drop("x", "y")

@@ -412,3 +412,51 @@ def legend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class code → name and colour (R12); codes outside the legend keep NULL names."""
     e = _t(spark, sf_dir, "embeddings").select("vec_id", F.col("label").alias("pred"))
     return raster.with_legend(e, fx.legend_df(spark), "pred")
+
+
+# ---------------------------------------------------------------------------------------------
+# Cross-CRS alignment (R7): the prediction mosaic above on a lon/lat lattice (x0 = 10°, y0 = 50°,
+# 0.01°), the reference on an EPSG:3857 lattice of 2000 m anchored at the same corner.
+# ---------------------------------------------------------------------------------------------
+
+import math  # noqa: E402
+
+_LL_X0, _LL_Y0, _LL_RES = 10.0, 50.0, 0.01
+_M_X0 = 6378137.0 * math.radians(_LL_X0)
+_M_Y0 = 6378137.0 * math.log(math.tan(math.pi / 4 + math.radians(_LL_Y0) / 2.0))
+_M_RES = 2000.0
+
+
+def _reference_3857(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..functions import geo
+    ev = _t(spark, sf_dir, "events")
+    lon = F.lit(_LL_X0) + (F.col("user_id").cast("double") + 0.5) * _LL_RES
+    lat = F.lit(_LL_Y0) - (F.floor((F.lit(500.0) - F.col("value")) / 5.0).cast("double") + 0.5) * _LL_RES
+    x, y = geo.lonlat_to_mercator(lon, lat)
+    return (ev.select(F.floor((x - F.lit(_M_X0)) / _M_RES).alias("col"), F.floor((F.lit(_M_Y0) - y) / _M_RES).alias("row"),
+                      "event_type")
+            .groupBy("col", "row")
+            .agg(F.when(F.count_if(F.col("event_type") == "purchase") > 0, 8).otherwise(3).alias("value")))
+
+
+@register("reproject_align", f"""
+WITH {_RASTER_SQL},
+ev AS (SELECT event_type, {_LL_X0!r} + (CAST(user_id AS DOUBLE) + 0.5) * {_LL_RES!r} AS lon,
+              {_LL_Y0!r} - (CAST(floor((500.0 - value) / 5.0) AS DOUBLE) + 0.5) * {_LL_RES!r} AS lat FROM events),
+evm AS (SELECT event_type, 6378137.0 * radians(lon) AS x, 6378137.0 * ln(tan(pi() / 4 + radians(lat) / 2.0)) AS y FROM ev),
+r3 AS (SELECT CAST(floor((x - {_M_X0!r}) / {_M_RES!r}) AS BIGINT) AS col, CAST(floor(({_M_Y0!r} - y) / {_M_RES!r}) AS BIGINT) AS "row",
+              CASE WHEN count(*) FILTER (WHERE event_type = 'purchase') > 0 THEN 8 ELSE 3 END AS value
+       FROM evm GROUP BY 1, 2),
+rc AS (SELECT col, "row", value, {_M_X0!r} + (col + 0.5) * {_M_RES!r} AS x, {_M_Y0!r} - ("row" + 0.5) * {_M_RES!r} AS y FROM r3),
+rl AS (SELECT col, "row", value, degrees(x / 6378137.0) AS lon, degrees(2.0 * atan(exp(y / 6378137.0)) - pi() / 2) AS lat FROM rc)
+SELECT rl.col AS ref_col, rl."row" AS ref_row, rl.value, mo.pred, mo.grid_id
+FROM rl JOIN mo ON mo.col = CAST(floor((rl.lon - {_LL_X0!r}) / {_LL_RES!r}) AS BIGINT)
+              AND mo."row" = CAST(floor(({_LL_Y0!r} - rl.lat) / {_LL_RES!r}) AS BIGINT)
+""")
+def reproject_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prediction (lon/lat lattice) resampled onto a Web-Mercator reference lattice, nearest."""
+    from ..functions import geo
+    mo = raster.mosaic_first(_pred_pixels(spark, sf_dir), ("col", "row"), "pred", ["grid_id", "event_id"])
+    out = raster.align_nearest(mo, _reference_3857(spark, sf_dir), _LL_X0, _LL_Y0, _LL_RES, _M_X0, _M_Y0, _M_RES,
+                               keys=["grid_id"], ref_to_pred=geo.mercator_to_lonlat)
+    return out.select("ref_col", "ref_row", "value", "pred", "grid_id")
