@@ -89,7 +89,8 @@ def checked_broadcast(df: DataFrame, weight: Column | None = None,
 
 def _region_side(regions: DataFrame, bin_size: float, region_cols: list[str], broadcast: bool | None) -> DataFrame:
     # a bin with no edge a rightward ray can reach, and not interior, holds no inside point
-    rb = region_bins(regions, bin_size).where((F.size("_edges") > 0) | F.col("_full"))
+    # (written as one comparison, which Spark also treats as selective for dynamic partition pruning)
+    rb = region_bins(regions, bin_size).where(F.size("_edges") + F.col("_full").cast("int") > 0)
     rb = rb.select(*region_cols, "minx", "miny", "maxx", "maxy", "_bx", "_by", "_full", "_edges")
     if broadcast is None:
         return checked_broadcast(rb, F.size("_edges"))
@@ -98,12 +99,17 @@ def _region_side(regions: DataFrame, bin_size: float, region_cols: list[str], br
 
 def spatial_join(points: DataFrame, regions: DataFrame, bin_size: float, x: str = "x", y: str = "y",
                  how: str = "inner", region_cols: list[str] | None = None,
-                 broadcast: bool | None = None) -> DataFrame:
+                 broadcast: bool | None = None, tiles: tuple[str, str, float] | None = None) -> DataFrame:
     """Points × regions where the point lies inside the region.
 
     ``how``: ``inner`` (clip with drop: one row per (point, containing region)),
     ``semi`` (points inside any region, each once — G14/R6), ``anti`` (inside none),
     ``mask`` (every point in a region's bounding box, with ``_inside`` flag — P4 ``drop=False``).
+
+    ``tiles=(tile_x_col, tile_y_col, tile_size)``: the pixel table is partitioned by integer tile keys
+    ``floor(x / tile_size)``, ``floor(y / tile_size)`` (``tile_size`` a multiple of ``bin_size``).  The
+    region bins then carry the same keys and the join includes them, so dynamic partition pruning reads
+    only the tile folders some region touches.
     """
     region_cols = list(region_cols or ["region_id"])
     pts = point_bins(points, bin_size, x, y)
@@ -114,11 +120,20 @@ def spatial_join(points: DataFrame, regions: DataFrame, bin_size: float, x: str
                    F.col("_bx").alias("_rbx"), F.col("_by").alias("_rby"), "_full", "_edges")
     px, py = F.col(x), F.col(y)
     key = (pts["_bx"] == rs["_rbx"]) & (pts["_by"] == rs["_rby"])
+    if tiles is not None:
+        tx, ty, tsize = tiles
+        ratio = float(tsize) / float(bin_size)
+        if ratio < 1 or abs(ratio - round(ratio)) > 1e-9:
+            raise ValueError("tile_size must be a whole multiple of bin_size")
+        # keys typed like the partition columns, so the join compares the bare column (needed for pruning)
+        rs = (rs.withColumn("_rtx", F.floor(F.col("_rbx") / F.lit(int(round(ratio)))).cast(pts.schema[tx].dataType))
+              .withColumn("_rty", F.floor(F.col("_rby") / F.lit(int(round(ratio)))).cast(pts.schema[ty].dataType)))
+        key = key & (pts[tx] == rs["_rtx"]) & (pts[ty] == rs["_rty"])
     in_box = px.between(rs["_minx"], rs["_maxx"]) & py.between(rs["_miny"], rs["_maxy"])
     inside = rs["_full"] | point_in_polygon(rs["_edges"], px, py)
     if how == "inner":
         out = pts.join(rs, key & in_box & inside, "inner")
-        return out.drop("_bx", "_by", "_rbx", "_rby", "_full", "_edges", "_minx", "_miny", "_maxx", "_maxy")
+        return out.drop("_bx", "_by", "_rbx", "_rby", "_rtx", "_rty", "_full", "_edges", "_minx", "_miny", "_maxx", "_maxy")
     if how in ("semi", "anti"):
         out = pts.join(rs, key & in_box & inside, "left_semi" if how == "semi" else "left_anti")
         return out.drop("_bx", "_by")

@@ -17,17 +17,19 @@ from ..operators import cube, grid, learn, metrics, prep, raster, spatial
 
 def extract_from_cube(regions: DataFrame, pixels: DataFrame, year: int | None, bin_size: float,
                       composite: str = "max", cls: int | None = None, clip: bool = True,
-                      n_bands: int = 64, region_cols: list[str] | None = None) -> DataFrame:
+                      n_bands: int = 64, region_cols: list[str] | None = None,
+                      tiles: tuple[str, str, float] | None = None) -> DataFrame:
     """Regions → pixels inside → temporal composite → label.
 
     ``pixels``: ``(x, y, t, bands)``.  ``clip=False`` keeps the whole bounding box with NULL bands
     outside the polygon (the masked form).  Failed/empty regions simply contribute no rows; use
-    :func:`spatial.coverage_report` to list them (P13).
+    :func:`spatial.coverage_report` to list them (P13).  With ``tiles`` (tile-partitioned pixel table)
+    only the tile folders some region touches are read (dynamic partition pruning).
     """
     region_cols = list(region_cols or ["region_id"])
     px = cube.filter_dates(pixels, year, "t") if year is not None else pixels
     if clip:
-        joined = spatial.spatial_join(px, regions, bin_size, how="inner", region_cols=region_cols)
+        joined = spatial.spatial_join(px, regions, bin_size, how="inner", region_cols=region_cols, tiles=tiles)
     else:
         joined = spatial.spatial_join(px, regions, bin_size, how="mask", region_cols=region_cols)
         joined = joined.withColumn("bands", F.when(F.col("_inside"), F.col("bands"))).drop("_inside")

@@ -63,3 +63,18 @@ def test_plan_is_broadcast_hash_join_with_pruned_scan(spark):
     assert "BroadcastHashJoin" in plan
     assert "NestedLoop" not in plan
     assert "CartesianProduct" not in plan
+
+
+def test_tile_partitioned_source_is_pruned_dynamically(spark):
+    from pyspark.sql import functions as F
+    from pixelframe.session import scratch_path
+    pts = fx.events_points(spark, SF_MID)
+    path = scratch_path(spark, "test-tiles")
+    (pts.withColumn("tile_x", F.floor(F.col("x") / 50.0)).withColumn("tile_y", F.floor(F.col("y") / 50.0))
+        .write.partitionBy("tile_x", "tile_y").parquet(path))
+    px = spark.read.parquet(path)
+    j = spatial.spatial_join(px, fx.probe_regions(spark), 25.0, tiles=("tile_x", "tile_y", 50.0))
+    plan = j._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruningexpression" in plan
+    got = {(r.event_id, r.region_id) for r in j.select("event_id", "region_id").collect()}
+    assert got == _brute(pts.toPandas(), fx.PROBE_POLYGONS)
