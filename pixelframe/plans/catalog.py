@@ -183,12 +183,12 @@ _STEP = 4500.0
 _GRID = 5000.0
 
 
-def _sql_grid_cells(where_regions: str = "TRUE") -> str:
+def _sql_grid_cells(where_regions: str = "TRUE", cb: str = "cb", ce: str = "ce") -> str:
     return f"""
     gn AS (SELECT region_id, minx, miny,
                   CAST(ceil((maxx - minx) / {_STEP!r}) AS BIGINT) AS nx,
                   CAST(ceil((maxy - miny) / {_STEP!r}) AS BIGINT) AS ny
-           FROM cb WHERE {where_regions}),
+           FROM {cb} WHERE {where_regions}),
     gx AS (SELECT region_id, minx, miny, ny, unnest(range(0, nx)) AS ix FROM gn WHERE nx > 0 AND ny > 0),
     gxy AS (SELECT region_id, minx, miny, ix, unnest(range(0, ny)) AS iy FROM gx),
     cells AS (SELECT region_id, CAST(ix AS INTEGER) AS ix, CAST(iy AS INTEGER) AS iy,
@@ -210,7 +210,7 @@ def _sql_grid_cells(where_regions: str = "TRUE") -> str:
         sum(CASE WHEN ((e.y1 > (c.cy0 + c.cy1) / 2.0) <> (e.y2 > (c.cy0 + c.cy1) / 2.0))
                   AND ((e.x2 - e.x1) * ((c.cy0 + c.cy1) / 2.0 - e.y1) - ((c.cx0 + c.cx1) / 2.0 - e.x1) * (e.y2 - e.y1)) * (e.y2 - e.y1) > 0
                  THEN 1 ELSE 0 END) % 2 = 1 AS centre_in
-      FROM cells c JOIN ce e ON c.region_id = e.region_id
+      FROM cells c JOIN {ce} e ON c.region_id = e.region_id
       GROUP BY c.region_id, c.ix, c.iy, c.cx0, c.cy0, c.cx1, c.cy1),
     kept AS (SELECT * FROM tests WHERE any_edge OR centre_in)"""
 

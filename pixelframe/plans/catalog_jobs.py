@@ -273,67 +273,44 @@ def pixel_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------------------------
-# Regions in EPSG:4326 → processing grids (G9): the customer polygons are taken to lon/lat first,
-# then 4326 → 3857 → area branch (1e8 m²) → grids of 5000 m with 500 m overlap → back to 4326.
+# Regions given in EPSG:4326 → processing grids (G9): the customer shapes in degrees,
+# 4326 → 3857 → area branch (1e8 m²) → grids of 5000 m with 500 m overlap → back to 4326.
 # ---------------------------------------------------------------------------------------------
 
 from .catalog import _sql_grid_cells  # noqa: E402
 
 _R = "6378137.0"
+_LAT = "degrees(2.0 * atan(exp({v} / 6378137.0)) - pi() / 2)"
 
 
 @register("region_grids", f"""
-WITH cc AS (
-      SELECT c_custkey AS k,
-             CAST(c_custkey % 97 AS DOUBLE) * 30000.0 AS cx,
-             CAST(c_nationkey AS DOUBLE) * 60000.0 + CAST(c_custkey % 7 AS DOUBLE) * 5000.0 AS cy,
-             4000.0 + CAST((c_custkey * 37) % 1000 AS DOUBLE) * 10.0 AS h,
-             c_custkey % 4 = 0 AS dart,
-             (c_custkey % 4 <> 0) AND (c_custkey % 5 = 0) AS holed
-      FROM customer),
-cv0 AS (
-  SELECT k, 0 AS ring, 0 AS i, cx - h AS x, CASE WHEN dart THEN cy - h ELSE cy END AS y FROM cc
-  UNION ALL SELECT k, 0, 1, cx, CASE WHEN dart THEN cy + h ELSE cy - h * 0.6 END FROM cc
-  UNION ALL SELECT k, 0, 2, cx + h, CASE WHEN dart THEN cy - h ELSE cy END FROM cc
-  UNION ALL SELECT k, 0, 3, cx, CASE WHEN dart THEN cy - h / 5.0 ELSE cy + h END FROM cc
-  UNION ALL SELECT k, 1, 0, cx - h / 4.0, cy - h / 4.0 FROM cc WHERE holed
-  UNION ALL SELECT k, 1, 1, cx - h / 4.0, cy + h / 4.0 FROM cc WHERE holed
-  UNION ALL SELECT k, 1, 2, cx + h / 4.0, cy + h / 4.0 FROM cc WHERE holed
-  UNION ALL SELECT k, 1, 3, cx + h / 4.0, cy - h / 4.0 FROM cc WHERE holed),
-cvl AS (SELECT k, ring, i, degrees(x / {_R}) AS lon, degrees(2.0 * atan(exp(y / {_R})) - pi() / 2) AS lat FROM cv0),
-cv AS (SELECT k, ring, i, {_R} * radians(lon) AS x, {_R} * ln(tan(pi() / 4 + radians(lat) / 2.0)) AS y FROM cvl),
-ce AS (SELECT a.k AS region_id, a.ring, a.i, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2
-       FROM cv a JOIN cv b ON a.k = b.k AND a.ring = b.ring AND b.i = (a.i + 1) % 4),
-cb AS (SELECT region_id, min(least(x1, x2)) AS minx, min(least(y1, y2)) AS miny,
-              max(greatest(x1, x2)) AS maxx, max(greatest(y1, y2)) AS maxy FROM ce GROUP BY region_id),
-ra AS (SELECT region_id, ring, abs(sum(x1 * y2 - x2 * y1) / 2.0) AS a FROM ce GROUP BY region_id, ring),
+WITH {fx.sql_customer_regions(fx.LONLAT_UNIT)},
+cvm AS (SELECT k, ring, i, {_R} * radians(x) AS x, {_R} * ln(tan(pi() / 4 + radians(y) / 2.0)) AS y FROM cv),
+cem AS (SELECT a.k AS region_id, a.ring, a.i, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2
+        FROM cvm a JOIN cvm b ON a.k = b.k AND a.ring = b.ring AND b.i = (a.i + 1) % 4),
+cbm AS (SELECT region_id, min(least(x1, x2)) AS minx, min(least(y1, y2)) AS miny,
+               max(greatest(x1, x2)) AS maxx, max(greatest(y1, y2)) AS maxy FROM cem GROUP BY region_id),
+ra AS (SELECT region_id, ring, abs(sum(x1 * y2 - x2 * y1) / 2.0) AS a FROM cem GROUP BY region_id, ring),
 area AS (SELECT region_id, sum(CASE WHEN ring = 0 THEN a ELSE -a END) AS area FROM ra GROUP BY region_id),
-{_sql_grid_cells("region_id IN (SELECT region_id FROM area WHERE area > 1e8)")},
-sb AS (SELECT k AS region_id, min(degrees(x / {_R})) AS minx, min(degrees(2.0 * atan(exp(y / {_R})) - pi() / 2)) AS miny,
-              max(degrees(x / {_R})) AS maxx, max(degrees(2.0 * atan(exp(y / {_R})) - pi() / 2)) AS maxy
-       FROM cv GROUP BY k)
+{_sql_grid_cells("region_id IN (SELECT region_id FROM area WHERE area > 1e8)", cb="cbm", ce="cem")},
+sb AS (SELECT k AS region_id, min(degrees(x / {_R})) AS minx, min({_LAT.format(v="y")}) AS miny,
+              max(degrees(x / {_R})) AS maxx, max({_LAT.format(v="y")}) AS maxy
+       FROM cvm GROUP BY k)
 SELECT region_id * 1099511627776 + (CAST(ix AS BIGINT) + 1) * 1048576 + (CAST(iy AS BIGINT) + 1) AS grid_id,
        region_id, ix, iy,
-       round(degrees(cx0 / {_R}), 6) AS minx, round(degrees(2.0 * atan(exp(cy0 / {_R})) - pi() / 2), 6) AS miny,
-       round(degrees(cx1 / {_R}), 6) AS maxx, round(degrees(2.0 * atan(exp(cy1 / {_R})) - pi() / 2), 6) AS maxy
+       round(degrees(cx0 / {_R}), 6) AS minx, round({_LAT.format(v="cy0")}, 6) AS miny,
+       round(degrees(cx1 / {_R}), 6) AS maxx, round({_LAT.format(v="cy1")}, 6) AS maxy
 FROM kept
 UNION ALL
 SELECT sb.region_id * 1099511627776, sb.region_id, -1, -1, round(sb.minx, 6), round(sb.miny, 6), round(sb.maxx, 6), round(sb.maxy, 6)
 FROM sb JOIN area ON sb.region_id = area.region_id WHERE NOT (area.area > 1e8)
 """)
 def region_grids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Regions in lon/lat → 3857 → grids if larger than 1e8 m² → back to lon/lat."""
-    from ..functions import geo
+    """Regions given in lon/lat → 3857 → grids if larger than 1e8 m² → back to lon/lat."""
     from ..operators import grid as G
-    from ..operators.regions import with_geometry
-    from ..session import materialize
-    m = fx.customer_regions(spark, sf_dir)
-    ll = with_geometry(m.select("region_id", "part", geo.transform_rings("rings", geo.mercator_to_lonlat).alias("rings"),
-                                F.lit(4326).alias("srid")))
-    g = G.read_with_grids(materialize(ll), 1e8, 5000.0, 500.0)
+    ll = fx.customer_regions(spark, sf_dir, unit=fx.LONLAT_UNIT, srid=4326)
+    g = G.read_with_grids(ll, 1e8, 5000.0, 500.0)
     return g.select("grid_id", "region_id", "ix", "iy", *[F.round(c, 6).alias(c) for c in ("minx", "miny", "maxx", "maxy")])
-
-
 @register("tile_source", """
 SELECT vec_id // 64 AS tile_id, 10.0 + CAST((vec_id // 64) // 4 AS DOUBLE) * 0.1 AS tile_lat,
        70.0 + CAST((vec_id // 64) % 4 AS DOUBLE) * 0.1 AS tile_lon,

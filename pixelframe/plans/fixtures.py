@@ -81,12 +81,15 @@ def events_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 #   else     : kite (cx−h, cy) (cx, cy−0.6h) (cx+h, cy) (cx, cy+h); k % 5 = 0 adds a square hole of half h/4
 # ---------------------------------------------------------------------------------------------
 
-def customer_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def customer_regions(spark: SparkSession, sf_dir: str, unit: float = 1.0, srid: int = 3857) -> DataFrame:
+    """Customer polygons; ``unit`` scales every length (1.0 → metres as in the table above;
+    ``LONLAT_UNIT`` → the same shapes given natively in degrees, EPSG:4326)."""
+    u = float(unit)
     c = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
         F.col("c_custkey").alias("region_id"),
-        ((F.col("c_custkey") % 97).cast("double") * 30000.0).alias("cx"),
-        (F.col("c_nationkey").cast("double") * 60000.0 + (F.col("c_custkey") % 7).cast("double") * 5000.0).alias("cy"),
-        (F.lit(4000.0) + ((F.col("c_custkey") * 37) % 1000).cast("double") * 10.0).alias("h"),
+        ((F.col("c_custkey") % 97).cast("double") * (30000.0 * u)).alias("cx"),
+        (F.col("c_nationkey").cast("double") * (60000.0 * u) + (F.col("c_custkey") % 7).cast("double") * (5000.0 * u)).alias("cy"),
+        (F.lit(4000.0 * u) + ((F.col("c_custkey") * 37) % 1000).cast("double") * (10.0 * u)).alias("h"),
         (F.col("c_custkey") % 4 == 0).alias("dart"),
         ((F.col("c_custkey") % 4 != 0) & (F.col("c_custkey") % 5 == 0)).alias("holed"),
     )
@@ -101,18 +104,23 @@ def customer_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     hole = [p(cx - q, cy - q), p(cx - q, cy + q), p(cx + q, cy + q), p(cx + q, cy - q)]
     outer = F.when(F.col("dart"), F.array(*dart, dart[0])).otherwise(F.array(*kite, kite[0]))
     rings = F.when(F.col("holed"), F.array(outer, F.array(*hole, hole[0]))).otherwise(F.array(outer))
-    df = c.select("region_id", F.lit(0).alias("part"), rings.alias("rings"), F.lit(3857).alias("srid"))
+    df = c.select("region_id", F.lit(0).alias("part"), rings.alias("rings"), F.lit(srid).alias("srid"))
     return materialize(with_geometry(df))
 
 
-def sql_customer_regions() -> str:
+# degrees per "metre" of the table above for the lon/lat family (about 1 m at the equator)
+LONLAT_UNIT = 1e-5
+
+
+def sql_customer_regions(unit: float = 1.0) -> str:
     """CTEs ``cv`` (vertices), ``ce`` (edges: region_id, ring, x1, y1, x2, y2), ``cb`` (bounds)."""
-    return """
+    u = float(unit)
+    return f"""
     cc AS (
       SELECT c_custkey AS k,
-             CAST(c_custkey % 97 AS DOUBLE) * 30000.0 AS cx,
-             CAST(c_nationkey AS DOUBLE) * 60000.0 + CAST(c_custkey % 7 AS DOUBLE) * 5000.0 AS cy,
-             4000.0 + CAST((c_custkey * 37) % 1000 AS DOUBLE) * 10.0 AS h,
+             CAST(c_custkey % 97 AS DOUBLE) * {30000.0 * u!r} AS cx,
+             CAST(c_nationkey AS DOUBLE) * {60000.0 * u!r} + CAST(c_custkey % 7 AS DOUBLE) * {5000.0 * u!r} AS cy,
+             {4000.0 * u!r} + CAST((c_custkey * 37) % 1000 AS DOUBLE) * {10.0 * u!r} AS h,
              c_custkey % 4 = 0 AS dart,
              (c_custkey % 4 <> 0) AND (c_custkey % 5 = 0) AS holed
       FROM customer),
