@@ -49,33 +49,52 @@ def class_counts(df: DataFrame, label: str = "class_") -> DataFrame:
 
 
 def balance_classes(df: DataFrame, id_cols: list[str], label: str = "class_", seed: int = 42,
-                    prefix_digits: int = 4) -> DataFrame:
+                    prefix_digits: int = 4, max_rank_rows: int = 2_000_000) -> DataFrame:
     """Down-sample every class to the smallest class's size (D6), exactly and without a class-wide sort.
 
-    The kept rows of a class are its ``min_count`` rows of smallest seeded hash.  Instead of ranking a
-    whole class in one task (a class may hold a third of the data), a histogram over the first
-    ``prefix_digits`` hex digits of the hash (≤ 16^digits rows per class, partial aggregation) gives each
-    class's boundary bucket: buckets below it are kept whole, and only the boundary bucket —
-    about ``count / 16^digits`` rows — is ranked.  Same rows as
-    ``row_number() over (partition by class order by hash, id) <= min_count``.
+    The kept rows of a class are its ``min_count`` rows of smallest seeded hash — the same rows as
+    ``row_number() over (partition by class order by hash, id) <= min_count`` — found without ranking a
+    whole class in one task (a class may hold a third of the data):
+
+    1. a histogram over the first ``prefix_digits`` hex digits of the hash (≤ 16^digits rows per class,
+       partially aggregated) gives each class's boundary bucket and how many rows it still needs;
+    2. while some boundary bucket holds more than ``max_rank_rows`` rows, only that bucket's rows are
+       histogrammed again on the next digits (a filtered scan, a small aggregate);
+    3. rows whose hash prefix sorts below the boundary prefix are kept whole; only the final boundary
+       bucket — at most ``max_rank_rows`` rows per class — is ranked.
     """
-    keyed = df.withColumn("_h", seeded_key(id_cols, seed)).withColumn("_b", F.substring("_h", 1, prefix_digits))
-    # classes × 16^digits rows at most: materialized once, both scalars and boundaries read it
-    hist = materialize(keyed.groupBy(label, "_b").agg(F.count(F.lit(1)).alias("_n")))
+    keyed = df.withColumn("_h", seeded_key(id_cols, seed))
+    w = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def boundaries(hist: DataFrame, need: Column) -> DataFrame:
+        # per class: the bucket where the running count first reaches ``need``
+        h = hist.withColumn("_cum", F.sum("_n").over(w))
+        return (h.where((F.col("_cum") - F.col("_n") < need) & (F.col("_cum") >= need))
+                .select(label, F.col("_b").alias("_p"), (need - (F.col("_cum") - F.col("_n"))).alias("_need"),
+                        F.col("_n").alias("_bn")))
+
+    length = prefix_digits
+    # classes × 16^digits rows at most: materialized once, scalars and boundaries read it
+    hist = materialize(keyed.groupBy(label, F.substring("_h", 1, length).alias("_b")).agg(F.count(F.lit(1)).alias("_n")))
     min_count = hist.groupBy(label).agg(F.sum("_n").alias("_c")).agg(F.min("_c")).first()[0]
     if min_count is None:
         return df.limit(0)
-    w = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    boundary = (hist.withColumn("_cum", F.sum("_n").over(w))
-                .where((F.col("_cum") - F.col("_n") < F.lit(min_count)) & (F.col("_cum") >= F.lit(min_count)))
-                .select(label, F.col("_b").alias("_bb"), (F.lit(min_count) - (F.col("_cum") - F.col("_n"))).alias("_need")))
-    boundary = checked_broadcast(boundary)  # one row per class
-    j = keyed.join(boundary, label)
-    whole = j.where(F.col("_b") < F.col("_bb"))
+    bound = materialize(boundaries(hist, F.lit(min_count)))
+    while length < 32 and (bound.agg(F.max("_bn")).first()[0] or 0) > max_rank_rows:
+        step = min(prefix_digits, 32 - length)
+        inside = keyed.join(checked_broadcast(bound.select(label, "_p", "_need")), label).where(
+            F.substring("_h", 1, length) == F.col("_p"))
+        sub = inside.groupBy(label, "_need", F.substring("_h", 1, length + step).alias("_b")).agg(
+            F.count(F.lit(1)).alias("_n"))
+        bound = materialize(boundaries(sub, F.col("_need")))
+        length += step
+    b = checked_broadcast(bound.select(label, "_p", "_need"))  # one row per class
+    j = keyed.withColumn("_b", F.substring("_h", 1, length)).join(b, label)
+    whole = j.where(F.col("_b") < F.col("_p"))
     rank = Window.partitionBy(label).orderBy("_h", *id_cols)
-    edge = (j.where(F.col("_b") == F.col("_bb")).withColumn("_rn", F.row_number().over(rank))
+    edge = (j.where(F.col("_b") == F.col("_p")).withColumn("_rn", F.row_number().over(rank))
             .where(F.col("_rn") <= F.col("_need")).drop("_rn"))
-    return whole.unionByName(edge).drop("_h", "_b", "_bb", "_need")
+    return whole.unionByName(edge).drop("_h", "_b", "_p", "_need")
 
 
 def prepare_training(df: DataFrame, id_cols: list[str], features: str = "features", label: str = "class_",

@@ -19,7 +19,10 @@ def test_balance_equals_window_form_and_is_partition_independent(spark):
     got = {r.event_id for r in prep.balance_classes(ev, ["event_id"], "class_", 42).collect()}
     got7 = {r.event_id for r in prep.balance_classes(ev.repartition(7), ["event_id"], "class_", 42).collect()}
     got_fine = {r.event_id for r in prep.balance_classes(ev, ["event_id"], "class_", 42, prefix_digits=1).collect()}
-    assert got == ref == got7 == got_fine
+    # refinement: boundary buckets above 5 rows are histogrammed again on the next digits
+    got_refined = {r.event_id for r in prep.balance_classes(ev, ["event_id"], "class_", 42, prefix_digits=1,
+                                                            max_rank_rows=5).collect()}
+    assert got == ref == got7 == got_fine == got_refined
     assert len(got) == 5 * mc
 
 
