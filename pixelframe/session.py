@@ -12,6 +12,24 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
+# Settings for a large cluster (≈100 TB of pixels, ~1000 executors); the library never sets these
+# itself — pass them to the session builder / spark-submit.  AQE sizes shuffles at run time.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.shuffle.partitions": "20000",                 # initial; AQE coalesces
+    "spark.sql.files.maxPartitionBytes": str(256 << 20),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),    # region sides are size-checked explicitly
+    "spark.sql.optimizer.dynamicPartitionPruning.enabled": "true",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "4096",  # 64-band rows per Arrow batch for pandas UDFs
+    "spark.sql.session.timeZone": "UTC",
+}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "pixelframe") -> SparkSession:
     """Local session for tests and the bench (UI off, UTC, AQE on)."""
     spark = (
