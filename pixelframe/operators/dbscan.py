@@ -191,36 +191,3 @@ def dbscan(df: DataFrame, id_col: str, features: str, eps: float = 0.5, min_samp
                        .otherwise(F.coalesce(F.col("_bl"), F.lit(-1)).cast("bigint")))
            .drop("label", "_bl"))
     return out
-
-
-def brute_force(ids: np.ndarray, x: np.ndarray, eps: float, min_samples: int) -> dict[int, int]:
-    """Small-fixture reference for tests: same labelling rules in numpy (O(n²) memory)."""
-    d2 = ((x[:, None, :] - x[None, :, :]) ** 2).sum(-1)
-    nb = d2 <= eps * eps
-    core = nb.sum(1) >= min_samples
-    label = {}
-    order = np.argsort(ids)
-    comp = -np.ones(len(ids), dtype=np.int64)
-    for i in order:
-        if not core[i] or comp[i] >= 0:
-            continue
-        stack = [i]
-        members = []
-        comp[i] = -2
-        while stack:
-            j = stack.pop()
-            members.append(j)
-            for k in np.nonzero(nb[j] & core)[0]:
-                if comp[k] == -1:
-                    comp[k] = -2
-                    stack.append(k)
-        lab = int(min(ids[m] for m in members))
-        for m in members:
-            comp[m] = lab
-    for i in range(len(ids)):
-        if core[i]:
-            label[int(ids[i])] = int(comp[i])
-        else:
-            cl = [comp[k] for k in np.nonzero(nb[i] & core)[0]]
-            label[int(ids[i])] = int(min(cl)) if cl else -1
-    return label

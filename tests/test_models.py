@@ -8,6 +8,39 @@ from pixelframe.session import scratch_path
 from conftest import SF_MID, SF_SMALL
 
 
+def dbscan_brute_force(ids: np.ndarray, x: np.ndarray, eps: float, min_samples: int) -> dict[int, int]:
+    """Small-fixture reference for tests: same labelling rules in numpy (O(n²) memory)."""
+    d2 = ((x[:, None, :] - x[None, :, :]) ** 2).sum(-1)
+    nb = d2 <= eps * eps
+    core = nb.sum(1) >= min_samples
+    label = {}
+    order = np.argsort(ids)
+    comp = -np.ones(len(ids), dtype=np.int64)
+    for i in order:
+        if not core[i] or comp[i] >= 0:
+            continue
+        stack = [i]
+        members = []
+        comp[i] = -2
+        while stack:
+            j = stack.pop()
+            members.append(j)
+            for k in np.nonzero(nb[j] & core)[0]:
+                if comp[k] == -1:
+                    comp[k] = -2
+                    stack.append(k)
+        lab = int(min(ids[m] for m in members))
+        for m in members:
+            comp[m] = lab
+    for i in range(len(ids)):
+        if core[i]:
+            label[int(ids[i])] = int(comp[i])
+        else:
+            cl = [comp[k] for k in np.nonzero(nb[i] & core)[0]]
+            label[int(ids[i])] = int(min(cl)) if cl else -1
+    return label
+
+
 def _features(spark, sf):
     return spark.read.parquet(f"{sf}/embeddings.parquet").select(
         F.col("vec_id").alias("pixel_id"), F.col("embedding").alias("features"), F.col("label").alias("class_"))
@@ -54,7 +87,7 @@ def test_dbscan_matches_brute_force(spark):
     e = spark.read.parquet(f"{SF_MID}/embeddings.parquet")
     got = {r.id: r.cluster for r in DB.dbscan(e, "vec_id", "embedding", 1.15, 4).collect()}
     pdf = e.toPandas()
-    exp = DB.brute_force(pdf.vec_id.to_numpy(), np.stack(pdf.embedding.to_numpy()).astype(np.float64), 1.15, 4)
+    exp = dbscan_brute_force(pdf.vec_id.to_numpy(), np.stack(pdf.embedding.to_numpy()).astype(np.float64), 1.15, 4)
     assert got == exp
     assert sum(1 for v in got.values() if v == -1) == 269
     assert len({v for v in got.values() if v >= 0}) == 20
