@@ -126,3 +126,15 @@ def dbscan_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = _t(spark, sf_dir, "embeddings")
     out = DB.dbscan(e, "vec_id", "embedding", DBSCAN_EPS, DBSCAN_MIN_SAMPLES)
     return out.select("id", F.col("cluster").cast("bigint").alias("cluster"))
+
+
+@register("train_job")
+def train_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training plan (§3.2): one table per class → label union (D1) → drop missing (D3) → balance
+    → background rows (D4) → split (D10) → validate (D11) → forest (M1) → predict (M2) → report (E5)."""
+    from .jobs import train_random_forest
+    f = _features(spark, sf_dir)
+    labels = [r["class_"] for r in f.select("class_").distinct().orderBy("class_").collect()]  # class names (≤ classes)
+    tables = {f"class_{c}": f.where(F.col("class_") == c).drop("class_") for c in labels}
+    res = train_random_forest(tables, ["pixel_id"], 64, background=5, downsample=True, num_trees=100, max_depth=15)
+    return res.report

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import cube, grid, learn, metrics, prep, raster, spatial
+from ..session import materialize
 
 
 def extract_from_cube(regions: DataFrame, pixels: DataFrame, year: int | None, bin_size: float,
@@ -69,7 +70,8 @@ def train_random_forest(tables: dict[str, DataFrame], id_cols: list[str], n_feat
     data = prep.prepare_training(data, id_cols, "features", "class_", background, 50, downsample, seed,
                                  n_features=n_features)
     flag = prep.split_flag(id_cols, test_size, seed)
-    data = data.withColumn("split", F.when(flag, "test").otherwise("train"))
+    # the prepared table feeds validation, training and testing: written once to the checkpoint folder
+    data = materialize(data.withColumn("split", F.when(flag, "test").otherwise("train")))
     val = prep.validate_split(data, "split", "features", "class_")
     prep.assert_valid(val)
     n_train = val.where(F.col("split") == "train").first()["n_rows"]
