@@ -20,10 +20,22 @@ def date_window(year: int) -> tuple[dt.datetime, dt.datetime]:
     return dt.datetime(year, 1, 1), dt.datetime(year + 1, 8, 20)
 
 
+def ts_literal(df: DataFrame, t: str, value: dt.datetime | str) -> Column:
+    """A timestamp literal typed like column ``t`` (``timestamp_ntz`` stays wall-clock, independent of the
+    session time zone; ``timestamp`` is read in the session time zone as Spark reads strings)."""
+    text = value.strftime("%Y-%m-%d %H:%M:%S") if isinstance(value, dt.datetime) else str(value)
+    return F.lit(text).cast(df.schema[t].dataType)
+
+
+def between_times(df: DataFrame, t: str, start: dt.datetime | str, end: dt.datetime | str) -> DataFrame:
+    """``start <= t < end`` with literals of the column's own type — pushed down to parquet."""
+    return df.where((F.col(t) >= ts_literal(df, t, start)) & (F.col(t) < ts_literal(df, t, end)))
+
+
 def filter_dates(df: DataFrame, year: int, t: str = "t") -> DataFrame:
     """Date-range filter (P1) as a half-open range on ``t`` — a predicate parquet can push down."""
     start, end = date_window(year)
-    return df.where((F.col(t) >= F.lit(start)) & (F.col(t) < F.lit(end)))
+    return between_times(df, t, start, end)
 
 
 def nan_to_null(arr: Column | str) -> Column:

@@ -138,9 +138,9 @@ WHERE CAST(user_id AS DOUBLE) BETWEEN 30.0 AND 90.0 AND value BETWEEN 100.0 AND
 """)
 def bbox_extent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Extent by bounding box and date range (P2, S7): range predicates pushed to the parquet scan."""
-    import datetime as dt
     pts = fx.events_points(spark, sf_dir)
-    pts = pts.where((F.col("t") >= F.lit(dt.datetime(2024, 1, 5))) & (F.col("t") < F.lit(dt.datetime(2024, 1, 20))))
+    from ..operators import cube
+    pts = cube.between_times(pts, "t", "2024-01-05 00:00:00", "2024-01-20 00:00:00")
     return spatial.bbox_filter(pts, 30.0, 100.0, 90.0, 200.0).select("event_id", "class")
 
 

@@ -261,14 +261,13 @@ WHERE CAST(user_id AS DOUBLE) BETWEEN 30.0 AND 90.0 AND value BETWEEN 100.0 AND
 """)
 def pixel_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pixel table partitioned by (year, tile_key) (S7): the scan prunes folders by key, then bbox + dates."""
-    import datetime as dt
     pts = fx.events_points(spark, sf_dir)
     tile = F.concat_ws("_", F.floor(F.col("x") / 50).cast("string"), F.floor(F.col("y") / 100).cast("string"))
     path = scratch_path(spark, "pixels")
     pts.withColumn("year", F.year("t")).withColumn("tile_key", tile).write.partitionBy("year", "tile_key").parquet(path)
     keys = [f"{i}_{j}" for i in range(int(30 // 50), int(90 // 50) + 1) for j in range(int(100 // 100), int(200 // 100) + 1)]
     px = tables.read_pixels(spark, path, year=2024, tile_keys=keys)
-    px = px.where((F.col("t") >= F.lit(dt.datetime(2024, 1, 5))) & (F.col("t") < F.lit(dt.datetime(2024, 1, 20))))
+    px = cube.between_times(px, "t", "2024-01-05 00:00:00", "2024-01-20 00:00:00")
     return spatial.bbox_filter(px, 30.0, 100.0, 90.0, 200.0).select("event_id", "class")
 
 

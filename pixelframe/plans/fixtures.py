@@ -191,13 +191,13 @@ def polygons_df(spark: SparkSession, polys: dict) -> DataFrame:
 
 def cube_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``embeddings`` as a pixel cube: 250 pixel positions on a 25-wide lattice, one day per layer."""
-    import datetime as dt
     e = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     pixel = F.col("vec_id") % 250
     return e.select("vec_id", "label",
                     ((pixel % 25).cast("double") + 0.5).alias("x"),
                     (F.floor(pixel / 25).cast("double") + 0.5).alias("y"),
-                    F.timestamp_add("DAY", F.floor(F.col("vec_id") / 250).cast("int"), F.lit(dt.datetime(2024, 1, 1))).alias("t"),
+                    F.timestamp_add("DAY", F.floor(F.col("vec_id") / 250).cast("int"),
+                                    F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")).alias("t"),
                     F.col("embedding").alias("bands"))
 
 

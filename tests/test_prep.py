@@ -67,3 +67,23 @@ def test_prepare_training_reference_order_caps_at_background(spark):
     # background rows first: class 5 grows by 50 before the smallest class is taken
     counts[5] = counts.get(5, 0) + 50
     assert set(c_ref.values()) == {min(counts.values())}
+
+
+def test_composite_skips_missing_and_respects_window(spark):
+    from pixelframe.operators import cube
+    nan = float("nan")
+    rows = [
+        (1, "2024-01-01 00:00:00", [1.0, nan, 5.0]),   # first day of the window
+        (1, "2025-08-19 23:59:59", [3.0, 2.0, nan]),   # last second of the window
+        (1, "2025-08-20 00:00:00", [9.0, 9.0, 9.0]),   # outside
+        (1, "2023-12-31 23:59:59", [9.0, 9.0, 9.0]),   # outside
+        (2, "2024-06-01 00:00:00", [nan, nan, nan]),   # all bands missing
+    ]
+    df = spark.createDataFrame(rows, "pixel int, ts string, bands array<float>").withColumn(
+        "t", F.col("ts").cast("timestamp_ntz"))
+    out = {r.pixel: (r.n_steps, list(r.bands)) for r in
+           cube.composite_max(cube.filter_dates(df, 2024), ["pixel"], "bands", 3).collect()}
+    assert out[1] == (2, [3.0, 2.0, 5.0])
+    assert out[2] == (1, [None, None, None])
+    latest = {r.pixel: list(r.bands) for r in cube.latest_layer(cube.filter_dates(df, 2024), ["pixel"]).collect()}
+    assert latest[1][0] == 3.0
