@@ -84,9 +84,11 @@ def train_random_forest(tables: dict[str, DataFrame], id_cols: list[str], n_feat
     return TrainResult(model, report, float(acc_row["f1_score"]) if acc_row else float("nan"), int(n_train))
 
 
-def grid_pixels(grids: DataFrame, pixels: DataFrame, bin_size: float) -> DataFrame:
-    """Pixels of every processing grid (R1/R2): one spatial join over all grids at once."""
-    return spatial.spatial_join(pixels, grids, bin_size, how="inner", region_cols=["grid_id"])
+def grid_pixels(grids: DataFrame, pixels: DataFrame, bin_size: float,
+                tiles: tuple[str, str, float] | None = None) -> DataFrame:
+    """Pixels of every processing grid (R1/R2): one spatial join over all grids at once; with ``tiles``
+    only the pixel tiles under some grid are scanned."""
+    return spatial.spatial_join(pixels, grids, bin_size, how="inner", region_cols=["grid_id"], tiles=tiles)
 
 
 def predict_grids(grid_px: DataFrame, predict_fn) -> DataFrame:
@@ -96,14 +98,15 @@ def predict_grids(grid_px: DataFrame, predict_fn) -> DataFrame:
 
 def save_predictions(regions: DataFrame, pixels: DataFrame, predict_fn, bin_size: float, x0: float, y0: float,
                      res: float, min_area: float = 1e8, grid_size: float = 5000.0, grid_overlap: float = 500.0,
-                     clip: bool = True, no_grids: int | None = None, seed: int = 42) -> DataFrame:
+                     clip: bool = True, no_grids: int | None = None, seed: int = 42,
+                     tiles: tuple[str, str, float] | None = None) -> DataFrame:
     """Full map (R13): grids → sample → pixels → predict → mosaic → clip to the regions' union.
 
     Returns ``(col, row, pred, grid_id)``; write it with :func:`sources.tables.write_map` (S10).
     """
     grids = grid.add_grids_if_needed(regions, min_area, grid_size, grid_overlap)
     grids = grid.sample_grids(grids, no_grids, seed)
-    preds = predict_grids(grid_pixels(grids, pixels, bin_size), predict_fn)
+    preds = predict_grids(grid_pixels(grids, pixels, bin_size, tiles), predict_fn)
     c, r = raster.to_cell(F.col("x"), F.col("y"), x0, y0, res)
     preds = preds.withColumn("col", c).withColumn("row", r)
     mosaic = raster.mosaic_first(preds, ("col", "row"), "pred", ["grid_id"])
@@ -117,14 +120,15 @@ def save_predictions(regions: DataFrame, pixels: DataFrame, predict_fn, bin_size
 def evaluate_predictions(regions: DataFrame, pixels: DataFrame, reference: DataFrame, predict_fn,
                          bin_size: float, x0: float, y0: float, res: float, target: int = 8,
                          positive: int = 1, min_area: float = 1e8, grid_size: float = 5000.0,
-                         grid_overlap: float = 500.0, no_grids: int | None = None, seed: int = 42) -> DataFrame:
+                         grid_overlap: float = 500.0, no_grids: int | None = None, seed: int = 42,
+                         tiles: tuple[str, str, float] | None = None) -> DataFrame:
     """Map evaluation (E7): per-grid precision / recall / accuracy against the reference, then the mean.
 
     ``reference``: ``(col, row, value)`` on the prediction lattice.  Truth = ``value == target``; the
     prediction is positive when it equals ``positive``.
     """
     grids = grid.sample_grids(grid.add_grids_if_needed(regions, min_area, grid_size, grid_overlap), no_grids, seed)
-    preds = predict_grids(grid_pixels(grids, pixels, bin_size), predict_fn)
+    preds = predict_grids(grid_pixels(grids, pixels, bin_size, tiles), predict_fn)
     c, r = raster.to_cell(F.col("x"), F.col("y"), x0, y0, res)
     preds = preds.withColumn("col", c).withColumn("row", r)
     pairs = preds.join(reference.select("col", "row", "value"), ["col", "row"], "inner")

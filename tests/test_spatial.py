@@ -78,3 +78,31 @@ def test_tile_partitioned_source_is_pruned_dynamically(spark):
     assert "dynamicpruningexpression" in plan
     got = {(r.event_id, r.region_id) for r in j.select("event_id", "region_id").collect()}
     assert got == _brute(pts.toPandas(), fx.PROBE_POLYGONS)
+
+
+def test_hot_bin_on_the_shuffle_path(spark):
+    """A third of the points in one bin: sort-merge path (no broadcast) gives the brute-force answer."""
+    from pyspark.sql import functions as F
+    pts = fx.events_points(spark, SF_MID)
+    hot = pts.withColumn("x", F.when(F.col("event_id") % 3 == 0, F.lit(40.5)).otherwise(F.col("x"))) \
+             .withColumn("y", F.when(F.col("event_id") % 3 == 0, F.lit(40.5)).otherwise(F.col("y")))
+    regions = fx.probe_regions(spark)
+    got = {(r.event_id, r.region_id) for r in
+           spatial.spatial_join(hot, regions, 25.0, broadcast=False).select("event_id", "region_id").collect()}
+    assert got == _brute(hot.toPandas(), fx.PROBE_POLYGONS)
+
+
+def test_mosaic_and_sample_do_not_depend_on_partitioning(spark):
+    from pyspark.sql import functions as F
+    from pixelframe.operators import grid as G
+    from pixelframe.operators import raster
+    ev = spark.read.parquet(f"{SF_MID}/events.parquet")
+    px = ev.select("event_id", F.floor(F.col("event_id") / 1000).alias("grid_id"), F.col("user_id").alias("col"),
+                   F.floor(F.col("value") / 5).alias("row"), (F.length("event_type") % 3).alias("pred"))
+    a = raster.mosaic_first(px, ("col", "row"), "pred", ["grid_id", "event_id"])
+    b = raster.mosaic_first(px.repartition(7, "event_id"), ("col", "row"), "pred", ["grid_id", "event_id"])
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    cells = G.grid_cells(fx.customer_regions(spark, SF_MID), 5000.0, 500.0)
+    s1 = G.sample_grids(cells, 25, seed=3).select("grid_id")
+    s2 = G.sample_grids(cells.repartition(5), 25, seed=3).select("grid_id")
+    assert s1.count() == 25 and s1.exceptAll(s2).count() == 0
