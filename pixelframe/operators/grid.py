@@ -1,8 +1,9 @@
 """Processing grids over regions.
 
-Cells come from ``explode(sequence(...))`` per region — generated where the region row lives, no
-shuffle — and are kept when they intersect the polygon (touching counts).  Grid ids are arithmetic on
-(region_id, ix, iy), so they are stable under any partitioning.
+Cells come from ``explode(sequence(...))`` over each region's bounds, are spread over tasks by cell key,
+and are kept when they intersect the polygon (touching counts) — the edge lists arrive by a
+size-checked broadcast.  Grid ids are arithmetic on (region_id, ix, iy), so they are stable under any
+partitioning.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo
 from . import regions as R
+from .spatial import checked_broadcast
 
 # grid_id = region_id·2^40 + (ix+1)·2^20 + (iy+1); an unsplit region keeps ix = iy = −1.
 _REGION_SHIFT = 1 << 40
@@ -27,6 +29,11 @@ def grid_cells(regions: DataFrame, grid_size: float = 5000.0, overlap: float = 1
                keep_intersecting: bool = True) -> DataFrame:
     """Square cells of ``grid_size`` stepping by ``grid_size − overlap`` from each region's lower-left
     bound, x-major (G6); the last cells may pass the bound.  Optionally only cells meeting the polygon (G7).
+
+    Cells are exploded from the bounds alone (small rows), spread over tasks by their key, and only then
+    meet their region's edge list through a size-checked broadcast — so a country-sized region with
+    many cells and edges is tested by many tasks, and no edge list is shuffled.  ``region_id`` must be
+    unique in ``regions``.
     """
     step = float(grid_size) - float(overlap)
     if step <= 0:
@@ -34,7 +41,7 @@ def grid_cells(regions: DataFrame, grid_size: float = 5000.0, overlap: float = 1
     size = float(grid_size)
     nx = F.ceil((F.col("maxx") - F.col("minx")) / step).cast("int")
     ny = F.ceil((F.col("maxy") - F.col("miny")) / step).cast("int")
-    cells = (regions.withColumn("_nx", nx).withColumn("_ny", ny)
+    cells = (regions.select("region_id", "minx", "miny", "maxx", "maxy").withColumn("_nx", nx).withColumn("_ny", ny)
              # zero-width bounds give no cells (sequence(0, -1) would count down)
              .where((F.col("_nx") > 0) & (F.col("_ny") > 0))
              .withColumn("ix", F.explode(F.sequence(F.lit(0), F.col("_nx") - 1)))
@@ -44,7 +51,9 @@ def grid_cells(regions: DataFrame, grid_size: float = 5000.0, overlap: float = 1
              .withColumn("cx1", F.col("cx0") + size)
              .withColumn("cy1", F.col("cy0") + size))
     if keep_intersecting:
-        cells = cells.where(geo.box_intersects_polygon("edges", F.col("cx0"), F.col("cy0"), F.col("cx1"), F.col("cy1")))
+        edges = checked_broadcast(regions.select("region_id", "edges"), F.size("edges"))
+        cells = (cells.repartition("region_id", "ix", "iy").join(edges, "region_id")
+                 .where(geo.box_intersects_polygon("edges", F.col("cx0"), F.col("cy0"), F.col("cx1"), F.col("cy1"))))
     return cells.select(
         grid_id_expr(F.col("region_id"), F.col("ix"), F.col("iy")).alias("grid_id"),
         "region_id", "ix", "iy",

@@ -38,34 +38,50 @@ def point_bins(points: DataFrame, bin_size: float, x: str = "x", y: str = "y") -
     return points.withColumn("_bx", F.floor(F.col(x) / b)).withColumn("_by", F.floor(F.col(y) / b))
 
 
-def region_bins(regions: DataFrame, bin_size: float, keep_edges: bool = True) -> DataFrame:
+def region_bins(regions: DataFrame, bin_size: float, keep_edges: bool = True,
+                key_cols: list[str] | None = None) -> DataFrame:
     """Explode each region into the bins its bounding box covers, with per-bin relevant edges.
 
     ``_full`` marks interior bins — no edge touches the closed bin and its centre is inside — whose
     points are all inside: they skip the per-point ray cast (``_edges`` is emptied).  Large polygons
     over small bins are mostly interior, so the per-pixel work drops to an equality join.
+
+    Bins are exploded from the bounds alone, spread over tasks by (region, bin), and meet their
+    region's edges through a size-checked broadcast: a huge polygon's bins are filtered by many tasks
+    and its edge list is never shuffled.  ``key_cols`` (+ ``part`` when present) must identify a region.
     """
     b = F.lit(float(bin_size))
+    geom = [c for c in ("edges", "rings") if c in regions.columns]
     out = (
-        regions.withColumn("_bx", F.explode(F.sequence(F.floor(F.col("minx") / b), F.floor(F.col("maxx") / b))))
+        regions.drop(*geom)
+        .withColumn("_bx", F.explode(F.sequence(F.floor(F.col("minx") / b), F.floor(F.col("maxx") / b))))
         .withColumn("_by", F.explode(F.sequence(F.floor(F.col("miny") / b), F.floor(F.col("maxy") / b))))
     )
-    if keep_edges:
-        lo = F.col("_by") * b
-        hi = (F.col("_by") + 1) * b
-        left = F.col("_bx") * b
-        right = (F.col("_bx") + 1) * b
-        touched = F.exists("edges", lambda e: segment_intersects_box(e, left, lo, right, hi))
-        centre_in = point_in_polygon(F.col("edges"), (left + right) / 2.0, (lo + hi) / 2.0)
-        out = out.withColumn("_full", ~touched & centre_in).withColumn(
-            "_edges",
-            F.when(F.col("_full"), F.array().cast(regions.schema["edges"].dataType)).otherwise(F.filter(
-                "edges",
-                lambda e: (F.greatest(e["y1"], e["y2"]) >= lo)
-                & (F.least(e["y1"], e["y2"]) <= hi)
-                & (F.greatest(e["x1"], e["x2"]) >= left),
-            )),
-        )
+    if not keep_edges:
+        return out
+    key = list(key_cols or ["region_id"])
+    if "part" in regions.columns and "part" not in key:
+        key.append("part")
+    edges = checked_broadcast(regions.select(*key, "edges"), F.size("edges"))
+    # bins past the right bound never exist; the comparison stays a Filter on the bin side, which is
+    # what Spark's dynamic-partition-pruning heuristic looks for on the build side of a pixel join
+    out = out.where(F.col("_bx") <= F.floor(F.col("maxx") / b))
+    out = out.repartition(*key, "_bx", "_by").join(edges, key)
+    lo = F.col("_by") * b
+    hi = (F.col("_by") + 1) * b
+    left = F.col("_bx") * b
+    right = (F.col("_bx") + 1) * b
+    touched = F.exists("edges", lambda e: segment_intersects_box(e, left, lo, right, hi))
+    centre_in = point_in_polygon(F.col("edges"), (left + right) / 2.0, (lo + hi) / 2.0)
+    out = out.withColumn("_full", ~touched & centre_in).withColumn(
+        "_edges",
+        F.when(F.col("_full"), F.array().cast(regions.schema["edges"].dataType)).otherwise(F.filter(
+            "edges",
+            lambda e: (F.greatest(e["y1"], e["y2"]) >= lo)
+            & (F.least(e["y1"], e["y2"]) <= hi)
+            & (F.greatest(e["x1"], e["x2"]) >= left),
+        )),
+    )
     return out
 
 
@@ -90,7 +106,7 @@ def checked_broadcast(df: DataFrame, weight: Column | None = None,
 def _region_side(regions: DataFrame, bin_size: float, region_cols: list[str], broadcast: bool | None) -> DataFrame:
     # a bin with no edge a rightward ray can reach, and not interior, holds no inside point
     # (written as one comparison, which Spark also treats as selective for dynamic partition pruning)
-    rb = region_bins(regions, bin_size).where(F.size("_edges") + F.col("_full").cast("int") > 0)
+    rb = region_bins(regions, bin_size, key_cols=region_cols).where(F.size("_edges") + F.col("_full").cast("int") > 0)
     rb = rb.select(*region_cols, "minx", "miny", "maxx", "maxy", "_bx", "_by", "_full", "_edges")
     if broadcast is None:
         return checked_broadcast(rb, F.size("_edges"))
@@ -139,7 +155,7 @@ def spatial_join(points: DataFrame, regions: DataFrame, bin_size: float, x: str
         return out.drop("_bx", "_by")
     if how == "mask":
         # every point of the bounding box, whether or not a bin edge survives the filter
-        rs_all = region_bins(regions, bin_size).select(
+        rs_all = region_bins(regions, bin_size, key_cols=region_cols).select(
             *region_cols, F.col("minx").alias("_minx"), F.col("miny").alias("_miny"),
             F.col("maxx").alias("_maxx"), F.col("maxy").alias("_maxy"),
             F.col("_bx").alias("_rbx"), F.col("_by").alias("_rby"), "_full", "_edges")
