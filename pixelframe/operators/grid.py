@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo
 from . import regions as R
-from .spatial import checked_broadcast
+from .spatial import SPREAD_WORK_LIMIT, checked_broadcast
 
 # grid_id = region_id·2^40 + (ix+1)·2^20 + (iy+1); an unsplit region keeps ix = iy = −1.
 _REGION_SHIFT = 1 << 40
@@ -30,10 +30,10 @@ def grid_cells(regions: DataFrame, grid_size: float = 5000.0, overlap: float = 1
     """Square cells of ``grid_size`` stepping by ``grid_size − overlap`` from each region's lower-left
     bound, x-major (G6); the last cells may pass the bound.  Optionally only cells meeting the polygon (G7).
 
-    Cells are exploded from the bounds alone (small rows), spread over tasks by their key, and only then
-    meet their region's edge list through a size-checked broadcast — so a country-sized region with
-    many cells and edges is tested by many tasks, and no edge list is shuffled.  ``region_id`` must be
-    unique in ``regions``.
+    When the cells × edges work is large, cells are exploded from the bounds alone (small rows), spread
+    over tasks by their key, and only then meet their region's edge list through a size-checked
+    broadcast — so a country-sized region with many cells and edges is tested by many tasks, and no
+    edge list is shuffled.  ``region_id`` must be unique in ``regions``.
     """
     step = float(grid_size) - float(overlap)
     if step <= 0:
@@ -41,7 +41,14 @@ def grid_cells(regions: DataFrame, grid_size: float = 5000.0, overlap: float = 1
     size = float(grid_size)
     nx = F.ceil((F.col("maxx") - F.col("minx")) / step).cast("int")
     ny = F.ceil((F.col("maxy") - F.col("miny")) / step).cast("int")
-    cells = (regions.select("region_id", "minx", "miny", "maxx", "maxy").withColumn("_nx", nx).withColumn("_ny", ny)
+    spread = False
+    if keep_intersecting:
+        # cells × edges of the whole table: spread over tasks only when the intersection work is large
+        work = regions.agg(F.coalesce(F.sum(F.greatest(nx, F.lit(0)) * F.greatest(ny, F.lit(0)) * F.size("edges")),
+                                      F.lit(0))).first()[0]
+        spread = work > SPREAD_WORK_LIMIT
+    cols = ["region_id", "minx", "miny", "maxx", "maxy"] + (["edges"] if keep_intersecting and not spread else [])
+    cells = (regions.select(*cols).withColumn("_nx", nx).withColumn("_ny", ny)
              # zero-width bounds give no cells (sequence(0, -1) would count down)
              .where((F.col("_nx") > 0) & (F.col("_ny") > 0))
              .withColumn("ix", F.explode(F.sequence(F.lit(0), F.col("_nx") - 1)))
@@ -51,9 +58,10 @@ def grid_cells(regions: DataFrame, grid_size: float = 5000.0, overlap: float = 1
              .withColumn("cx1", F.col("cx0") + size)
              .withColumn("cy1", F.col("cy0") + size))
     if keep_intersecting:
-        edges = checked_broadcast(regions.select("region_id", "edges"), F.size("edges"))
-        cells = (cells.repartition("region_id", "ix", "iy").join(edges, "region_id")
-                 .where(geo.box_intersects_polygon("edges", F.col("cx0"), F.col("cy0"), F.col("cx1"), F.col("cy1"))))
+        if spread:
+            edges = checked_broadcast(regions.select("region_id", "edges"), F.size("edges"))
+            cells = cells.repartition("region_id", "ix", "iy").join(edges, "region_id")
+        cells = cells.where(geo.box_intersects_polygon("edges", F.col("cx0"), F.col("cy0"), F.col("cx1"), F.col("cy1")))
     return cells.select(
         grid_id_expr(F.col("region_id"), F.col("ix"), F.col("iy")).alias("grid_id"),
         "region_id", "ix", "iy",

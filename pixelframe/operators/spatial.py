@@ -38,20 +38,39 @@ def point_bins(points: DataFrame, bin_size: float, x: str = "x", y: str = "y") -
     return points.withColumn("_bx", F.floor(F.col(x) / b)).withColumn("_by", F.floor(F.col(y) / b))
 
 
+# (region × bin) × edge evaluations above which bin filtering is spread over tasks
+SPREAD_WORK_LIMIT = 200_000
+
+
+def region_stats(regions: DataFrame, bin_size: float) -> dict:
+    """One aggregate over the (small) region table: regions, edges, bins and bin×edge work."""
+    b = F.lit(float(bin_size))
+    nb = ((F.floor(F.col("maxx") / b) - F.floor(F.col("minx") / b) + 1)
+          * (F.floor(F.col("maxy") / b) - F.floor(F.col("miny") / b) + 1))
+    row = regions.agg(F.count(F.lit(1)).alias("regions"), F.coalesce(F.sum(F.size("edges")), F.lit(0)).alias("edges"),
+                      F.coalesce(F.sum(nb), F.lit(0)).alias("bins"),
+                      F.coalesce(F.sum(nb * F.size("edges")), F.lit(0)).alias("work")).first()
+    return row.asDict()
+
+
 def region_bins(regions: DataFrame, bin_size: float, keep_edges: bool = True,
-                key_cols: list[str] | None = None) -> DataFrame:
+                key_cols: list[str] | None = None, spread: bool | None = None) -> DataFrame:
     """Explode each region into the bins its bounding box covers, with per-bin relevant edges.
 
     ``_full`` marks interior bins — no edge touches the closed bin and its centre is inside — whose
     points are all inside: they skip the per-point ray cast (``_edges`` is emptied).  Large polygons
     over small bins are mostly interior, so the per-pixel work drops to an equality join.
 
-    Bins are exploded from the bounds alone, spread over tasks by (region, bin), and meet their
-    region's edges through a size-checked broadcast: a huge polygon's bins are filtered by many tasks
-    and its edge list is never shuffled.  ``key_cols`` (+ ``part`` when present) must identify a region.
+    When the bin×edge work is large (``spread``; decided from :func:`region_stats` when ``None``), bins
+    are exploded from the bounds alone, spread over tasks by (region, bin), and meet their region's
+    edges through a size-checked broadcast: a huge polygon's bins are filtered by many tasks and its
+    edge list is never shuffled.  ``key_cols`` (+ ``part`` when present) must identify a region.
     """
     b = F.lit(float(bin_size))
-    geom = [c for c in ("edges", "rings") if c in regions.columns]
+    if keep_edges and spread is None:
+        spread = region_stats(regions, bin_size)["work"] > SPREAD_WORK_LIMIT
+    geom = [c for c in ("edges", "rings") if c in regions.columns] if (keep_edges and spread) else \
+        [c for c in ("rings",) if c in regions.columns]
     out = (
         regions.drop(*geom)
         .withColumn("_bx", F.explode(F.sequence(F.floor(F.col("minx") / b), F.floor(F.col("maxx") / b))))
@@ -59,14 +78,15 @@ def region_bins(regions: DataFrame, bin_size: float, keep_edges: bool = True,
     )
     if not keep_edges:
         return out
-    key = list(key_cols or ["region_id"])
-    if "part" in regions.columns and "part" not in key:
-        key.append("part")
-    edges = checked_broadcast(regions.select(*key, "edges"), F.size("edges"))
     # bins past the right bound never exist; the comparison stays a Filter on the bin side, which is
     # what Spark's dynamic-partition-pruning heuristic looks for on the build side of a pixel join
     out = out.where(F.col("_bx") <= F.floor(F.col("maxx") / b))
-    out = out.repartition(*key, "_bx", "_by").join(edges, key)
+    if spread:
+        key = list(key_cols or ["region_id"])
+        if "part" in regions.columns and "part" not in key:
+            key.append("part")
+        edges = checked_broadcast(regions.select(*key, "edges"), F.size("edges"))
+        out = out.repartition(*key, "_bx", "_by").join(edges, key)
     lo = F.col("_by") * b
     hi = (F.col("_by") + 1) * b
     left = F.col("_bx") * b
@@ -104,11 +124,16 @@ def checked_broadcast(df: DataFrame, weight: Column | None = None,
 
 
 def _region_side(regions: DataFrame, bin_size: float, region_cols: list[str], broadcast: bool | None) -> DataFrame:
+    st = region_stats(regions, bin_size)
     # a bin with no edge a rightward ray can reach, and not interior, holds no inside point
     # (written as one comparison, which Spark also treats as selective for dynamic partition pruning)
-    rb = region_bins(regions, bin_size, key_cols=region_cols).where(F.size("_edges") + F.col("_full").cast("int") > 0)
+    rb = region_bins(regions, bin_size, key_cols=region_cols, spread=st["work"] > SPREAD_WORK_LIMIT)
+    rb = rb.where(F.size("_edges") + F.col("_full").cast("int") > 0)
     rb = rb.select(*region_cols, "minx", "miny", "maxx", "maxy", "_bx", "_by", "_full", "_edges")
     if broadcast is None:
+        # upper bounds from the stats (every bin, every edge) decide without another job when small
+        if st["bins"] <= DEFAULT_BROADCAST_ROW_LIMIT and st["work"] <= DEFAULT_BROADCAST_EDGE_LIMIT:
+            return F.broadcast(rb)
         return checked_broadcast(rb, F.size("_edges"))
     return F.broadcast(rb) if broadcast else rb
 
