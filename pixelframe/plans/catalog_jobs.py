@@ -327,3 +327,28 @@ def tile_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     px = px.where(F.col("bands").isNotNull())
     return px.groupBy("tile_id", "tile_lat", "tile_lon").agg(
         F.count(F.lit(1)).alias("n_pixels"), F.round(F.sum(fx.band_sum("bands", 12)), 4).alias("band_sum"))
+
+
+@register("stream_extract", f"""
+SELECT ins.event_id, ins.region_id, ev.event_type AS class FROM (
+  SELECT ev.event_id, r.region_id
+  FROM events ev JOIN {fx.sql_edges_values()}
+    ON ((r.y1 > ev.value) <> (r.y2 > ev.value))
+   AND ((r.x2 - r.x1) * (ev.value - r.y1) - (CAST(ev.user_id AS DOUBLE) - r.x1) * (r.y2 - r.y1)) * (r.y2 - r.y1) > 0
+  GROUP BY ALL HAVING count(*) % 2 = 1) ins
+JOIN events ev ON ev.event_id = ins.event_id
+""")
+def stream_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incremental extraction (S3/S4 append): pixel files arrive as a file-source stream, are clipped to
+    the regions by the same bin join (stream–static) and appended to parquet; the sink is read back."""
+    from ..streaming import extract_stream
+    pts = fx.events_points(spark, sf_dir).withColumn("bands", F.array(F.col("y").cast("float")))
+    src = scratch_path(spark, "stream-src")
+    pts.repartition(4, "event_id").write.parquet(src)
+    out = scratch_path(spark, "stream-out")
+    schema = "event_id bigint, x double, y double, t timestamp_ntz, class string, bands array<float>"
+    q = extract_stream.start_extraction(spark, src, schema, fx.probe_regions(spark), 25.0, out, year=None)
+    q.awaitTermination(600)
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(out).select("event_id", "region_id", "class")
