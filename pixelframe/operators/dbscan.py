@@ -161,16 +161,18 @@ def connected_components(edges: DataFrame, vertices: DataFrame, max_iter: int =
     ensure_checkpoint_dir(spark)
     labels = vertices.select("id", F.col("id").alias("label")).checkpoint(eager=True)
     for _ in range(max_iter):
-        prop = edges.join(labels.withColumnRenamed("id", "a"), "a").select(F.col("b").alias("id"), "label")
-        hop = labels.unionByName(prop).groupBy("id").agg(F.min("label").alias("label"))
+        prop = edges.join(labels.withColumnRenamed("id", "a"), "a").select(
+            F.col("b").alias("id"), "label", F.lit(False).alias("_self"))
+        # the vertex's own (old) label rides along, so convergence needs no second join
+        hop = (labels.withColumn("_self", F.lit(True)).unionByName(prop).groupBy("id")
+               .agg(F.min("label").alias("label"), F.max(F.when(F.col("_self"), F.col("label"))).alias("_old")))
         parent = hop.select(F.col("id").alias("label"), F.col("label").alias("_pl"))
         new = (hop.join(parent, "label", "left")
-               .select("id", F.least(F.col("label"), F.coalesce("_pl", F.col("label"))).alias("label"))
+               .select("id", F.least(F.col("label"), F.coalesce("_pl", F.col("label"))).alias("label"), "_old")
                .checkpoint(eager=True))
-        changed = new.join(labels.withColumnRenamed("label", "_old"), "id").where(F.col("label") != F.col("_old"))
-        if changed.limit(1).count() == 0:
-            return new
-        labels = new
+        if new.where(F.col("label") != F.col("_old")).limit(1).count() == 0:
+            return new.drop("_old")
+        labels = new.drop("_old")
     raise RuntimeError("connected components did not converge")
 
 
@@ -180,8 +182,9 @@ def dbscan(df: DataFrame, id_col: str, features: str, eps: float = 0.5, min_samp
     pairs = neighbour_pairs(df, id_col, features, eps, n_dirs).checkpoint(eager=True)
     cores = core_points(df, id_col, features, eps, min_samples, pairs).checkpoint(eager=True)
     core_ids = cores.where("is_core").select("id")
+    # read in every propagation round: written once to the checkpoint folder
     core_edges = (pairs.join(core_ids.withColumnRenamed("id", "a"), "a")
-                  .join(core_ids.withColumnRenamed("id", "b"), "b").select("a", "b"))
+                  .join(core_ids.withColumnRenamed("id", "b"), "b").select("a", "b")).checkpoint(eager=True)
     comp = connected_components(core_edges, core_ids)
     # border points: smallest label among core neighbours
     border = (pairs.join(comp.withColumnRenamed("id", "b"), "b")
