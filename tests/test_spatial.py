@@ -106,3 +106,20 @@ def test_mosaic_and_sample_do_not_depend_on_partitioning(spark):
     s1 = G.sample_grids(cells, 25, seed=3).select("grid_id")
     s2 = G.sample_grids(cells.repartition(5), 25, seed=3).select("grid_id")
     assert s1.count() == 25 and s1.exceptAll(s2).count() == 0
+
+
+def test_spread_path_gives_the_same_rows(spark, monkeypatch):
+    """Force the spread layout (bins/cells repartitioned, edges broadcast) and compare with in-place."""
+    from pixelframe.operators import grid as G
+    pts = fx.events_points(spark, SF_MID)
+    regions = fx.probe_regions(spark)
+    cust = fx.customer_regions(spark, SF_MID)
+    inplace_join = {(r.event_id, r.region_id) for r in spatial.spatial_join(pts, regions, 5.0).collect()}
+    inplace_cells = G.grid_cells(cust, 5000.0, 500.0).select("grid_id")
+    inplace_ids = {r.grid_id for r in inplace_cells.collect()}
+    monkeypatch.setattr(spatial, "SPREAD_WORK_LIMIT", 0)
+    monkeypatch.setattr(G, "SPREAD_WORK_LIMIT", 0)
+    spread_join = {(r.event_id, r.region_id) for r in spatial.spatial_join(pts, regions, 5.0).collect()}
+    spread_ids = {r.grid_id for r in G.grid_cells(cust, 5000.0, 500.0).select("grid_id").collect()}
+    assert spread_join == inplace_join == _brute(pts.toPandas(), fx.PROBE_POLYGONS)
+    assert spread_ids == inplace_ids
