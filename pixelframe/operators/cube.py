@@ -50,9 +50,11 @@ def composite_max(df: DataFrame, keys: list[str], bands: str = "bands", n_bands:
     One hash aggregate with ``n_bands`` partial maxima: map-side combine, one shuffle on the pixel key.
     With a single time step the result is that step (max of one value), which covers P6's branch.
     """
-    clean = df.select(*keys, t, nan_to_null(bands).alias("_b"))
-    aggs = [F.max(F.col("_b")[i]).alias(f"_m{i}") for i in range(n_bands)]
-    out = clean.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_steps"), *aggs)
+    # NaN → NULL per element inside each aggregate: plain expressions, compiled with the aggregate
+    # (an array lambda would run interpreted over every band of every row)
+    b = F.col(bands)
+    aggs = [F.max(F.when(~F.isnan(b[i]), b[i])).alias(f"_m{i}") for i in range(n_bands)]
+    out = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_steps"), *aggs)
     return out.select(*keys, "n_steps", F.array(*[F.col(f"_m{i}") for i in range(n_bands)]).alias(bands))
 
 
