@@ -101,9 +101,20 @@ def all_missing(arr: Column | str) -> Column:
     return F.forall(_c(arr), lambda b: b.isNull() | F.isnan(b))
 
 
-def drop_missing(df: DataFrame, bands: str = "bands", also: list[str] | None = None) -> DataFrame:
-    """Drop rows with any missing band (P11 / D3); NULL array counts as missing."""
-    cond = _c(bands).isNotNull() & ~any_missing(bands)
+def drop_missing(df: DataFrame, bands: str = "bands", also: list[str] | None = None,
+                 n_bands: int | None = None) -> DataFrame:
+    """Drop rows with any missing band (P11 / D3); NULL array counts as missing.
+
+    With a known width ``n_bands`` the test is a flat compiled expression instead of an array lambda.
+    """
+    if n_bands:
+        b = _c(bands)
+        missing = F.lit(False)
+        for i in range(n_bands):
+            missing = missing | b[i].isNull() | F.isnan(b[i])
+        cond = b.isNotNull() & (F.size(b) == n_bands) & ~missing
+    else:
+        cond = _c(bands).isNotNull() & ~any_missing(bands)
     for c in also or []:
         cond = cond & F.col(c).isNotNull()
     return df.where(cond)

@@ -37,10 +37,13 @@ def principal_directions(df: DataFrame, features: str, n_dirs: int) -> list[list
 
 
 def _project(features: str, dirs: list[list[float]], eps: float):
+    """Cell index along each direction: ``floor(p·u / ε)`` as a flat compiled sum (width is known)."""
+    f = F.col(features)
     cols = []
     for j, u in enumerate(dirs):
-        dot = F.aggregate(F.zip_with(F.col(features), F.array(*[F.lit(v) for v in u]),
-                                     lambda a, b: a.cast("double") * b), F.lit(0.0), lambda acc, v: acc + v)
+        dot = F.lit(0.0)
+        for i, v in enumerate(u):
+            dot = dot + f[i].cast("double") * F.lit(float(v))
         cols.append(F.floor(dot / F.lit(float(eps))).alias(f"_c{j}"))
     return cols
 

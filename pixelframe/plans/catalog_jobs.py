@@ -54,7 +54,7 @@ WHERE NOT list_bool_or(list_transform(tp.embedding, lambda v: v IS NULL OR isnan
 def extract_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tiles → pixel rows → clip per region → drop missing → class 2."""
     out = jobs.extract_from_tiles(_embedding_tiles(spark, sf_dir).where(F.size("data") > 0),
-                                  fx.polygons_df(spark, fx.TILE_POLYGONS), bin_size=64.0, cls=2)
+                                  fx.polygons_df(spark, fx.TILE_POLYGONS), bin_size=64.0, cls=2, n_bands=64)
     return out.select("region_id", "tile_id", "row", "col", fx.band_sum("bands").alias("band_sum"), "class")
 
 

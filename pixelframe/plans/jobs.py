@@ -43,7 +43,8 @@ def extract_from_cube(regions: DataFrame, pixels: DataFrame, year: int | None, b
 
 
 def extract_from_tiles(tiles: DataFrame, regions: DataFrame, bin_size: float, cls: int | None = None,
-                       tile_keys: list[str] | None = None, region_cols: list[str] | None = None) -> DataFrame:
+                       tile_keys: list[str] | None = None, region_cols: list[str] | None = None,
+                       n_bands: int | None = None) -> DataFrame:
     """Tiles → pixel rows → clip to each region → drop missing → label.
 
     One scan of the tile table serves every region (the join shares it), as the reference's
@@ -51,7 +52,7 @@ def extract_from_tiles(tiles: DataFrame, regions: DataFrame, bin_size: float, cl
     """
     px = cube.unnest_tiles(tiles, keep=list(tile_keys or ["tile_id"]))
     clipped = spatial.spatial_join(px, regions, bin_size, how="inner", region_cols=region_cols)
-    return cube.add_class(cube.drop_missing(clipped, "bands"), cls)
+    return cube.add_class(cube.drop_missing(clipped, "bands", n_bands=n_bands), cls)
 
 
 @dataclass

@@ -87,3 +87,13 @@ def test_composite_skips_missing_and_respects_window(spark):
     assert out[2] == (1, [None, None, None])
     latest = {r.pixel: list(r.bands) for r in cube.latest_layer(cube.filter_dates(df, 2024), ["pixel"]).collect()}
     assert latest[1][0] == 3.0
+
+
+def test_drop_missing_flat_equals_lambda_form(spark):
+    from pixelframe.operators import cube
+    nan = float("nan")
+    rows = [(1, [1.0, 2.0, 3.0]), (2, [1.0, nan, 3.0]), (3, [1.0, None, 3.0]), (4, None), (5, [1.0, 2.0])]
+    df = spark.createDataFrame(rows, "id int, bands array<double>")
+    a = {r.id for r in cube.drop_missing(df.where("id <> 5"), "bands").collect()}
+    b = {r.id for r in cube.drop_missing(df, "bands", n_bands=3).collect()}
+    assert a == b == {1}
