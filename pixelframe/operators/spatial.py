@@ -154,6 +154,8 @@ def spatial_join(points: DataFrame, regions: DataFrame, bin_size: float, x: str
     """
     region_cols = list(region_cols or ["region_id"])
     pts = point_bins(points, bin_size, x, y)
+    if how == "mask":
+        return _mask_join(pts, regions, bin_size, region_cols, broadcast, x, y)
     rs = _region_side(regions, bin_size, region_cols, broadcast)
     rs = rs.select(*[F.col(c).alias(c) for c in region_cols],
                    F.col("minx").alias("_minx"), F.col("miny").alias("_miny"),
@@ -178,22 +180,30 @@ def spatial_join(points: DataFrame, regions: DataFrame, bin_size: float, x: str
     if how in ("semi", "anti"):
         out = pts.join(rs, key & in_box & inside, "left_semi" if how == "semi" else "left_anti")
         return out.drop("_bx", "_by")
-    if how == "mask":
-        # every point of the bounding box, whether or not a bin edge survives the filter
-        rs_all = region_bins(regions, bin_size, key_cols=region_cols).select(
-            *region_cols, F.col("minx").alias("_minx"), F.col("miny").alias("_miny"),
-            F.col("maxx").alias("_maxx"), F.col("maxy").alias("_maxy"),
-            F.col("_bx").alias("_rbx"), F.col("_by").alias("_rby"), "_full", "_edges")
-        rs_all = checked_broadcast(rs_all, F.size("_edges")) if broadcast is None else (
-            F.broadcast(rs_all) if broadcast else rs_all)
-        key = (pts["_bx"] == rs_all["_rbx"]) & (pts["_by"] == rs_all["_rby"])
-        in_box = px.between(rs_all["_minx"], rs_all["_maxx"]) & py.between(rs_all["_miny"], rs_all["_maxy"])
-        out = pts.join(rs_all, key & in_box, "inner").withColumn(
-            "_inside", F.col("_full") | point_in_polygon(F.col("_edges"), px, py))
-        return out.drop("_bx", "_by", "_rbx", "_rby", "_full", "_edges", "_minx", "_miny", "_maxx", "_maxy")
     raise ValueError(f"unknown how={how!r}")
 
 
+def _mask_join(pts: DataFrame, regions: DataFrame, bin_size: float, region_cols: list[str],
+               broadcast: bool | None, x: str, y: str) -> DataFrame:
+    px, py = F.col(x), F.col(y)
+    # every point of the bounding box, whether or not a bin edge survives the filter
+    st = region_stats(regions, bin_size)
+    rs_all = region_bins(regions, bin_size, key_cols=region_cols, spread=st["work"] > SPREAD_WORK_LIMIT).select(
+        *region_cols, F.col("minx").alias("_minx"), F.col("miny").alias("_miny"),
+        F.col("maxx").alias("_maxx"), F.col("maxy").alias("_maxy"),
+        F.col("_bx").alias("_rbx"), F.col("_by").alias("_rby"), "_full", "_edges")
+    if broadcast is None:
+        small = st["bins"] <= DEFAULT_BROADCAST_ROW_LIMIT and st["work"] <= DEFAULT_BROADCAST_EDGE_LIMIT
+        rs_all = F.broadcast(rs_all) if small else checked_broadcast(rs_all, F.size("_edges"))
+    elif broadcast:
+        rs_all = F.broadcast(rs_all)
+    key = (pts["_bx"] == rs_all["_rbx"]) & (pts["_by"] == rs_all["_rby"])
+    in_box = px.between(rs_all["_minx"], rs_all["_maxx"]) & py.between(rs_all["_miny"], rs_all["_maxy"])
+    out = pts.join(rs_all, key & in_box, "inner").withColumn(
+        "_inside", F.col("_full") | point_in_polygon(F.col("_edges"), px, py))
+    return out.drop("_bx", "_by", "_rbx", "_rby", "_full", "_edges", "_minx", "_miny", "_maxx", "_maxy")
+
+
 def clip(points: DataFrame, regions: DataFrame, bin_size: float, value_cols: list[str], x: str = "x",
          y: str = "y", drop: bool = True, region_cols: list[str] | None = None) -> DataFrame:
     """Clip to geometry (P4): ``drop=True`` keeps inside pixels; ``False`` keeps the bbox with values → NULL."""
