@@ -120,9 +120,15 @@ def drop_missing(df: DataFrame, bands: str = "bands", also: list[str] | None = N
     return df.where(cond)
 
 
-def fill_missing(df: DataFrame, bands: str = "bands", value: float = 0.0) -> DataFrame:
-    """Missing bands → ``value``."""
-    return df.withColumn(bands, F.transform(bands, lambda b: F.when(b.isNull() | F.isnan(b), F.lit(value).cast("float")).otherwise(b)))
+def fill_missing(df: DataFrame, bands: str = "bands", value: float = 0.0, n_bands: int | None = None) -> DataFrame:
+    """Missing bands → ``value`` (D7); with a known width a flat compiled expression, else an array lambda."""
+    elem = df.schema[bands].dataType.elementType
+    fill = F.lit(value).cast(elem)
+    if n_bands:
+        b = F.col(bands)
+        filled = F.array(*[F.when(b[i].isNull() | F.isnan(b[i]), fill).otherwise(b[i]) for i in range(n_bands)])
+        return df.withColumn(bands, F.when(b.isNull() | (F.size(b) != n_bands), b).otherwise(filled))
+    return df.withColumn(bands, F.transform(bands, lambda x: F.when(x.isNull() | F.isnan(x), fill).otherwise(x)))
 
 
 def add_class(df: DataFrame, cls: int | None, name: str = "class") -> DataFrame:

@@ -118,10 +118,10 @@ def prepare_training(df: DataFrame, id_cols: list[str], features: str = "feature
     if reference_order:
         out = add_bg(out)
         if downsample:
-            out = cube.fill_missing(balance_classes(out, id_cols, label, seed), features)
+            out = cube.fill_missing(balance_classes(out, id_cols, label, seed), features, n_bands=nf)
         return out
     if downsample:
-        out = cube.fill_missing(balance_classes(out, id_cols, label, seed), features)
+        out = cube.fill_missing(balance_classes(out, id_cols, label, seed), features, n_bands=nf)
     return add_bg(out)
 
 

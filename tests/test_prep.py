@@ -97,3 +97,12 @@ def test_drop_missing_flat_equals_lambda_form(spark):
     a = {r.id for r in cube.drop_missing(df.where("id <> 5"), "bands").collect()}
     b = {r.id for r in cube.drop_missing(df, "bands", n_bands=3).collect()}
     assert a == b == {1}
+
+
+def test_fill_missing_flat_equals_lambda_form(spark):
+    from pixelframe.operators import cube
+    nan = float("nan")
+    df = spark.createDataFrame([(1, [1.0, nan, None]), (2, [nan, 2.0, 3.0]), (3, None)], "id int, bands array<float>")
+    a = sorted((r.id, r.bands) for r in cube.fill_missing(df, "bands").collect())
+    b = sorted((r.id, r.bands) for r in cube.fill_missing(df, "bands", n_bands=3).collect())
+    assert a == b and a[0][1] == [1.0, 0.0, 0.0]
