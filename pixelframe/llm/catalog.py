@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, mixing, orc_tokens, quality, simhash
+from . import bpe, html_main, langid, mixing, orc_tokens, order_minhash, quality, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,3 +55,14 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.scored(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@register("op6_main_text")
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_main.extract_pages(pages, html_main.learn(pages))
+
+
+@register("op9_order_minhash")
+def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.compare_with_edited(table(spark, sf_dir, "documents"))
