@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, html_main, langid, mixing, orc_tokens, order_minhash, quality, simhash
+from . import bpe, html_main, langid, mixing, orc_tokens, order_minhash, pii, quality, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,8 @@ def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_order_minhash")
 def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.compare_with_edited(table(spark, sf_dir, "documents"))
+
+
+@register("op2_personal_data")
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(pii.find(table(spark, sf_dir, "documents")))
