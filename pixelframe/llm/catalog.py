@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, html_main, langid, mixing, orc_tokens, order_minhash, pii, quality, simhash
+from . import ann, bpe, html_main, langid, mixing, orc_tokens, order_minhash, pii, quality, simhash
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,11 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+@register("op1_neighbours")
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
 @register("op5_orc_tokens")
 def op5_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orc_tokens.write_and_digest(table(spark, sf_dir, "documents"),

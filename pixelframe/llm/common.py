@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +16,15 @@ from ..session import scratch_path
 BATCH_ROWS = 256
 
 
+#: White space as Unicode names it, for a character class.
+_WS = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+#: Units of a text for the byte-level split: they end only where a piece of that split ends as well, which is
+#: before white space, after a white-space run less its last character, and between a run of letters and
+#: the punctuation after it.  So a text's ids are those of its units in order.
+UNIT = re.compile(rf" ?[{_LETTERS}]++(?=[{_WS}.,!?;:|*%$&#]|\Z)| ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -68,3 +79,24 @@ def connected_components(edges: DataFrame) -> DataFrame:
             return (new.select(F.col("a").alias("id"), F.col("b").alias("label"))
                     .unionByName(new.select(F.col("b").alias("id"), F.col("b").alias("label"))).distinct())
         edges = new
+
+
+def complete_runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
+    """Batches of a stream that is sorted by ``key`` (not null), cut anew so that no key goes on in the next one."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        k = b.column(key).to_numpy(zero_copy_only=False)
+        other = np.flatnonzero(k != k[-1])
+        cut = int(other[-1]) + 1 if len(other) else 0
+        if cut:
+            held.append(b.slice(0, cut))
+        elif held and held[-1].column(key)[-1].as_py() != k[0]:
+            cut = -1  # the held run ends here, the whole batch is the next one
+        if cut:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held = []
+        held.append(b.slice(max(cut, 0)))
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]

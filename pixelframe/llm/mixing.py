@@ -6,13 +6,19 @@ bounded size, and each shard takes its blocks from its documents in a seeded ord
 
 from __future__ import annotations
 
+import re
+from itertools import islice
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 from .common import materialize_table
 
 #: ASCII white space separates words.
 WORD = r"[^\x20\x09-\x0D]+"
+_WORD = re.compile(WORD)
 
 
 def seeded(*parts: Column | str) -> Column:
@@ -76,12 +82,12 @@ def apportion(parties: DataFrame, votes: str, seats: str, order: str, by: list[s
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_repeat: int = 3, block_words: int = 32,
-        shard_words: int = 1 << 22, seed: str = "mix") -> DataFrame:
+        shard_words: int = 1 << 22, seed: str = "mix", carry: tuple[str, ...] = ()) -> DataFrame:
     """What a mix of the sources takes of each row of ``docs (doc_id, source, text)``.
 
     Returns ``doc_id, source, size, source_size, target, taken`` and the pieces taken: ``passes`` whole
     copies, words ``[cut_from, cut_to)`` and words ``[0, wrap_to)``.  ``taken`` is at most
-    ``max_repeat * size``.
+    ``max_repeat * size``.  Columns named in ``carry`` come along (under names of none of these).
 
     A source is cut into shards of about ``shard_words`` words by a seeded hash of the id, so a source
     with a third of all rows spreads over many tasks.  A shard's documents in seeded order form one
@@ -93,7 +99,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_repeat: int =
     """
     sizes = materialize_table(docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"),
-        F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("bigint").alias("size")), "mix-sizes")
+        F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("bigint").alias("size"), *carry), "mix-sizes")
     src = targets(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), weights, max_repeat)
     total = Window.partitionBy()
     src = src.withColumn("_seats", F.floor(F.sum("source_size").over(total) / block_words + 0.5)).withColumn("_all", F.lit(0))
@@ -130,7 +136,33 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_repeat: int =
         (F.col("passes") * F.col("size") + F.col("cut_to") - F.col("cut_from") + F.col("wrap_to"))
         .cast("bigint").alias("taken"),
         F.col("passes").cast("bigint").alias("passes"), F.col("cut_from").cast("bigint").alias("cut_from"),
-        F.col("cut_to").cast("bigint").alias("cut_to"), F.col("wrap_to").cast("bigint").alias("wrap_to"))
+        F.col("cut_to").cast("bigint").alias("cut_to"), F.col("wrap_to").cast("bigint").alias("wrap_to"), *carry)
+
+
+def mixed(docs: DataFrame, **parameters) -> DataFrame:
+    """The mix itself: a row with the columns of ``docs`` for each piece taken, ``text`` cut to its words and
+    ``n_chars`` counted anew.  Rows of which nothing is taken are gone; whole copies keep their text as it is.
+
+    ``docs`` is a stored table: its rows are numbered by their place in it, so that repeated rows stay apart.
+    """
+    rows = docs.withColumn("_row", F.monotonically_increasing_id())
+    plan = mix(rows, carry=("_row",), **parameters).where("taken > 0")
+    piece = lambda a, b: F.struct(F.col(a).alias("a") if a else F.lit(0).cast("bigint").alias("a"), F.col(b).alias("b"))
+    pieces = F.concat(F.array_repeat(piece(None, "size"), F.col("passes").cast("int")),
+                      F.filter(F.array(piece("cut_from", "cut_to"), piece(None, "wrap_to")), lambda p: p["b"] > p["a"]))
+    plan = plan.select("_row", F.col("size").alias("_size"), F.explode(pieces).alias("_p"))
+
+    @pandas_udf("string")
+    def cut(text: pd.Series, a: pd.Series, b: pd.Series, size: pd.Series) -> pd.Series:
+        def one(t, i, j, n):
+            if i == 0 and j == n:
+                return t
+            found = list(islice(_WORD.finditer(t), int(i), int(j)))
+            return t[found[0].start():found[-1].end()]
+        return pd.Series([one(*x) for x in zip(text, a, b, size)], dtype=object)
+
+    out = rows.join(plan, "_row").withColumn("text", cut("text", "_p.a", "_p.b", "_size"))
+    return out.withColumn("n_chars", F.char_length("text").cast("bigint")).select(*docs.columns)
 
 
 #: The same mix in DuckDB SQL, with the default parameters.

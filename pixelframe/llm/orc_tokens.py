@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -13,14 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import small_batches, texts
-
-#: White space as Unicode names it, for a character class.
-_WS = "\t-\r \x85\xa0  -     　"
-#: Units end only where the byte-level split ends a piece as well: before white space, after a white-space
-#: run less its last character, and between a run of letters and the punctuation after it.
-_UNIT = re.compile(
-    rf" ?[A-Za-zÀ-ÖØ-öø-ÿ]++(?=[{_WS}.,!?;:|*%$&#]|\Z)| ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]", re.U)
+from .common import UNIT, small_batches, texts
 
 FILE_SCHEMA = "doc_id long, part int, part_start long, n_tokens long, ids array<int>"
 _ARROW_FILE = pa.schema([("doc_id", pa.int64()), ("part", pa.int32()), ("part_start", pa.int64()),
@@ -64,7 +56,7 @@ class UnitEncoder:
         """All ids of the batch, and how many each text has."""
         if len(self.number) > self.keep:
             self._reset()
-        units = [_UNIT.findall(t) for t in batch]
+        units = [UNIT.findall(t) for t in batch]
         known = self.number
         if missing := {u for us in units for u in us if u not in known}:
             self._learn(missing)
