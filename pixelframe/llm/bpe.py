@@ -1,8 +1,9 @@
 """Byte-level BPE over a shuffle of distinct words.
 
-Documents are cut into pre-tokens.  A task numbers the distinct words of a block of documents and notes the
-positions of each; the words then meet by bucket, where each distinct word is encoded once; the ids go back
-to the block with the positions, which puts the documents together again.
+Documents are cut into words: runs that end where a pre-token ends (mostly one pre-token each).  A task
+numbers the distinct words of a block of documents and notes the positions of each; the words then meet by
+bucket, where each distinct word is encoded once, pre-token by pre-token; the ids go back to the block with
+the positions, which puts the documents together again.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, texts
+from .common import UNIT, small_batches, texts
 
 #: A word that occurs more often than this in a block meets its like by a salted bucket.
 HOT = 20_000
@@ -54,7 +55,7 @@ def ranks_of(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
-def block_words(docs: DataFrame, pattern: str, buckets: int, block_chars: int) -> DataFrame:
+def block_words(docs: DataFrame, buckets: int, block_chars: int) -> DataFrame:
     """Rows per block and bucket: the block's distinct words there, and where each one stands.
 
     One more row per block lists its documents and how many words each has.
@@ -67,11 +68,12 @@ def block_words(docs: DataFrame, pattern: str, buckets: int, block_chars: int) -
         seq = np.concatenate([*seqs, np.zeros(0, np.int32)])
         if not len(seq):
             return
-        places = np.argsort(seq, kind="stable").astype(np.int64)
+        places = np.argsort(seq, kind="stable").astype(np.int32)
         counts = np.bincount(seq, minlength=len(number))
         starts = np.cumsum(counts) - counts
-        gaps = np.diff(places, prepend=0)
+        gaps = np.diff(places, prepend=np.int32(0))
         gaps[starts] = places[starts]
+        del seq, places
         raw = [w.encode() for w in number]
         where = np.array([zlib.crc32(w) for w in raw], np.int64)
         where = (where + np.where(counts > HOT, zlib.crc32(b"%d" % block), 0)) % buckets
@@ -88,8 +90,7 @@ def block_words(docs: DataFrame, pattern: str, buckets: int, block_chars: int) -
     schema = pa.schema([("bucket", pa.int32()), ("block", pa.int64()), *((n, pa.binary()) for n in names[2:])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import regex
-        find, part, k = regex.compile(pattern).findall, TaskContext.get().partitionId(), 0
+        find, part, k = UNIT.findall, TaskContext.get().partitionId(), 0
         doc_ids, seqs, number, chars = [], [], _Numbers(), 0
 
         def flush():
@@ -113,19 +114,18 @@ def block_words(docs: DataFrame, pattern: str, buckets: int, block_chars: int) -
 _ENCODINGS: dict[str, object] = {}
 
 
-def encode_words(rows: DataFrame, ranks_file: bytes) -> DataFrame:
+def encode_words(rows: DataFrame, ranks_file: bytes, pattern: str) -> DataFrame:
     """Each bucket's distinct words encoded once, in whatever block they stand; the positions ride along."""
     shared = rows.sparkSession.sparkContext.broadcast(ranks_file)  # a vocabulary: it does not grow with the data
     names = [c.split()[0] for c in IDS_SCHEMA.split(", ")]
     schema = pa.schema([("block", pa.int64()), *((n, pa.binary()) for n in names[1:])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = hashlib.md5(shared.value).hexdigest()
+        key = hashlib.md5(shared.value + pattern.encode()).hexdigest()
         if key not in _ENCODINGS:
             import tiktoken
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, shared.value.splitlines())}
-            # a word is one piece as a whole
-            _ENCODINGS[key] = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+            _ENCODINGS[key] = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         encode, bucket, known = _ENCODINGS[key].encode_ordinary, None, {}
         for batch in batches:
             for r in batch.to_pylist():
@@ -157,7 +157,7 @@ def reassemble(rows: DataFrame) -> DataFrame:
         doc_ids = pa.array(_unpack(head["doc_ids"]).view(np.int64), mask=_unpack(head["doc_nulls"]).astype(bool))
         words = _unpack(head["doc_words"]).astype(np.int64)
         total = int(words.sum())
-        size, first = np.zeros(total, np.int32), np.zeros(total, np.int64)
+        size, first = np.zeros(total, np.int32), np.zeros(total, np.int32)
         tables, at = [], 0
         for p in parts:
             if p["ids"] is None:
@@ -178,7 +178,7 @@ def reassemble(rows: DataFrame) -> DataFrame:
             a, b = int(ends[i] - words[i]), int(ends[j - 1])
             n = size[a:b].astype(np.int64)
             up = np.concatenate([[0], np.cumsum(n)])
-            ids = flat[np.repeat(first[a:b] - up[:-1], n) + np.arange(up[-1])]
+            ids = flat[np.repeat(first[a:b].astype(np.int64) - up[:-1], n) + np.arange(up[-1])]
             offsets = up[np.concatenate([[a], ends[i:j]]) - a].astype(np.int32)
             yield pa.RecordBatch.from_arrays([doc_ids.slice(i, j - i), pa.ListArray.from_arrays(
                 pa.array(offsets), pa.array(ids))], names=["doc_id", "ids"])
@@ -192,7 +192,8 @@ def reassemble(rows: DataFrame) -> DataFrame:
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, block_chars: int = 32 << 20) -> DataFrame:
-    """``doc_id, ids`` for every row of ``docs (doc_id, text)``: the ranks' ids of each match of ``pattern``.
+    """``doc_id, ids`` for every row of ``docs (doc_id, text)``: the ranks' ids of each match of ``pattern``,
+    one of the byte-level patterns that keep letters, digits, other signs and white space apart.
 
     Null text: empty, no ids.  Repeated rows: a row each.  Rows without id keep their null.  Empty table:
     no rows.  A document is never cut; a block is at least one document.
@@ -200,41 +201,61 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, block_chars: int = 32
     with open(ranks_path, "rb") as f:
         ranks_file = f.read()
     buckets = max(64, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return reassemble(encode_words(block_words(docs, pattern, buckets, block_chars), ranks_file))
+    return reassemble(encode_words(block_words(docs, buckets, block_chars), ranks_file, pattern))
+
+
+class ByteTable:
+    """The bytes of every token, end to end."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        by_id = [b""] * (max(ranks.values(), default=0) + 1)
+        for raw, i in ranks.items():
+            by_id[i] = raw
+        self.size = np.array([len(x) for x in by_id], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.flat = np.frombuffer(b"".join(by_id), np.uint8)
+
+    def join(self, ids: np.ndarray) -> bytes:
+        n = self.size[ids]
+        up = np.cumsum(n)
+        return self.flat[np.repeat(self.start[ids] - (up - n), n) + np.arange(int(n.sum()))].tobytes()
+
+
+def _documents(b: pa.RecordBatch) -> Iterator[np.ndarray]:
+    ids = b.column("ids")
+    flat, off = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
+    return (flat[i:j] for i, j in zip(off[:-1], off[1:]))
 
 
 def decode(tokens: DataFrame, ranks_path: str) -> DataFrame:
-    """Adds ``decoded`` (binary): the token-byte table, a broadcast of the vocabulary, joined by id in order."""
-    ranks = ranks_of(ranks_path)
-    table: list[bytes] = [b""] * (max(ranks.values()) + 1)
-    for raw, i in ranks.items():
-        table[i] = raw
-    shared = tokens.sparkSession.sparkContext.broadcast(table)
+    """``doc_id, decoded`` (binary): the token-byte table, as large as the vocabulary, joined by id in order."""
+    shared = tokens.sparkSession.sparkContext.broadcast(ByteTable(ranks_of(ranks_path)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = shared.value.__getitem__
         for b in small_batches(batches):
-            out = [b"".join(map(get, ids)) for ids in b.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("ids"), pa.array(out, pa.binary())],
-                                             names=["doc_id", "ids", "decoded"])
+            out = [shared.value.join(x) for x in _documents(b)]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(out, pa.binary())], names=["doc_id", "decoded"])
+
+    return tokens.select("doc_id", "ids").mapInArrow(run, "doc_id long, decoded binary")
 
-    return tokens.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
 
+def digests(tokens: DataFrame, ranks_path: str, keep_ids: bool = False) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of ``tokens (doc_id, ids)`` and the bytes they decode to;
+    ``keep_ids``: and ``ids``."""
+    shared = tokens.sparkSession.sparkContext.broadcast(ByteTable(ranks_of(ranks_path)))
+    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()),
+                        ("decoded_sha256", pa.string())] + [("ids", pa.list_(pa.int32()))] * keep_ids)
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of what :func:`decode` returns."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches):
-            ids = b.column("ids")
-            flat, off = ids.values.to_numpy(zero_copy_only=False).astype("<u4"), ids.offsets.to_numpy()
-            sha = [hashlib.sha256(flat[i:j].tobytes()).hexdigest() for i, j in zip(off[:-1], off[1:])]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(np.diff(off).astype(np.int64)),
-                                              pa.array(sha), b.column("decoded")],
-                                             names=["doc_id", "n_tokens", "ids_sha256", "decoded"])
+            rows = [(len(x), hashlib.sha256(x.astype("<u4").tobytes()).hexdigest(),
+                     hashlib.sha256(shared.value.join(x)).hexdigest()) for x in _documents(b)]
+            columns = [pa.array([r[k] for r in rows], f.type) for k, f in enumerate(list(schema)[1:4])]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *columns, *[b.column("ids")] * keep_ids], schema=schema)
 
-    out = decoded.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded binary")
-    return out.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    return tokens.select("doc_id", "ids").mapInArrow(
+        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids)
 
 
-def round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    return digests(decode(encode(docs, ranks_path, pattern), ranks_path))
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, keep_ids: bool = False) -> DataFrame:
+    return digests(encode(docs, ranks_path, pattern), ranks_path, keep_ids)

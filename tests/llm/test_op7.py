@@ -41,7 +41,22 @@ def test_small_blocks_and_salted_words_change_nothing(spark, odd_docs, monkeypat
     monkeypatch.setattr(bpe, "HOT", 3)
     tokens = bpe.encode(odd_docs, PATH, P.PATTERN, block_chars=40)
     rows = odd_docs.select("doc_id", "text").collect()
-    assert plain(bpe.digests(bpe.decode(tokens, PATH)).collect()) == brute(rows)
+    assert plain(bpe.digests(tokens, PATH).collect()) == brute(rows)
+    decoded = bpe.decode(tokens, PATH).collect()
+    assert sorted((r["doc_id"] or -1, bytes(r["decoded"]).decode()) for r in decoded) == sorted((i or -1, t or "") for i, t in rows)
+
+
+def test_units_end_where_pieces_end():
+    import regex
+    import random
+    from pixelframe.llm.common import UNIT
+    split = regex.compile(P.PATTERN).findall
+    signs = "aZé\u01c5\u0436\u65e5 1\u00b2'.!,*_- \t\n\r\x0b\x1c\x85\xa0\u1680\u2003\u2028\u202f\u205f\u3000\u200b\u0301\U0001f600s'"
+    rnd = random.Random(7)
+    for _ in range(20000):
+        t = "".join(rnd.choice(signs) for _ in range(rnd.randint(0, 12)))
+        units = UNIT.findall(t)
+        assert "".join(units) == t and [p for u in units for p in split(u)] == split(t), t
 
 
 def test_empty_table(spark, odd_docs):  # noqa: F811
