@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,3 +77,8 @@ def op9_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op2_personal_data")
 def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(pii.find(table(spark, sf_dir, "documents")))
+
+
+@register("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
