@@ -38,20 +38,32 @@ def filter_dates(df: DataFrame, year: int, t: str = "t") -> DataFrame:
     return between_times(df, t, start, end)
 
 
-def nan_to_null(arr: Column | str) -> Column:
-    """NaN → NULL inside a band array: Spark's ``max`` ranks NaN highest, a missing value must be skipped."""
-    return F.transform(_c(arr), lambda b: F.when(~F.isnan(b), b))
+def array_width(df: DataFrame, arr: str) -> int:
+    """Width of the first array that is not NULL (0: none); what reads it must check the others."""
+    row = df.where(F.col(arr).isNotNull()).select(F.size(arr).alias("n")).first()
+    return int(row["n"]) if row else 0
 
 
-def composite_max(df: DataFrame, keys: list[str], bands: str = "bands", n_bands: int = 64,
+def of_width(arr: Column | str, n: int) -> Column:
+    """The array, NULL included; one of another width than ``n`` raises, it is never cut or padded."""
+    a = _c(arr)
+    wrong = F.concat(F.lit(f"array of width {n} expected, found "), F.size(a).cast("string"))
+    return F.when(a.isNull() | (F.size(a) == n), a).otherwise(F.raise_error(wrong))
+
+
+def composite_max(df: DataFrame, keys: list[str], bands: str = "bands", n_bands: int | None = None,
                   t: str = "t") -> DataFrame:
     """Per-pixel, per-band maximum over time, missing skipped (P5).
 
+    The width is ``n_bands`` or that of the first array; rows of another width raise.
+
     One hash aggregate with ``n_bands`` partial maxima: map-side combine, one shuffle on the pixel key.
     With a single time step the result is that step (max of one value), which covers P6's branch.
     """
     # NaN → NULL per element inside each aggregate: plain expressions, compiled with the aggregate
     # (an array lambda would run interpreted over every band of every row)
+    n_bands = n_bands or array_width(df, bands)
+    df = df.withColumn(bands, of_width(bands, n_bands))
     b = F.col(bands)
     aggs = [F.max(F.when(~F.isnan(b[i]), b[i])).alias(f"_m{i}") for i in range(n_bands)]
     out = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_steps"), *aggs)
@@ -65,12 +77,12 @@ def latest_layer(df: DataFrame, keys: list[str], bands: str = "bands", t: str =
     return df.groupBy(*keys).agg(F.max_by(F.col(bands), order).alias(bands), F.max(t).alias(t))
 
 
-def composite(df: DataFrame, keys: list[str], bands: str = "bands", n_bands: int = 64, t: str = "t",
-              how: str = "max") -> DataFrame:
+def composite(df: DataFrame, keys: list[str], bands: str = "bands", n_bands: int | None = None,
+              t: str = "t", how: str = "max", tie: str | None = None) -> DataFrame:
     if how == "max":
         return composite_max(df, keys, bands, n_bands, t)
     if how == "latest":
-        return latest_layer(df, keys, bands, t)
+        return latest_layer(df, keys, bands, t, tie)
     raise ValueError("how must be 'max' or 'latest'")
 
 
@@ -105,30 +117,34 @@ def drop_missing(df: DataFrame, bands: str = "bands", also: list[str] | None = N
                  n_bands: int | None = None) -> DataFrame:
     """Drop rows with any missing band (P11 / D3); NULL array counts as missing.
 
-    With a known width ``n_bands`` the test is a flat compiled expression instead of an array lambda.
+    Arrays of the usual width ``n_bands`` are tested by a flat compiled expression instead of an array
+    lambda; arrays of any other width take the lambda, so the result is the same either way.
     """
+    b = _c(bands)
+    whole = b.isNotNull() & ~any_missing(bands)
     if n_bands:
-        b = _c(bands)
         missing = F.lit(False)
         for i in range(n_bands):
             missing = missing | b[i].isNull() | F.isnan(b[i])
-        cond = b.isNotNull() & (F.size(b) == n_bands) & ~missing
+        cond = F.when(F.size(b) == n_bands, ~missing).otherwise(whole)
     else:
-        cond = _c(bands).isNotNull() & ~any_missing(bands)
+        cond = whole
     for c in also or []:
         cond = cond & F.col(c).isNotNull()
     return df.where(cond)
 
 
 def fill_missing(df: DataFrame, bands: str = "bands", value: float = 0.0, n_bands: int | None = None) -> DataFrame:
-    """Missing bands → ``value`` (D7); with a known width a flat compiled expression, else an array lambda."""
+    """Missing bands → ``value`` (D7); arrays of the width ``n_bands`` by a flat compiled expression, others by
+    an array lambda.  A NULL array stays NULL."""
     elem = df.schema[bands].dataType.elementType
     fill = F.lit(value).cast(elem)
+    each = F.transform(bands, lambda x: F.when(x.isNull() | F.isnan(x), fill).otherwise(x))
     if n_bands:
         b = F.col(bands)
         filled = F.array(*[F.when(b[i].isNull() | F.isnan(b[i]), fill).otherwise(b[i]) for i in range(n_bands)])
-        return df.withColumn(bands, F.when(b.isNull() | (F.size(b) != n_bands), b).otherwise(filled))
-    return df.withColumn(bands, F.transform(bands, lambda x: F.when(x.isNull() | F.isnan(x), fill).otherwise(x)))
+        each = F.when(F.size(b) == n_bands, filled).otherwise(each)
+    return df.withColumn(bands, each)
 
 
 def add_class(df: DataFrame, cls: int | None, name: str = "class") -> DataFrame:
@@ -146,7 +162,3 @@ def rename_dims(df: DataFrame) -> DataFrame:
     mapping = {k: v for k, v in (("X", "x"), ("Y", "y")) if k in df.columns}
     return df.withColumnsRenamed(mapping) if mapping else df
 
-
-def with_affine(df: DataFrame, srid: int, affine: list[float]) -> DataFrame:
-    """Attach CRS and affine transform as literal columns."""
-    return df.withColumn("srid", F.lit(int(srid))).withColumn("affine", F.array(*[F.lit(float(v)) for v in affine]))

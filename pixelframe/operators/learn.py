@@ -1,9 +1,10 @@
 """Model stages (M1–M4, S12) as MLlib pipelines over an array feature column.
 
-The pipeline starts with a ``SQLTransformer`` that spreads ``features[i]`` into columns and a
-``VectorAssembler`` — both persistable — so a saved model takes the same feature table the dataset
-operators produce.  Training and prediction are distributed MLlib jobs; nothing is collected except
-the (small) fitted model and, for the nearest-centre model, its k centres.
+The pipeline starts with a ``SQLTransformer`` that takes the column ``_in`` apart and a
+``VectorAssembler`` — both persistable — so a saved model is independent of the names of its input:
+:func:`predict` copies any array column (``features``, ``bands``) to ``_in``, and no label is needed.
+Training and prediction are distributed MLlib jobs; nothing is collected except the (small) fitted
+model and, for the nearest-centre model, its k centres.
 """
 
 from __future__ import annotations
@@ -17,54 +18,73 @@ from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .cube import any_missing, array_width, of_width
 
-def _feature_stages(n_features: int, features: str = "features") -> list:
-    cols = ", ".join(f"CAST({features}[{i}] AS DOUBLE) AS _f{i}" for i in range(n_features))
+# Partitions of a training input.  MLlib bags per partition, so the layout belongs to the model: it is a
+# parameter, never the number of cores or of input files.
+TRAIN_PARTITIONS = 16
+
+
+def _feature_stages(n_features: int) -> list:
+    cols = ", ".join(f"CAST(_in[{i}] AS DOUBLE) AS _f{i}" for i in range(n_features))
     spread = SQLTransformer(statement=f"SELECT *, {cols} FROM __THIS__")
     assemble = VectorAssembler(inputCols=[f"_f{i}" for i in range(n_features)], outputCol="_fv", handleInvalid="keep")
     return [spread, assemble]
 
 
-def _drop_helpers(df: DataFrame) -> DataFrame:
-    return df.drop(*[c for c in df.columns if c.startswith("_f")], "rawPrediction", "probability")
-
-
-def _spread(df: DataFrame, id_col: str | None) -> DataFrame:
-    """Give a small training input one partition per core (hash on the row id, so the layout — and with
-    it MLlib's per-partition bagging — is the same on every run); large inputs are left as they are."""
+def _training_input(df: DataFrame, n_features: int, features: str, id_col: str | None, partitions: int,
+                    *keep: Column) -> DataFrame:
+    """``_in`` and ``keep``, dealt by a hash of the id and sorted by it: the same model for any layout of ``df``."""
+    cols = [of_width(features, n_features).alias("_in"), *keep]
     if not id_col or id_col not in df.columns:
-        return df
-    par = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(par, id_col) if df.rdd.getNumPartitions() < par else df
+        return df.select(*cols)
+    return (df.select(F.col(id_col).alias("_id"), *cols).repartition(partitions, "_id")
+            .sortWithinPartitions("_id").drop("_id"))
 
 
 def fit_random_forest(train: DataFrame, n_features: int, features: str = "features", label: str = "class_",
                       num_trees: int = 100, max_depth: int = 15, seed: int = 42,
-                      id_col: str | None = "pixel_id") -> PipelineModel:
+                      id_col: str | None = "pixel_id", partitions: int = TRAIN_PARTITIONS) -> PipelineModel:
     """Random forest (M1): ``numTrees`` from config (100), explicit depth, seeded.
 
     Node ids are cached between levels (``cacheNodeIds``), which avoids re-walking every tree per level.
+    The result depends on the rows, the seed and ``partitions`` only.
     """
-    train = _spread(train, id_col)
+    train = _training_input(train, n_features, features, id_col, partitions, F.col(label).cast("double").alias("_label"))
     rf = RandomForestClassifier(featuresCol="_fv", labelCol="_label", predictionCol="prediction",
                                 numTrees=num_trees, maxDepth=max_depth, seed=seed, cacheNodeIds=True)
-    label_cast = SQLTransformer(statement=f"SELECT *, CAST({label} AS DOUBLE) AS _label FROM __THIS__")
-    return Pipeline(stages=[*_feature_stages(n_features, features), label_cast, rf]).fit(train)
+    return Pipeline(stages=[*_feature_stages(n_features), rf]).fit(train)
 
 
 def fit_kmeans(train: DataFrame, n_features: int, k: int, features: str = "features", seed: int = 42,
-               max_iter: int = 20, id_col: str | None = "pixel_id") -> PipelineModel:
+               max_iter: int = 20, id_col: str | None = "pixel_id",
+               partitions: int = TRAIN_PARTITIONS) -> PipelineModel:
     """K-means (M3); the target column, if any, is ignored."""
-    train = _spread(train, id_col)
+    train = _training_input(train, n_features, features, id_col, partitions)
     km = KMeans(featuresCol="_fv", predictionCol="prediction", k=k, seed=seed, maxIter=max_iter)
-    return Pipeline(stages=[*_feature_stages(n_features, features), km]).fit(train)
+    return Pipeline(stages=[*_feature_stages(n_features), km]).fit(train)
+
+
+def predict(model: PipelineModel, df: DataFrame, out: str = "pred", features: str = "features",
+            on_missing: int | None = None) -> DataFrame:
+    """Apply a fitted model (M2/M4) to the array column ``features``; every input column is kept, ``out`` is an
+    int class.
+
+    A row whose array is NULL or has a missing band is not given to the model: its class is ``on_missing``
+    (NULL, or the background class).  No label column is needed.
+    """
+    width = sum(c.startswith("_f") for c in model.stages[1].getInputCols())
+    usable = F.col(features).isNotNull() & ~any_missing(features)
+    zeros = F.array_repeat(F.lit(0.0), width).cast(df.schema[features].dataType)
+    res = model.transform(df.withColumn("_in", F.when(usable, of_width(features, width)).otherwise(zeros)))
+    res = res.withColumn(out, F.when(usable, F.col("prediction").cast("int")).otherwise(F.lit(on_missing).cast("int")))
+    return res.select(*[c for c in df.columns if c != out], out)
 
 
-def predict(model: PipelineModel, df: DataFrame, out: str = "pred") -> DataFrame:
-    """Apply a fitted model (M2/M4); every input column is kept, ``out`` is an int class."""
-    res = model.transform(df)
-    res = res.withColumn(out, F.col("prediction").cast("int")).drop("prediction", "_label")
-    return _drop_helpers(res.drop("_fv"))
+def majority_labels(pred: DataFrame, cluster: str = "cluster", label: str = "class_") -> DataFrame:
+    """``cluster, label``: the most frequent label of each cluster, ties to the smaller one (K-means report)."""
+    n = pred.where(F.col(label).isNotNull()).groupBy(cluster, label).agg(F.count(F.lit(1)).alias("_n"))
+    return n.groupBy(cluster).agg(F.min_by(label, F.struct(-F.col("_n"), F.col(label))).alias(label))
 
 
 def save_model(model: PipelineModel, path: str) -> None:
@@ -106,13 +126,20 @@ def nearest_centre(df: DataFrame, centres: list[tuple[int, list[float]]], featur
         if len(s) == 0:
             return pd.Series([], dtype="int64")
         x = np.stack(s.to_numpy()).astype(np.float64)
-        d = ((x[:, None, :] - cmat[None, :, :]) ** 2).sum(-1)
-        return pd.Series(ids[d.argmin(1)])  # argmin keeps the first (lowest id) on ties
+        best, near = np.full(len(x), np.inf), np.zeros(len(x), np.int64)
+        for c, i in zip(cmat, ids):  # one centre at a time: memory does not grow with their number
+            d = ((x - c) ** 2).sum(-1)
+            near[d < best] = i  # the first (lowest id) stays on ties
+            best = np.minimum(best, d)
+        return pd.Series(near)
 
     return df.withColumn(out, _nearest(F.col(features)))
 
 
-def take_centres(df: DataFrame, k: int, id_col: str, features: str) -> list[tuple[int, list[float]]]:
-    """First ``k`` rows by id as centres — a top-k, only k rows reach the driver."""
-    rows = df.select(id_col, features).orderBy(id_col).limit(int(k)).collect()
-    return [(r[id_col], list(r[features])) for r in rows]
+def label_means(df: DataFrame, label: str, features: str) -> list[tuple[int, list[float]]]:
+    """The mean vector of each label over all rows: one aggregate; labels × width numbers reach the driver."""
+    n = array_width(df, features)
+    rows = (df.where(F.col(label).isNotNull() & F.col(features).isNotNull())
+            .withColumn("_v", of_width(features, n)).groupBy(label)
+            .agg(F.array(*[F.avg(F.col("_v")[i].cast("double")) for i in range(n)]).alias("c")).orderBy(label).collect())
+    return [(r[label], list(r["c"])) for r in rows]

@@ -17,8 +17,9 @@ from .spatial import checked_broadcast
 
 
 def seeded_key(id_cols: list[str], seed: int = 42) -> Column:
-    """``md5('id1:id2:…:seed')`` — lowercase hex, identical in any engine with md5."""
-    return F.md5(F.concat_ws(":", *[F.col(c).cast("string") for c in id_cols], F.lit(str(seed))))
+    """``md5('id1:id2:…:seed')`` — lowercase hex, identical in any engine with md5; a NULL id reads ``null``."""
+    ids = [F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in id_cols]
+    return F.md5(F.concat_ws(":", *ids, F.lit(str(seed))))
 
 
 def label_union(tables: dict[str, DataFrame], label: str = "class_") -> tuple[DataFrame, dict[str, int]]:
@@ -34,10 +35,15 @@ def binary_union(positive: DataFrame, negative: DataFrame, label: str = "class")
 
 
 def background_rows(spark: SparkSession, n_features: int, n: int = 50, cls: int = 5,
-                    features: str = "features", label: str = "class_") -> DataFrame:
-    """``n`` all-zero feature rows of the background class (D4); ids are negative to stay apart."""
+                    features: str = "features", label: str = "class_",
+                    id_cols: tuple[str, ...] | list[str] = ("pixel_id",)) -> DataFrame:
+    """``n`` all-zero feature rows of the background class.
+
+    Every id column holds −1 … −n (as a number or as text, whatever the rows they join hold), so the rows
+    stay apart from real ones and from each other, and a split deals them like any others.
+    """
     return spark.range(n).select(
-        (-(F.col("id") + 1)).alias("pixel_id"),
+        *[(-(F.col("id") + 1)).alias(c) for c in id_cols],
         F.array_repeat(F.lit(0.0).cast("float"), n_features).alias(features),
         F.lit(cls).alias(label),
     )
@@ -60,10 +66,11 @@ def balance_classes(df: DataFrame, id_cols: list[str], label: str = "class_", se
        partially aggregated) gives each class's boundary bucket and how many rows it still needs;
     2. while some boundary bucket holds more than ``max_rank_rows`` rows, only that bucket's rows are
        histogrammed again on the next digits (a filtered scan, a small aggregate);
+       rows without a label belong to no class: they are left out throughout;
     3. rows whose hash prefix sorts below the boundary prefix are kept whole; only the final boundary
        bucket — at most ``max_rank_rows`` rows per class — is ranked.
     """
-    keyed = df.withColumn("_h", seeded_key(id_cols, seed))
+    keyed = df.where(F.col(label).isNotNull()).withColumn("_h", seeded_key(id_cols, seed))
     w = Window.partitionBy(label).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
     def boundaries(hist: DataFrame, need: Column) -> DataFrame:
@@ -107,12 +114,13 @@ def prepare_training(df: DataFrame, id_cols: list[str], features: str = "feature
     """
     spark = df.sparkSession
     out = cube.drop_missing(df, features, also=[label])
-    nf = n_features or len(out.select(features).first()[0])
+    nf = n_features or cube.array_width(out, features)
 
     def add_bg(d):
         if background is None:
             return d
-        bg = background_rows(spark, nf, n_background, background, features, label)
+        bg = background_rows(spark, nf, n_background, background, features, label, id_cols)
+        bg = bg.withColumns({c: F.col(c).cast(d.schema[c].dataType) for c in id_cols})
         return d.unionByName(bg, allowMissingColumns=True)
 
     if reference_order:
@@ -126,9 +134,14 @@ def prepare_training(df: DataFrame, id_cols: list[str], features: str = "feature
 
 
 def cap_all_missing(df: DataFrame, id_col: str, features: str = "features", cap: int = 200) -> DataFrame:
-    """Keep at most ``cap`` rows whose features are all missing (lowest ids), set them to 0, keep the rest."""
-    allm = cube.all_missing(features)
+    """Keep at most ``cap`` rows whose features are all missing (lowest ids), set them to 0, keep the rest.
+
+    A NULL array is all missing; it becomes zeros of the width of the first array there is.
+    """
+    allm = F.coalesce(cube.all_missing(features), F.lit(True))
+    zeros = F.array_repeat(F.lit(0.0), cube.array_width(df, features)).cast(df.schema[features].dataType)
     capped = cube.fill_missing(df.where(allm).orderBy(id_col).limit(cap), features)
+    capped = capped.withColumn(features, F.coalesce(features, zeros))
     return df.where(~allm).unionByName(capped)
 
 
@@ -174,6 +187,6 @@ def head(df: DataFrame, n: int, order: list[str]) -> DataFrame:
 
 
 def features_and_target(df: DataFrame, features: str = "features", label: str = "class_") -> DataFrame:
-    """Split features / target for MLlib (D9): dense vector column + label."""
+    """Split features / target for MLlib (D9): dense vector column ``fv`` and double column ``target``."""
     from pyspark.ml.functions import array_to_vector
-    return df.withColumn("fv", array_to_vector(F.col(features))).withColumn("label", F.col(label).cast("double"))
+    return df.withColumn("fv", array_to_vector(F.col(features))).withColumn("target", F.col(label).cast("double"))

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.cube import array_width, of_width
+
 # Band names of the 64-band embedding cube (A00 … A63).
 N_BANDS = 64
 
@@ -35,10 +37,14 @@ def write_features_parquet(df: DataFrame, path: str, partition_by: list[str] | N
 
 def spread_features(df: DataFrame, features: str = "features", n: int | None = None,
                     names: list[str] | None = None) -> DataFrame:
-    """Array column → one column per band (the wide CSV layout)."""
-    names = names or band_names(n or N_BANDS)
-    return df.select(*[c for c in df.columns if c != features],
-                     *[F.col(features)[i].alias(nm) for i, nm in enumerate(names)])
+    """Array column → one column per band (the wide CSV layout).
+
+    As many columns as ``names``, ``n`` or the first array say; an array of another width raises.
+    """
+    names = names or band_names(n or array_width(df, features))
+    checked = df.withColumn(features, of_width(features, len(names)))
+    return checked.select(*[c for c in df.columns if c != features],
+                          *[F.col(features)[i].alias(nm) for i, nm in enumerate(names)])
 
 
 def gather_features(df: DataFrame, names: list[str], features: str = "features") -> DataFrame:
@@ -72,12 +78,12 @@ def read_pixels(spark: SparkSession, path: str, year: int | None = None,
 
 def read_tiles(spark: SparkSession, path: str, tile_lat: float | None = None, tile_lon: float | None = None,
                year: int | None = None) -> DataFrame:
-    """Dense tile source (S8) filtered by (lat, lon, year)."""
+    """Dense tile source (S8) filtered by (lat, lon, year); lat and lon as narrow ranges, which push down."""
     df = spark.read.parquet(path)
-    for c, v in (("tile_lat", tile_lat), ("tile_lon", tile_lon), ("year", year)):
+    for c, v in (("tile_lat", tile_lat), ("tile_lon", tile_lon)):
         if v is not None:
-            df = df.where(F.col(c) == v)
-    return df
+            df = df.where(F.col(c).between(v - 1e-9, v + 1e-9))
+    return df if year is None else df.where(F.col("year") == year)
 
 
 def read_reference(spark: SparkSession, path: str) -> DataFrame:
