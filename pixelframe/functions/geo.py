@@ -193,12 +193,17 @@ def utm_zone_of(lon: Column | str) -> Column:
 
 def lonlat_to_utm(lon: Column | str, lat: Column | str, zone: int, south: bool = False) -> tuple[Column, Column]:
     """Transverse Mercator by the Krüger n-series (3rd order, sub-millimetre inside a zone)."""
+    return lonlat_to_utm_zone(lon, lat, F.lit(int(zone)), F.lit(bool(south)))
+
+
+def lonlat_to_utm_zone(lon: Column | str, lat: Column | str, zone: Column, south: Column) -> tuple[Column, Column]:
+    """The same with zone and hemisphere by row."""
     lon, lat = _c(lon), _c(lat)
     n, big_a, alpha, _, _ = _utm_series()
-    lon0 = math.radians((zone - 1) * 6 - 180 + 3)
+    lon0 = F.radians((zone - 1) * 6.0 - 177.0)
     c = 2.0 * math.sqrt(n) / (1.0 + n)
     phi = F.radians(lat)
-    dlam = F.radians(lon) - F.lit(lon0)
+    dlam = F.radians(lon) - lon0
     t = F.sinh(F.atanh(F.sin(phi)) - F.lit(c) * F.atanh(F.lit(c) * F.sin(phi)))
     xi_p = F.atan(t / F.cos(dlam))
     eta_p = F.atanh(F.sin(dlam) / F.sqrt(F.lit(1.0) + t * t))
@@ -208,7 +213,7 @@ def lonlat_to_utm(lon: Column | str, lat: Column | str, zone: int, south: bool =
         e_sum = e_sum + F.lit(a) * F.cos(2 * j * xi_p) * F.sinh(2 * j * eta_p)
         n_sum = n_sum + F.lit(a) * F.sin(2 * j * xi_p) * F.cosh(2 * j * eta_p)
     easting = F.lit(UTM_FALSE_EASTING) + F.lit(UTM_K0 * big_a) * e_sum
-    northing = F.lit(UTM_FALSE_NORTHING_SOUTH if south else 0.0) + F.lit(UTM_K0 * big_a) * n_sum
+    northing = F.when(south, F.lit(UTM_FALSE_NORTHING_SOUTH)).otherwise(0.0) + F.lit(UTM_K0 * big_a) * n_sum
     return easting, northing
 
 

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 from .learn import squared_distance
 
 
@@ -77,7 +77,7 @@ def neighbour_pairs_join(df: DataFrame, id_col: str, features: str, eps: float,
             .select("a", "b"))
 
 
-def _block_pairs_fn(eps2: float, chunk: int = 1024):
+def _block_pairs_fn(eps2: float, chunk_bytes: int = 32 << 20):
     def fn(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return pd.DataFrame({"a": pd.Series([], dtype="int64"), "b": pd.Series([], dtype="int64")})
@@ -86,6 +86,7 @@ def _block_pairs_fn(eps2: float, chunk: int = 1024):
         lv = np.stack(left["_v"].to_numpy()).astype(np.float64)
         rv = np.stack(right["_rv"].to_numpy()).astype(np.float64)
         same_block = bool(left["_same"].iloc[0])
+        chunk = max(1, chunk_bytes // max(1, rv.nbytes))
         out_a, out_b = [], []
         for s in range(0, len(la), chunk):
             diff = lv[s:s + chunk, None, :] - rv[None, :, :]
@@ -106,11 +107,11 @@ def neighbour_pairs(df: DataFrame, id_col: str, features: str, eps: float, n_dir
 
     Points get cells along the principal directions (as in the join form) and, inside a cell, a hash
     block so that no block exceeds about ``block_rows`` points even when one cell holds a third of the
-    data.  Each (block, neighbouring block) pair is one ``cogroup`` group — at most two bounded blocks —
-    whose distances are computed in numpy; each unordered block pair is visited once and only the pairs
-    within ε leave the task.
+    data.  Pairs of neighbouring blocks that hold points are found first, on the small table of cells;
+    points travel to those only.  Each pair of blocks is one ``cogroup`` group — at most two bounded
+    blocks — whose distances are computed in numpy; each unordered pair is visited once and only the
+    points within ε leave the task.
     """
-    spark = df.sparkSession
     if dirs is None:
         dirs = principal_directions(df, features, n_dirs)
     d = len(dirs)
@@ -118,27 +119,22 @@ def neighbour_pairs(df: DataFrame, id_col: str, features: str, eps: float, n_dir
         raise ValueError("n_dirs must be ≥ 1")
     pts = _cells(df, id_col, features, eps, dirs)
     ckeys = [f"_c{j}" for j in range(d)]
-    biggest = pts.groupBy(*ckeys).count().agg(F.max("count")).first()[0] or 0
-    nb = max(1, -(-int(biggest) // int(block_rows)))
-    pts = pts.withColumn("_b", F.pmod(F.xxhash64("_id"), F.lit(nb)).cast("int"))
+    cells = materialize(pts.groupBy(*ckeys).agg(F.ceil(F.count(F.lit(1)) / int(block_rows)).cast("int").alias("_nb")))
+    pts = pts.join(cells, ckeys).withColumn("_b", F.pmod(F.xxhash64("_id"), F.col("_nb")).cast("int"))
+    blocks = cells.withColumn("_b", F.explode(F.sequence(F.lit(0), F.col("_nb") - 1))).drop("_nb")
+    home = F.struct(*[F.col(c) for c in ckeys], F.col("_b"))
     offsets = list(itertools.product((-1, 0, 1), repeat=d))
     off = F.explode(F.array(*[F.array(*[F.lit(o) for o in o_]) for o_ in offsets])).alias("_off")
-    other_b = F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("_ob")
-    home = F.struct(*[F.col(c) for c in ckeys], F.col("_b"))
-    # left role: (home block, neighbour block); right role: (neighbour block, home block)
-    lrows = pts.select("*", off).select("*", other_b).select(
-        "_id", "_v", home.alias("_l"),
-        F.struct(*[(F.col(c) + F.col("_off")[j]).alias(c) for j, c in enumerate(ckeys)], F.col("_ob").alias("_b")).alias("_r"))
-    rrows = pts.select("_id", "_v", home.alias("_r"))
-    lrows = lrows.where(F.col("_l") <= F.col("_r")).withColumn("_same", F.col("_l") == F.col("_r"))
-    rrows = rrows.withColumn("_same", F.lit(False))
-    key_l = lrows.select("_id", "_v", "_same", F.to_json(F.struct("_l", "_r")).alias("_k"))
-    # the right block meets every left block that listed it
-    wanted = lrows.select("_l", "_r").distinct()
-    key_r = rrows.join(wanted, "_r").select(F.col("_id").alias("_rid"), F.col("_v").alias("_rv"), "_same",
-                                            F.to_json(F.struct("_l", "_r")).alias("_k"))
+    near = blocks.select(home.alias("_l"), *ckeys, off).select(
+        "_l", *[(F.col(c) + F.col("_off")[j]).alias(c) for j, c in enumerate(ckeys)])
+    pairs = (near.join(blocks, ckeys).select("_l", home.alias("_r")).where(F.col("_l") <= F.col("_r"))
+             .withColumn("_same", F.col("_l") == F.col("_r")))
+    pairs = materialize(pairs.withColumn("_k", F.to_json(F.struct("_l", "_r"))))
+    rows = pts.select("_id", "_v", home.alias("_h"))
+    key_l = rows.join(pairs, F.col("_h") == F.col("_l")).select("_id", "_v", "_same", "_k")
+    key_r = rows.join(pairs, F.col("_h") == F.col("_r")).select(F.col("_id").alias("_rid"), F.col("_v").alias("_rv"), F.col("_k").alias("_rk"))
     fn = _block_pairs_fn(float(eps) * float(eps))
-    return (key_l.groupBy("_k").cogroup(key_r.groupBy("_k"))
+    return (key_l.groupBy("_k").cogroup(key_r.groupBy("_rk"))
             .applyInPandas(fn, schema="a long, b long"))
 
 
@@ -152,7 +148,7 @@ def core_points(df: DataFrame, id_col: str, features: str, eps: float, min_sampl
             .withColumn("is_core", F.col("n_neighbors") >= F.lit(int(min_samples))))
 
 
-def connected_components(edges: DataFrame, vertices: DataFrame, max_iter: int = 200) -> DataFrame:
+def connected_components(edges: DataFrame, vertices: DataFrame) -> DataFrame:
     """Connected components of an undirected edge list ``(a, b)``; vertices ``(id)`` → ``(id, label)``.
 
     Label = smallest vertex id of the component.  Each round takes the minimum label over a vertex's
@@ -163,7 +159,7 @@ def connected_components(edges: DataFrame, vertices: DataFrame, max_iter: int =
     spark = vertices.sparkSession
     ensure_checkpoint_dir(spark)
     labels = vertices.select("id", F.col("id").alias("label")).checkpoint(eager=True)
-    for _ in range(max_iter):
+    while True:  # labels only fall, so it ends
         prop = edges.join(labels.withColumnRenamed("id", "a"), "a").select(
             F.col("b").alias("id"), "label", F.lit(False).alias("_self"))
         # the vertex's own (old) label rides along, so convergence needs no second join
@@ -176,7 +172,6 @@ def connected_components(edges: DataFrame, vertices: DataFrame, max_iter: int =
         if new.where(F.col("label") != F.col("_old")).limit(1).count() == 0:
             return new.drop("_old")
         labels = new.drop("_old")
-    raise RuntimeError("connected components did not converge")
 
 
 def dbscan(df: DataFrame, id_col: str, features: str, eps: float = 0.5, min_samples: int = 10,

@@ -2,8 +2,9 @@
 
 Cells come from ``explode(sequence(...))`` over each region's bounds, are spread over tasks by cell key,
 and are kept when they intersect the polygon (touching counts) — the edge lists arrive by a
-size-checked broadcast.  Grid ids are arithmetic on (region_id, ix, iy), so they are stable under any
-partitioning.
+size-checked broadcast.  A region is identified by (region_id, part) and a cell by (region_id, part, ix,
+iy); the grid id is that key as text, so it is unique for every part, has no range to overflow and is
+stable under any partitioning.
 """
 
 from __future__ import annotations
@@ -13,16 +14,16 @@ from pyspark.sql import functions as F
 
 from ..functions import geo
 from . import regions as R
-from .spatial import SPREAD_WORK_LIMIT, checked_broadcast
+from .spatial import SPREAD_WORK_LIMIT, edges_fit
 
-# grid_id = region_id·2^40 + (ix+1)·2^20 + (iy+1); an unsplit region keeps ix = iy = −1.
-_REGION_SHIFT = 1 << 40
-_IX_SHIFT = 1 << 20
+def grid_id_expr(region_id, part, ix, iy):
+    """``region_id:part:ix:iy`` as text; an unsplit region has ix = iy = −1."""
+    return F.concat_ws(":", *[c.cast("string") for c in (region_id, part, ix, iy)])
 
 
-def grid_id_expr(region_id, ix, iy):
-    return (region_id.cast("bigint") * F.lit(_REGION_SHIFT) + (ix.cast("bigint") + 1) * F.lit(_IX_SHIFT)
-            + (iy.cast("bigint") + 1))
+def _with_part(regions: DataFrame) -> DataFrame:
+    """Regions without a ``part`` column are single parts."""
+    return regions if "part" in regions.columns else regions.withColumn("part", F.lit(0))
 
 
 def grid_cells(regions: DataFrame, grid_size: float = 5000.0, overlap: float = 100.0,
@@ -33,8 +34,9 @@ def grid_cells(regions: DataFrame, grid_size: float = 5000.0, overlap: float = 1
     When the cells × edges work is large, cells are exploded from the bounds alone (small rows), spread
     over tasks by their key, and only then meet their region's edge list through a size-checked
     broadcast — so a country-sized region with many cells and edges is tested by many tasks, and no
-    edge list is shuffled.  ``region_id`` must be unique in ``regions``.
+    edge list is shuffled.  (region_id, part) must be unique in ``regions``.
     """
+    regions = _with_part(regions)
     step = float(grid_size) - float(overlap)
     if step <= 0:
         raise ValueError("overlap must be smaller than grid_size (step would not advance)")
@@ -47,7 +49,7 @@ def grid_cells(regions: DataFrame, grid_size: float = 5000.0, overlap: float = 1
         work = regions.agg(F.coalesce(F.sum(F.greatest(nx, F.lit(0)) * F.greatest(ny, F.lit(0)) * F.size("edges")),
                                       F.lit(0))).first()[0]
         spread = work > SPREAD_WORK_LIMIT
-    cols = ["region_id", "minx", "miny", "maxx", "maxy"] + (["edges"] if keep_intersecting and not spread else [])
+    cols = ["region_id", "part", "minx", "miny", "maxx", "maxy"] + (["edges"] if keep_intersecting and not spread else [])
     cells = (regions.select(*cols).withColumn("_nx", nx).withColumn("_ny", ny)
              # zero-width bounds give no cells (sequence(0, -1) would count down)
              .where((F.col("_nx") > 0) & (F.col("_ny") > 0))
@@ -59,16 +61,29 @@ def grid_cells(regions: DataFrame, grid_size: float = 5000.0, overlap: float = 1
              .withColumn("cy1", F.col("cy0") + size))
     if keep_intersecting:
         if spread:
-            edges = checked_broadcast(regions.select("region_id", "edges"), F.size("edges"))
-            cells = cells.repartition("region_id", "ix", "iy").join(edges, "region_id")
+            cells = cells.repartition("region_id", "part", "ix", "iy")
+            if edges_fit(regions):
+                cells = cells.join(F.broadcast(regions.select("region_id", "part", "edges")), ["region_id", "part"])
+            else:
+                cells = cells.join(_edges_of_rows(regions, step, size), ["region_id", "part", "iy"])
         cells = cells.where(geo.box_intersects_polygon("edges", F.col("cx0"), F.col("cy0"), F.col("cx1"), F.col("cy1")))
     return cells.select(
-        grid_id_expr(F.col("region_id"), F.col("ix"), F.col("iy")).alias("grid_id"),
-        "region_id", "ix", "iy",
+        grid_id_expr(F.col("region_id"), F.col("part"), F.col("ix"), F.col("iy")).alias("grid_id"),
+        "region_id", "part", "ix", "iy",
         F.col("cx0").alias("minx"), F.col("cy0").alias("miny"), F.col("cx1").alias("maxx"), F.col("cy1").alias("maxy"),
     )
 
 
+def _edges_of_rows(regions: DataFrame, step: float, size: float) -> DataFrame:
+    """``region_id, part, iy, edges``: the edges that may meet each row of cells (one row more on each side
+    than the arithmetic says); a row without edges has no cell that meets the polygon."""
+    e = regions.select("region_id", "part", "miny", F.explode("edges").alias("e"))
+    first = F.greatest(F.ceil((F.least("e.y1", "e.y2") - F.col("miny") - size) / step) - 1, F.lit(0)).cast("int")
+    last = F.floor((F.greatest("e.y1", "e.y2") - F.col("miny")) / step).cast("int") + 1
+    return (e.withColumn("iy", F.explode(F.sequence(first, F.greatest(first, last)))).groupBy("region_id", "part", "iy")
+            .agg(F.collect_list("e").alias("edges")))
+
+
 def cells_as_regions(cells: DataFrame) -> DataFrame:
     """Give grid cells box geometry so they can be used wherever regions are."""
     ring = geo.box_ring(F.col("minx"), F.col("miny"), F.col("maxx"), F.col("maxy"))
@@ -78,13 +93,13 @@ def cells_as_regions(cells: DataFrame) -> DataFrame:
 def add_grids_if_needed(regions: DataFrame, min_area: float = 1e8, grid_size: float = 5000.0,
                         grid_overlap: float = 500.0) -> DataFrame:
     """Area branch (G8/G10/G11): area > ``min_area`` → its intersecting cells, else the region itself."""
-    with_area = R.area(regions, "_area")
+    with_area = R.area(_with_part(regions), "_area")
     big = with_area.where(F.col("_area") > F.lit(float(min_area)))
     small = with_area.where(~(F.col("_area") > F.lit(float(min_area))))
     cells = cells_as_regions(grid_cells(big, grid_size, grid_overlap))
-    keep_cols = ["grid_id", "region_id", "ix", "iy", "minx", "miny", "maxx", "maxy", "rings", "edges"]
+    keep_cols = ["grid_id", "region_id", "part", "ix", "iy", "minx", "miny", "maxx", "maxy", "rings", "edges"]
     kept = small.select(
-        grid_id_expr(F.col("region_id"), F.lit(-1), F.lit(-1)).alias("grid_id"), "region_id",
+        grid_id_expr(F.col("region_id"), F.col("part"), F.lit(-1), F.lit(-1)).alias("grid_id"), "region_id", "part",
         F.lit(-1).alias("ix"), F.lit(-1).alias("iy"), "minx", "miny", "maxx", "maxy", "rings", "edges")
     return cells.select(*keep_cols).unionByName(kept)
 
@@ -107,7 +122,3 @@ def sample_grids(grids: DataFrame, n: int | None, seed: int = 42, id_col: str =
     key = F.md5(F.concat_ws(":", F.col(id_col).cast("string"), F.lit(str(seed))))
     return grids.withColumn("_k", key).orderBy("_k", id_col).limit(int(n)).drop("_k")
 
-
-def count_rows(df: DataFrame, name: str = "n_rows") -> DataFrame:
-    """Row count as a one-row frame."""
-    return df.agg(F.count(F.lit(1)).alias(name))

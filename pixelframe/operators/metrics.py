@@ -18,6 +18,16 @@ def confusion(df: DataFrame, y: str = "y", p: str = "p", group: list[str] | None
     return df.groupBy(*group, F.col(y).alias("y"), F.col(p).alias("p")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def confusion_dense(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
+    """Dense confusion matrix (E1): a row for every pair of labels that occur on either side, zeros included."""
+    sparse = materialize(confusion(df, y, p))  # classes² rows at most
+    labels = sparse.select("y").union(sparse.select("p")).distinct()
+    every = F.array_sort(F.collect_set("y"))
+    pairs = labels.withColumn("p", F.explode(F.lit(labels.agg(every).first()[0])))
+    return (pairs.join(sparse, ["y", "p"], "left")
+            .select("y", F.col("p").cast(sparse.schema["p"].dataType).alias("p"), F.coalesce("n", F.lit(0)).cast("bigint").alias("n")))
+
+
 def binary_scores(df: DataFrame, y: str = "y", p: str = "p", group: list[str] | None = None,
                   positive: int = 1) -> DataFrame:
     """Precision, recall (0 on zero division) and accuracy per group."""

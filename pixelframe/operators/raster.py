@@ -6,6 +6,8 @@ A raster is ``(col, row, value)`` on an affine lattice ``x = x0 + (col + 0.5)·r
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,7 +52,27 @@ def mosaic_first(df: DataFrame, keys: tuple[str, str] = ("col", "row"), pred: st
     order = list(order or ["grid_id"])
     rank = F.struct(*[F.col(c) for c in order]) if len(order) > 1 else F.col(order[0])
     return (df.where(F.col(pred).isNotNull()).groupBy(*keys)
-            .agg(F.min_by(F.col(pred), rank).alias(pred), F.min(order[0]).alias(order[0])))
+            .agg(F.min_by(F.col(pred), rank).alias(pred),
+                 *([F.min(order[0]).alias(order[0])] if order[0] not in ("x", "y") else [])))
+
+
+def crop(reference: DataFrame, boxes: DataFrame, x0: float, y0: float, res: float, to_ref=None) -> DataFrame:
+    """The reference cells within the bounds of all ``boxes`` (R8) as ranges of ``col`` and ``row``, which a
+    parquet scan takes as filters.  ``to_ref`` brings the boxes' corners into the reference's CRS; a margin
+    of one cell and of a tenth of the extent covers sides that bend there."""
+    corners = F.explode(F.array(*[F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+                                  for x in ("minx", "maxx") for y in ("miny", "maxy")])).alias("p")
+    p = boxes.select(corners).select("p.x", "p.y")
+    if to_ref is not None:
+        x, y = to_ref(F.col("x"), F.col("y"))
+        p = p.select(x.alias("x"), y.alias("y"))
+    m = p.agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1")).first()
+    if m["x0"] is None:
+        return reference.limit(0)
+    mx, my = (res if to_ref is None else res + 0.1 * (m[b] - m[a]) for a, b in (("x0", "x1"), ("y0", "y1")))
+    cols = (math.floor((m["x0"] - mx - x0) / res), math.ceil((m["x1"] + mx - x0) / res))
+    rows = (math.floor((y0 - m["y1"] - my) / res), math.ceil((y0 - m["y0"] + my) / res))
+    return reference.where(F.col("col").between(*cols) & F.col("row").between(*rows))
 
 
 def mask_sentinels(df: DataFrame, pred: str = "pred", sentinels=PRED_SENTINELS) -> DataFrame:

@@ -17,20 +17,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geo import point_in_polygon, segment_intersects_box
+from ..functions.geo import lonlat_to_utm_zone, point_in_polygon, segment_intersects_box, utm_zone_of
 
-# Region-side rows (region × bin) × edges below which the region side is broadcast.
-DEFAULT_BROADCAST_EDGE_LIMIT = 4_000_000
-DEFAULT_BROADCAST_ROW_LIMIT = 2_000_000
-
-
-def suggest_bin_size(regions: DataFrame, quantile: float = 0.5) -> float:
-    """Bin edge length from the median region extent (one scalar aggregate on the small side)."""
-    row = regions.select(
-        F.percentile_approx(F.greatest(F.col("maxx") - F.col("minx"), F.col("maxy") - F.col("miny")), quantile).alias("q")
-    ).first()
-    q = row["q"] if row else None
-    return float(q) if q and q > 0 else 1.0
+# A region side is broadcast below these: rows, edges, and bytes as estimated from its rows.
+DEFAULT_BROADCAST_EDGE_LIMIT = 1_000_000
+DEFAULT_BROADCAST_ROW_LIMIT = 500_000
+DEFAULT_BROADCAST_BYTES = 64 << 20
+EDGE_BYTES = 48  # four doubles and their place in the array
 
 
 def point_bins(points: DataFrame, bin_size: float, x: str = "x", y: str = "y") -> DataFrame:
@@ -85,8 +78,12 @@ def region_bins(regions: DataFrame, bin_size: float, keep_edges: bool = True,
         key = list(key_cols or ["region_id"])
         if "part" in regions.columns and "part" not in key:
             key.append("part")
-        edges = checked_broadcast(regions.select(*key, "edges"), F.size("edges"))
-        out = out.repartition(*key, "_bx", "_by").join(edges, key)
+        if edges_fit(regions):
+            out = out.repartition(*key, "_bx", "_by").join(F.broadcast(regions.select(*key, "edges")), key)
+        else:
+            none = F.array().cast(regions.schema["edges"].dataType)
+            out = (out.repartition(*key, "_bx", "_by").join(edge_rows(regions, key, b), [*key, "_by"], "left")
+                   .withColumn("edges", F.coalesce("edges", none)))
     lo = F.col("_by") * b
     hi = (F.col("_by") + 1) * b
     left = F.col("_bx") * b
@@ -105,24 +102,52 @@ def region_bins(regions: DataFrame, bin_size: float, keep_edges: bool = True,
     return out
 
 
+def edges_fit(regions: DataFrame) -> bool:
+    """Whether all edges and keys of the regions may be broadcast."""
+    row = regions.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("edges")), F.lit(0)).alias("e")).first()
+    return (row["n"] <= DEFAULT_BROADCAST_ROW_LIMIT and row["e"] <= DEFAULT_BROADCAST_EDGE_LIMIT
+            and row["n"] * 64 + row["e"] * EDGE_BYTES <= DEFAULT_BROADCAST_BYTES)
+
+
+def edge_rows(regions: DataFrame, key: list[str], b: Column) -> DataFrame:
+    """``key, _by, edges``: the edges that touch each row of bins, closed bounds included.
+
+    A test inside a bin only looks at edges of its row, so a country-sized polygon is dealt by rows and
+    never meets all of its bins under one key.
+    """
+    e = regions.select(*key, F.explode("edges").alias("e"))
+    lo = F.ceil(F.least("e.y1", "e.y2") / b) - 1
+    rows = F.sequence(lo, F.floor(F.greatest("e.y1", "e.y2") / b))
+    return e.withColumn("_by", F.explode(rows)).groupBy(*key, "_by").agg(F.collect_list("e").alias("edges"))
+
+
 def checked_broadcast(df: DataFrame, weight: Column | None = None,
                       max_rows: int = DEFAULT_BROADCAST_ROW_LIMIT,
                       max_weight: int = DEFAULT_BROADCAST_EDGE_LIMIT) -> DataFrame:
     """Broadcast ``df`` only after counting it (and an optional weight such as edge count).
 
-    Beyond the limits the frame is returned as is and the join falls back to a shuffle join.
+    The bytes are those of a row's fixed part, its weight (edges) and its strings and binaries.  Beyond a
+    limit the frame is returned as is and the join falls back to a shuffle join.
     """
     aggs = [F.count(F.lit(1)).alias("n")]
     if weight is not None:
         aggs.append(F.coalesce(F.sum(weight), F.lit(0)).alias("w"))
-    row = df.agg(*aggs).first()
+    texts = [c for c, t in df.dtypes if t in ("string", "binary")]
+    size = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), F.lit(16 + 16 * len(df.columns)))
+    row = df.agg(*aggs, F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()
     n = row["n"]
     w = row["w"] if weight is not None else 0
-    if n <= max_rows and w <= max_weight:
+    if n <= max_rows and w <= max_weight and row["b"] + w * EDGE_BYTES <= DEFAULT_BROADCAST_BYTES:
         return F.broadcast(df)
     return df
 
 
+def _small(st: dict) -> bool:
+    """Whether every bin with every edge would fit a broadcast."""
+    return (st["bins"] <= DEFAULT_BROADCAST_ROW_LIMIT and st["work"] <= DEFAULT_BROADCAST_EDGE_LIMIT
+            and st["bins"] * 256 + st["work"] * EDGE_BYTES <= DEFAULT_BROADCAST_BYTES)
+
+
 def _region_side(regions: DataFrame, bin_size: float, region_cols: list[str], broadcast: bool | None) -> DataFrame:
     st = region_stats(regions, bin_size)
     # a bin with no edge a rightward ray can reach, and not interior, holds no inside point
@@ -132,7 +157,7 @@ def _region_side(regions: DataFrame, bin_size: float, region_cols: list[str], br
     rb = rb.select(*region_cols, "minx", "miny", "maxx", "maxy", "_bx", "_by", "_full", "_edges")
     if broadcast is None:
         # upper bounds from the stats (every bin, every edge) decide without another job when small
-        if st["bins"] <= DEFAULT_BROADCAST_ROW_LIMIT and st["work"] <= DEFAULT_BROADCAST_EDGE_LIMIT:
+        if _small(st):
             return F.broadcast(rb)
         return checked_broadcast(rb, F.size("_edges"))
     return F.broadcast(rb) if broadcast else rb
@@ -155,23 +180,14 @@ def spatial_join(points: DataFrame, regions: DataFrame, bin_size: float, x: str
     region_cols = list(region_cols or ["region_id"])
     pts = point_bins(points, bin_size, x, y)
     if how == "mask":
-        return _mask_join(pts, regions, bin_size, region_cols, broadcast, x, y)
+        return _mask_join(pts, regions, bin_size, region_cols, broadcast, x, y, tiles)
     rs = _region_side(regions, bin_size, region_cols, broadcast)
     rs = rs.select(*[F.col(c).alias(c) for c in region_cols],
                    F.col("minx").alias("_minx"), F.col("miny").alias("_miny"),
                    F.col("maxx").alias("_maxx"), F.col("maxy").alias("_maxy"),
                    F.col("_bx").alias("_rbx"), F.col("_by").alias("_rby"), "_full", "_edges")
     px, py = F.col(x), F.col(y)
-    key = (pts["_bx"] == rs["_rbx"]) & (pts["_by"] == rs["_rby"])
-    if tiles is not None:
-        tx, ty, tsize = tiles
-        ratio = float(tsize) / float(bin_size)
-        if ratio < 1 or abs(ratio - round(ratio)) > 1e-9:
-            raise ValueError("tile_size must be a whole multiple of bin_size")
-        # keys typed like the partition columns, so the join compares the bare column (needed for pruning)
-        rs = (rs.withColumn("_rtx", F.floor(F.col("_rbx") / F.lit(int(round(ratio)))).cast(pts.schema[tx].dataType))
-              .withColumn("_rty", F.floor(F.col("_rby") / F.lit(int(round(ratio)))).cast(pts.schema[ty].dataType)))
-        key = key & (pts[tx] == rs["_rtx"]) & (pts[ty] == rs["_rty"])
+    rs, key = _bin_key(pts, rs, bin_size, tiles)
     in_box = px.between(rs["_minx"], rs["_maxx"]) & py.between(rs["_miny"], rs["_maxy"])
     inside = rs["_full"] | point_in_polygon(rs["_edges"], px, py)
     if how == "inner":
@@ -183,8 +199,25 @@ def spatial_join(points: DataFrame, regions: DataFrame, bin_size: float, x: str
     raise ValueError(f"unknown how={how!r}")
 
 
+def _bin_key(pts: DataFrame, rs: DataFrame, bin_size: float,
+             tiles: tuple[str, str, float] | None) -> tuple[DataFrame, Column]:
+    """The region side and the equality on the bin, with tile keys on the tile partitions as well."""
+    key = (pts["_bx"] == rs["_rbx"]) & (pts["_by"] == rs["_rby"])
+    if tiles is None:
+        return rs, key
+    tx, ty, tsize = tiles
+    ratio = float(tsize) / float(bin_size)
+    if ratio < 1 or abs(ratio - round(ratio)) > 1e-9:
+        raise ValueError("tile_size must be a whole multiple of bin_size")
+    # keys typed like the partition columns, so the join compares the bare column (needed for pruning)
+    rs = (rs.withColumn("_rtx", F.floor(F.col("_rbx") / F.lit(int(round(ratio)))).cast(pts.schema[tx].dataType))
+          .withColumn("_rty", F.floor(F.col("_rby") / F.lit(int(round(ratio)))).cast(pts.schema[ty].dataType)))
+    key = (pts["_bx"] == rs["_rbx"]) & (pts["_by"] == rs["_rby"])
+    return rs, key & (pts[tx] == rs["_rtx"]) & (pts[ty] == rs["_rty"])
+
+
 def _mask_join(pts: DataFrame, regions: DataFrame, bin_size: float, region_cols: list[str],
-               broadcast: bool | None, x: str, y: str) -> DataFrame:
+               broadcast: bool | None, x: str, y: str, tiles: tuple[str, str, float] | None = None) -> DataFrame:
     px, py = F.col(x), F.col(y)
     # every point of the bounding box, whether or not a bin edge survives the filter
     st = region_stats(regions, bin_size)
@@ -193,23 +226,24 @@ def _mask_join(pts: DataFrame, regions: DataFrame, bin_size: float, region_cols:
         F.col("maxx").alias("_maxx"), F.col("maxy").alias("_maxy"),
         F.col("_bx").alias("_rbx"), F.col("_by").alias("_rby"), "_full", "_edges")
     if broadcast is None:
-        small = st["bins"] <= DEFAULT_BROADCAST_ROW_LIMIT and st["work"] <= DEFAULT_BROADCAST_EDGE_LIMIT
-        rs_all = F.broadcast(rs_all) if small else checked_broadcast(rs_all, F.size("_edges"))
+        rs_all = F.broadcast(rs_all) if _small(st) else checked_broadcast(rs_all, F.size("_edges"))
     elif broadcast:
         rs_all = F.broadcast(rs_all)
-    key = (pts["_bx"] == rs_all["_rbx"]) & (pts["_by"] == rs_all["_rby"])
+    # a comparison on the region side: what Spark takes as selective for dynamic partition pruning
+    rs_all, key = _bin_key(pts, rs_all.where(F.col("_minx") <= F.col("_maxx")), bin_size, tiles)
     in_box = px.between(rs_all["_minx"], rs_all["_maxx"]) & py.between(rs_all["_miny"], rs_all["_maxy"])
     out = pts.join(rs_all, key & in_box, "inner").withColumn(
         "_inside", F.col("_full") | point_in_polygon(F.col("_edges"), px, py))
-    return out.drop("_bx", "_by", "_rbx", "_rby", "_full", "_edges", "_minx", "_miny", "_maxx", "_maxy")
+    return out.drop("_bx", "_by", "_rbx", "_rby", "_rtx", "_rty", "_full", "_edges", "_minx", "_miny", "_maxx", "_maxy")
 
 
 def clip(points: DataFrame, regions: DataFrame, bin_size: float, value_cols: list[str], x: str = "x",
-         y: str = "y", drop: bool = True, region_cols: list[str] | None = None) -> DataFrame:
+         y: str = "y", drop: bool = True, region_cols: list[str] | None = None,
+         tiles: tuple[str, str, float] | None = None) -> DataFrame:
     """Clip to geometry (P4): ``drop=True`` keeps inside pixels; ``False`` keeps the bbox with values → NULL."""
     if drop:
-        return spatial_join(points, regions, bin_size, x, y, "inner", region_cols)
-    out = spatial_join(points, regions, bin_size, x, y, "mask", region_cols)
+        return spatial_join(points, regions, bin_size, x, y, "inner", region_cols, tiles=tiles)
+    out = spatial_join(points, regions, bin_size, x, y, "mask", region_cols, tiles=tiles)
     for c in value_cols:
         out = out.withColumn(c, F.when(F.col("_inside"), F.col(c)))
     return out
@@ -251,6 +285,39 @@ def within_radius(points: DataFrame, centres: DataFrame, radius: float, x: str =
     return out.drop("_bx", "_by", "_rbx", "_rby", "_cx", "_cy")
 
 
+def within_metres(points: DataFrame, centres: DataFrame, radius_m: float, lon: str = "lon", lat: str = "lat",
+                  clon: str = "clon", clat: str = "clat", shape: str = "disc",
+                  centre_cols: list[str] | None = None) -> DataFrame:
+    """Extent by a lon/lat centre and a radius in metres.
+
+    Every centre has its own UTM zone: points within the zone's reach are taken to it, and the square or disc
+    is tested there.  A degree box around the centre (with a margin for the projection's scale) makes the
+    bins of the equality join.
+    """
+    centre_cols = list(centre_cols or ["centre_id"])
+    r = float(radius_m)
+    dlat = r * 1.5 / 110_000.0
+    cs = centres.select(*centre_cols, F.col(clon).alias("_clon"), F.col(clat).alias("_clat"),
+                        utm_zone_of(F.col(clon)).alias("_zone"), (F.col(clat) < 0).alias("_south"))
+    cs = cs.withColumn("_dlon", F.lit(dlat) / F.greatest(F.cos(F.radians(F.col("_clat"))), F.lit(0.01)))
+    b = F.lit(max(2 * dlat, 1e-6))
+    cs = (cs.withColumn("_rbx", F.explode(F.sequence(F.floor((F.col("_clon") - F.col("_dlon")) / b),
+                                                     F.floor((F.col("_clon") + F.col("_dlon")) / b))))
+          .withColumn("_rby", F.explode(F.sequence(F.floor((F.col("_clat") - dlat) / b), F.floor((F.col("_clat") + dlat) / b)))))
+    pts = points.withColumn("_bx", F.floor(F.col(lon) / b)).withColumn("_by", F.floor(F.col(lat) / b))
+    out = pts.join(checked_broadcast(cs), (F.col("_bx") == F.col("_rbx")) & (F.col("_by") == F.col("_rby")))
+    x, y = lonlat_to_utm_zone(F.col(lon), F.col(lat), F.col("_zone"), F.col("_south"))
+    cx, cy = lonlat_to_utm_zone(F.col("_clon"), F.col("_clat"), F.col("_zone"), F.col("_south"))
+    out = out.withColumn("_dx", x - cx).withColumn("_dy", y - cy)
+    if shape == "square":
+        out = out.where((F.abs("_dx") <= r) & (F.abs("_dy") <= r))
+    elif shape == "disc":
+        out = out.where(F.col("_dx") * F.col("_dx") + F.col("_dy") * F.col("_dy") <= r * r)
+    else:
+        raise ValueError("shape must be 'square' or 'disc'")
+    return out.select(*points.columns, *centre_cols)
+
+
 def bbox_filter(points: DataFrame, minx: float, miny: float, maxx: float, maxy: float,
                 x: str = "x", y: str = "y") -> DataFrame:
     """Extent by a single bounding box (P2 for one polygon): a range predicate parquet can push down."""

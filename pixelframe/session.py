@@ -7,6 +7,7 @@ build one for tests / the bench, and resolve the shared checkpoint folder.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -54,8 +55,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    ``spark.checkpoint.dir`` (or a folder already set on the context) wins; only when
-    neither is set — local tests — a fresh scratch folder is taken.
+    ``spark.checkpoint.dir`` (or a folder already set on the context) wins.  Where neither is set, a
+    ``local`` master (tests) takes a fresh scratch folder; a cluster raises, since its executors would
+    each write to a disk of their own.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -63,6 +65,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="pixelframe-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

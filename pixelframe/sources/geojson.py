@@ -17,12 +17,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.geo import ring_from_coords
-from ..operators.regions import with_geometry
+from ..operators.regions import is_supported, with_geometry
 
 _FEATURE = ("type string, id string, properties map<string,string>, "
             "geometry struct<type:string, coordinates:string>")
 
 
+def srid_of_name(name) -> F.Column:
+    """EPSG code of a GeoJSON CRS name (``urn:ogc:def:crs:EPSG::32643``, ``EPSG:3857``, ``…CRS84``)."""
+    code = F.try_to_number(F.regexp_extract(name, r"(\d+)$", 1), F.lit("999999")).cast("int")
+    code = F.when(name.isNull() | name.rlike("CRS84$"), F.lit(4326)).otherwise(code)
+    return F.when(is_supported(code), code).otherwise(F.raise_error(F.concat(F.lit("unsupported CRS "), name)).cast("int"))
+
+
 def _parts(geometry) -> F.Column:
     poly = F.from_json(geometry["coordinates"], "array<array<array<double>>>")
     multi = F.from_json(geometry["coordinates"], "array<array<array<array<double>>>>")
@@ -43,22 +50,27 @@ def features_to_regions(feats: DataFrame, feature_id) -> DataFrame:
 
 
 def read_geojson(spark: SparkSession, path: str, sequence: bool = False, srid: int | None = None) -> DataFrame:
-    """Read regions; ``region_id`` = feature ``id`` when numeric, else its position in the collection."""
+    """Read regions; ``region_id`` = feature ``id`` when it is a whole number.  Otherwise it is a hash of the text
+    id, and without any id its position in the collection (in a sequence: a hash of its coordinates).
+
+    The CRS is ``srid`` or the one the collection or the line names; 4326 where none is named.  One that is not
+    lon/lat, web Mercator or a UTM zone raises.
+    """
+    number = F.expr("try_cast(id AS bigint)")
+    text = F.when(F.col("id").isNotNull(), F.xxhash64("id"))
     if sequence:
-        feats = spark.read.schema(_FEATURE).json(path)
-        fid = F.coalesce(F.col("id").cast("bigint"), F.xxhash64(F.col("geometry.coordinates")))
-        feats = feats.withColumn("srid", F.lit(srid or 4326))
-        return features_to_regions(feats, fid)
+        feats = spark.read.schema(_FEATURE + ", crs struct<properties:struct<name:string>>").json(path)
+        feats = feats.withColumn("srid", F.lit(srid) if srid else srid_of_name(F.col("crs.properties.name")))
+        return features_to_regions(feats, F.coalesce(number, text, F.xxhash64("geometry.coordinates")))
     schema = ("type string, crs struct<properties:struct<name:string>>, features array<struct<type:string,"
               "id:string,properties:map<string,string>,geometry:struct<type:string,coordinates:string>>>")
     doc = spark.read.schema(schema).option("multiLine", True).json(path)
-    crs_srid = F.when(F.col("crs.properties.name").contains("3857"), F.lit(3857)).otherwise(F.lit(4326))
+    crs_srid = srid_of_name(F.col("crs.properties.name"))
     feats = doc.select(crs_srid.alias("srid"), F.posexplode("features").alias("pos", "f")).select(
         "srid", "pos", "f.*")
     if srid:
         feats = feats.withColumn("srid", F.lit(srid))
-    fid = F.coalesce(F.col("id").cast("bigint"), F.col("pos").cast("bigint"))
-    return features_to_regions(feats, fid)
+    return features_to_regions(feats, F.coalesce(number, text, F.col("pos").cast("bigint")))
 
 
 def regions_to_geojson_lines(regions: DataFrame, props: dict[str, str] | None = None) -> DataFrame:

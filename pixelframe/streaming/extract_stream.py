@@ -3,7 +3,7 @@
 The batch extractor's pipelined writing — results appended as each region finishes, CSV appended to
 an existing file — becomes a file-source stream: new pixel files are clipped to the (static) regions
 with the same bin-keyed stream–static join and appended to a parquet or CSV sink.  Progress lives
-in a checkpoint folder under the shared checkpoint directory, so a restarted query resumes where it
+in the checkpoint folder that the caller names, so a restarted query resumes where it
 stopped and a lost executor only re-runs its micro-batch.
 """
 
@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import cube, spatial
-from ..session import scratch_path
 
 
 def pixel_stream(spark: SparkSession, path: str, schema: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -36,13 +35,17 @@ def clip_stream(pixels: DataFrame, regions: DataFrame, bin_size: float, year: in
 
 def start_extraction(spark: SparkSession, pixels_path: str, schema: str, regions: DataFrame, bin_size: float,
                      out_path: str, year: int | None = None, cls: int | None = None, fmt: str = "parquet",
-                     checkpoint: str | None = None, available_now: bool = True) -> StreamingQuery:
-    """Run the clip as a stream appending to ``out_path`` (parquet, or CSV with header)."""
+                     *, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Run the clip as a stream appending to ``out_path`` (parquet, or CSV with header).
+
+    ``checkpoint`` is a fixed folder on shared storage: a query started again with it goes on where the
+    last one stopped, and reads no file twice.
+    """
     stream = clip_stream(pixel_stream(spark, pixels_path, schema), regions, bin_size, year, cls)
     if fmt == "csv":
         stream = stream.withColumn("bands", F.to_json("bands"))
     w = (stream.writeStream.format(fmt).outputMode("append")
-         .option("checkpointLocation", checkpoint or scratch_path(spark, "extract-stream-ckpt"))
+         .option("checkpointLocation", checkpoint)
          .option("path", out_path))
     if fmt == "csv":
         w = w.option("header", True)
