@@ -121,6 +121,42 @@ def point_radius(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+@register("point_radius_metres", f"""
+WITH {fx.SQL_EVENTS_LONLAT},
+ct AS (SELECT * FROM (VALUES {", ".join(map(str, fx.LONLAT_CENTRES))}) AS c(centre_id, clon, clat)),
+pc AS (SELECT ll.*, ct.*, CAST(floor((clon + 180.0) / 6.0) AS INTEGER) % 60 + 1 AS zone FROM ll, ct),
+{fx.sql_utm("pc", "lon", "lat", "zone", "event_id, centre_id", "pu")},
+{fx.sql_utm("pc", "clon", "clat", "zone", "event_id, centre_id", "cu")},
+d AS (SELECT pu.centre_id, pu.e - cu.e AS dx, pu.n - cu.n AS dy FROM pu JOIN cu USING (event_id, centre_id))
+SELECT centre_id, 'square' AS shape, CAST(count(*) AS BIGINT) AS n_points FROM d
+WHERE abs(dx) <= {fx.LONLAT_RADIUS!r} AND abs(dy) <= {fx.LONLAT_RADIUS!r} GROUP BY centre_id
+UNION ALL SELECT centre_id, 'disc', CAST(count(*) AS BIGINT) FROM d
+WHERE dx * dx + dy * dy <= {fx.LONLAT_RADIUS!r} * {fx.LONLAT_RADIUS!r} GROUP BY centre_id
+""")
+def point_radius_metres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extent by a lon/lat centre and a radius in metres (P3), each centre in its own UTM zone."""
+    pts = fx.events_lonlat(spark, sf_dir)
+    centres = spark.createDataFrame(fx.LONLAT_CENTRES, "centre_id int, clon double, clat double")
+    parts = [spatial.within_metres(pts, centres, fx.LONLAT_RADIUS, shape=s).groupBy("centre_id")
+             .agg(F.count(F.lit(1)).alias("n_points")).withColumn("shape", F.lit(s)) for s in ("square", "disc")]
+    return parts[0].unionByName(parts[1])
+
+
+@register("clip_customers", f"""
+WITH {fx.sql_customer_regions()}, {fx.SQL_ORDER_POINTS},
+nb AS (SELECT op.o_orderkey, op.x, op.y, cb.region_id FROM op JOIN cb
+       ON op.x >= cb.minx AND op.x <= cb.maxx AND op.y >= cb.miny AND op.y <= cb.maxy)
+SELECT nb.o_orderkey, nb.region_id FROM nb JOIN ce r ON r.region_id = nb.region_id
+  AND ((r.y1 > nb.y) <> (r.y2 > nb.y))
+  AND ((r.x2 - r.x1) * (nb.y - r.y1) - (nb.x - r.x1) * (r.y2 - r.y1)) * (r.y2 - r.y1) > 0
+GROUP BY ALL HAVING count(*) % 2 = 1
+""")
+def clip_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points in regions that grow with the data (P4), by the shuffle form of the spatial join."""
+    pts = fx.order_points(spark, sf_dir)
+    return spatial.spatial_join(pts, fx.customer_regions(spark, sf_dir), 8000.0, broadcast=False).select("o_orderkey", "region_id")
+
+
 @register("clip_any_region", f"""
 SELECT DISTINCT ins.event_id, ev.event_type AS class
 FROM ({_sql_events_in_probe()}) ins JOIN events ev ON ev.event_id = ins.event_id
@@ -145,13 +181,15 @@ def bbox_extent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("date_window", """
-SELECT event_id, event_type AS class FROM events
-WHERE ts >= TIMESTAMP '2023-01-01 00:00:00' AND ts < TIMESTAMP '2024-08-20 00:00:00'
+SELECT event_id, event_type AS class FROM (SELECT *, ts + to_days(CAST(event_id % 900 AS INTEGER)) AS t FROM events)
+WHERE t >= TIMESTAMP '2023-01-01 00:00:00' AND t < TIMESTAMP '2024-08-20 00:00:00'
 """)
 def date_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Acquisition window of map year 2023 (P1): 2023-01-01 .. 2024-08-19 inclusive."""
     from ..operators import cube
-    return cube.filter_dates(fx.events_points(spark, sf_dir), 2023).select("event_id", "class")
+    pts = fx.events_points(spark, sf_dir)
+    pts = pts.withColumn("t", F.timestamp_add("DAY", (F.col("event_id") % 900).cast("int"), F.col("t")))
+    return cube.filter_dates(pts, 2023).select("event_id", "class")
 
 
 # ---------------------------------------------------------------------------------------------
@@ -217,13 +255,39 @@ def _sql_grid_cells(where_regions: str = "TRUE", cb: str = "cb", ce: str = "ce")
 
 @register("grid_cells", f"""
 WITH {_CR}, {_sql_grid_cells()}
-SELECT region_id * 1099511627776 + (CAST(ix AS BIGINT) + 1) * 1048576 + (CAST(iy AS BIGINT) + 1) AS grid_id,
+SELECT concat(region_id, ':0:', ix, ':', iy) AS grid_id,
        region_id, ix, iy, cx0 AS minx, cy0 AS miny, cx1 AS maxx, cy1 AS maxy
 FROM kept
 """)
 def grid_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Overlapping square grid over each region, cells meeting the polygon."""
-    return G.grid_cells(fx.customer_regions(spark, sf_dir), _GRID, _GRID - _STEP)
+    return G.grid_cells(fx.customer_regions(spark, sf_dir), _GRID, _GRID - _STEP).drop("part")
+
+
+# Fixed value: how far east of the first part the second part of a region lies, and the region ids' offset.
+_PART_SHIFT, _ID_SHIFT = 16777216.0, 20_000_000
+
+
+@register("grid_cells_multipart", f"""
+WITH {_CR},
+ce2 AS (SELECT region_id, ring, x1, y1, x2, y2 FROM ce
+        UNION ALL SELECT region_id + {_ID_SHIFT}, ring, x1 + {_PART_SHIFT!r}, y1, x2 + {_PART_SHIFT!r}, y2 FROM ce),
+cb2 AS (SELECT region_id, min(least(x1, x2)) AS minx, min(least(y1, y2)) AS miny,
+               max(greatest(x1, x2)) AS maxx, max(greatest(y1, y2)) AS maxy FROM ce2 GROUP BY region_id),
+{_sql_grid_cells(cb="cb2", ce="ce2")}
+SELECT concat(region_id % {_ID_SHIFT} + {_ID_SHIFT}, ':', region_id // {_ID_SHIFT}, ':', ix, ':', iy) AS grid_id,
+       region_id % {_ID_SHIFT} + {_ID_SHIFT} AS region_id, CAST(region_id // {_ID_SHIFT} AS INTEGER) AS part, ix, iy
+FROM kept
+""")
+def grid_cells_multipart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells of regions of two parts and large ids (G6, G7): ids differ by part, none overflows."""
+    from ..operators.regions import with_geometry
+    one = fx.customer_regions(spark, sf_dir).select("region_id", "part", "rings", "srid")
+    moved = F.transform("rings", lambda r: F.transform(r, lambda p: F.struct(
+        (p["x"] + F.lit(_PART_SHIFT)).alias("x"), p["y"].alias("y"))))
+    two = one.withColumn("rings", moved).withColumn("part", F.lit(1))
+    both = with_geometry(one.unionByName(two).withColumn("region_id", F.col("region_id") + _ID_SHIFT))
+    return G.grid_cells(both, _GRID, _GRID - _STEP).select("grid_id", "region_id", "part", "ix", "iy")
 
 
 @register("grid_branch", f"""
@@ -232,11 +296,11 @@ ra AS (SELECT region_id, ring, abs(sum(x1 * y2 - x2 * y1) / 2.0) AS a FROM ce GR
 area AS (SELECT region_id, sum(CASE WHEN ring = 0 THEN a ELSE -a END) AS area FROM ra GROUP BY region_id),
 big AS (SELECT region_id FROM area WHERE area > 1e8),
 {_sql_grid_cells("region_id IN (SELECT region_id FROM big)")}
-SELECT region_id * 1099511627776 + (CAST(ix AS BIGINT) + 1) * 1048576 + (CAST(iy AS BIGINT) + 1) AS grid_id,
+SELECT concat(region_id, ':0:', ix, ':', iy) AS grid_id,
        region_id, ix, iy, cx0 AS minx, cy0 AS miny, cx1 AS maxx, cy1 AS maxy
 FROM kept
 UNION ALL
-SELECT cb.region_id * 1099511627776 AS grid_id, cb.region_id, -1, -1, cb.minx, cb.miny, cb.maxx, cb.maxy
+SELECT concat(cb.region_id, ':0:-1:-1') AS grid_id, cb.region_id, -1, -1, cb.minx, cb.miny, cb.maxx, cb.maxy
 FROM cb JOIN area ON cb.region_id = area.region_id WHERE NOT (area.area > 1e8)
 """)
 def grid_branch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -247,7 +311,7 @@ def grid_branch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("sample_grids", f"""
 WITH {_CR}, {_sql_grid_cells()},
-ids AS (SELECT region_id * 1099511627776 + (CAST(ix AS BIGINT) + 1) * 1048576 + (CAST(iy AS BIGINT) + 1) AS grid_id,
+ids AS (SELECT concat(region_id, ':0:', ix, ':', iy) AS grid_id,
                region_id FROM kept)
 SELECT grid_id, region_id FROM ids ORDER BY md5(concat(CAST(grid_id AS VARCHAR), ':', '7')), grid_id LIMIT 50
 """)
@@ -327,6 +391,17 @@ def utm_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return u.select("event_id", F.round(lon, 6).alias("lon"), F.round(lat, 6).alias("lat"))
 
 
+@register("utm_xy", f"""
+WITH {fx.SQL_EVENTS_LONLAT}, {fx.sql_utm("ll", "lon", "lat", "43", "event_id")}
+SELECT event_id, round(e, 2) AS easting, round(n, 2) AS northing FROM utm
+""")
+def utm_xy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Geographic → UTM zone 43N (G3): easting and northing themselves."""
+    from ..operators.regions import transform_points
+    e, n = transform_points(F.col("lon"), F.col("lat"), 4326, 32643)
+    return fx.events_lonlat(spark, sf_dir).select("event_id", F.round(e, 2).alias("easting"), F.round(n, 2).alias("northing"))
+
+
 @register("tiled_clip", ORACLE["region_class_counts"])
 def tiled_clip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pixels in a tile-partitioned table (S7) clipped to regions (P4) with dynamic partition pruning:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..operators import cube, metrics, prep, raster
@@ -13,14 +14,14 @@ from .catalog import _t, register
 # Cube operators
 # ---------------------------------------------------------------------------------------------
 
-_UNNEST_EMB = """u AS (SELECT vec_id % 100 AS pixel, vec_id // 100 AS t,
+_UNNEST_EMB = """u AS (SELECT vec_id // 5 AS pixel, vec_id % 5 AS t,
                        unnest(embedding) AS v, unnest(range(0, len(embedding))) AS i FROM embeddings)"""
 
 
 @register("composite_max", f"""
 WITH {_UNNEST_EMB},
 m AS (SELECT pixel, i, max(CASE WHEN isnan(v) THEN NULL ELSE CAST(v AS DOUBLE) END) AS mv FROM u GROUP BY pixel, i),
-n AS (SELECT vec_id % 100 AS pixel, CAST(count(*) AS BIGINT) AS n_steps FROM embeddings GROUP BY 1)
+n AS (SELECT vec_id // 5 AS pixel, CAST(count(*) AS BIGINT) AS n_steps FROM embeddings GROUP BY 1)
 SELECT m.pixel, n.n_steps, round(sum(mv), 4) AS band_sum,
        round(max(CASE WHEN i = 0 THEN mv END), 6) AS band0, round(max(CASE WHEN i = 63 THEN mv END), 6) AS band63
 FROM m JOIN n ON m.pixel = n.pixel GROUP BY m.pixel, n.n_steps
@@ -34,8 +35,8 @@ def composite_max(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("composite_latest", """
-SELECT vec_id % 100 AS pixel, max(vec_id // 100) AS t,
-       round(list_sum(list_transform(arg_max(embedding, vec_id // 100), lambda x: CAST(x AS DOUBLE))), 4) AS band_sum
+SELECT vec_id // 5 AS pixel, max(vec_id % 5) AS t,
+       round(list_sum(list_transform(arg_max(embedding, vec_id % 5), lambda x: CAST(x AS DOUBLE))), 4) AS band_sum
 FROM embeddings GROUP BY 1
 """)
 def composite_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +45,21 @@ def composite_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("pixel", "t", fx.band_sum("bands").alias("band_sum"))
 
 
+@register("composite_max_128", """
+WITH u AS (SELECT vec_id // 5 AS pixel, unnest(list_concat(embedding, embedding)) AS v, unnest(range(0, 2 * len(embedding))) AS i
+           FROM embeddings),
+m AS (SELECT pixel, i, max(CASE WHEN isnan(v) THEN NULL ELSE CAST(v AS DOUBLE) END) AS mv FROM u GROUP BY pixel, i)
+SELECT pixel, CAST(count(*) AS INTEGER) AS n_bands, round(sum(mv), 4) AS band_sum,
+       round(max(CASE WHEN i = 127 THEN mv END), 6) AS band127 FROM m GROUP BY pixel
+""")
+def composite_max_128(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The composite of a 128-band cube keeps all of its bands (P5)."""
+    px = fx.embedding_pixels(spark, sf_dir).withColumn("bands", F.concat("bands", "bands"))
+    c = cube.composite_max(px, ["pixel"], "bands")
+    return c.select("pixel", F.size("bands").alias("n_bands"), fx.band_sum("bands").alias("band_sum"),
+                    F.round(F.col("bands")[127].cast("double"), 6).alias("band127"))
+
+
 def _embedding_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pack ``embeddings`` into dense 8×8 tiles of 64 pixels (each group is bounded at 64 rows)."""
     e = _t(spark, sf_dir, "embeddings").select(
@@ -118,12 +134,13 @@ def cap_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT vec_id, label, CAST(len(embedding) AS INTEGER) AS n_features FROM embeddings
 """)
 def feature_select(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cube → table (P7), dims renamed (P10), coordinates dropped (P9), features kept as one array."""
+    """Cube → table (P7), dims renamed (P10), coordinates dropped (P9), features as one vector column."""
     e = _t(spark, sf_dir, "embeddings").select(
         "vec_id", "label", "embedding", (F.col("vec_id") % 25).alias("X"), F.floor(F.col("vec_id") / 25).alias("Y"),
         F.lit(0).alias("time"), F.lit(32643).alias("spatial_ref"))
     e = cube.drop_coords(cube.rename_dims(e))
-    return e.select("vec_id", "label", F.size("embedding").alias("n_features"))
+    e = prep.features_and_target(e, "embedding", "label")
+    return e.select("vec_id", F.col("target").cast("int").alias("label"), F.size(vector_to_array("fv")).alias("n_features"))
 
 
 # ---------------------------------------------------------------------------------------------
@@ -224,10 +241,16 @@ SELECT event_id, event_type AS class_ FROM events
 ORDER BY md5(concat(CAST(event_id AS VARCHAR), ':', '42')), event_id LIMIT 100
 """)
 def shuffle_head(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Seeded shuffle then the first 100 rows (D12, D14) — planned as one top-k."""
+    """Seeded shuffle then the first 100 rows (D12) — planned as one top-k."""
     ev = _t(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("class_"))
-    keyed = ev.withColumn("_h", prep.seeded_key(["event_id"], 42))
-    return prep.head(keyed, 100, ["_h", "event_id"]).drop("_h")
+    return prep.shuffle_rows(ev, ["event_id"], 42).limit(100)
+
+
+@register("head_rows", "SELECT event_id, event_type AS class_ FROM events ORDER BY event_id LIMIT 100")
+def head_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 100 rows in key order."""
+    ev = _t(spark, sf_dir, "events").select("event_id", F.col("event_type").alias("class_"))
+    return prep.head(ev, 100, ["event_id"])
 
 
 @register("concat_tables", """
@@ -246,6 +269,16 @@ def concat_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Metrics (E1–E5) on labels: truth = quality, prediction = toxic
 # ---------------------------------------------------------------------------------------------
 
+@register("confusion_dense", """
+WITH l AS (SELECT quality AS v FROM labels UNION SELECT toxic FROM labels),
+c AS (SELECT quality AS y, toxic AS p, count(*) AS n FROM labels GROUP BY 1, 2)
+SELECT a.v AS y, b.v AS p, CAST(coalesce(c.n, 0) AS BIGINT) AS n FROM l a CROSS JOIN l b LEFT JOIN c ON c.y = a.v AND c.p = b.v
+""")
+def confusion_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Confusion matrix over the whole label set, zeros included."""
+    return metrics.confusion_dense(_t(spark, sf_dir, "labels"), "quality", "toxic")
+
+
 @register("confusion", """
 SELECT quality AS y, toxic AS p, CAST(count(*) AS BIGINT) AS n FROM labels GROUP BY 1, 2
 """)

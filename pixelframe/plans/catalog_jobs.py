@@ -12,10 +12,10 @@ from . import fixtures as fx
 from . import jobs
 from .catalog import _t, register
 from .catalog_data import _MISSING_SQL, _RASTER_SQL, _embedding_tiles, _pred_pixels
-from .catalog_models import _SQ_DIST
+from .catalog_models import _SQ_DIST, SQL_LABEL_MEANS
 
-_EXTRACT_EDGES = fx.sql_edges_values(fx.EXTRACT_POLYGONS)
-_TILE_EDGES = fx.sql_edges_values(fx.TILE_POLYGONS)
+_EXTRACT_EDGES = fx.sql_block_edges(fx.EXTRACT_POLYGONS, fx.EXTRACT_BLOCK, fx.EXTRACT_SHIFT)
+_TILE_EDGES = fx.sql_block_edges(fx.TILE_POLYGONS, fx.TILE_BLOCK, fx.TILE_SHIFT)
 
 
 # ---------------------------------------------------------------------------------------------
@@ -25,7 +25,8 @@ _TILE_EDGES = fx.sql_edges_values(fx.TILE_POLYGONS)
 @register("extract_cube", f"""
 WITH {fx.SQL_CUBE_PIXELS},
 ins AS ({fx.sql_ray_inside("cpx", "cpx.x", "cpx.y", "cpx.vec_id", _EXTRACT_EDGES)}),
-j AS (SELECT ins.region_id, cpx.x, cpx.y, cpx.embedding FROM ins JOIN cpx ON ins.vec_id = cpx.vec_id),
+j AS (SELECT ins.region_id, cpx.x, cpx.y, cpx.embedding FROM ins JOIN cpx ON ins.vec_id = cpx.vec_id
+      WHERE cpx.t >= TIMESTAMP '2024-01-01 00:00:00' AND cpx.t < TIMESTAMP '2025-08-20 00:00:00'),
 n AS (SELECT region_id, x, y, CAST(count(*) AS BIGINT) AS n_steps FROM j GROUP BY ALL),
 u AS (SELECT region_id, x, y, unnest(embedding) AS v, unnest(range(0, len(embedding))) AS i FROM j),
 m AS (SELECT region_id, x, y, i, max(CASE WHEN isnan(v) THEN NULL ELSE CAST(v AS DOUBLE) END) AS mv FROM u GROUP BY ALL)
@@ -35,7 +36,7 @@ GROUP BY m.region_id, m.x, m.y, n.n_steps
 """)
 def extract_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Regions → pixels of map year 2024 → clip → per-pixel max composite → class 1."""
-    out = jobs.extract_from_cube(fx.polygons_df(spark, fx.EXTRACT_POLYGONS), fx.cube_pixels(spark, sf_dir),
+    out = jobs.extract_from_cube(fx.extract_regions(spark, sf_dir), fx.cube_pixels(spark, sf_dir),
                                  2024, bin_size=4.0, composite="max", cls=1)
     return out.select("region_id", "x", "y", "n_steps", fx.band_sum("bands").alias("band_sum"), "class")
 
@@ -54,12 +55,12 @@ WHERE NOT list_bool_or(list_transform(tp.embedding, lambda v: v IS NULL OR isnan
 def extract_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tiles → pixel rows → clip per region → drop missing → class 2."""
     out = jobs.extract_from_tiles(_embedding_tiles(spark, sf_dir).where(F.size("data") > 0),
-                                  fx.polygons_df(spark, fx.TILE_POLYGONS), bin_size=64.0, cls=2, n_bands=64)
+                                  fx.tile_regions(spark, sf_dir), bin_size=64.0, cls=2, n_bands=64)
     return out.select("region_id", "tile_id", "row", "col", fx.band_sum("bands").alias("band_sum"), "class")
 
 
 # ---------------------------------------------------------------------------------------------
-# Map and evaluation (R1, R2, R13, E7): 1-nearest-centre model (first 10 vectors), grids of 6 with
+# Map and evaluation (R1, R2, R13, E7): nearest-centre model (the labels' means), grids of 6 with
 # overlap 1 over regions above 100 units², lattice x0 = 0, y0 = 0, res = 1.
 # ---------------------------------------------------------------------------------------------
 
@@ -73,13 +74,10 @@ def _map_inputs(spark: SparkSession, sf_dir: str):
     latest = cube.latest_layer(px.withColumn("lb", F.struct("bands", "label")), ["x", "y"], "lb", "t")
     latest = latest.select("x", "y", F.col("lb.bands").alias("bands"), F.col("lb.label").alias("label"))
     e = _t(spark, sf_dir, "embeddings")
-    centres = learn.take_centres(e, 10, "vec_id", "embedding")
-    centre_label = {r["vec_id"]: r["label"] for r in e.orderBy("vec_id").limit(10).select("vec_id", "label").collect()}
-    lab_map = F.create_map(*[x for k, v in centre_label.items() for x in (F.lit(k).cast("bigint"), F.lit(v))])
+    centres = learn.label_means(e, "label", "embedding")
 
     def predict_fn(df: DataFrame) -> DataFrame:
-        out = learn.nearest_centre(df, centres, "bands", "_centre")
-        return out.withColumn("pred", F.element_at(lab_map, F.col("_centre"))).drop("_centre")
+        return learn.nearest_centre(df, centres, "bands", "pred")
 
     return latest, predict_fn
 
@@ -89,9 +87,9 @@ _MO_KEY = 'mo.col, mo."row"'
 _MAP_SQL = f"""
 {fx.SQL_CUBE_PIXELS},
 lp AS (SELECT x, y, arg_max(embedding, step) AS emb, arg_max(label, step) AS label FROM cpx GROUP BY x, y),
-c AS (SELECT vec_id AS centre_id, embedding AS ce, label AS clabel FROM embeddings ORDER BY vec_id LIMIT 10),
-d AS (SELECT lp.x, lp.y, c.centre_id, c.clabel, {_SQ_DIST.format(a="lp.emb", b="c.ce")} AS d2 FROM lp, c),
-pr AS (SELECT x, y, CAST(clabel AS SMALLINT) AS pred FROM (
+{SQL_LABEL_MEANS},
+d AS (SELECT lp.x, lp.y, c.centre_id, {_SQ_DIST.format(a="lp.emb", b="c.ce")} AS d2 FROM lp, c),
+pr AS (SELECT x, y, CAST(centre_id AS SMALLINT) AS pred FROM (
          SELECT *, row_number() OVER (PARTITION BY x, y ORDER BY d2, centre_id) AS rn FROM d) WHERE rn = 1),
 ce AS (SELECT region_id, 0 AS ring, x1, y1, x2, y2 FROM {_EXTRACT_EDGES}),
 cb AS (SELECT region_id, min(least(x1, x2)) AS minx, min(least(y1, y2)) AS miny,
@@ -121,14 +119,14 @@ tests AS (
              THEN 1 ELSE 0 END) % 2 = 1 AS centre_in
   FROM cells c JOIN ce e ON c.region_id = e.region_id
   GROUP BY c.region_id, c.ix, c.iy, c.cx0, c.cy0, c.cx1, c.cy1),
-kept AS (SELECT region_id * 1099511627776 + (ix + 1) * 1048576 + (iy + 1) AS grid_id, cx0, cy0, cx1, cy1
+kept AS (SELECT concat(region_id, ':0:', ix, ':', iy) AS grid_id, cx0, cy0, cx1, cy1
          FROM tests WHERE any_edge OR centre_in),
 small AS (SELECT region_id FROM ar WHERE NOT (area > {_MAP_MIN_AREA!r})),
 sedges AS (SELECT ce.region_id, ce.x1, ce.y1, ce.x2, ce.y2 FROM ce JOIN small ON ce.region_id = small.region_id),
 gp AS (SELECT kept.grid_id, pr.x, pr.y, pr.pred FROM pr JOIN kept
          ON pr.x >= kept.cx0 AND pr.x < kept.cx1 AND pr.y >= kept.cy0 AND pr.y < kept.cy1
        UNION ALL
-       SELECT s.region_id * 1099511627776 AS grid_id, pr.x, pr.y, pr.pred FROM pr JOIN (
+       SELECT concat(s.region_id, ':0:-1:-1') AS grid_id, pr.x, pr.y, pr.pred FROM pr JOIN (
          {fx.sql_ray_inside("pr", "pr.x", "pr.y", "pr.x, pr.y", "sedges r")}) s ON s.x = pr.x AND s.y = pr.y),
 mo AS (SELECT CAST(floor(x) AS BIGINT) AS col, CAST(floor(0.0 - y) AS BIGINT) AS "row", x, y,
               arg_min(pred, grid_id) AS pred, min(grid_id) AS grid_id FROM gp GROUP BY ALL),
@@ -142,7 +140,7 @@ SELECT DISTINCT mo.col, mo."row", mo.pred, mo.grid_id FROM mo JOIN inreg ON mo.c
 def map_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full map: grids → pixels → predict → mosaic (lowest grid) → clip to the regions' union."""
     pixels, predict_fn = _map_inputs(spark, sf_dir)
-    regions = fx.polygons_df(spark, fx.EXTRACT_POLYGONS)
+    regions = fx.extract_regions(spark, sf_dir)
     out = jobs.save_predictions(regions, pixels, predict_fn, bin_size=4.0, x0=0.0, y0=0.0, res=1.0,
                                 min_area=_MAP_MIN_AREA, grid_size=_MAP_GRID, grid_overlap=_MAP_OVERLAP)
     return out.select("col", "row", "pred", "grid_id")
@@ -164,7 +162,7 @@ SELECT round(avg(precision), 6) AS precision, round(avg(recall), 6) AS recall, r
 def evaluate_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Map evaluation: per-grid scores against the reference (label = 8), averaged over grids."""
     pixels, predict_fn = _map_inputs(spark, sf_dir)
-    regions = fx.polygons_df(spark, fx.EXTRACT_POLYGONS)
+    regions = fx.extract_regions(spark, sf_dir)
     ref_path = scratch_path(spark, "reference")
     pixels.select(F.floor("x").alias("col"), F.floor(F.lit(0.0) - F.col("y")).alias("row"),
                   F.col("label").alias("value")).write.parquet(ref_path)
@@ -175,6 +173,102 @@ def evaluate_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select(*[F.round(c, 6).alias(c) for c in ("precision", "recall", "accuracy")], "n_groups")
 
 
+_X_TO_M = "6378137.0 * radians({x})"
+_Y_TO_M = "6378137.0 * ln(tan(pi() / 4 + radians({y}) / 2.0))"
+_REF_RES = 40000.0
+
+
+@register("evaluate_reprojected", f"""
+WITH {_MAP_SQL},
+g AS ({fx.sql_ray_inside("pr", "pr.x", "pr.y", "pr.x, pr.y", _EXTRACT_EDGES)}),
+gc AS (SELECT g.region_id, CAST(floor(pr.x) AS BIGINT) AS col, CAST(floor(0.0 - pr.y) AS BIGINT) AS "row", pr.pred
+       FROM g JOIN pr ON g.x = pr.x AND g.y = pr.y),
+rf AS (SELECT floor(({_X_TO_M.format(x="x")}) / {_REF_RES!r}) AS rc, floor((0.0 - ({_Y_TO_M.format(y="y")})) / {_REF_RES!r}) AS rr,
+              label AS value FROM lp),
+rp AS (SELECT value, CAST(floor(degrees((rc + 0.5) * {_REF_RES!r} / 6378137.0)) AS BIGINT) AS col,
+              CAST(floor(0.0 - degrees(2.0 * atan(exp((0.0 - (rr + 0.5) * {_REF_RES!r}) / 6378137.0)) - pi() / 2)) AS BIGINT) AS "row" FROM rf),
+pairs AS (SELECT gc.region_id, CAST(rp.value = 8 AS INTEGER) AS truth, CAST(gc.pred = 8 AS INTEGER) AS p
+          FROM gc JOIN rp ON gc.col = rp.col AND gc."row" = rp."row" WHERE gc.pred <> 255),
+s AS (SELECT region_id,
+             count(*) FILTER (WHERE truth = 1 AND p = 1) AS tp, count(*) FILTER (WHERE truth <> 1 AND p = 1) AS fp,
+             count(*) FILTER (WHERE truth = 1 AND p <> 1) AS fn,
+             CAST(count(*) FILTER (WHERE truth = p) AS DOUBLE) / count(*) AS accuracy FROM pairs GROUP BY region_id),
+sc AS (SELECT CASE WHEN tp + fp = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / (tp + fp) END AS precision,
+              CASE WHEN tp + fn = 0 THEN 0.0 ELSE CAST(tp AS DOUBLE) / (tp + fn) END AS recall, accuracy FROM s)
+SELECT round(avg(precision), 6) AS precision, round(avg(recall), 6) AS recall, round(avg(accuracy), 6) AS accuracy,
+       CAST(count(*) AS BIGINT) AS n_groups FROM sc
+""")
+def evaluate_reprojected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evaluation (E7) of lon/lat predictions against a web Mercator reference of another resolution.
+
+    The regions come in lon/lat; their grids are made in metres (G9; none is large enough to be split here).
+    """
+    from ..operators.regions import transform_points
+    pixels, predict_fn = _map_inputs(spark, sf_dir)
+    x, y = transform_points(F.col("x"), F.col("y"), 4326, 3857)
+    c, r = raster.to_cell(x, y, 0.0, 0.0, _REF_RES)
+    reference = pixels.select(c, r, F.col("label").alias("value"))
+    m = jobs.evaluate_predictions(fx.extract_regions(spark, sf_dir, srid=4326), pixels.drop("label"), reference, predict_fn,
+                                  bin_size=4.0, x0=0.0, y0=0.0, res=1.0, target=8, positive=8, min_area=1e30,
+                                  pixel_srid=4326, ref_lattice=(0.0, 0.0, _REF_RES), ref_srid=3857)
+    return m.select(*[F.round(c, 6).alias(c) for c in ("precision", "recall", "accuracy")], "n_groups")
+
+
+@register("rf_map_job", f"""
+WITH {_MAP_SQL}
+SELECT DISTINCT mo.col, mo."row", mo.grid_id FROM mo JOIN inreg ON mo.col = inreg.col AND mo."row" = inreg."row"
+""")
+def rf_map_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forest fitted on features (M1), saved, loaded (S12) and applied to the unlabelled pixels' bands."""
+    f = _t(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("pixel_id"), F.col("embedding").alias("features"),
+                                               F.col("label").alias("class_"))
+    path = scratch_path(spark, "map-model")
+    learn.save_model(learn.fit_random_forest(f, 64, num_trees=20, max_depth=8), path)
+    model = learn.load_model(path)
+    pixels, _ = _map_inputs(spark, sf_dir)
+    out = jobs.save_predictions(fx.extract_regions(spark, sf_dir), pixels.drop("label"),
+                                lambda df: learn.predict(model, df, "pred", features="bands", on_missing=0),
+                                bin_size=4.0, x0=0.0, y0=0.0, res=1.0, min_area=_MAP_MIN_AREA, grid_size=_MAP_GRID,
+                                grid_overlap=_MAP_OVERLAP)
+    return out.where("pred is not null").select("col", "row", "grid_id")
+
+
+@register("extract_utm", f"""
+WITH {fx.SQL_EVENTS_LONLAT}, {fx.sql_utm("ll", "lon", "lat", "43", "event_id", "pu")},
+pe AS (SELECT * FROM {fx.sql_edges_values(fx.LONLAT_POLYGONS, "v")}),
+{fx.sql_utm("pe", "x1", "y1", "43", "region_id, x1, y1, x2, y2", "a")},
+{fx.sql_utm("pe", "x2", "y2", "43", "region_id, x1, y1, x2, y2", "b")},
+r AS (SELECT a.region_id, a.e AS x1, a.n AS y1, b.e AS x2, b.n AS y2 FROM a JOIN b USING (region_id, x1, y1, x2, y2)),
+ins AS ({fx.sql_ray_inside("pu", "pu.e", "pu.n", "pu.event_id, pu.e, pu.n", "r")})
+SELECT DISTINCT region_id, round(e, 2) AS x, round(n, 2) AS y, 3 AS class FROM ins
+""")
+def extract_utm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions in lon/lat over pixels in UTM 43N: the polygons are brought to the pixels."""
+    from ..operators.regions import transform_points
+    ev = fx.events_lonlat(spark, sf_dir)
+    e, n = transform_points(F.col("lon"), F.col("lat"), 4326, 32643)
+    pixels = ev.select(e.alias("x"), n.alias("y"), "t", F.array(F.col("lat").cast("float")).alias("bands"))
+    regions = fx.polygons_df(spark, fx.LONLAT_POLYGONS).withColumn("srid", F.lit(4326))
+    out = jobs.extract_from_cube(regions, pixels, None, bin_size=50_000.0, composite="latest", cls=3, pixel_srid=32643)
+    return out.select("region_id", F.round("x", 2).alias("x"), F.round("y", 2).alias("y"), "class").distinct()
+
+
+@register("train_from_extract", f"""
+WITH {fx.SQL_CUBE_PIXELS},
+ins AS ({fx.sql_ray_inside("cpx", "cpx.x", "cpx.y", "cpx.vec_id", _EXTRACT_EDGES)}),
+px AS (SELECT DISTINCT ins.region_id, cpx.x, cpx.y FROM ins JOIN cpx ON ins.vec_id = cpx.vec_id)
+SELECT CAST(region_id % 2 = 0 AS INTEGER) AS class_, CAST(count(*) AS BIGINT) AS n_rows, 64 AS width FROM px GROUP BY 1, 3
+""")
+def train_from_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extraction handed over to training (P14 → D1): two classes of regions, one labelled feature table."""
+    from ..operators import prep
+    regions, pixels = fx.extract_regions(spark, sf_dir), fx.cube_pixels(spark, sf_dir)
+    tables_ = {name: jobs.training_rows(jobs.extract_from_cube(regions.where(F.col("region_id") % 2 == odd), pixels, None, 4.0), name)
+               for name, odd in (("odd", 1), ("even", 0))}
+    data, _ = prep.label_union(tables_)
+    return data.groupBy("class_", F.size("features").alias("width")).agg(F.count_distinct("pixel_id").alias("n_rows"))
+
+
 # ---------------------------------------------------------------------------------------------
 # Sources and sinks (S1–S7, S10) — written to a fresh folder under the shared checkpoint folder
 # ---------------------------------------------------------------------------------------------
@@ -295,13 +389,13 @@ area AS (SELECT region_id, sum(CASE WHEN ring = 0 THEN a ELSE -a END) AS area FR
 sb AS (SELECT k AS region_id, min(degrees(x / {_R})) AS minx, min({_LAT.format(v="y")}) AS miny,
               max(degrees(x / {_R})) AS maxx, max({_LAT.format(v="y")}) AS maxy
        FROM cvm GROUP BY k)
-SELECT region_id * 1099511627776 + (CAST(ix AS BIGINT) + 1) * 1048576 + (CAST(iy AS BIGINT) + 1) AS grid_id,
+SELECT concat(region_id, ':0:', ix, ':', iy) AS grid_id,
        region_id, ix, iy,
        round(degrees(cx0 / {_R}), 6) AS minx, round({_LAT.format(v="cy0")}, 6) AS miny,
        round(degrees(cx1 / {_R}), 6) AS maxx, round({_LAT.format(v="cy1")}, 6) AS maxy
 FROM kept
 UNION ALL
-SELECT sb.region_id * 1099511627776, sb.region_id, -1, -1, round(sb.minx, 6), round(sb.miny, 6), round(sb.maxx, 6), round(sb.maxy, 6)
+SELECT concat(sb.region_id, ':0:-1:-1'), sb.region_id, -1, -1, round(sb.minx, 6), round(sb.miny, 6), round(sb.maxx, 6), round(sb.maxy, 6)
 FROM sb JOIN area ON sb.region_id = area.region_id WHERE NOT (area.area > 1e8)
 """)
 def region_grids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -329,6 +423,20 @@ def tile_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("n_pixels"), F.round(F.sum(fx.band_sum("bands", 12)), 4).alias("band_sum"))
 
 
+@register("tile_at", """
+SELECT vec_id, vec_id // 64 AS tile_id FROM embeddings
+WHERE abs(10.0 + CAST((vec_id // 64) // 4 AS DOUBLE) * 0.1 - 10.1) < 1e-9 AND (vec_id // 64) % 4 = 2
+""")
+def tile_at(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One dense tile by its lat, lon and year."""
+    path = scratch_path(spark, "tile-at")
+    e = _t(spark, sf_dir, "embeddings").select("vec_id", F.floor(F.col("vec_id") / 64).alias("tile_id"))
+    (e.withColumn("tile_lat", F.lit(10.0) + F.floor(F.col("tile_id") / 4).cast("double") * 0.1)
+     .withColumn("tile_lon", F.lit(70.0) + (F.col("tile_id") % 4).cast("double") * 0.1)
+     .withColumn("year", F.lit(2024)).write.partitionBy("year").parquet(path))
+    return tables.read_tiles(spark, path, 10.1, 70.2, 2024).select("vec_id", "tile_id")
+
+
 @register("stream_extract", f"""
 SELECT ins.event_id, ins.region_id, ev.event_type AS class FROM (
   SELECT ev.event_id, r.region_id
@@ -347,8 +455,9 @@ def stream_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     pts.repartition(4, "event_id").write.parquet(src)
     out = scratch_path(spark, "stream-out")
     schema = "event_id bigint, x double, y double, t timestamp_ntz, class string, bands array<float>"
-    q = extract_stream.start_extraction(spark, src, schema, fx.probe_regions(spark), 25.0, out, year=None)
-    q.awaitTermination(600)
+    q = extract_stream.start_extraction(spark, src, schema, fx.probe_regions(spark), 25.0, out, year=None,
+                                        checkpoint=out + "-ckpt")
+    q.awaitTermination()  # until all files are read: a part of them is not the result
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return spark.read.parquet(out).select("event_id", "region_id", "class")

@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from ..operators import dbscan as DB
 from ..operators import learn, metrics, prep
 from ..session import scratch_path
+from ..sources import tables
 from .catalog import _t, register
+from .catalog_data import _REPORT_SQL
 
 # DBSCAN settings for the driver's embedding table (eps 0.5 leaves every point as noise).
 DBSCAN_EPS = 1.15
 DBSCAN_MIN_SAMPLES = 4
-N_CENTRES = 10
 
 _SQ_DIST = """list_sum(list_transform(range(1, len({a}) + 1),
                   lambda i: (CAST({a}[i] AS DOUBLE) - CAST({b}[i] AS DOUBLE)) * (CAST({a}[i] AS DOUBLE) - CAST({b}[i] AS DOUBLE))))"""
@@ -24,16 +25,24 @@ def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("vec_id").alias("pixel_id"), F.col("embedding").alias("features"), F.col("label").alias("class_"))
 
 
+# The mean vector of each label over the whole table, as a model of nearest centres.
+SQL_LABEL_MEANS = """c AS (SELECT CAST(label AS BIGINT) AS centre_id, list(m ORDER BY i) AS ce FROM (
+       SELECT label, i, avg(v) AS m FROM (SELECT label, CAST(unnest(embedding) AS DOUBLE) AS v, unnest(range(0, len(embedding))) AS i
+                                          FROM embeddings WHERE label IS NOT NULL) GROUP BY label, i) GROUP BY label)"""
+_IS_TEST = "substr(md5(concat(CAST({id} AS VARCHAR), ':42')), 1, 8) < '4ccccccc'"
+_SUMMARY_ROWS = "(VALUES ('accuracy'), ('macro avg'), ('weighted avg')) AS s(label)"
+
+
 @register("kmeans_assign", f"""
-WITH c AS (SELECT vec_id AS centre_id, embedding AS ce FROM embeddings ORDER BY vec_id LIMIT {N_CENTRES}),
+WITH {SQL_LABEL_MEANS},
 d AS (SELECT e.vec_id, c.centre_id, {_SQ_DIST.format(a="e.embedding", b="c.ce")} AS d2 FROM embeddings e, c),
 r AS (SELECT vec_id, centre_id, row_number() OVER (PARTITION BY vec_id ORDER BY d2, centre_id) AS rn FROM d)
 SELECT vec_id, centre_id FROM r WHERE rn = 1
 """)
 def kmeans_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nearest-centre assignment (M4) with the first 10 vectors as centres; ties to the lowest id."""
+    """Nearest-centre assignment (M4) with the labels' mean vectors as centres; ties to the lowest label."""
     e = _t(spark, sf_dir, "embeddings")
-    centres = learn.take_centres(e, N_CENTRES, "vec_id", "embedding")
+    centres = learn.label_means(e, "label", "embedding")
     return learn.nearest_centre(e, centres, "embedding", "centre_id").select("vec_id", "centre_id")
 
 
@@ -44,30 +53,65 @@ def _rf_split(spark: SparkSession, sf_dir: str):
     return model, test
 
 
-@register("rf_predict")
+@register("rf_predict", f"""
+SELECT vec_id AS pixel_id, label AS class_, 1 AS valid FROM embeddings WHERE {_IS_TEST.format(id="vec_id")}
+""")
 def rf_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Random forest fit on the 70 % split (M1) and prediction of the 30 % split (M2)."""
+    """Random forest fit on the 70 % split (M1) and prediction of the 30 % split, without its label (M2).
+
+    The SQL knows the rows; which class a forest gives is its own, so the query tells whether it is one.
+    """
     model, test = _rf_split(spark, sf_dir)
-    return learn.predict(model, test, "pred").select("pixel_id", "class_", "pred")
+    classes = [r[0] for r in test.sparkSession.read.parquet(f"{sf_dir}/embeddings.parquet").select("label").distinct().collect()]
+    pred = learn.predict(model, test.drop("class_"), "pred")
+    return (pred.join(test.select("pixel_id", "class_"), "pixel_id")
+            .select("pixel_id", "class_", F.col("pred").isin(classes).cast("int").alias("valid")))
 
 
-@register("rf_report")
+def _supports(report: DataFrame) -> DataFrame:
+    """What SQL can tell of a report on a fitted model: labels, supports, and that the scores are shares."""
+    share = F.lit(True)
+    for c in ("precision", "recall", "f1_score"):
+        share = share & F.coalesce(F.col(c).between(0.0, 1.0), F.lit(True))
+    return report.where("support > 0").select("label", "support", share.cast("int").alias("shares"))
+
+
+@register("rf_report", f"""
+WITH t AS (SELECT label FROM embeddings WHERE {_IS_TEST.format(id="vec_id")})
+SELECT CAST(label AS VARCHAR) AS label, CAST(count(*) AS BIGINT) AS support, 1 AS shares FROM t GROUP BY label
+UNION ALL SELECT s.label, CAST((SELECT count(*) FROM t) AS BIGINT), 1 FROM {_SUMMARY_ROWS}
+""")
 def rf_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Classification report of the forest on the test split."""
+    """Classification report of the forest on the test split (E6): its labels and supports."""
     model, test = _rf_split(spark, sf_dir)
-    return metrics.classification_report(learn.predict(model, test, "pred"), "class_", "pred")
+    return _supports(metrics.classification_report(learn.predict(model, test, "pred"), "class_", "pred"))
 
 
-@register("kmeans_fit")
+@register("kmeans_fit", "SELECT vec_id AS pixel_id, 1 AS at_nearest FROM embeddings")
 def kmeans_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K-means with k = 10 (M3), then the cluster × label contingency table."""
+    """K-means with k = 10 (M3): every row is in the cluster of its nearest fitted centre."""
     f = _features(spark, sf_dir)
     model = learn.fit_kmeans(f, 64, 10, "features", seed=42)
-    pred = learn.predict(model, f, "cluster")
-    return metrics.confusion(pred, "class_", "cluster")
+    centres = [(i, list(map(float, c))) for i, c in enumerate(model.stages[-1].clusterCenters())]  # k of them
+    both = learn.nearest_centre(learn.predict(model, f, "cluster"), centres, "features", "nearest")
+    return both.select("pixel_id", (F.col("cluster") == F.col("nearest")).cast("int").alias("at_nearest"))
 
 
-@register("model_roundtrip")
+@register("kmeans_report", f"""
+SELECT CAST(label AS VARCHAR) AS label, CAST(count(*) AS BIGINT) AS support, 1 AS shares FROM embeddings GROUP BY label
+UNION ALL SELECT s.label, CAST((SELECT count(*) FROM embeddings) AS BIGINT), 1 FROM {_SUMMARY_ROWS}
+""")
+def kmeans_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report of K-means with each cluster read as its most frequent label: its labels and supports."""
+    f = _features(spark, sf_dir)
+    pred = learn.predict(learn.fit_kmeans(f, 64, 10, "features", seed=42), f, "cluster")
+    named = learn.majority_labels(pred).withColumnRenamed("class_", "pred")
+    return _supports(metrics.classification_report(pred.join(named, "cluster"), "class_", "pred"))
+
+
+@register("model_roundtrip", f"""
+SELECT vec_id AS pixel_id, 1 AS same FROM embeddings WHERE {_IS_TEST.format(id="vec_id")}
+""")
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Save and load the fitted pipeline (S12); predictions before and after must agree."""
     model, test = _rf_split(spark, sf_dir)
@@ -76,16 +120,22 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     loaded = learn.load_model(path)
     a = learn.predict(model, test, "pred").select("pixel_id", "pred")
     b = learn.predict(loaded, test, "pred_loaded").select("pixel_id", "pred_loaded")
-    return a.join(b, "pixel_id").withColumn("same", (F.col("pred") == F.col("pred_loaded")).cast("int"))
+    return a.join(b, "pixel_id").select("pixel_id", (F.col("pred") == F.col("pred_loaded")).cast("int").alias("same"))
 
 
-@register("report_roundtrip")
+@register("report_roundtrip", f"""
+WITH rep AS ({_REPORT_SQL}),
+f AS (SELECT label, support, printf('%.2f', precision) AS p, printf('%.2f', recall) AS r, printf('%.2f', f1_score) AS f1 FROM rep)
+SELECT lpad('', 12, ' ') || ' precision    recall  f1-score   support' AS value
+UNION ALL SELECT lpad(label, 12, ' ') || ' ' || lpad(coalesce(p, ''), 9, ' ') || ' ' || lpad(coalesce(r, ''), 9, ' ') || ' '
+                 || lpad(f1, 9, ' ') || ' ' || lpad(CAST(support AS VARCHAR), 9, ' ') FROM f
+""")
 def report_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the text report (S11) and read it back as lines."""
     rep = metrics.classification_report(_t(spark, sf_dir, "labels"), "quality", "toxic")
     text = metrics.format_report(rep)
     path = scratch_path(spark, "report")
-    spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    tables.write_report(spark, text, path)
     return spark.read.text(path).where(F.length(F.trim("value")) > 0)
 
 
@@ -128,7 +178,16 @@ def dbscan_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("id", F.col("cluster").cast("bigint").alias("cluster"))
 
 
-@register("train_job")
+@register("train_job", f"""
+WITH o AS (SELECT label, dense_rank() OVER (ORDER BY label) - 1 AS k FROM (SELECT DISTINCT label FROM embeddings)),
+r AS (SELECT e.vec_id, o.k, count(*) OVER (PARTITION BY o.k) AS n,
+             row_number() OVER (PARTITION BY o.k ORDER BY md5(concat(CAST(e.vec_id AS VARCHAR), ':42')), e.vec_id) AS rn
+      FROM embeddings e JOIN o USING (label)),
+kept AS (SELECT vec_id AS id, k FROM r WHERE rn <= (SELECT min(n) FROM r) UNION ALL SELECT -i - 1, 5 FROM range(50) AS b(i)),
+t AS (SELECT k FROM kept WHERE {_IS_TEST.format(id="id")})
+SELECT CAST(k AS VARCHAR) AS label, CAST(count(*) AS BIGINT) AS support, 1 AS shares FROM t GROUP BY k
+UNION ALL SELECT s.label, CAST((SELECT count(*) FROM t) AS BIGINT), 1 FROM {_SUMMARY_ROWS}
+""")
 def train_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training plan (§3.2): one table per class → label union (D1) → drop missing (D3) → balance
     → background rows (D4) → split (D10) → validate (D11) → forest (M1) → predict (M2) → report (E5)."""
@@ -137,4 +196,4 @@ def train_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = [r["class_"] for r in f.select("class_").distinct().orderBy("class_").collect()]  # class names (≤ classes)
     tables = {f"class_{c}": f.where(F.col("class_") == c).drop("class_") for c in labels}
     res = train_random_forest(tables, ["pixel_id"], 64, background=5, downsample=True, num_trees=100, max_depth=15)
-    return res.report
+    return _supports(res.report)

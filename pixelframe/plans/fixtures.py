@@ -41,9 +41,7 @@ def closed(ring):
 
 def probe_regions(spark: SparkSession) -> DataFrame:
     """The probe polygons as a regions table (region_id, part, rings, edges, bounds, srid)."""
-    rows = [(rid, 0, [[{"x": float(x), "y": float(y)} for x, y in closed(r)]], 0) for rid, r in PROBE_POLYGONS.items()]
-    df = spark.createDataFrame(rows, "region_id bigint, part int, rings array<array<struct<x:double,y:double>>>, srid int")
-    return with_geometry(df)
+    return polygons_df(spark, PROBE_POLYGONS)
 
 
 def sql_edges_values(polys=None, alias: str = "r") -> str:
@@ -158,10 +156,10 @@ def events_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select("event_id", F.col("event_type").alias("class_"), F.array(f0, f1, f2).alias("features"))
 
 
-def embedding_pixels(spark: SparkSession, sf_dir: str, n_pixels: int = 100) -> DataFrame:
-    """``embeddings`` as a cube: pixel = vec_id % n_pixels, time step t = vec_id div n_pixels."""
+def embedding_pixels(spark: SparkSession, sf_dir: str, n_steps: int = 5) -> DataFrame:
+    """``embeddings`` as a cube: pixel = vec_id div n_steps, time step t = vec_id % n_steps."""
     e = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    return e.select((F.col("vec_id") % n_pixels).alias("pixel"), F.floor(F.col("vec_id") / n_pixels).alias("t"),
+    return e.select(F.floor(F.col("vec_id") / n_steps).alias("pixel"), (F.col("vec_id") % n_steps).alias("t"),
                     "vec_id", F.col("embedding").alias("bands"), "label")
 
 
@@ -169,18 +167,41 @@ def band_sum(arr: str = "bands", digits: int = 4):
     return F.round(F.aggregate(arr, F.lit(0.0), lambda a, b: a + b.cast("double")), digits)
 
 
-# Regions of the extraction / map queries, in pixel units of the embedding cube
-# (x = pixel % 25 + 0.5, y = pixel div 25 + 0.5 with pixel = vec_id % 250).
+# Regions of the extraction / map queries, in pixel units, for one block of 250 pixel
+# positions; every block has its own copies, 30 units further on (region_id = 2·block + number).
 EXTRACT_POLYGONS = {
     1: [(2.2, 1.3), (20.7, 3.1), (15.4, 8.8), (4.1, 7.6)],
     2: [(10.6, 0.2), (24.8, 0.4), (24.6, 9.7), (18.3, 4.4), (10.9, 9.6)],
 }
+EXTRACT_BLOCK, EXTRACT_SHIFT = 1000, 30.0  # vectors of a block (4 time steps of 250 positions), its width
 
-# Regions of the tile queries, in the tiles' affine coordinates.
+# Regions of the tile queries, in the tiles' affine coordinates, for one block of 8 tiles.
 TILE_POLYGONS = {
     1: [(5.0, 925.0), (300.0, 930.0), (250.0, 995.0), (20.0, 990.0)],
     2: [(280.0, 922.0), (600.0, 940.0), (500.0, 998.0)],
 }
+TILE_BLOCK, TILE_SHIFT = 512, 640.0
+
+
+def block_regions(spark: SparkSession, sf_dir: str, polys: dict, block: int, shift: float, srid: int = 0) -> DataFrame:
+    """A copy of the polygons for each block of ``block`` vectors, ``shift`` further on in x."""
+    e = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    blocks = e.select(F.floor(F.col("vec_id") / block).alias("b")).distinct()
+    shapes = F.array(*[F.struct(F.lit(rid).cast("bigint").alias("n"), F.array(*[
+        F.struct(F.lit(float(x)).alias("x"), F.lit(float(y)).alias("y")) for x, y in closed(r)]).alias("ring"))
+        for rid, r in polys.items()])
+    df = blocks.withColumn("s", F.explode(shapes))
+    ring = F.transform("s.ring", lambda p: F.struct((p["x"] + F.lit(float(shift)) * F.col("b")).alias("x"), p["y"].alias("y")))
+    df = df.select((F.col("b") * 2 + F.col("s.n")).alias("region_id"), F.lit(0).alias("part"), F.array(ring).alias("rings"),
+                   F.lit(srid).alias("srid"))
+    return materialize(with_geometry(df))
+
+
+def sql_block_edges(polys: dict, block: int, shift: float, alias: str = "r") -> str:
+    """``(region_id, x1, y1, x2, y2)`` of :func:`block_regions` as a SQL subquery."""
+    return f"""(SELECT b.b * 2 + v.region_id AS region_id, v.x1 + {float(shift)!r} * b.b AS x1, v.y1,
+                       v.x2 + {float(shift)!r} * b.b AS x2, v.y2
+                FROM (SELECT DISTINCT vec_id // {block} AS b FROM embeddings) b, {sql_edges_values(polys, "v")}) AS {alias}"""
 
 
 def polygons_df(spark: SparkSession, polys: dict) -> DataFrame:
@@ -189,20 +210,83 @@ def polygons_df(spark: SparkSession, polys: dict) -> DataFrame:
     return with_geometry(df)
 
 
+def extract_regions(spark: SparkSession, sf_dir: str, srid: int = 0) -> DataFrame:
+    return block_regions(spark, sf_dir, EXTRACT_POLYGONS, EXTRACT_BLOCK, EXTRACT_SHIFT, srid)
+
+
+def tile_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_regions(spark, sf_dir, TILE_POLYGONS, TILE_BLOCK, TILE_SHIFT)
+
+
 def cube_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``embeddings`` as a pixel cube: 250 pixel positions on a 25-wide lattice, one day per layer."""
+    """``embeddings`` as a pixel cube: four vectors a pixel, 250 positions a block on a 25-wide lattice.
+
+    Times lie from mid 2023 to early 2026, so a map year's window rejects some.
+    """
     e = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    pixel = F.col("vec_id") % 250
+    pixel, step = F.floor(F.col("vec_id") / 4), F.col("vec_id") % 4
+    place, block = pixel % 250, F.floor(pixel / 250)
     return e.select("vec_id", "label",
-                    ((pixel % 25).cast("double") + 0.5).alias("x"),
-                    (F.floor(pixel / 25).cast("double") + 0.5).alias("y"),
-                    F.timestamp_add("DAY", F.floor(F.col("vec_id") / 250).cast("int"),
-                                    F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")).alias("t"),
+                    ((place % 25).cast("double") + 0.5 + F.lit(EXTRACT_SHIFT) * block).alias("x"),
+                    (F.floor(place / 25).cast("double") + 0.5).alias("y"),
+                    F.timestamp_add("DAY", (step * 200 + pixel % 400).cast("int"),
+                                    F.lit("2023-07-01 00:00:00").cast("timestamp_ntz")).alias("t"),
                     F.col("embedding").alias("bands"))
 
 
-SQL_CUBE_PIXELS = """cpx AS (SELECT vec_id, label, CAST(vec_id % 250 % 25 AS DOUBLE) + 0.5 AS x,
-                      CAST((vec_id % 250) // 25 AS DOUBLE) + 0.5 AS y, vec_id // 250 AS step, embedding FROM embeddings)"""
+SQL_CUBE_PIXELS = f"""cpx AS (SELECT vec_id, label,
+                      CAST(vec_id // 4 % 250 % 25 AS DOUBLE) + 0.5 + {EXTRACT_SHIFT!r} * (vec_id // 4 // 250) AS x,
+                      CAST((vec_id // 4 % 250) // 25 AS DOUBLE) + 0.5 AS y, vec_id % 4 AS step,
+                      TIMESTAMP '2023-07-01 00:00:00' + to_days(CAST(vec_id % 4 * 200 + vec_id // 4 % 400 AS INTEGER)) AS t,
+                      embedding FROM embeddings)"""
+
+
+def sql_utm(src: str, lon: str, lat: str, zone: str, keep: str, out: str = "utm") -> str:
+    """CTEs that end in ``out (keep, e, n)``: easting and northing (north) by the Krüger series on WGS84."""
+    f = 1 / 298.257223563
+    n = f / (2 - f)
+    k0a = 0.9996 * 6378137.0 / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+    al = (n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16, 13 * n**2 / 48 - 3 * n**3 / 5, 61 * n**3 / 240)
+    c = 2 * n**0.5 / (1 + n)
+    es = " + ".join(f"{a!r} * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, a in enumerate(al, 1))
+    ns = " + ".join(f"{a!r} * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, a in enumerate(al, 1))
+    return f"""{out}0 AS (SELECT {keep}, radians({lat}) AS phi, radians({lon}) - radians(({zone} - 1) * 6.0 - 177.0) AS dl FROM {src}),
+    {out}1 AS (SELECT *, sinh(atanh(sin(phi)) - {c!r} * atanh({c!r} * sin(phi))) AS tt FROM {out}0),
+    {out}2 AS (SELECT *, atan(tt / cos(dl)) AS xi, atanh(sin(dl) / sqrt(1.0 + tt * tt)) AS eta FROM {out}1),
+    {out} AS (SELECT {keep}, 500000.0 + {k0a!r} * (eta + {es}) AS e, {k0a!r} * (xi + {ns}) AS n FROM {out}2)"""
+
+
+# Regions in lon/lat over the events' places (lon = 72 + user_id / 25, lat = value / 10).
+LONLAT_POLYGONS = {
+    1: [(72.5, 5.0), (75.0, 6.0), (74.5, 20.0), (73.0, 18.0)],
+    2: [(75.2, 10.1), (77.6, 12.2), (76.9, 40.3), (75.9, 25.4), (75.4, 30.2)],
+}
+# Centres (centre_id, lon, lat) in two UTM zones, and the radius in metres.
+LONLAT_CENTRES = [(1, 73.61, 9.37), (2, 76.25, 24.13), (3, 77.93, 31.71)]
+LONLAT_RADIUS = 90_000.0
+SQL_EVENTS_LONLAT = ("ll AS (SELECT event_id, 72.0 + CAST(user_id AS DOUBLE) / 25.0 AS lon, value / 10.0 AS lat FROM events)")
+
+
+def events_lonlat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as points in lon/lat."""
+    return spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        "event_id", (F.lit(72.0) + F.col("user_id").cast("double") / 25.0).alias("lon"), (F.col("value") / 10.0).alias("lat"),
+        F.col("ts").alias("t"))
+
+
+def order_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``orders`` as points among the customer regions: one for each order."""
+    k, o = F.col("o_custkey"), F.col("o_orderkey")
+    return spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        o.alias("o_orderkey"),
+        ((k % 97).cast("double") * 30000.0 + ((o % 200) - 100).cast("double") * 100.0 + 37.3).alias("x"),
+        ((k % 25).cast("double") * 60000.0 + (k % 7).cast("double") * 5000.0 + ((o % 150) - 75).cast("double") * 100.0 + 11.9).alias("y"))
+
+
+SQL_ORDER_POINTS = """op AS (SELECT o_orderkey,
+    CAST(o_custkey % 97 AS DOUBLE) * 30000.0 + CAST(o_orderkey % 200 - 100 AS DOUBLE) * 100.0 + 37.3 AS x,
+    CAST(o_custkey % 25 AS DOUBLE) * 60000.0 + CAST(o_custkey % 7 AS DOUBLE) * 5000.0
+      + CAST(o_orderkey % 150 - 75 AS DOUBLE) * 100.0 + 11.9 AS y FROM orders)"""
 
 
 def sql_ray_inside(points: str, px: str, py: str, key: str, edges: str) -> str:

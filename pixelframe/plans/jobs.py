@@ -13,48 +13,80 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import cube, grid, learn, metrics, prep, raster, spatial
+from ..operators import regions as R
 from ..session import materialize
 
 
+def in_pixel_crs(regions: DataFrame, pixel_srid: int | None) -> DataFrame:
+    """Regions in the CRS of the pixels (G2, G3); without ``pixel_srid`` both share one plane already."""
+    return regions if pixel_srid is None else R.reproject(regions, pixel_srid)
+
+
 def extract_from_cube(regions: DataFrame, pixels: DataFrame, year: int | None, bin_size: float,
                       composite: str = "max", cls: int | None = None, clip: bool = True,
-                      n_bands: int = 64, region_cols: list[str] | None = None,
-                      tiles: tuple[str, str, float] | None = None) -> DataFrame:
+                      n_bands: int | None = None, region_cols: list[str] | None = None,
+                      tiles: tuple[str, str, float] | None = None, pixel_srid: int | None = None,
+                      tie: str | None = None) -> DataFrame:
     """Regions → pixels inside → temporal composite → label.
 
-    ``pixels``: ``(x, y, t, bands)``.  ``clip=False`` keeps the whole bounding box with NULL bands
-    outside the polygon (the masked form).  Failed/empty regions simply contribute no rows; use
-    :func:`spatial.coverage_report` to list them (P13).  With ``tiles`` (tile-partitioned pixel table)
-    only the tile folders some region touches are read (dynamic partition pruning).
+    ``pixels``: ``(x, y, t, bands)`` in the CRS ``pixel_srid``, to which the regions are brought.
+    ``clip=False`` keeps the whole bounding box with NULL bands outside the polygon (the masked form).
+    Failed/empty regions simply contribute no rows; use :func:`spatial.coverage_report` to list them
+    (P13).  With ``tiles`` (tile-partitioned pixel table) only the tile folders some region touches are
+    read (dynamic partition pruning).  ``tie`` decides between layers of one time.
     """
     region_cols = list(region_cols or ["region_id"])
+    regions = in_pixel_crs(regions, pixel_srid)
     px = cube.filter_dates(pixels, year, "t") if year is not None else pixels
-    if clip:
-        joined = spatial.spatial_join(px, regions, bin_size, how="inner", region_cols=region_cols, tiles=tiles)
-    else:
-        joined = spatial.spatial_join(px, regions, bin_size, how="mask", region_cols=region_cols)
+    how = "inner" if clip else "mask"
+    joined = spatial.spatial_join(px, regions, bin_size, how=how, region_cols=region_cols, tiles=tiles)
+    if not clip:
         joined = joined.withColumn("bands", F.when(F.col("_inside"), F.col("bands"))).drop("_inside")
-    keys = [*region_cols, "x", "y"]
-    if composite == "max":
-        out = cube.composite_max(joined, keys, "bands", n_bands, "t")
-    else:
-        out = cube.latest_layer(joined, keys, "bands", "t")
+    out = cube.composite(joined, [*region_cols, "x", "y"], "bands", n_bands, "t", composite, tie)
     return cube.add_class(out, cls)
 
 
 def extract_from_tiles(tiles: DataFrame, regions: DataFrame, bin_size: float, cls: int | None = None,
                        tile_keys: list[str] | None = None, region_cols: list[str] | None = None,
-                       n_bands: int | None = None) -> DataFrame:
+                       n_bands: int | None = None, pixel_srid: int | None = None) -> DataFrame:
     """Tiles → pixel rows → clip to each region → drop missing → label.
 
-    One scan of the tile table serves every region (the join shares it), as the reference's
-    tile → polygons inversion does by hand.
+    Only tiles whose bounds meet some region's are unnested: a first look reads keys and bounds alone.
+    One scan of those tiles serves every region (the join shares it).
     """
-    px = cube.unnest_tiles(tiles, keep=list(tile_keys or ["tile_id"]))
+    keys = list(tile_keys or ["tile_id"])
+    regions = in_pixel_crs(regions, pixel_srid)
+    px = cube.unnest_tiles(tiles_under(tiles, regions, bin_size, keys), keep=keys)
     clipped = spatial.spatial_join(px, regions, bin_size, how="inner", region_cols=region_cols)
     return cube.add_class(cube.drop_missing(clipped, "bands", n_bands=n_bands), cls)
 
 
+def tiles_under(tiles: DataFrame, regions: DataFrame, bin_size: float, keys: list[str]) -> DataFrame:
+    """The tiles whose bounds meet the bounds of some region (G12, G13), by an equality on bins."""
+    a, b = F.col("affine"), F.lit(float(bin_size))
+    xs = (a[0], a[0] + F.col("w") * a[1])
+    ys = (a[3], a[3] + F.col("h") * a[5])
+    box = tiles.select(*keys, F.least(*xs).alias("_x0"), F.least(*ys).alias("_y0"), F.greatest(*xs).alias("_x1"),
+                       F.greatest(*ys).alias("_y1"))
+    box = (box.withColumn("_tx", F.explode(F.sequence(F.floor(F.col("_x0") / b), F.floor(F.col("_x1") / b))))
+           .withColumn("_ty", F.explode(F.sequence(F.floor(F.col("_y0") / b), F.floor(F.col("_y1") / b)))))
+    cover = (regions.select("minx", "miny", "maxx", "maxy")
+             .withColumn("tile_x", F.explode(F.sequence(F.floor(F.col("minx") / b), F.floor(F.col("maxx") / b))))
+             .withColumn("tile_y", F.explode(F.sequence(F.floor(F.col("miny") / b), F.floor(F.col("maxy") / b)))))
+    meet = ((F.col("_tx") == F.col("tile_x")) & (F.col("_ty") == F.col("tile_y")) & (F.col("_x0") <= F.col("maxx"))
+            & (F.col("_x1") >= F.col("minx")) & (F.col("_y0") <= F.col("maxy")) & (F.col("_y1") >= F.col("miny")))
+    hit = box.join(cover, meet, "left_semi").select(*keys).distinct()
+    return tiles.join(spatial.checked_broadcast(hit), keys, "left_semi")
+
+
+def training_rows(extracted: DataFrame, name: str | None = None, region_cols: tuple[str, ...] = ("region_id",)) -> DataFrame:
+    """Extracted pixels as training rows: ``pixel_id`` (a hash of region and place) and ``features``; the class
+    column as it is, or left to the label union when the table stands for one class."""
+    place = [c for c in (*region_cols, "tile_id", "row", "col", "x", "y") if c in extracted.columns]
+    cls = ["class"] if name is None and "class" in extracted.columns else []
+    return extracted.select(F.xxhash64(*place).alias("pixel_id"), F.col("bands").alias("features"), *cls)
+
+
 @dataclass
 class TrainResult:
     model: PipelineModel
@@ -85,6 +117,19 @@ def train_random_forest(tables: dict[str, DataFrame], id_cols: list[str], n_feat
     return TrainResult(model, report, float(acc_row["f1_score"]) if acc_row else float("nan"), int(n_train))
 
 
+def processing_grids(regions: DataFrame, min_area: float, grid_size: float, grid_overlap: float,
+                     pixel_srid: int | None, no_grids: int | None, seed: int) -> DataFrame:
+    """Grids of the regions in the pixels' CRS: area branch and cells in web Mercator metres (G9) when the
+    regions carry a CRS, in the common plane otherwise; then the seeded sample (G15)."""
+    if pixel_srid is None:
+        grids = grid.add_grids_if_needed(regions, min_area, grid_size, grid_overlap)
+    else:
+        merc = R.reproject(regions, R.SRID_MERCATOR)
+        grids = grid.add_grids_if_needed(merc, min_area, grid_size, grid_overlap).withColumn("srid", F.lit(R.SRID_MERCATOR))
+        grids = R.reproject(grids, pixel_srid, from_srids=(R.SRID_MERCATOR,))
+    return grid.sample_grids(grids, no_grids, seed)
+
+
 def grid_pixels(grids: DataFrame, pixels: DataFrame, bin_size: float,
                 tiles: tuple[str, str, float] | None = None) -> DataFrame:
     """Pixels of every processing grid (R1/R2): one spatial join over all grids at once; with ``tiles``
@@ -92,47 +137,61 @@ def grid_pixels(grids: DataFrame, pixels: DataFrame, bin_size: float,
     return spatial.spatial_join(pixels, grids, bin_size, how="inner", region_cols=["grid_id"], tiles=tiles)
 
 
-def predict_grids(grid_px: DataFrame, predict_fn) -> DataFrame:
-    """Predict every (grid, pixel) row and cast to the small label type."""
-    return raster.cast_pred(predict_fn(grid_px), "pred")
+def predict_grids(grids: DataFrame, pixels: DataFrame, predict_fn, bin_size: float, x0: float, y0: float, res: float,
+                  tiles: tuple[str, str, float] | None = None) -> DataFrame:
+    """``grid_id, col, row, pred, x, y`` of every (grid, pixel).
+
+    The model runs once per pixel under any grid; its small result then meets the overlapping grids.
+    """
+    under = spatial.spatial_join(pixels, grids, bin_size, how="semi", region_cols=["grid_id"], tiles=tiles)
+    c, r = raster.to_cell(F.col("x"), F.col("y"), x0, y0, res)
+    preds = raster.cast_pred(predict_fn(under), "pred").select("x", "y", "pred", c, r)
+    return grid_pixels(grids, preds, bin_size).select("grid_id", "col", "row", "pred", "x", "y")
 
 
 def save_predictions(regions: DataFrame, pixels: DataFrame, predict_fn, bin_size: float, x0: float, y0: float,
                      res: float, min_area: float = 1e8, grid_size: float = 5000.0, grid_overlap: float = 500.0,
                      clip: bool = True, no_grids: int | None = None, seed: int = 42,
-                     tiles: tuple[str, str, float] | None = None) -> DataFrame:
+                     tiles: tuple[str, str, float] | None = None, pixel_srid: int | None = None) -> DataFrame:
     """Full map (R13): grids → sample → pixels → predict → mosaic → clip to the regions' union.
 
-    Returns ``(col, row, pred, grid_id)``; write it with :func:`sources.tables.write_map` (S10).
+    Returns ``(col, row, pred, grid_id)``; write it with :func:`sources.tables.write_map` (S10).  Of several
+    pixels of one grid in a cell the one with the smallest (y, x) counts.
     """
-    grids = grid.add_grids_if_needed(regions, min_area, grid_size, grid_overlap)
-    grids = grid.sample_grids(grids, no_grids, seed)
-    preds = predict_grids(grid_pixels(grids, pixels, bin_size, tiles), predict_fn)
-    c, r = raster.to_cell(F.col("x"), F.col("y"), x0, y0, res)
-    preds = preds.withColumn("col", c).withColumn("row", r)
-    mosaic = raster.mosaic_first(preds, ("col", "row"), "pred", ["grid_id"])
+    grids = processing_grids(regions, min_area, grid_size, grid_overlap, pixel_srid, no_grids, seed)
+    preds = predict_grids(grids, pixels, predict_fn, bin_size, x0, y0, res, tiles)
+    mosaic = raster.mosaic_first(preds, ("col", "row"), "pred", ["grid_id", "y", "x"])
     if not clip:
         return mosaic
     xc, yc = raster.cell_centre(F.col("col"), F.col("row"), x0, y0, res)
     centred = mosaic.withColumn("x", xc).withColumn("y", yc)
-    return spatial.spatial_join(centred, regions, bin_size, how="semi").drop("x", "y")
+    return spatial.spatial_join(centred, in_pixel_crs(regions, pixel_srid), bin_size, how="semi").drop("x", "y")
 
 
 def evaluate_predictions(regions: DataFrame, pixels: DataFrame, reference: DataFrame, predict_fn,
                          bin_size: float, x0: float, y0: float, res: float, target: int = 8,
                          positive: int = 1, min_area: float = 1e8, grid_size: float = 5000.0,
                          grid_overlap: float = 500.0, no_grids: int | None = None, seed: int = 42,
-                         tiles: tuple[str, str, float] | None = None) -> DataFrame:
+                         tiles: tuple[str, str, float] | None = None, pixel_srid: int | None = None,
+                         ref_lattice: tuple[float, float, float] | None = None,
+                         ref_srid: int | None = None) -> DataFrame:
     """Map evaluation (E7): per-grid precision / recall / accuracy against the reference, then the mean.
 
-    ``reference``: ``(col, row, value)`` on the prediction lattice.  Truth = ``value == target``; the
+    ``reference``: ``(col, row, value)`` on the lattice ``ref_lattice = (x0, y0, res)`` in the CRS ``ref_srid``
+    (default: those of the predictions).  It is cropped to the grids' bounds (R8), and each grid's
+    predictions are taken at the centres of its cells (R7, R9).  Truth = ``value == target``; the
     prediction is positive when it equals ``positive``.
     """
-    grids = grid.sample_grids(grid.add_grids_if_needed(regions, min_area, grid_size, grid_overlap), no_grids, seed)
-    preds = predict_grids(grid_pixels(grids, pixels, bin_size, tiles), predict_fn)
-    c, r = raster.to_cell(F.col("x"), F.col("y"), x0, y0, res)
-    preds = preds.withColumn("col", c).withColumn("row", r)
-    pairs = preds.join(reference.select("col", "row", "value"), ["col", "row"], "inner")
+    grids = processing_grids(regions, min_area, grid_size, grid_overlap, pixel_srid, no_grids, seed)
+    preds = predict_grids(grids, pixels, predict_fn, bin_size, x0, y0, res, tiles)
+    preds = raster.mosaic_first(preds, ("grid_id", "col", "row"), "pred", ["y", "x"])
+    rx0, ry0, rres = ref_lattice or (x0, y0, res)
+    to_pred = to_ref = None
+    if ref_srid is not None and ref_srid != pixel_srid:
+        to_pred = lambda x, y: R.transform_points(x, y, ref_srid, pixel_srid)
+        to_ref = lambda x, y: R.transform_points(x, y, pixel_srid, ref_srid)
+    reference = raster.crop(reference, grids, rx0, ry0, rres, to_ref)
+    pairs = raster.align_nearest(preds, reference, x0, y0, res, rx0, ry0, rres, keys=["grid_id"], ref_to_pred=to_pred)
     pairs = raster.drop_unpaired(raster.mask_sentinels(pairs, "pred"), ("pred", "value"))
     pairs = raster.binarise(pairs, "value", target, "truth").withColumn(
         "p", (F.col("pred") == F.lit(positive)).cast("int"))

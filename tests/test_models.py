@@ -72,7 +72,7 @@ def test_kmeans_seed_repeatable(spark):
 
 def test_nearest_centre_matches_numpy(spark):
     e = spark.read.parquet(f"{SF_MID}/embeddings.parquet")
-    centres = learn.take_centres(e, 10, "vec_id", "embedding")
+    centres = learn.label_means(e, "label", "embedding")
     got = {r.vec_id: r.c for r in learn.nearest_centre(e, centres, "embedding", "c").select("vec_id", "c").collect()}
     pdf = e.toPandas()
     x = np.stack(pdf.embedding.to_numpy()).astype(np.float64)

@@ -17,8 +17,9 @@ def test_stream_extraction_equals_batch(spark):
     pts.repartition(4).write.parquet(src)
     out = scratch_path(spark, "stream-out")
     schema = "event_id bigint, x double, y double, t timestamp, class string, bands array<float>"
-    q = extract_stream.start_extraction(spark, src, schema, fx.probe_regions(spark), 25.0, out, year=2024, cls=3)
-    q.awaitTermination(300)
+    q = extract_stream.start_extraction(spark, src, schema, fx.probe_regions(spark), 25.0, out, year=2024, cls=3,
+                                        checkpoint=out + "-ckpt")
+    q.awaitTermination()
     got = spark.read.parquet(out).select("event_id", "region_id")
     exp = spatial.spatial_join(pts, fx.probe_regions(spark), 25.0).select("event_id", "region_id")
     assert got.count() == 2455 + 1923
