@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
-#: Bytes of text that one Arrow batch aims at; keeps very long documents from piling up in a Python worker.
+#: Rows that a Python worker turns into objects at once.
 BATCH_ROWS = 256
 
 
@@ -35,6 +35,14 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def materialize_table(df: DataFrame, name: str) -> DataFrame:
     """Write once into the shared folder of ``spark.checkpoint.dir`` and reread: cuts the lineage."""
     path = scratch_path(df.sparkSession, name)

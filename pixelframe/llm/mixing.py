@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import materialize_table
+from .common import materialize_table, unused
 
 #: ASCII white space separates words.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -145,12 +145,13 @@ def mixed(docs: DataFrame, **parameters) -> DataFrame:
 
     ``docs`` is a stored table: its rows are numbered by their place in it, so that repeated rows stay apart.
     """
-    rows = docs.withColumn("_row", F.monotonically_increasing_id())
-    plan = mix(rows, carry=("_row",), **parameters).where("taken > 0")
+    row, size, span = (unused(docs, n) for n in ("_row", "_size", "_piece"))
+    rows = docs.withColumn(row, F.monotonically_increasing_id())
+    plan = mix(rows, carry=(row,), **parameters).where("taken > 0")
     piece = lambda a, b: F.struct(F.col(a).alias("a") if a else F.lit(0).cast("bigint").alias("a"), F.col(b).alias("b"))
     pieces = F.concat(F.array_repeat(piece(None, "size"), F.col("passes").cast("int")),
                       F.filter(F.array(piece("cut_from", "cut_to"), piece(None, "wrap_to")), lambda p: p["b"] > p["a"]))
-    plan = plan.select("_row", F.col("size").alias("_size"), F.explode(pieces).alias("_p"))
+    plan = plan.select(row, F.col("size").alias(size), F.explode(pieces).alias(span))
 
     @pandas_udf("string")
     def cut(text: pd.Series, a: pd.Series, b: pd.Series, size: pd.Series) -> pd.Series:
@@ -161,7 +162,7 @@ def mixed(docs: DataFrame, **parameters) -> DataFrame:
             return t[found[0].start():found[-1].end()]
         return pd.Series([one(*x) for x in zip(text, a, b, size)], dtype=object)
 
-    out = rows.join(plan, "_row").withColumn("text", cut("text", "_p.a", "_p.b", "_size"))
+    out = rows.join(plan, row).withColumn("text", cut("text", f"{span}.a", f"{span}.b", size))
     return out.withColumn("n_chars", F.char_length("text").cast("bigint")).select(*docs.columns)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import materialize_table, small_batches
+from .common import materialize_table, small_batches, unused
 
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -243,6 +243,8 @@ def redact(docs: DataFrame) -> DataFrame:
     scanned = materialize_table(scan(docs), "pii-scan")
     # few rows have added spans; as a written table its size is known to the planner
     extra = materialize_table(added_spans(scanned, bootstrap(docs, scanned)), "pii-added")
+    own, h, more = (unused(docs, n) for n in ("_id", "_h", "_added"))
+    extra = extra.select(F.col("_id").alias(own), F.col("_h").alias(h), F.col("added").alias(more))
 
     @pandas_udf("string")
     def replaced(texts, added):
@@ -258,7 +260,7 @@ def redact(docs: DataFrame) -> DataFrame:
             return "".join(out) + text[at:]
         return texts.combine(added, one) if len(texts) else texts
 
-    h = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    out = docs.join(extra, F.col("doc_id").cast("bigint").eqNullSafe(F.col("_id")) & (h == F.col("_h")), "left")
-    new = out.withColumn("text", replaced("text", "added")).withColumn("n_chars", F.char_length("text").cast("bigint"))
+    same = F.xxhash64(F.coalesce(F.col("text"), F.lit(""))) == F.col(h)
+    out = docs.join(extra, F.col("doc_id").cast("bigint").eqNullSafe(F.col(own)) & same, "left")
+    new = out.withColumn("text", replaced("text", more)).withColumn("n_chars", F.char_length("text").cast("bigint"))
     return new.select(*docs.columns)

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import connected_components, materialize_table, small_batches, texts
+from .common import connected_components, materialize_table, small_batches, texts, unused
 
 #: Bits are cut into BLOCKS blocks; a key holds SHARED of them.  Up to BLOCKS - SHARED differing bits leave
 #: SHARED blocks untouched, so any two linked fingerprints agree on the distances of some key.
@@ -195,7 +195,8 @@ def keep_one(docs: DataFrame, shingle: int = 4, bits: int = 4) -> DataFrame:
     stands alone with rows without id.
     """
     found = near_duplicates(docs, shingle, bits)
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
+    own, rank = unused(docs, "_id"), unused(docs, "_rank")
+    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(own)).distinct()
     first = Window.partitionBy("doc_id").orderBy(F.xxhash64(F.coalesce("text", F.lit(""))))
-    return (docs.join(keep, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-            .withColumn("_r", F.row_number().over(first)).where("_r = 1").drop("_r"))
+    return (docs.join(keep, F.col("doc_id").eqNullSafe(F.col(own)), "left_semi")
+            .withColumn(rank, F.row_number().over(first)).where(F.col(rank) == 1).drop(rank))

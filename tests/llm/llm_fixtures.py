@@ -19,8 +19,8 @@ def crc(i, m):
 @pytest.fixture(scope="session")
 def odd_docs(spark):
     """Documents with clashing extra columns, unordered ids, a repeated row and a null id."""
-    rows = [(i * 7 % 23 + 100, t, ["en", None][i % 2], [None, "b", "a"][i % 3], len(t or ""), "x", 1)
+    rows = [(i * 7 % 23 + 100, t, ["en", None][i % 2], [None, "b", "a"][i % 3], len(t or ""), "x", 1, "y", 2.0)
             for i, t in enumerate(ODD_TEXTS)]
-    rows += [rows[9], (None, "row without id", "en", "a", 14, "x", 1)]
+    rows += [rows[9], (None, "row without id", "en", "a", 14, "x", 1, "y", 2.0)]
     return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, "
-                                       "part string, size int").repartition(3)
+                                       "part string, size int, _id string, _row double").repartition(3)

@@ -62,7 +62,7 @@ def test_query(spark):
 
 
 def test_odd_rows(spark, odd_docs):  # noqa: F811
-    docs = odd_docs.union(spark.createDataFrame([(i, t, None, None, 0, "x", 1) for i, t in enumerate(TRICKY)], odd_docs.schema))
+    docs = odd_docs.union(spark.createDataFrame([(i, t, None, None, 0, "x", 1, "y", 2.0) for i, t in enumerate(TRICKY)], odd_docs.schema))
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
     assert sorted((tuple(r) for r in pii.report(pii.find(docs)).collect()), key=str) == expect(rows)
     assert pii.report(pii.find(docs.limit(0))).count() == 0
@@ -121,7 +121,7 @@ def test_contexts_find_unseen_identifiers(spark):
 
 
 def test_redaction_keeps_rows_and_columns(spark, odd_docs):  # noqa: F811
-    docs = odd_docs.union(spark.createDataFrame([(1000 + i, t, None, None, 0, "x", 1) for i, t in enumerate(CORPUS)], odd_docs.schema))
+    docs = odd_docs.union(spark.createDataFrame([(1000 + i, t, None, None, 0, "x", 1, "y", 2.0) for i, t in enumerate(CORPUS)], odd_docs.schema))
     got = pii.redact(docs)
     assert got.columns == docs.columns
     rows = {r["doc_id"]: r for r in got.where("doc_id >= 1000").collect()}

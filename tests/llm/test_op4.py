@@ -32,7 +32,7 @@ def test_sizes_cover_whole_texts():
 def test_odd_rows(spark, odd_docs):  # noqa: F811
     docs = odd_docs.unionByName(spark.read.parquet(f"{SF_MID}/documents.parquet").limit(300)
                                 .selectExpr("doc_id + 1000 as doc_id", "text", "lang", "source", "n_chars",
-                                            "'p' as part", "2 as size"))
+                                            "'p' as part", "2 as size", "'y' as _id", "2.0D as _row"))
     labels = docs.selectExpr("doc_id", "case when doc_id % 7 = 0 then 0 when doc_id % 7 = 1 then null else 1 end as quality")
     labels = labels.unionByName(labels.limit(50))
     model = quality.fit(docs, labels, rows_per_class=30)
