@@ -94,9 +94,9 @@ def test_drop_missing_flat_equals_lambda_form(spark):
     nan = float("nan")
     rows = [(1, [1.0, 2.0, 3.0]), (2, [1.0, nan, 3.0]), (3, [1.0, None, 3.0]), (4, None), (5, [1.0, 2.0])]
     df = spark.createDataFrame(rows, "id int, bands array<double>")
-    a = {r.id for r in cube.drop_missing(df.where("id <> 5"), "bands").collect()}
+    a = {r.id for r in cube.drop_missing(df, "bands").collect()}
     b = {r.id for r in cube.drop_missing(df, "bands", n_bands=3).collect()}
-    assert a == b == {1}
+    assert a == b == {1, 5}  # the width is a hint, a row of another width is a row like any other
 
 
 def test_fill_missing_flat_equals_lambda_form(spark):
