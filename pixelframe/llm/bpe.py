@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import UNIT, small_batches, texts
+from .common import UNIT, release, small_batches, texts
 
 #: A word that occurs more often than this in a block meets its like by a salted bucket.
 HOT = 20_000
@@ -107,6 +107,8 @@ def block_words(docs: DataFrame, buckets: int, block_chars: int) -> DataFrame:
                     doc_ids, seqs, number, chars, k = [], [], _Numbers(), 0, k + 1
         if doc_ids:
             yield from flush()
+        del doc_ids, seqs, number
+        release()
 
     return texts(docs).mapInArrow(run, WORDS_SCHEMA)
 
@@ -187,6 +189,7 @@ def reassemble(rows: DataFrame) -> DataFrame:
         rows = (r for b in batches for i in range(b.num_rows) for r in b.slice(i, 1).to_pylist())
         for _, parts in groupby(rows, key=lambda r: r["block"]):
             yield from block_docs(list(parts))
+            release()
 
     return rows.repartition("block").sortWithinPartitions("block").mapInArrow(run, "doc_id long, ids array<int>")
 

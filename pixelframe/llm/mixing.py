@@ -9,10 +9,10 @@ from __future__ import annotations
 import re
 from itertools import islice
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf
 
 from .common import materialize_table, unused
 
@@ -153,14 +153,17 @@ def mixed(docs: DataFrame, **parameters) -> DataFrame:
                       F.filter(F.array(piece("cut_from", "cut_to"), piece(None, "wrap_to")), lambda p: p["b"] > p["a"]))
     plan = plan.select(row, F.col("size").alias(size), F.explode(pieces).alias(span))
 
-    @pandas_udf("string")
-    def cut(text: pd.Series, a: pd.Series, b: pd.Series, size: pd.Series) -> pd.Series:
+    @arrow_udf("string")
+    def cut(text: pa.Array, a: pa.Array, b: pa.Array, size: pa.Array) -> pa.Array:
         def one(t, i, j, n):
             if i == 0 and j == n:
                 return t
-            found = list(islice(_WORD.finditer(t), int(i), int(j)))
-            return t[found[0].start():found[-1].end()]
-        return pd.Series([one(*x) for x in zip(text, a, b, size)], dtype=object)
+            found = islice(_WORD.finditer(t), i, j)
+            start = last = next(found)
+            for last in found:
+                pass
+            return t[start.start():last.end()]
+        return pa.array([one(*(v.as_py() for v in x)) for x in zip(text, a, b, size)], pa.string())
 
     out = rows.join(plan, row).withColumn("text", cut("text", f"{span}.a", f"{span}.b", size))
     return out.withColumn("n_chars", F.char_length("text").cast("bigint")).select(*docs.columns)

@@ -14,7 +14,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf
 
 from .common import materialize_table, small_batches, unused
 
@@ -246,19 +246,19 @@ def redact(docs: DataFrame) -> DataFrame:
     own, h, more = (unused(docs, n) for n in ("_id", "_h", "_added"))
     extra = extra.select(F.col("_id").alias(own), F.col("_h").alias(h), F.col("added").alias(more))
 
-    @pandas_udf("string")
-    def replaced(texts, added):
+    @arrow_udf("string")
+    def replaced(texts: pa.Array, added: pa.Array) -> pa.Array:
         def one(text, more):
             if text is None:
                 return None
             out, at = [], 0
-            spans = sorted(base_spans(text) + [(s["start"], s["kind"], s["end"]) for s in (more if more is not None else ())])
+            spans = sorted(base_spans(text) + [(s["start"], s["kind"], s["end"]) for s in more or ()])
             for s, k, e in spans:
                 if s >= at:
                     out.append(text[at:s] + f"<{KINDS[k].upper()}>")
                 at = max(at, e)
             return "".join(out) + text[at:]
-        return texts.combine(added, one) if len(texts) else texts
+        return pa.array([one(t.as_py(), a.as_py()) for t, a in zip(texts, added)], pa.string())
 
     same = F.xxhash64(F.coalesce(F.col("text"), F.lit(""))) == F.col(h)
     out = docs.join(extra, F.col("doc_id").cast("bigint").eqNullSafe(F.col(own)) & same, "left")

@@ -6,14 +6,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
+from pyspark.sql.functions import arrow_udf
 
-from .common import crc_mod
+from .common import crc_mod, release
 
 #: A text is compressed in windows of so many bytes, so that a dictionary matters as much late in a long text.
 WINDOW = 2048
@@ -154,15 +153,16 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> Column:
     """A column: the probability that a row's whole text is good.  Null or empty text: the model's prior."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @pandas_udf("double")
-    def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @arrow_udf("double")
+    def scores(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = shared.value
         cs = m.compressors()
         for s in batches:
             if len(m.weights) == 1:
-                yield pd.Series([m.prior] * len(s))
+                yield pa.array(np.full(len(s), m.prior))
             else:
-                yield pd.Series(m.score(np.array([sizes(t, cs) for t in s]).reshape(-1, 4)))
+                yield pa.array(m.score(np.array([sizes(t.as_py(), cs) for t in s]).reshape(-1, 4)))
+        release()
 
     return scores(F.coalesce(F.col(text_col), F.lit("")))
 
