@@ -82,7 +82,7 @@ def apportion(parties: DataFrame, votes: str, seats: str, order: str, by: list[s
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), max_repeat: int = 3, block_words: int = 32,
-        shard_words: int = 1 << 22, seed: str = "mix", carry: tuple[str, ...] = ()) -> DataFrame:
+        shard_words: int = 1 << 18, seed: str = "mix", carry: tuple[str, ...] = ()) -> DataFrame:
     """What a mix of the sources takes of each row of ``docs (doc_id, source, text)``.
 
     Returns ``doc_id, source, size, source_size, target, taken`` and the pieces taken: ``passes`` whole
@@ -191,7 +191,7 @@ k0 AS (SELECT *, unnest(range(base, top)) AS k FROM s8 WHERE top > base),
 k1 AS (SELECT *, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, rank, k) AS r FROM k0),
 k2 AS (SELECT rank, count(*) AS won FROM k1 WHERE r <= room GROUP BY rank),
 src AS (SELECT s8.source, s8.source_size, s8.target, s8.base + coalesce(k2.won, 0) AS quota,
-               greatest(1, ceil(s8.source_size / 4194304))::BIGINT AS shards FROM s8 LEFT JOIN k2 USING (rank)),
+               greatest(1, ceil(s8.source_size / 262144))::BIGINT AS shards FROM s8 LEFT JOIN k2 USING (rank)),
 rs AS (SELECT d.doc_id, d.source, d.size, s.source_size, s.target, s.quota,
               ('0x' || substr(md5('mix:shard:' || coalesce(d.doc_id::VARCHAR, 'null')), 1, 8))::BIGINT % s.shards AS shard,
               ('0x' || substr(md5('mix:order:' || coalesce(d.doc_id::VARCHAR, 'null')), 1, 8))::BIGINT AS okey
