@@ -119,8 +119,10 @@ def learn(pages: DataFrame, rows: int = 5000) -> dict[str, float]:
     the text are positive, tags negative, and the tags around a block of one word cost less than the word.
     Without labelled pages: PRIOR.
     """
-    labelled = (pages.where("html is not null").where(F.lower("html").rlike("<article|<main|articlebody"))
-                .orderBy(F.xxhash64("page_id", F.lit(6)), "page_id").limit(rows).select("html"))
+    marked = pages.where("page_id is not null").where(F.lower("html").rlike("<article|<main|articlebody"))
+    # ids first: the pages themselves never meet in one task
+    ids = marked.select("page_id").orderBy(F.xxhash64("page_id", F.lit(6)), "page_id").limit(rows)
+    labelled = marked.join(F.broadcast(ids.distinct()), "page_id").select("html")  # at most ``rows`` ids
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[tuple[str, bool], int] = {}
