@@ -30,7 +30,9 @@ class Parameters:
     rounds: int = 2          # of the descent
     expand: int = 12         # nodes that a query expands in a step of the search
     steps: int = 2           # of the search, at most
-    sample: int = 8192       # vectors that the forest's splits are drawn from
+    sample: int = 8192       # vectors that the forest's splits are drawn from, at least
+    sent: int = 10           # levels of the forest that are drawn from the sample; a leaf splits further in its task
+    held: int = 1 << 16      # vectors of a leaf that a task is to hold; there are more such levels for larger tables
 
 
 def _lists(arr: pa.Array) -> list[np.ndarray]:
@@ -97,25 +99,63 @@ def nodes_of(vectors: DataFrame, keep: int) -> tuple[DataFrame, DataFrame]:
     return nodes, low.select("node", "vec_id")
 
 
-def _forest(sample: np.ndarray, n: int, p: Parameters) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Trees of splits ``x·h > t`` by level; medians of the sample.  At most 1024 leaves each, whatever n is."""
+def _levels(n: int, p: Parameters) -> int:
+    """Levels of splits that leave ``leaf_rows`` vectors in a leaf; above ``sent``, those that leave ``held``."""
+    level = lambda rows: max(0, int(np.ceil(np.log2(max(1, n / rows)))))
+    return min(level(p.leaf_rows), max(p.sent, level(p.held)))
+
+
+def _side(x: np.ndarray, a: np.ndarray, b: np.ndarray, t: np.ndarray, coin: np.ndarray) -> np.ndarray:
+    """Whether ``x·(a-b) > t``; a tie falls by ``coin``."""
+    s = np.einsum("nd,nd->n", x, a - b)
+    return (s > t) | ((s == t) & (coin != 0))
+
+
+def _coins(node: np.ndarray, tree: int) -> np.ndarray:
+    """Bits by node and tree: what no split can tell apart is dealt differently in each tree."""
+    with np.errstate(over="ignore"):
+        h = (node.astype(np.uint64) + np.uint64(tree * 0x632BE5AB)) * np.uint64(0x9E3779B97F4A7C15)
+        h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(32))
+
+
+def _forest(sample: np.ndarray, depth: int, p: Parameters) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Trees of splits ``x·(a-b) > t`` by level: the rows a, b of the sample, and medians of the sample."""
     rng = np.random.default_rng(1)
-    depth = min(10, max(0, int(np.ceil(np.log2(max(1, n / p.leaf_rows))))))
     trees = []
-    for _ in range(p.trees if depth else 1):
-        h, t = np.zeros((2**depth, sample.shape[1]), np.float32), np.zeros(2**depth, np.float32)
+    for tree in range(p.trees if depth else 1):
+        ab, t = np.zeros((2**depth, 2), np.int32), np.zeros(2**depth, np.float32)
+        coin = _coins(np.arange(len(sample)), tree)
         parts = {1: np.arange(len(sample))}
         for i in range(1, 2**depth):
             rows = parts.pop(i)
-            a, b = sample[rng.choice(rows, 2)] if len(rows) else (np.zeros(sample.shape[1]),) * 2
-            h[i] = a - b if (a != b).any() else rng.normal(size=sample.shape[1])
-            x = sample[rows] @ h[i]
-            t[i] = np.median(x) if len(rows) else 0
-            parts[2 * i], parts[2 * i + 1] = rows[x <= t[i]], rows[x > t[i]]
-        trees.append((h, t))
+            a, b = rng.choice(rows, 2) if len(rows) else rng.integers(0, len(sample), 2)
+            if (sample[a] == sample[b]).all():
+                a, b = rng.integers(0, len(sample), 2)
+            ab[i] = a, b
+            s = np.einsum("nd,nd->n", sample[rows], sample[np.full(len(rows), a)] - sample[np.full(len(rows), b)])
+            # the lower median is a value of the sample, so ties with it are seen as such
+            t[i] = np.partition(s, (len(s) - 1) // 2)[(len(s) - 1) // 2] if len(rows) else 0
+            up = (s > t[i]) | ((s == t[i]) & (coin[rows] >> np.uint64(i.bit_length() - 1) & np.uint64(1) != 0))
+            parts[2 * i], parts[2 * i + 1] = rows[~up], rows[up]
+        trees.append((ab, t))
     return trees
 
 
+def _halved(x: np.ndarray, most: float, rng: np.random.Generator) -> Iterator[np.ndarray]:
+    """Rows of ``x`` in parts of at most ``most``, by splits at the medians of differences of two rows."""
+    todo = [np.arange(len(x))]
+    while todo:
+        rows = todo.pop()
+        if len(rows) <= max(most, 1):
+            yield rows
+            continue
+        a, b = rng.choice(rows, 2, replace=False)
+        s = x[rows] @ (x[a] - x[b])
+        order = np.lexsort((rng.random(len(rows)), s))
+        todo += [rows[order[:len(rows) // 2]], rows[order[len(rows) // 2:]]]
+
+
 def merge(proposals: DataFrame, keep: int) -> DataFrame:
     """The ``keep`` nearest different neighbours of each node over all its rows ``node, ids, sims``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,39 +174,44 @@ def merge(proposals: DataFrame, keep: int) -> DataFrame:
 
 
 def start_graph(nodes: DataFrame, n: int, p: Parameters) -> DataFrame:
-    """Neighbours inside the leaves of the forest."""
-    sample = nodes.orderBy(F.xxhash64("node", F.lit(1)), "node").limit(p.sample).select("v").collect()
-    trees = _forest(np.stack([np.frombuffer(bytes(r["v"]), "<f2") for r in sample]).astype(np.float32), n, p)
-    leaves = len(trees[0][0])
-    salts = max(1, -(-n // (leaves * 4 * p.leaf_rows)))  # a leaf of very many vectors is several
-    shared = nodes.sparkSession.sparkContext.broadcast(trees)
+    """Neighbours inside the leaves of the forest.
+
+    Every leaf goes whole to a task, which splits it on until its parts have about ``leaf_rows`` vectors.
+    """
+    depth = _levels(n, p)
+    sample = nodes.orderBy(F.xxhash64("node", F.lit(1)), "node").limit(max(p.sample, 32 << depth)).select("v").collect()
+    drawn = np.stack([np.frombuffer(bytes(r["v"]), "<f2") for r in sample])
+    trees = _forest(drawn.astype(np.float32), depth, p)
+    leaves = 2**depth
+    shared = nodes.sparkSession.sparkContext.broadcast((drawn, trees))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, trees = shared.value
         for b in small_batches(batches, 4096):
             if not b.num_rows:
                 continue
             x, node = _vectors(b.column("v")), b.column("node").to_numpy()
-            salt = (node * 0x9E3779B1 >> 12) % salts
-            for k, (h, t) in enumerate(shared.value):
-                at = np.ones(len(x), np.int64)
-                while at[0] < len(h):
-                    at = 2 * at + (np.einsum("nd,nd->n", x, h[at]) > t[at])
-                yield pa.RecordBatch.from_arrays([pa.array((k * 2 * leaves + at) * salts + salt), b.column("node"), b.column("v")],
+            for k, (ab, t) in enumerate(trees):
+                at, coin = np.ones(len(x), np.int64), _coins(node, k)
+                for level in range(depth):
+                    one, two = rows[ab[at, 0]].astype(np.float32), rows[ab[at, 1]].astype(np.float32)
+                    at = 2 * at + _side(x, one, two, t[at], coin >> np.uint64(level) & np.uint64(1))
+                yield pa.RecordBatch.from_arrays([pa.array(k * 2 * leaves + at), b.column("node"), b.column("v")],
                                                  names=["leaf", "node", "v"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in complete_runs(batches, "leaf"):
-            node, x = b.column("node").to_numpy(), _vectors(b.column("v"))
-            for s, e in _runs(b.column("leaf").to_numpy()):
-                m = max(1, round((e - s) / p.leaf_rows))
-                for rows in np.array_split(np.arange(s, e), m):
+            node, leaf = b.column("node").to_numpy(), b.column("leaf").to_numpy()
+            for s, e in _runs(leaf):
+                x = _vectors(b.column("v").slice(s, e - s))
+                for rows in _halved(x, 1.5 * p.leaf_rows, np.random.default_rng(int(leaf[s]))):
                     sims = x[rows] @ x[rows].T
                     np.fill_diagonal(sims, -np.inf)
                     k = min(p.leaf_keep if len(rows) > p.neighbours + 1 else p.neighbours, len(rows) - 1)
                     if k > 0:
                         near = np.argpartition(-sims, k - 1, 1)[:, :k]
                         got = np.take_along_axis(sims, near, 1)
-                        yield _graph_batch([(int(node[r]), node[rows[i]], g) for r, i, g in zip(rows, near, got)])
+                        yield _graph_batch([(int(node[s + r]), node[s + rows[i]], g) for r, i, g in zip(rows, near, got)])
 
     dealt = (nodes.select("node", "v").mapInArrow(deal, "leaf long, node long, v binary")
              .repartition("leaf").sortWithinPartitions("leaf", "node"))

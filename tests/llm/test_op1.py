@@ -89,3 +89,30 @@ def test_complete_runs(cut):
     assert [k for g in got for k in g] == keys
     seen = [set(g) for g in got]
     assert all(not a & b for i, a in enumerate(seen) for b in seen[i + 1:])
+
+
+@pytest.mark.parametrize("p", [ann.Parameters(leaf_rows=32, sent=2, trees=8, leaf_keep=16, neighbours=32, joined=20),
+                               ann.Parameters(leaf_rows=32, sent=1, held=256, trees=8, leaf_keep=16, neighbours=32, joined=20)])
+def test_leaves_larger_than_a_comparison(spark, p):
+    """Few levels from the sample, many vectors per leaf: the graph still joins all of them."""
+    rng = np.random.default_rng(7)
+    x = (rng.normal(size=(30, 16))[rng.integers(0, 30, 3000)] + 0.5 * rng.normal(size=(3000, 16))).astype("f4")
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    nodes, _ = ann.nodes_of(ann.usable(df), 1)
+    graph = {r["node"]: set(r["ids"][:10]) for r in ann.start_graph(nodes, 3000, p).collect()}
+    sims = x @ x.T
+    np.fill_diagonal(sims, -np.inf)
+    want = np.argsort(-sims, 1)[:, :10]
+    start = np.mean([len(graph[i] & set(want[i].tolist())) / 10 for i in range(3000)])
+    got = lists(ann.nearest(df, k=10, p=p))
+    found = np.mean([len({i for i, _ in h} & set(want[q].tolist())) / 10 for q, h in got.items()])
+    assert start > 0.45 and found > 0.95
+
+
+def test_levels_grow_with_the_table():
+    p = ann.Parameters()
+    assert [ann._levels(n, p) for n in (1, 1024, 51_282, 4_190_000, 10**8, 10**9)] == [0, 0, 6, 10, 11, 14]
+    x = np.ones((5000, 4), np.float32)  # nothing to split by
+    parts = list(ann._halved(x, 96, np.random.default_rng(1)))
+    assert sorted(np.concatenate(parts).tolist()) == list(range(5000)) and max(map(len, parts)) <= 96
