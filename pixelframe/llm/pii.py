@@ -149,14 +149,14 @@ def context_counts(docs: DataFrame) -> DataFrame:
             .groupBy(F.xxhash64("w").alias("word")).agg(F.count(F.lit(1)).alias("n")))
 
 
-def bootstrap(docs: DataFrame, scanned: DataFrame, rounds: int = 3, trust: float = 0.5, accept: float = 0.8,
+def bootstrap(docs: DataFrame, scanned: DataFrame, trust: float = 0.5, accept: float = 0.8,
               support: int = 3) -> DataFrame:
     """``value, kind``: strings that the contexts accept as identifiers.
 
-    Each round scores patterns, then strings, over the pattern-mention graph with joins and sums.  A
-    pattern's trust for a kind is the weight of that kind's mentions beside it over its occurrences in the
-    corpus (plus one); it needs ``support`` different values.  A string's score joins its patterns by
-    noisy-or.
+    Each round scores patterns, then strings, over the pattern-mention graph with joins and sums, until a
+    round adds nothing.  A pattern's trust for a kind is the weight of that kind's mentions beside it over its
+    occurrences in the corpus (plus one); it needs ``support`` different values.  A string's score joins its
+    patterns by noisy-or.
     """
     m = scanned.select(F.explode("mentions").alias("m")).select("m.*")
     sides = F.array(F.struct(F.lit(0).alias("side"), F.col("left").alias("word")),
@@ -166,9 +166,9 @@ def bootstrap(docs: DataFrame, scanned: DataFrame, rounds: int = 3, trust: float
              .groupBy("kind", "shapes", "value", "side", "word").agg(F.count(F.lit(1)).alias("n")))
     edges = materialize_table(edges, "pii-edges")
     seeds = edges.where("kind >= 0")
-    # only patterns that enough seeds or any candidates share can ever matter
-    of_interest = (edges.groupBy("side", "word").agg(F.sum("n").alias("seen"), F.max("kind").alias("k"), F.min("kind").alias("c"))
-                   .where("k >= 0 and c < 0").drop("k", "c"))
+    # only patterns that hold a candidate, and enough values of any kind to be trusted some day, can ever matter
+    of_interest = (edges.groupBy("side", "word").agg(F.sum("n").alias("seen"), F.count(F.lit(1)).alias("k"), F.min("kind").alias("c"))
+                   .where((F.col("k") >= support) & (F.col("c") < 0)).drop("k", "c"))
     counted = materialize_table(
         of_interest.join(context_counts(docs), "word", "left")
         .select("side", "word", F.greatest("seen", F.coalesce("n", F.lit(0))).alias("total")), "pii-patterns")
@@ -177,8 +177,8 @@ def bootstrap(docs: DataFrame, scanned: DataFrame, rounds: int = 3, trust: float
              .where(F.expr("shapes & shiftleft(1, k) <> 0")).select("value", "side", "word", "n", F.col("k").alias("kind")))
     maybe = materialize_table(maybe, "pii-candidates")
     base = seeds.select("value", "side", "word", "n", "kind", F.lit(1.0).alias("weight"))
-    accepted = None
-    for _ in range(rounds):
+    accepted, last = None, (0, 0)
+    while True:
         known = base
         if accepted is not None:
             known = base.unionByName(maybe.join(accepted, ["value", "kind"]).select(*base.columns))
@@ -192,6 +192,11 @@ def bootstrap(docs: DataFrame, scanned: DataFrame, rounds: int = 3, trust: float
                     .groupBy("value", "kind").agg((1 - F.exp(F.sum(F.log(1 - F.col("trust"))))).alias("weight"))
                     .where(F.col("weight") >= accept))
         accepted = materialize_table(accepted, "pii-accepted")
+        # strings and weights only ever grow
+        now = tuple(accepted.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.floor(F.col("weight") * 1e6)), F.lit(0))).first())
+        if now <= last:
+            break
+        last = now
     best = F.max_by("kind", F.struct("weight", -F.col("kind")))
     return accepted.groupBy("value").agg(best.alias("found"))
 

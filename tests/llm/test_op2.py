@@ -130,3 +130,17 @@ def test_redaction_keeps_rows_and_columns(spark, odd_docs):  # noqa: F811
     assert rows[1016]["text"] == "You can write to email: <EMAIL> today"
     assert rows[1017]["text"] == "old phone: <PHONE> is gone" and rows[1017]["n_chars"] == len(rows[1017]["text"])
     assert rows[1019]["text"] == CORPUS[19] and rows[1000 + len(CORPUS) - 2]["text"] is None
+
+
+def test_contexts_of_discovered_identifiers_are_learnt(spark):
+    """Only the first context stands beside base numbers; each further one beside what the one before has found."""
+    hops, texts = ["phone:", "tel", "fax", "mob", "cell"], [f"her phone: +1 (415) 555-2{i:03} w{i}" for i in range(60)]
+    for k, (a, b) in enumerate(zip(hops, hops[1:])):
+        for i in range(3):
+            texts += [f"old {a} 555-{k}{i}99-88 u{k}{i}"] + [f"the {b} 555-{k}{i}99-88 v{k}{i}{j}" for j in range(20)]
+    texts += ["his cell 555-7777-12 last", "room 555-8888-34 next"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["value"]: r["found"] for r in pii.bootstrap(docs, pii.scan(docs)).collect()}
+    assert got == slow_bootstrap(texts, rounds=20)
+    assert got[pii._key("555-7777-12")] == 3 and pii._key("555-8888-34") not in got
+    assert pii._key("555-7777-12") not in slow_bootstrap(texts)
