@@ -39,14 +39,18 @@ def fingerprint(text: str, shingle: int = 4, seed: int = 42) -> int:
     return int.from_bytes(np.packbits(2 * ones > total, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
-    """``doc_id, fp`` (the fingerprint as a signed long) of every row; null text: 0."""
+def fingerprints(docs: DataFrame, shingle: int = 4, hashed: bool = False) -> DataFrame:
+    """``doc_id, fp`` (the fingerprint as a signed long) of every row; null text: 0.  ``hashed``: with the
+    text's hash as ``h``."""
+    rows = texts(docs).withColumn("h", F.xxhash64("text")) if hashed else texts(docs)
+    names = [c for c in rows.columns if c != "text"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches):
             fp = np.array([fingerprint(t, shingle) for t in b.column("text").to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(fp.view(np.int64))], names=[*names, "fp"])
 
-    return texts(docs).mapInArrow(run, "doc_id long, fp long")
+    return rows.mapInArrow(run, ", ".join(f"{n} long" for n in [*names, "fp"]))
 
 
 def _masks(blocks: int) -> list[np.uint64]:
@@ -170,6 +174,13 @@ def links(fps: DataFrame, bits: int = 4, blocks: int = BLOCKS, shared: int = SHA
     return runs.mapInArrow(run, "a long, b long").distinct()
 
 
+def _labelled(distinct: DataFrame, bits: int) -> DataFrame:
+    """``distinct (fp, ..)`` with the smallest fingerprint of each one's group as ``label``."""
+    labels = connected_components(links(distinct.select("fp"), bits))
+    return (distinct.join(labels.withColumnRenamed("id", "fp"), "fp", "left")
+            .withColumn("label", F.coalesce("label", "fp")))
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 4, bits: int = 4) -> DataFrame:
     """``doc_id, fingerprint, component_id`` for every row of ``docs (doc_id, text)``.
 
@@ -179,24 +190,27 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, bits: int = 4) -> DataFra
     (null only if no row there has an id) and never names one.  Repeated rows: a row each.
     """
     own = materialize_table(fingerprints(docs, shingle), "simhash-fp")
-    distinct = own.groupBy("fp").agg(F.min("doc_id").alias("low"))
-    labels = connected_components(links(distinct.select("fp"), bits))
-    low = (distinct.join(labels.withColumnRenamed("id", "fp"), "fp", "left")
-           .withColumn("label", F.coalesce("label", "fp")))
+    low = _labelled(own.groupBy("fp").agg(F.min("doc_id").alias("low")), bits)
     least = low.groupBy("label").agg(F.min("low").alias("component_id"))
     return (own.join(low.join(least, "label").select("fp", "component_id"), "fp")
             .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
 
 
 def keep_one(docs: DataFrame, shingle: int = 4, bits: int = 4) -> DataFrame:
-    """The rows of ``docs`` whose id names their component: one row each, all columns as they were.
+    """Exactly one row of ``docs`` of each group of near-duplicates, all columns as they were.
 
-    Of rows that repeat an id, the one with the smallest text hash stays; a row without id stays if it
-    stands alone with rows without id.
+    It is the one with the smallest id, a row without id only where no row of the group has one; of rows that
+    repeat an id, the one with the smallest text hash.
     """
-    found = near_duplicates(docs, shingle, bits)
-    own, rank = unused(docs, "_id"), unused(docs, "_rank")
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(own)).distinct()
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64(F.coalesce("text", F.lit(""))))
-    return (docs.join(keep, F.col("doc_id").eqNullSafe(F.col(own)), "left_semi")
-            .withColumn(rank, F.row_number().over(first)).where(F.col(rank) == 1).drop(rank))
+    own = materialize_table(fingerprints(docs, shingle, hashed=True), "simhash-fp")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("first")
+    groups = _labelled(own.groupBy("fp").agg(first), bits)
+    h, rank, own_id, own_h = (unused(docs, n) for n in ("_h", "_rank", "_id", "_own"))
+    keep = groups.groupBy("label").agg(F.min("first").alias("first")).select(
+        F.col("first.doc_id").alias(own_id), F.col("first.h").alias(own_h))
+    rows = docs.withColumn(h, F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    same = F.col("doc_id").cast("bigint").eqNullSafe(F.col(own_id)) & (F.col(h) == F.col(own_h))
+    # rows alike in id and text
+    copies = Window.partitionBy(F.col("doc_id").cast("bigint"), h).orderBy(h)
+    return (rows.join(keep, same, "left_semi").withColumn(rank, F.row_number().over(copies))
+            .where(F.col(rank) == 1).drop(rank, h))

@@ -87,3 +87,15 @@ def test_keep_one(spark, odd_docs):  # noqa: F811
     assert kept.columns == odd_docs.columns
     components = {r["component_id"] for r in simhash.near_duplicates(odd_docs).collect()}
     assert sorted(map(str, (r["doc_id"] for r in kept.collect()))) == sorted(map(str, components))
+
+
+def test_keep_one_keeps_a_row_of_every_group(spark):
+    import random
+    rnd = random.Random(4)
+    text = [" ".join(rnd.choice("abcdefgh") * rnd.randint(1, 9) for _ in range(60)) for _ in range(6)]
+    rows = [(None, text[0]), (None, text[1]), (None, text[1]), (5, text[2]), (5, text[3]), (3, text[2]), (None, text[4]), (9, text[4]),
+            (5, text[5]), (5, text[5]), (None, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [(r["doc_id"], r["text"] or "") for r in simhash.keep_one(docs).collect()]
+    assert sorted(kept, key=str) == sorted([(None, text[0]), (None, text[1]), (3, text[2]), (5, text[3]), (9, text[4]), (5, text[5]),
+                                            (None, "")], key=str)
