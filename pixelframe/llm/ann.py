@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import complete_runs, materialize_table, small_batches
+from .common import complete_runs, discard, materialize_table, small_batches
 
 GRAPH = "node long, ids array<long>, sims array<float>"
 _GRAPH = pa.schema([("node", pa.int64()), ("ids", pa.list_(pa.int64())), ("sims", pa.list_(pa.float32()))])
@@ -27,9 +27,10 @@ class Parameters:
     leaf_rows: int = 1024    # vectors of a leaf compared with one another
     leaf_keep: int = 20      # neighbours that a leaf proposes for each vector
     joined: int = 28         # neighbours of a vector, each way, that a round joins
-    rounds: int = 2          # of the descent
+    delta: float = 0.001     # the descent ends when no larger share of the neighbours is new
+    rounds: int | None = None  # of the descent, at most
     expand: int = 12         # nodes that a query expands in a step of the search
-    steps: int = 2           # of the search, at most
+    steps: int | None = None  # of the search, at most
     sample: int = 8192       # vectors that the forest's splits are drawn from, at least
     sent: int = 10           # levels of the forest that are drawn from the sample; a leaf splits further in its task
     held: int = 1 << 16      # vectors of a leaf that a task is to hold; there are more such levels for larger tables
@@ -255,13 +256,22 @@ def descend(nodes: DataFrame, graph: DataFrame, round_: int, p: Parameters) -> D
 
 
 def build(nodes: DataFrame, p: Parameters = Parameters()) -> DataFrame:
-    """The neighbour graph ``node, ids, sims`` (nearest first) of ``nodes (node, v)``."""
+    """The neighbour graph ``node, ids, sims`` (nearest first) of ``nodes (node, v)``, descended until hardly
+    any neighbour is new (``delta``)."""
     n = nodes.count()
     if not n:
         return nodes.sparkSession.createDataFrame([], GRAPH)
     graph = materialize_table(start_graph(nodes, n, p), "ann-graph")
-    for r in range(p.rounds):
-        graph = materialize_table(descend(nodes, graph, r, p), "ann-graph")
+    r = 0
+    while p.rounds is None or r < p.rounds:
+        new = materialize_table(descend(nodes, graph, r, p), "ann-graph")
+        old = graph.select("node", F.col("ids").alias("_old"))
+        fresh = F.size(F.array_except("ids", F.coalesce("_old", F.slice("ids", 1, 0))))
+        share = new.join(old, "node", "left").agg(F.sum(fresh) / F.sum(F.size("ids"))).first()[0] or 0
+        discard(graph)
+        graph, r = new, r + 1
+        if share <= p.delta:
+            break
     return graph
 
 
@@ -288,22 +298,28 @@ def search(nodes: DataFrame, graph: DataFrame, queries: DataFrame, pools: DataFr
     """``query, ids, sims``: the nearest nodes found from each query's pool on.
 
     A step expands the ``expand`` nearest nodes of a pool that were not expanded, scores their unseen
-    neighbours and keeps the nearest ``neighbours``.  It ends when no pool has changed, or after ``steps``.
-    ``queries (query, v)``, ``pools (query, ids, sims)``.
+    neighbours and keeps the nearest ``neighbours``.  It ends when all nodes of all pools were expanded, so no
+    pool can change, or after ``steps``.  ``queries (query, v)``, ``pools (query, ids, sims)``.
     """
     state = pools.select("query", "ids", "sims", F.slice("ids", 1, 0).alias("done"))
-    for _ in range(p.steps):
+    seen = pools.select("query", F.explode("ids").alias("node"))
+    step = 0
+    while p.steps is None or step < p.steps:
+        step += 1
         todo = F.slice(F.array_except("ids", "done"), 1, p.expand)
         state = materialize_table(state.withColumn("todo", todo), "ann-pools")
-        if state.where("size(todo) > 0").isEmpty():
+        going, ended = state.where("size(todo) > 0"), state.where("size(todo) = 0")
+        if going.isEmpty():
             break
-        around = (state.select("query", F.explode("todo").alias("node")).join(graph.select("node", "ids"), "node")
+        around = (going.select("query", F.explode("todo").alias("node")).join(graph.select("node", "ids"), "node")
                   .select("query", F.explode("ids").alias("node")).distinct())
-        seen = state.select("query", F.explode("ids").alias("node"))
-        fresh = around.join(seen, ["query", "node"], "left_anti").join(nodes.select("node", "v"), "node")
+        pairs = materialize_table(around.join(seen, ["query", "node"], "left_anti"), "ann-pairs")
+        seen = seen.unionByName(pairs)
+        fresh = pairs.join(nodes.select("node", "v"), "node")
+        asked = queries.join(going.select("query"), "query", "left_semi")
         # a query's own vector comes first in its run
         rows = (fresh.select("query", F.lit(1).alias("k"), "node", "v")
-                .unionByName(queries.select("query", F.lit(0).alias("k"), F.lit(None).cast("bigint").alias("node"), "v"))
+                .unionByName(asked.select("query", F.lit(0).alias("k"), F.lit(None).cast("bigint").alias("node"), "v"))
                 .repartition("query").sortWithinPartitions("query", "k"))
 
         def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -312,9 +328,10 @@ def search(nodes: DataFrame, graph: DataFrame, queries: DataFrame, pools: DataFr
                 query = b.column("query").to_numpy()
                 yield _graph_batch([(int(query[s]), node[s + 1:e], x[s + 1:e] @ x[s]) for s, e in _runs(query)])
 
-        found = rows.mapInArrow(score, GRAPH).unionByName(state.select(F.col("query").alias("node"), "ids", "sims"))
+        found = rows.mapInArrow(score, GRAPH).unionByName(going.select(F.col("query").alias("node"), "ids", "sims"))
         new = merge(found, p.neighbours).withColumnRenamed("node", "query")
-        state = new.join(state.select("query", F.array_union("done", "todo").alias("done")), "query")
+        state = (new.join(going.select("query", F.array_union("done", "todo").alias("done")), "query")
+                 .unionByName(ended.drop("todo")))
     return state.select("query", "ids", "sims")
 
 

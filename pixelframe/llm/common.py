@@ -51,6 +51,15 @@ def materialize_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a table of :func:`materialize_table` that nothing reads any more."""
+    files = df.inputFiles()
+    if files:
+        spark = df.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def release() -> None:
     """Give freed memory back to the system, where the C library can: Python workers outlive their tasks."""
     pa.default_memory_pool().release_unused()

@@ -116,3 +116,33 @@ def test_levels_grow_with_the_table():
     x = np.ones((5000, 4), np.float32)  # nothing to split by
     parts = list(ann._halved(x, 96, np.random.default_rng(1)))
     assert sorted(np.concatenate(parts).tolist()) == list(range(5000)) and max(map(len, parts)) <= 96
+
+
+def test_descent_and_search_go_on_until_done(spark):
+    from dataclasses import replace
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(1200, 8)).astype("f4")
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    p = ann.Parameters(neighbours=12, trees=2, leaf_rows=16, leaf_keep=4, joined=6)
+    nodes, _ = ann.nodes_of(ann.usable(df), 1)
+    sims = x @ x.T
+    np.fill_diagonal(sims, -np.inf)
+    want = np.argsort(-sims, 1)[:, :10]
+
+    def recall(graph):
+        got = {r["node"]: set(r["ids"][:10]) for r in graph.collect()}
+        return np.mean([len(got[i] & set(want[i].tolist())) / 10 for i in range(len(x))])
+
+    two, done = recall(ann.build(nodes, replace(p, rounds=2))), recall(ann.build(nodes, p))
+    assert done > 0.95 and done > two + 0.02
+
+    # vectors along an arc, each linked to the next two: the search must walk from one end to the other
+    v = [np.array([math.cos(i / 10), math.sin(i / 10)]) for i in range(16)]
+    half = lambda a: bytearray(a.astype("<f2").tobytes())
+    arc = spark.createDataFrame([(i, half(a)) for i, a in enumerate(v)], "node long, v binary")
+    links = spark.createDataFrame([(i, [j for j in (i - 2, i - 1, i + 1, i + 2) if 0 <= j < 16], [0.0]) for i in range(16)], ann.GRAPH)
+    query = spark.createDataFrame([(7, half(v[15]))], "query long, v binary")
+    pool = spark.createDataFrame([(7, [0], [0.0])], "query long, ids array<long>, sims array<float>")
+    found = ann.search(arc, links, query, pool, ann.Parameters(neighbours=3, expand=3)).first()
+    assert found["ids"] == [15, 14, 13]
