@@ -8,7 +8,8 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, bpe, html_main, langid, mixing, orc_tokens, order_minhash, pii, quality, simhash
+from . import (ann, bpe, conversations, hard_negatives, html_main, langid, mixing, orc_tokens, order_minhash, pii,
+               quality, sharding, simhash)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,6 +80,21 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(pii.find(table(spark, sf_dir, "documents")))
 
 
+@register("op11_hard_negatives", hard_negatives.ORACLE_SQL)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(hard_negatives.relabelled(table(spark, sf_dir, "embeddings")))
+
+
+@register("op12_hash_tree_shards", sharding.oracle_sql(sharding.Tree.uniform()))
+def op12_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.place(table(spark, sf_dir, "documents"), sharding.Tree.uniform()).drop("region", "rack")
+
+
+@register("op13_conversation_repair")
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(table(spark, sf_dir, "conversations"))
+
+
 @register("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)

@@ -8,8 +8,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import scratch_path
 
@@ -127,3 +129,42 @@ def complete_runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Re
         held.append(b.slice(max(cut, 0)))
     if held:
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+def number_in_groups(df: DataFrame, group: str, order: list[str], out: str) -> DataFrame:
+    """Adds ``out``: the place, gapless from 0, of a row among those of its ``group`` (not null) by ``order``
+    (ascending, nulls first).
+
+    ``order`` has to tell apart all rows that differ in what a reader sees: rows alike in it are dealt over
+    the partitions by their place in the input, so that no number of them lands in one task.  Range partitions
+    are sorted, each counts its runs of a group, and a group that goes on from earlier partitions, at
+    most one a partition, adds what these hold.  The rows are written once, so the places are fixed.
+    """
+    salt, part, run, base = (unused(df, n) for n in ("_salt", "_part", "_run", "_base"))
+    keys = [F.col(group), *[F.asc_nulls_first(c) for c in order], F.col(salt)]
+    ranged = (df.withColumn(salt, F.monotonically_increasing_id()).repartitionByRange(*keys)
+              .sortWithinPartitions(*keys).drop(salt))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, last, n = TaskContext.get().partitionId(), None, 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            g = b.column(group).dictionary_encode()
+            codes = g.indices.to_numpy(zero_copy_only=False)
+            heads = np.flatnonzero(np.diff(codes, prepend=codes[0] - 1))
+            if g.dictionary[codes[0]].as_py() != last:
+                n = 0
+            at = np.arange(b.num_rows) - np.repeat(heads, np.diff(heads, append=b.num_rows))
+            at[:heads[1] if len(heads) > 1 else b.num_rows] += n
+            last, n = g.dictionary[codes[-1]].as_py(), int(at[-1]) + 1
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(np.full(b.num_rows, here, np.int64)),
+                                              pa.array(at.astype(np.int64))], names=[*b.schema.names, part, run])
+
+    schema = T.StructType([*ranged.schema.fields, T.StructField(part, T.LongType()), T.StructField(run, T.LongType())])
+    rows = materialize_table(ranged.mapInArrow(count, schema), "numbered")
+    before = Window.partitionBy(group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    bases = (rows.groupBy(group, part).agg(F.count(F.lit(1)).alias(base))
+             .withColumn(base, F.sum(base).over(before)).where(F.col(base) > 0))
+    return (rows.join(F.broadcast(bases), [group, part], "left")  # at most one row per partition
+            .select(*df.columns, (F.col(run) + F.coalesce(base, F.lit(0))).alias(out)))
