@@ -287,10 +287,16 @@ def search(index: Index, indexed: DataFrame, searches: DataFrame, width: int, k:
         held = found.groupBy("anchor", "w").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least"))
         windows = (searches.select("anchor", F.posexplode("los").alias("w", "lo")).join(ends, "anchor")
                    .join(held, ["anchor", "w"], "left"))
-        sure = (F.col("next") < F.col("lo")) | ((F.col("n") == k) & (F.col("next") < F.col("least")))
-        left = (windows.where(F.col("next").isNotNull() & ~F.coalesce(sure, F.lit(False)))
-                .groupBy("anchor").agg(F.first("walked").alias("walked")))
-        open_ = materialize_table(searches.join(left, "anchor"), "searches")
+        full = F.col("n") == k
+        sure = (F.col("next") < F.col("lo")) | (full & (F.col("next") < F.col("least")))
+        # a window that is full wants nothing below its last row from now on
+        floor = F.struct("w", F.when(full, F.col("least")).otherwise(F.col("lo")).alias("lo"))
+        left = (windows.groupBy("anchor").agg(
+            F.first("walked").alias("walked"), F.first("next").alias("next"),
+            F.min(F.coalesce(sure, F.lit(False))).alias("sure"), F.array_sort(F.collect_list(floor)).alias("floors"))
+            .where(F.col("next").isNotNull() & ~F.col("sure"))
+            .select("anchor", "walked", F.col("floors.lo").alias("los")))
+        open_ = materialize_table(searches.drop("los").join(left, "anchor"), "searches")
         if open_.isEmpty():
             return found
         first_rows *= growth
