@@ -260,17 +260,16 @@ class Conversations:
         fields = [("conversation", pa.string()), ("chunk", pa.int64()), ("piece", pa.int32()), ("cost", pa.int64()),
                   ("codes", pa.list_(pa.int32())), ("audit", pa.string()), ("lines", pa.binary())]
 
-        def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
             """A chunk's audit and repaired lines, each with its newline, in pieces of bounded size; the first
             piece has the cost and the codes."""
             first, audit, lines, size = None, [], [], 0
 
-            def piece(*start) -> pa.RecordBatch:
+            def piece(*start) -> tuple:
                 row = (*start, "".join(audit), b"".join(lines))
                 audit.clear()
                 lines.clear()
-                return pa.RecordBatch.from_arrays([pa.array([x], t) for x, (_, t) in zip(row, fields)],
-                                                  names=[n for n, _ in fields])
+                return row
 
             for head, edit in _walk(batches):
                 if edit is None:
@@ -291,15 +290,14 @@ class Conversations:
         ends = [("conversation", pa.string()), ("illegal", pa.int64()), ("cost", pa.int64()), ("audit", pa.string()),
                 ("repaired_sha256", pa.string())]
 
-        def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def join(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
             """One conversation after the other, piece by piece: only the hash, the audit and sums are held."""
             now: dict | None = None
 
-            def close() -> pa.RecordBatch:
-                row = (now["conversation"], now["illegal"], now["cost"], "".join(now["audit"]), now["sha"].hexdigest())
-                return pa.RecordBatch.from_arrays([pa.array([x], t) for x, (_, t) in zip(row, ends)], names=[n for n, _ in ends])
+            def close() -> tuple:
+                return now["conversation"], now["illegal"], now["cost"], "".join(now["audit"]), now["sha"].hexdigest()
 
-            for r in (x for b in batches for i in range(b.num_rows) for x in b.slice(i, 1).to_pylist()):
+            for r in (x for b in small_batches(batches, 8) for x in b.to_pylist()):
                 if now is None or r["conversation"] != now["conversation"]:
                     if now:
                         yield close()
@@ -316,10 +314,23 @@ class Conversations:
             if now:
                 yield close()
 
-        parts = self._streams().mapInArrow(pieces, "conversation string, chunk long, piece int, cost long, "
+        parts = self._streams().mapInArrow(lambda b: _batches(pieces(b), fields), "conversation string, chunk long, piece int, cost long, "
                                            "codes array<int>, audit string, lines binary")
         return (parts.repartition("conversation").sortWithinPartitions("conversation", "chunk", "piece")
-                .mapInArrow(join, "conversation string, illegal long, cost long, audit string, repaired_sha256 string"))
+                .mapInArrow(lambda b: _batches(join(b), ends), "conversation string, illegal long, cost long, audit string, repaired_sha256 string"))
+
+
+def _batches(rows: Iterator[tuple], fields: list[tuple[str, pa.DataType]]) -> Iterator[pa.RecordBatch]:
+    """Rows as Arrow batches of bounded size; the texts and lines stand last in a row."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row[-1]) + len(row[-2])
+        if len(held) >= 256 or size >= PIECE_BYTES:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*held), fields)], names=[n for n, _ in fields])
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*held), fields)], names=[n for n, _ in fields])
 
 
 def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, tuple | None]]:
