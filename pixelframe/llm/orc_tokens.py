@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from .bpe import _Numbers
 from .common import UNIT, small_batches, texts
 
 FILE_SCHEMA = "doc_id long, part int, part_start long, n_tokens long, ids array<int>"
@@ -35,36 +37,40 @@ class UnitEncoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.number: dict[str, int] = {}
+        self.number = _Numbers()
         self.ids = np.zeros(1 << 20, np.int32)
         self.start = np.zeros(1 << 18, np.int64)  # start[i]: where the ids of unit i begin; start[i + 1]: where they end
-
-    def _learn(self, units: set[str]) -> None:
-        new = [u for u in units if u not in self.number]
-        got = [e.ids for e in self.tok.encode_batch_fast(new, add_special_tokens=False)]
-        n, lens = len(self.number), np.fromiter(map(len, got), np.int64, len(got))
-        while n + len(new) + 1 > len(self.start):
-            self.start = np.concatenate([self.start, np.zeros_like(self.start)])
-        self.start[n + 1:n + len(new) + 1] = self.start[n] + np.cumsum(lens)
-        end = int(self.start[n + len(new)])
-        while end > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.ids[int(self.start[n]):end] = [i for x in got for i in x]
-        self.number.update(zip(new, range(n, n + len(new))))
+        self.known = 0
+
+    def _learn(self, new: list[str], at_once: int = 1000) -> None:
+        """Ids of units numbered but not yet known: each is a text of its own, many go through one call."""
+        for i in range(0, len(new), at_once):
+            units = new[i:i + at_once]
+            got = self.tok.encode(units, is_pretokenized=True, add_special_tokens=False)
+            lens = np.bincount(np.array(got.word_ids, np.int64), minlength=len(units))
+            n, m = self.known, self.known + len(units)
+            while m + 1 > len(self.start):
+                self.start = np.concatenate([self.start, np.zeros_like(self.start)])
+            self.start[n + 1:m + 1] = self.start[n] + np.cumsum(lens)
+            while self.start[m] > len(self.ids):
+                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+            self.ids[self.start[n]:self.start[m]] = got.ids
+            self.known = m
 
     def encode(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the batch, and how many each text has."""
         if len(self.number) > self.keep:
             self._reset()
-        units = [UNIT.findall(t) for t in batch]
-        known = self.number
-        if missing := {u for us in units for u in us if u not in known}:
-            self._learn(missing)
-        which = np.fromiter((known[u] for us in units for u in us), np.int64, sum(map(len, units)))
+        find, number = UNIT.findall, self.number.__getitem__
+        seqs = [np.fromiter(map(number, find(t)), np.int32) for t in batch]  # numbers what it meets for the first time
+        if len(self.number) > self.known:
+            new = list(islice(reversed(self.number), len(self.number) - self.known))
+            self._learn(new[::-1])
+        which = np.concatenate([*seqs, np.zeros(0, np.int32)])
         lens = self.start[which + 1] - self.start[which]
         at = np.concatenate([[0], np.cumsum(lens)])
         ids = self.ids[np.repeat(self.start[which] - at[:-1], lens) + np.arange(at[-1])]
-        ends = np.cumsum([0, *map(len, units)])
+        ends = np.cumsum([0, *map(len, seqs)])
         return ids, np.diff(at[ends])
 
 
