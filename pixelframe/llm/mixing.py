@@ -143,10 +143,11 @@ def mixed(docs: DataFrame, **parameters) -> DataFrame:
     """The mix itself: a row with the columns of ``docs`` for each piece taken, ``text`` cut to its words and
     ``n_chars`` counted anew.  Rows of which nothing is taken are gone; whole copies keep their text as it is.
 
-    ``docs`` is a stored table: its rows are numbered by their place in it, so that repeated rows stay apart.
+    Rows are numbered, so that repeated rows stay apart, and written with their numbers: whatever is read twice
+    afterwards, by however many executors, carries the same ones.
     """
     row, size, span = (unused(docs, n) for n in ("_row", "_size", "_piece"))
-    rows = docs.withColumn(row, F.monotonically_increasing_id())
+    rows = materialize_table(docs.withColumn(row, F.monotonically_increasing_id()), "mix-rows")
     plan = mix(rows, carry=(row,), **parameters).where("taken > 0")
     piece = lambda a, b: F.struct(F.col(a).alias("a") if a else F.lit(0).cast("bigint").alias("a"), F.col(b).alias("b"))
     pieces = F.concat(F.array_repeat(piece(None, "size"), F.col("passes").cast("int")),

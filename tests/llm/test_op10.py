@@ -63,3 +63,28 @@ def test_no_words_and_empty_table(spark, odd_docs):
     none = mixing.mix(odd_docs.where("text is null")).collect()
     assert none and all(r["taken"] == 0 and r["target"] == 0 for r in none)
     assert mixing.mix(odd_docs.limit(0)).count() == 0
+
+
+def test_texts_are_the_plans_words_whatever_the_parallelism(spark, tmp_path):
+    """Splits of a scan follow the cores: numbers given in one scan must not be looked up in another."""
+    docs = spark.range(3000).selectExpr(
+        "id as doc_id", "concat('d', id, ' ', repeat(concat('w', id, ' '), cast(id % 90 as int)), 'z', id) as text",
+        "case when id % 3 = 0 then 'hot' else concat('s', id % 5) end as source", "0L as n_chars")
+    docs.repartition(3).write.parquet(str(tmp_path / "docs"))
+    settings = {"spark.sql.files.openCostInBytes": "1", "spark.sql.leafNodeDefaultParallelism": "2"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        stored = spark.read.parquet(str(tmp_path / "docs"))
+        plan = {r["doc_id"]: r for r in mixing.mix(stored).collect()}
+        out = mixing.mixed(stored)
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", "16")
+        got = {}
+        for r in out.collect():
+            words = r["text"].split()
+            assert len({w.lstrip("dwz") for w in words}) == 1 and words[0].lstrip("dwz") == str(r["doc_id"])
+            got[r["doc_id"]] = got.get(r["doc_id"], 0) + len(words)
+    finally:
+        for k in settings:
+            spark.conf.unset(k)
+    assert got == {i: r["taken"] for i, r in plan.items() if r["taken"]}
