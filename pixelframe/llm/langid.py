@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import crc_mod, small_batches, texts
@@ -126,18 +126,37 @@ def train(x: np.ndarray, y: np.ndarray, langs: list[str], steps: int = 500, batc
                    p["out_bias"])
 
 
+def _by_lang(values: dict[str, int]) -> Column:
+    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
+
+
 def fit(docs: DataFrame, rows_per_lang: int = 1500, windows_per_row: int = 3, steps: int = 500, folds: int = 4,
         held_out: int = 2) -> Network | None:
     """Learn from text and language of rows whose ``crc32(doc_id as text) mod folds`` is not ``held_out``.
 
-    The sample is bounded: of each language the ``rows_per_lang`` rows with the smallest hash of the id, and
-    of each ``windows_per_row`` evenly spaced windows.  None if no row is labelled.
+    The sample is bounded: of each language at most ``rows_per_lang`` ids, those with the smallest hash, of an
+    id in a language one text, however often its row repeats (the one with the smallest hash), and of each
+    ``windows_per_row`` evenly spaced windows.  Ids that cannot be among them are dropped by a
+    threshold on the hash, from the language's count, so nothing ranks a whole language.  None if no row is labelled.
     """
     seen = docs.where("lang is not null and text is not null and doc_id is not null").where(
-        crc_mod(F.col("doc_id"), folds) != held_out)
-    rank = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id")
-    picked = (seen.select("doc_id", "lang").withColumn("_r", F.row_number().over(rank))
-              .where(F.col("_r") <= rows_per_lang).select("doc_id", "lang"))
+        crc_mod(F.col("doc_id"), folds) != held_out).select(F.col("doc_id").cast("bigint").alias("doc_id"), "lang", "text")
+    hashed = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(3)), 2)
+    ids = seen.select("doc_id", "lang").distinct().withColumn("_h", hashed)
+    counts = {r["lang"]: r["count"] for r in ids.groupBy("lang").count().collect()}  # languages, as many as the model has
+    if not counts:
+        return None
+    # of n ids, all but a vanishing share of draws leave rows_per_lang or more below this; too few are only fewer
+    room = rows_per_lang + 6 * rows_per_lang ** 0.5 + 20
+    below = _by_lang({lang: int(min(1.0, room / n) * (1 << 62)) for lang, n in counts.items()})
+    kept: dict[str, list[tuple[int, int]]] = {}
+    for r in ids.where(F.col("_h") <= F.element_at(below, F.col("lang"))).collect():
+        kept.setdefault(r["lang"], []).append((r["_h"], r["doc_id"]))
+    picked = docs.sparkSession.createDataFrame(
+        [(i, lang) for lang, rows in kept.items() for _, i in sorted(rows)[:rows_per_lang]], "doc_id long, lang string")
+    sample = (seen.join(F.broadcast(picked), ["doc_id", "lang"]).groupBy("doc_id", "lang")
+              .agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t"))
+              .select("doc_id", "lang", F.col("t.text").alias("text")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in small_batches(batches):
@@ -150,8 +169,7 @@ def fit(docs: DataFrame, rows_per_lang: int = 1500, windows_per_row: int = 3, st
             yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate(
                 (pa.int64(), pa.int32(), pa.string(), pa.binary()))], names=["doc_id", "j", "lang", "w"])
 
-    rows = sorted(seen.select("doc_id", "lang", "text").join(F.broadcast(picked), ["doc_id", "lang"])
-                  .mapInArrow(cut, "doc_id long, j int, lang string, w binary").collect(), key=lambda r: tuple(r)[:3])
+    rows = sorted(sample.mapInArrow(cut, "doc_id long, j int, lang string, w binary").collect(), key=lambda r: tuple(r)[:3])
     if not rows:
         return None
     langs = sorted({r["lang"] for r in rows})

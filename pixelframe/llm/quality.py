@@ -93,10 +93,10 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = 2500, dictiona
         folds: int = 5, held_out: int = 0) -> Model:
     """Learn from labelled rows whose ``crc32(doc_id as text) mod folds`` is not ``held_out``.
 
-    The sample is bounded: of each class the ``rows_per_class`` rows with the smallest hash of the id.  Up to
-    eight evenly spaced windows of each row make the dictionaries.  For the calibration, the rows of each
-    half of the sample are measured, over their whole texts, with dictionaries of the other half.  Several
-    labels of an id count as the largest; null labels do not count.  Without rows of both classes the model
+    The sample is bounded: of each class the ``rows_per_class`` ids with the smallest hash, and of an id one text,
+    however often its row repeats (the one with the smallest hash).  Up to eight evenly spaced windows of each text
+    make the dictionaries.  For the calibration, the texts of each half of the sample are measured, whole, with
+    dictionaries of the other half.  Several labels of an id count as the largest; null labels do not count.  Without rows of both classes the model
     gives the prior: 1 for only good rows, 0 for only bad ones, 0.5 for none.
     """
     spark = docs.sparkSession
@@ -112,8 +112,11 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = 2500, dictiona
                 .select("doc_id", F.xxhash64("doc_id", F.lit(4)).alias("_h")).orderBy("_h", "doc_id")
                 .limit(rows_per_class).collect()]
     picked = spark.createDataFrame(ids, "doc_id long, quality int, half long")
-    sample = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-              .join(F.broadcast(picked), "doc_id"))  # at most two classes of rows_per_class ids
+    text = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    sample = (text.join(F.broadcast(picked), "doc_id")  # at most two classes of rows_per_class ids
+              .groupBy("doc_id", "quality", "half")
+              .agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t"))
+              .select("doc_id", "quality", "half", F.col("t.text").alias("text")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

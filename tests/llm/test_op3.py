@@ -56,3 +56,44 @@ def test_whole_text_counts(spark):
     en = next(r["text"] for r in docs.where("lang = 'en' and n_chars between 300 and 500").collect())
     df = spark.createDataFrame([(1, en + " " + " ".join([fr] * 5))], "doc_id long, text string")
     assert langid.predict(df, net).first()["lang_pred"] == "fr"
+
+
+def slow_scores(text, net):
+    """The network position by position, from its parameters alone: no tables, no batches."""
+    x = langid.CLASSES[np.frombuffer(text.encode(), np.uint8)].astype(int)
+    n = max(1, -(-len(x) // langid.WINDOW))
+    x = np.concatenate([x, np.zeros(n * langid.WINDOW + 3 - len(x), int)])
+    total, used = np.zeros(len(net.langs)), 0
+    for w in range(n):
+        best = np.full((len(langid.WIDTHS), langid.FILTERS), -np.inf)
+        for at in range(w * langid.WINDOW, (w + 1) * langid.WINDOW):
+            for k, (width, f) in enumerate(zip(langid.WIDTHS, net.filters)):
+                best[k] = np.maximum(best[k], sum(net.embed[x[at + o]] @ f[o] for o in range(width)))
+        share = min(langid.WINDOW, len(text.encode()) - w * langid.WINDOW)
+        total += (np.maximum(best.reshape(-1) + net.bias, 0) @ net.out + net.out_bias) * share
+        used += share
+    q = np.exp(total / used - (total / used).max())
+    return net.langs[int(q.argmax())], q.max() / q.sum()
+
+
+def test_scores_by_brute_force(spark):
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
+    net = langid.fit(docs, rows_per_lang=100, steps=60)
+    some = docs.where("n_chars < 1500 and doc_id % 5 = 0").limit(60)
+    got = {r["doc_id"]: r for r in langid.predict(some, net).collect()}
+    for d in some.collect():
+        if any(c.isalpha() for c in d["text"] or ""):
+            lang, score = slow_scores(d["text"], net)
+            assert got[d["doc_id"]]["lang_pred"] == lang and abs(got[d["doc_id"]]["score"] - score) < 1e-3
+
+
+def test_the_sample_is_bounded_whatever_repeats(spark, monkeypatch):
+    """1200 rows of one id, and a language with most of the rows."""
+    sizes = []
+    monkeypatch.setattr(langid, "train", lambda x, y, langs, steps: sizes.append((len(x), np.bincount(y).tolist())))
+    text = "palabra otra vez " * 60
+    one = spark.range(1200).selectExpr("1L as doc_id", "concat(id %% 3, ' %s') as text" % text, "'es' as lang")
+    langid.fit(one)
+    many = spark.range(6000).selectExpr("id as doc_id", "'%s' as text" % text, "if(id % 10 = 0, 'fr', 'en') as lang")
+    langid.fit(one.unionByName(many).unionByName(many), rows_per_lang=50)
+    assert sizes == [(3, [3]), (3 + 300, [150, 3, 150])]

@@ -59,3 +59,38 @@ def test_labels_of_the_held_out_fold_do_not_matter(spark):
     b = [(i, 1 - q if crc(i, 5) == 0 else q) for i, q in a]
     fits = [quality.fit(docs, spark.createDataFrame(x, "doc_id long, quality int"), rows_per_class=40) for x in (a, b)]
     assert fits[0].good == fits[1].good and np.allclose(fits[0].weights, fits[1].weights)
+
+
+def test_scores_by_brute_force(spark):
+    """Dictionary sizes window by window and the logistic function, spelt out."""
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet").limit(300)
+    model = quality.fit(docs, spark.read.parquet(f"{SF_MID}/labels.parquet"), rows_per_class=60)
+    got = {r["doc_id"]: r["score"] for r in quality.scored(docs, model).collect()}
+    dicts = [zstandard.ZstdCompressionDict(model.good), zstandard.ZstdCompressionDict(model.bad), None]
+    for d in docs.collect():
+        raw = (d["text"] or "").encode()
+        n, sizes = float(len(raw)), []
+        for x in dicts:
+            kw = {"dict_data": x} if x else {}
+            c = zstandard.ZstdCompressor(level=3, write_content_size=False, write_dict_id=False, **kw)
+            sizes.append(float(sum(len(c.compress(raw[i:i + 2048])) for i in range(0, len(raw), 2048))))
+        if not raw:
+            assert got[d["doc_id"]] == model.prior
+            continue
+        g, b, z = sizes
+        base = [(b - g) / max(g, b), g / n, b / n, z / n, np.log(n)]
+        t = base + [v * v for v in base[:4]] + [base[0] * v for v in base[1:4]]
+        z = sum(w * min(8, max(-8, (v - c) / s)) for w, v, c, s in zip(model.weights[1:], t, model.centre, model.scale))
+        assert abs(got[d["doc_id"]] - 1 / (1 + np.exp(-(z + model.weights[0])))) < 1e-9
+
+
+def test_the_sample_is_bounded_whatever_repeats(spark, monkeypatch):
+    seen = []
+    real = quality.calibrate
+    monkeypatch.setattr(quality, "calibrate", lambda x, y, w: seen.append(len(x)) or real(x, y, w))
+    docs = spark.range(1200).selectExpr("if(id % 2 = 0, 1L, 2L) as doc_id", "concat('text ', id % 7, ' of words') as text")
+    ids = [i for i in (1, 2) if crc(i, 5) != 0]
+    assert ids == [1, 2]
+    labels = spark.createDataFrame([(1, 1), (2, 0)] * 3, "doc_id long, quality int")
+    quality.fit(docs, labels, rows_per_class=1)
+    assert seen == [2]
