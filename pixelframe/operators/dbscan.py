@@ -1,12 +1,13 @@
 """Exact DBSCAN on vector rows (M5) as Spark joins and aggregates.
 
-1. ε-neighbour pairs: every point gets integer cells ``floor(p·u_j / ε)`` along ``n_dirs`` unit
-   directions ``u_j`` (leading principal directions).  Since ``|a·u − b·u| ≤ ‖a − b‖``, a pair within ε
-   sits in the same or an adjacent cell along every direction, so joining each point's cell with the
-   3^d neighbouring cells of the other side loses no pair.  The join is an equality on the cell key
-   (hash / sort-merge, AQE splits hot cells); the exact distance is the residual.
-2. Core points: ``count(neighbours incl. self) >= min_samples``.
-3. Clusters: connected components of the core–core graph by iterated min-label propagation
+1. Blocks: every point gets integer cells ``floor(p·u_j / ε)`` along ``n_dirs`` unit directions ``u_j``
+   (leading principal directions).  Since ``|a·u − b·u| ≤ ‖a − b‖``, a pair within ε sits in the same or an
+   adjacent cell along every direction.  A cell is cut into blocks of bounded size, and each pair of
+   neighbouring blocks is one group of two bounded sides, whose distances are computed in numpy.
+2. Core points: each pair of blocks gives one neighbour count per point; ``count incl. self >= min_samples``.
+3. Clusters: each pair of blocks gives a spanning forest of its core points, at most one edge per point, and for
+   a border point one link per component there.  No pair of points is ever written, so a dense group of
+   m points costs m rows, not m².  Components of the forests: min-label propagation
    (join + ``groupBy(min)``), lineage cut with ``checkpoint()`` into the shared checkpoint folder.
 4. Border points take the smallest label of their core neighbours; the rest are noise (−1).
 
@@ -101,16 +102,12 @@ def _block_pairs_fn(eps2: float, chunk_bytes: int = 32 << 20):
     return fn
 
 
-def neighbour_pairs(df: DataFrame, id_col: str, features: str, eps: float, n_dirs: int = 2,
-                    dirs: list[list[float]] | None = None, block_rows: int = 2048) -> DataFrame:
-    """All ordered pairs (a, b), a ≠ b, with ‖a − b‖ ≤ ε — exact, nothing capped.
+def _blocks(df: DataFrame, id_col: str, features: str, eps: float, n_dirs: int, dirs: list[list[float]] | None,
+            block_rows: int) -> tuple[DataFrame, DataFrame]:
+    """The points with their block (``_id, _v, _h``) and the pairs of neighbouring blocks (``_l, _r, _same, _k``).
 
-    Points get cells along the principal directions (as in the join form) and, inside a cell, a hash
-    block so that no block exceeds about ``block_rows`` points even when one cell holds a third of the
-    data.  Pairs of neighbouring blocks that hold points are found first, on the small table of cells;
-    points travel to those only.  Each pair of blocks is one ``cogroup`` group — at most two bounded
-    blocks — whose distances are computed in numpy; each unordered pair is visited once and only the
-    points within ε leave the task.
+    Inside a cell points get a hash block, so that no block exceeds about ``block_rows`` points even when
+    one cell holds a third of the data.  Pairs of blocks that hold points are found on the table of cells.
     """
     if dirs is None:
         dirs = principal_directions(df, features, n_dirs)
@@ -130,24 +127,112 @@ def neighbour_pairs(df: DataFrame, id_col: str, features: str, eps: float, n_dir
     pairs = (near.join(blocks, ckeys).select("_l", home.alias("_r")).where(F.col("_l") <= F.col("_r"))
              .withColumn("_same", F.col("_l") == F.col("_r")))
     pairs = materialize(pairs.withColumn("_k", F.to_json(F.struct("_l", "_r"))))
-    rows = pts.select("_id", "_v", home.alias("_h"))
-    key_l = rows.join(pairs, F.col("_h") == F.col("_l")).select("_id", "_v", "_same", "_k")
-    key_r = rows.join(pairs, F.col("_h") == F.col("_r")).select(F.col("_id").alias("_rid"), F.col("_v").alias("_rv"), F.col("_k").alias("_rk"))
-    fn = _block_pairs_fn(float(eps) * float(eps))
-    return (key_l.groupBy("_k").cogroup(key_r.groupBy("_rk"))
-            .applyInPandas(fn, schema="a long, b long"))
-
-
-def core_points(df: DataFrame, id_col: str, features: str, eps: float, min_samples: int,
-                pairs: DataFrame | None = None, n_dirs: int = 2) -> DataFrame:
-    """``(id, n_neighbors, is_core)``; the count includes the point itself."""
-    pairs = pairs if pairs is not None else neighbour_pairs(df, id_col, features, eps, n_dirs)
-    counts = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("_n"))
-    return (df.select(F.col(id_col).alias("id")).join(counts.withColumnRenamed("a", "id"), "id", "left")
-            .select("id", (F.coalesce("_n", F.lit(0)) + 1).cast("bigint").alias("n_neighbors"))
+    return pts.select("_id", "_v", home.alias("_h")), pairs
+
+
+def _per_block_pair(rows: DataFrame, pairs: DataFrame, fn, schema: str) -> DataFrame:
+    """``fn`` on the two sides of every pair of blocks; columns of the right side start with ``r``."""
+    left = rows.join(pairs, F.col("_h") == F.col("_l")).select(*[c for c in rows.columns if c != "_h"], "_same", "_k")
+    right = rows.join(pairs, F.col("_h") == F.col("_r")).select(
+        *[F.col(c).alias(f"_r{c[1:]}") for c in rows.columns if c != "_h"], F.col("_k").alias("_rk"))
+    return left.groupBy("_k").cogroup(right.groupBy("_rk")).applyInPandas(fn, schema=schema)
+
+
+def neighbour_pairs(df: DataFrame, id_col: str, features: str, eps: float, n_dirs: int = 2,
+                    dirs: list[list[float]] | None = None, block_rows: int = 2048) -> DataFrame:
+    """All ordered pairs (a, b), a ≠ b, with ‖a − b‖ ≤ ε — exact, nothing capped.
+
+    For those who want the pairs themselves; their number grows with the square of a dense group, so the
+    clustering below never builds them.
+    """
+    rows, pairs = _blocks(df, id_col, features, eps, n_dirs, dirs, block_rows)
+    return _per_block_pair(rows, pairs, _block_pairs_fn(float(eps) * float(eps)), "a long, b long")
+
+
+def _within(lv: np.ndarray, rv: np.ndarray, eps2: float, chunk_bytes: int = 32 << 20) -> np.ndarray:
+    """Which pairs of the two sides lie within ε; differences are taken some rows at a time."""
+    hit = np.zeros((len(lv), len(rv)), bool)
+    chunk = max(1, chunk_bytes // max(1, rv.nbytes))
+    for s in range(0, len(lv), chunk):
+        diff = lv[s:s + chunk, None, :] - rv[None, :, :]
+        hit[s:s + chunk] = np.einsum("ijk,ijk->ij", diff, diff) <= eps2
+    return hit
+
+
+def _matrix(vectors: pd.Series) -> np.ndarray:
+    return np.stack(vectors.to_numpy()).astype(np.float64)
+
+
+def _counts_fn(eps2: float):
+    def fn(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if left.empty or right.empty:
+            return pd.DataFrame({"id": pd.Series([], dtype="int64"), "n": pd.Series([], dtype="int64")})
+        la, ra = left["_id"].to_numpy(np.int64), right["_rid"].to_numpy(np.int64)
+        hit = _within(_matrix(left["_v"]), _matrix(right["_rv"]), eps2)
+        if left["_same"].iloc[0]:
+            np.fill_diagonal(hit, False) if (la == ra).all() else np.logical_and(hit, la[:, None] != ra[None, :], out=hit)
+            return pd.DataFrame({"id": la, "n": hit.sum(1)})
+        return pd.DataFrame({"id": np.concatenate([la, ra]), "n": np.concatenate([hit.sum(1), hit.sum(0)])})
+    return fn
+
+
+def spanning_forest(hit: np.ndarray) -> list[tuple[int, int]]:
+    """Edges ``(row, column)`` of a spanning forest of the bipartite graph ``hit``: breadth first, so that each row
+    and column is looked at once."""
+    rows, cols, edges = np.zeros(hit.shape[0], bool), np.zeros(hit.shape[1], bool), []
+    for start in np.flatnonzero(hit.any(1)):
+        if rows[start]:
+            continue
+        rows[start] = True
+        front = np.array([start])
+        while len(front):
+            met = hit[front]
+            new = np.flatnonzero(met.any(0) & ~cols)
+            cols[new] = True
+            edges += zip(front[met[:, new].argmax(0)].tolist(), new.tolist())
+            met = hit[:, new]
+            front = np.flatnonzero(met.any(1) & ~rows) if len(new) else new
+            rows[front] = True
+            if len(front):
+                edges += zip(front.tolist(), new[met[front].argmax(1)].tolist())
+    return edges
+
+
+def _forest_fn(eps2: float):
+    """Edges ``(a, b)`` between core points, and links from a border point ``a`` to a core point ``b`` (``core`` false):
+    one for each core point within ε, of which a border point has fewer than ``min_samples``."""
+    def fn(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), True)]
+        if not left.empty and not right.empty:
+            la, ra = left["_id"].to_numpy(np.int64), right["_rid"].to_numpy(np.int64)
+            lc, rc = left["_core"].to_numpy(bool), right["_rcore"].to_numpy(bool)
+            hit = _within(_matrix(left["_v"]), _matrix(right["_rv"]), eps2)
+            il, ir = np.flatnonzero(lc), np.flatnonzero(rc)
+            edges = np.array(spanning_forest(hit[np.ix_(il, ir)]), np.int64).reshape(-1, 2)
+            out.append((la[il[edges[:, 0]]], ra[ir[edges[:, 1]]], True))
+            i, j = np.nonzero(hit & ~lc[:, None] & rc[None, :])
+            out.append((la[i], ra[j], False))
+            if not left["_same"].iloc[0]:
+                i, j = np.nonzero(hit & lc[:, None] & ~rc[None, :])
+                out.append((ra[j], la[i], False))
+        return pd.DataFrame({"a": np.concatenate([o[0] for o in out]), "b": np.concatenate([o[1] for o in out]),
+                             "core": np.concatenate([np.full(len(o[0]), o[2]) for o in out])})
+    return fn
+
+
+def _core_flags(rows: DataFrame, pairs: DataFrame, eps: float, min_samples: int) -> DataFrame:
+    counts = _per_block_pair(rows, pairs, _counts_fn(float(eps) * float(eps)), "id long, n long")
+    return (counts.groupBy("id").agg((F.sum("n") + 1).alias("n_neighbors"))
             .withColumn("is_core", F.col("n_neighbors") >= F.lit(int(min_samples))))
 
 
+def core_points(df: DataFrame, id_col: str, features: str, eps: float, min_samples: int, n_dirs: int = 2,
+                dirs: list[list[float]] | None = None, block_rows: int = 2048) -> DataFrame:
+    """``(id, n_neighbors, is_core)``; the count includes the point itself.  Ids are unique."""
+    rows, pairs = _blocks(df, id_col, features, eps, n_dirs, dirs, block_rows)
+    return _core_flags(rows, pairs, eps, min_samples)
+
+
 def connected_components(edges: DataFrame, vertices: DataFrame) -> DataFrame:
     """Connected components of an undirected edge list ``(a, b)``; vertices ``(id)`` → ``(id, label)``.
 
@@ -175,20 +260,25 @@ def connected_components(edges: DataFrame, vertices: DataFrame) -> DataFrame:
 
 
 def dbscan(df: DataFrame, id_col: str, features: str, eps: float = 0.5, min_samples: int = 10,
-           n_dirs: int = 2) -> DataFrame:
-    """``(id, n_neighbors, is_core, cluster)``: cluster −1 = noise."""
-    pairs = neighbour_pairs(df, id_col, features, eps, n_dirs).checkpoint(eager=True)
-    cores = core_points(df, id_col, features, eps, min_samples, pairs).checkpoint(eager=True)
-    core_ids = cores.where("is_core").select("id")
-    # read in every propagation round: written once to the checkpoint folder
-    core_edges = (pairs.join(core_ids.withColumnRenamed("id", "a"), "a")
-                  .join(core_ids.withColumnRenamed("id", "b"), "b").select("a", "b")).checkpoint(eager=True)
-    comp = connected_components(core_edges, core_ids)
+           n_dirs: int = 2, block_rows: int = 2048) -> DataFrame:
+    """``(id, n_neighbors, is_core, cluster)``: cluster −1 = noise.  Ids are unique.
+
+    What is written is linear in the points: block members, one count per point, and the forests' edges and
+    border links per pair of blocks.
+    """
+    rows, pairs = _blocks(df, id_col, features, eps, n_dirs, None, block_rows)
+    rows = rows.checkpoint(eager=True)
+    cores = _core_flags(rows, pairs, eps, min_samples).checkpoint(eager=True)
+    flagged = rows.join(cores.select(F.col("id").alias("_id"), F.col("is_core").alias("_core")), "_id")
+    links = _per_block_pair(flagged, pairs, _forest_fn(float(eps) * float(eps)), "a long, b long, core boolean")
+    links = links.where("a <> b").checkpoint(eager=True)
+    forest = links.where("core").select("a", "b")
+    edges = forest.unionByName(forest.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    comp = connected_components(edges, cores.where("is_core").select("id"))
     # border points: smallest label among core neighbours
-    border = (pairs.join(comp.withColumnRenamed("id", "b"), "b")
+    border = (links.where("not core").join(comp.withColumnRenamed("id", "b"), "b")
               .groupBy(F.col("a").alias("id")).agg(F.min("label").alias("_bl")))
-    out = (cores.join(comp, "id", "left").join(border, "id", "left")
-           .withColumn("cluster", F.when(F.col("is_core"), F.col("label"))
-                       .otherwise(F.coalesce(F.col("_bl"), F.lit(-1)).cast("bigint")))
-           .drop("label", "_bl"))
-    return out
+    return (cores.join(comp, "id", "left").join(border, "id", "left")
+            .withColumn("cluster", F.when(F.col("is_core"), F.col("label"))
+                        .otherwise(F.coalesce(F.col("_bl"), F.lit(-1)).cast("bigint")))
+            .drop("label", "_bl"))
