@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +14,7 @@ from . import fixtures as fx
 from . import jobs
 from .catalog import _t, register
 from .catalog_data import _MISSING_SQL, _RASTER_SQL, _embedding_tiles, _pred_pixels
-from .catalog_models import _SQ_DIST, SQL_LABEL_MEANS
+from .catalog_models import _SQ_DIST, SQL_LABEL_MEANS, marked
 
 _EXTRACT_EDGES = fx.sql_block_edges(fx.EXTRACT_POLYGONS, fx.EXTRACT_BLOCK, fx.EXTRACT_SHIFT)
 _TILE_EDGES = fx.sql_block_edges(fx.TILE_POLYGONS, fx.TILE_BLOCK, fx.TILE_SHIFT)
@@ -214,23 +216,28 @@ def evaluate_reprojected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select(*[F.round(c, 6).alias(c) for c in ("precision", "recall", "accuracy")], "n_groups")
 
 
+# The forest's map: the class of each pixel is the one its marked bands tell.
+_RF_MAP_SQL = re.sub(r"pr AS \(SELECT x, y, CAST\(centre_id.*?WHERE rn = 1\),",
+                     "pr AS (SELECT x, y, CAST(label AS SMALLINT) AS pred FROM lp),", _MAP_SQL, count=1, flags=re.S)
+
+
 @register("rf_map_job", f"""
-WITH {_MAP_SQL}
-SELECT DISTINCT mo.col, mo."row", mo.grid_id FROM mo JOIN inreg ON mo.col = inreg.col AND mo."row" = inreg."row"
+WITH {_RF_MAP_SQL}
+SELECT DISTINCT mo.col, mo."row", mo.pred, mo.grid_id FROM mo JOIN inreg ON mo.col = inreg.col AND mo."row" = inreg."row"
 """)
 def rf_map_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Forest fitted on features (M1), saved, loaded (S12) and applied to the unlabelled pixels' bands."""
-    f = _t(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("pixel_id"), F.col("embedding").alias("features"),
+    """Forest fitted on marked features (M1), saved, loaded (S12) and applied to the unlabelled pixels' bands."""
+    f = _t(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("pixel_id"), marked("embedding", "label").alias("features"),
                                                F.col("label").alias("class_"))
     path = scratch_path(spark, "map-model")
     learn.save_model(learn.fit_random_forest(f, 64, num_trees=20, max_depth=8), path)
     model = learn.load_model(path)
     pixels, _ = _map_inputs(spark, sf_dir)
-    out = jobs.save_predictions(fx.extract_regions(spark, sf_dir), pixels.drop("label"),
+    out = jobs.save_predictions(fx.extract_regions(spark, sf_dir), pixels.withColumn("bands", marked("bands", "label")).drop("label"),
                                 lambda df: learn.predict(model, df, "pred", features="bands", on_missing=0),
                                 bin_size=4.0, x0=0.0, y0=0.0, res=1.0, min_area=_MAP_MIN_AREA, grid_size=_MAP_GRID,
                                 grid_overlap=_MAP_OVERLAP)
-    return out.where("pred is not null").select("col", "row", "grid_id")
+    return out.select("col", "row", "pred", "grid_id")
 
 
 @register("extract_utm", f"""

@@ -30,7 +30,6 @@ SQL_LABEL_MEANS = """c AS (SELECT CAST(label AS BIGINT) AS centre_id, list(m ORD
        SELECT label, i, avg(v) AS m FROM (SELECT label, CAST(unnest(embedding) AS DOUBLE) AS v, unnest(range(0, len(embedding))) AS i
                                           FROM embeddings WHERE label IS NOT NULL) GROUP BY label, i) GROUP BY label)"""
 _IS_TEST = "substr(md5(concat(CAST({id} AS VARCHAR), ':42')), 1, 8) < '4ccccccc'"
-_SUMMARY_ROWS = "(VALUES ('accuracy'), ('macro avg'), ('weighted avg')) AS s(label)"
 
 
 @register("kmeans_assign", f"""
@@ -46,67 +45,134 @@ def kmeans_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return learn.nearest_centre(e, centres, "embedding", "centre_id").select("vec_id", "centre_id")
 
 
+# Features whose class any sound forest finds: component j tells bit j % 4 of the label (2 or 6), and the sign of
+# the embedding's component (a quarter more), so all-zero background rows lie apart from every label too.
+MARK_BITS = 4
+SQL_MARKED = f"""marked AS (SELECT vec_id, list_transform(range(len(embedding)), lambda j:
+       2.0 + 4 * ((label >> (j % {MARK_BITS})::INTEGER) & 1) + CASE WHEN embedding[j + 1] > 0 THEN 0.25 ELSE 0 END) AS f FROM embeddings)"""
+_CLASS_OF_MARKS = " + ".join(f"CASE WHEN f[{b + 1}] >= 6 THEN {1 << b} ELSE 0 END" for b in range(MARK_BITS))
+
+
+def marked(vector: str, label: str):
+    """The array column ``vector`` with its components replaced by marks of ``label``'s bits."""
+    bits = F.array(*[F.col(label).cast("int").bitwiseAND(F.lit(1 << b)) > 0 for b in range(MARK_BITS)])
+    bit = lambda j: F.get(bits, F.pmod(j, F.lit(MARK_BITS)))
+    return F.transform(vector, lambda x, j: (F.lit(2.0) + F.when(bit(j), 4.0).otherwise(0.0)
+                                             + F.when(x > 0, 0.25).otherwise(0.0)).cast("float"))
+
+
 def _rf_split(spark: SparkSession, sf_dir: str):
-    f = _features(spark, sf_dir)
+    f = _features(spark, sf_dir).withColumn("features", marked("features", "class_"))
     train, test = prep.train_test_split(f, ["pixel_id"], 0.3, 42)
     model = learn.fit_random_forest(train, 64, "features", "class_", num_trees=100, max_depth=15, seed=42)
     return model, test
 
 
 @register("rf_predict", f"""
-SELECT vec_id AS pixel_id, label AS class_, 1 AS valid FROM embeddings WHERE {_IS_TEST.format(id="vec_id")}
+WITH {SQL_MARKED}
+SELECT vec_id AS pixel_id, {_CLASS_OF_MARKS} AS pred FROM marked WHERE {_IS_TEST.format(id="vec_id")}
 """)
 def rf_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Random forest fit on the 70 % split (M1) and prediction of the 30 % split, without its label (M2).
+    """Random forest fit on the 70 % split (M1) and its prediction of the 30 % split, without its label (M2).
 
-    The SQL knows the rows; which class a forest gives is its own, so the query tells whether it is one.
+    The SQL reads each row's class off the features; the forest has to find it.
     """
     model, test = _rf_split(spark, sf_dir)
-    classes = [r[0] for r in test.sparkSession.read.parquet(f"{sf_dir}/embeddings.parquet").select("label").distinct().collect()]
-    pred = learn.predict(model, test.drop("class_"), "pred")
-    return (pred.join(test.select("pixel_id", "class_"), "pixel_id")
-            .select("pixel_id", "class_", F.col("pred").isin(classes).cast("int").alias("valid")))
+    return learn.predict(model, test.drop("class_"), "pred").select("pixel_id", "pred")
 
 
-def _supports(report: DataFrame) -> DataFrame:
-    """What SQL can tell of a report on a fitted model: labels, supports, and that the scores are shares."""
-    share = F.lit(True)
-    for c in ("precision", "recall", "f1_score"):
-        share = share & F.coalesce(F.col(c).between(0.0, 1.0), F.lit(True))
-    return report.where("support > 0").select("label", "support", share.cast("int").alias("shares"))
+def _report_sql(pairs: str) -> str:
+    """The classification report of ``pairs (y, p)`` in SQL."""
+    return _REPORT_SQL.replace("SELECT quality AS y, toxic AS p, count(*) AS n FROM labels", f"SELECT y, p, count(*) AS n FROM ({pairs})")
 
 
-@register("rf_report", f"""
-WITH t AS (SELECT label FROM embeddings WHERE {_IS_TEST.format(id="vec_id")})
-SELECT CAST(label AS VARCHAR) AS label, CAST(count(*) AS BIGINT) AS support, 1 AS shares FROM t GROUP BY label
-UNION ALL SELECT s.label, CAST((SELECT count(*) FROM t) AS BIGINT), 1 FROM {_SUMMARY_ROWS}
-""")
+def _rounded(report: DataFrame) -> DataFrame:
+    return report.select("label", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1_score")],
+                         F.col("support").cast("bigint").alias("support"))
+
+
+@register("rf_report", _report_sql(f"""WITH {SQL_MARKED} SELECT label AS y, {_CLASS_OF_MARKS} AS p
+          FROM embeddings JOIN marked USING (vec_id) WHERE {_IS_TEST.format(id="vec_id")}"""))
 def rf_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Classification report of the forest on the test split (E6): its labels and supports."""
+    """Classification report of the forest on the test split (E6), scores included."""
     model, test = _rf_split(spark, sf_dir)
-    return _supports(metrics.classification_report(learn.predict(model, test, "pred"), "class_", "pred"))
+    return _rounded(metrics.classification_report(learn.predict(model, test, "pred"), "class_", "pred"))
 
 
-@register("kmeans_fit", "SELECT vec_id AS pixel_id, 1 AS at_nearest FROM embeddings")
-def kmeans_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K-means with k = 10 (M3): every row is in the cluster of its nearest fitted centre."""
+KMEANS_K, KMEANS_ROUNDS = 10, 3
+
+
+def _sql_lloyd() -> str:
+    """Lloyd's rounds in SQL: centres ``c<rounds>`` and assignments ``a<rounds>`` (to the final centres)."""
+    out = f"""c0 AS (SELECT row_number() OVER (ORDER BY md5(concat(CAST(vec_id AS VARCHAR), ':42')), vec_id) - 1 AS cid,
+                 CAST(embedding AS DOUBLE[]) AS ce FROM embeddings QUALIFY cid < {KMEANS_K})"""
+    for r in range(KMEANS_ROUNDS + 1):
+        out += f""",
+a{r} AS MATERIALIZED (SELECT vec_id, cid, d2 FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d2, cid) AS rn FROM (
+          SELECT e.vec_id, c.cid, {_SQ_DIST.format(a="e.embedding", b="c.ce")} AS d2 FROM embeddings e, c{r} c)) WHERE rn = 1)"""
+        if r < KMEANS_ROUNDS:
+            out += f""",
+c{r + 1} AS MATERIALIZED (SELECT c.cid, coalesce(m.ce, c.ce) AS ce FROM c{r} c LEFT JOIN (
+          SELECT cid, list(m ORDER BY i) AS ce FROM (SELECT cid, i, avg(v) AS m FROM (
+            SELECT cid, CAST(unnest(embedding) AS DOUBLE) AS v, unnest(range(0, len(embedding))) AS i
+            FROM a{r} JOIN embeddings USING (vec_id)) GROUP BY cid, i) GROUP BY cid) m USING (cid))"""
+    return out
+
+
+_LAST = f"a{KMEANS_ROUNDS}"
+
+
+def _lloyd(spark: SparkSession, sf_dir: str):
     f = _features(spark, sf_dir)
-    model = learn.fit_kmeans(f, 64, 10, "features", seed=42)
-    centres = [(i, list(map(float, c))) for i, c in enumerate(model.stages[-1].clusterCenters())]  # k of them
-    both = learn.nearest_centre(learn.predict(model, f, "cluster"), centres, "features", "nearest")
-    return both.select("pixel_id", (F.col("cluster") == F.col("nearest")).cast("int").alias("at_nearest"))
+    return f, learn.fit_lloyd(f, 64, KMEANS_K, KMEANS_ROUNDS, seed=42)
+
+
+@register("kmeans_fit", f"""
+WITH {_sql_lloyd()}
+SELECT CAST(cid AS BIGINT) AS cluster, CAST(i AS INTEGER) AS dim, round(v, 6) AS centre FROM (
+  SELECT cid, unnest(range(0, len(ce))) AS i, unnest(ce) AS v FROM c{KMEANS_ROUNDS})
+""")
+def kmeans_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K-means (M3): the centres after Lloyd's rounds from seeded rows."""
+    _, fit = _lloyd(spark, sf_dir)
+    return fit.table(spark).select("cluster", F.posexplode("centre").alias("dim", "centre")).withColumn(
+        "centre", F.round("centre", 6))
 
 
-@register("kmeans_report", f"""
-SELECT CAST(label AS VARCHAR) AS label, CAST(count(*) AS BIGINT) AS support, 1 AS shares FROM embeddings GROUP BY label
-UNION ALL SELECT s.label, CAST((SELECT count(*) FROM embeddings) AS BIGINT), 1 FROM {_SUMMARY_ROWS}
+@register("kmeans_inertia", f"""
+WITH {_sql_lloyd()}
+SELECT CAST(cid AS BIGINT) AS cluster, CAST(count(*) AS BIGINT) AS n_rows, round(sum(d2), 6) AS inertia FROM {_LAST} GROUP BY cid
+UNION ALL SELECT -1, CAST(count(*) AS BIGINT), round(sum(d2), 6) FROM {_LAST}
 """)
+def kmeans_inertia(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and squared distances per fitted cluster (M3, M4), and, as cluster -1, what the fit itself reports."""
+    f, fit = _lloyd(spark, sf_dir)
+    per = learn.assign(f, fit.centres).groupBy("cluster").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("d2").alias("inertia"))
+    whole = f.agg(F.lit(-1).cast("bigint").alias("cluster"), F.count(F.lit(1)).alias("n_rows"), F.lit(fit.inertia).alias("inertia"))
+    return per.unionByName(whole).withColumn("inertia", F.round("inertia", 6))
+
+
+@register("kmeans_contingency", f"""
+WITH {_sql_lloyd()}
+SELECT CAST(cid AS BIGINT) AS cluster, label AS class_, CAST(count(*) AS BIGINT) AS n_rows
+FROM {_LAST} JOIN embeddings USING (vec_id) GROUP BY cid, label
+""")
+def kmeans_contingency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the labels spread over the fitted clusters."""
+    f, fit = _lloyd(spark, sf_dir)
+    return learn.contingency(learn.assign(f, fit.centres))
+
+
+@register("kmeans_report", _report_sql(f"""WITH {_sql_lloyd()},
+          n AS (SELECT cid, label, count(*) AS n FROM {_LAST} JOIN embeddings USING (vec_id) WHERE label IS NOT NULL GROUP BY cid, label),
+          named AS (SELECT cid, label AS p FROM n QUALIFY row_number() OVER (PARTITION BY cid ORDER BY n DESC, label) = 1)
+          SELECT e.label AS y, named.p FROM {_LAST} JOIN embeddings e USING (vec_id) JOIN named USING (cid)"""))
 def kmeans_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Report of K-means with each cluster read as its most frequent label: its labels and supports."""
-    f = _features(spark, sf_dir)
-    pred = learn.predict(learn.fit_kmeans(f, 64, 10, "features", seed=42), f, "cluster")
+    """Report of K-means with each cluster read as its most frequent label (ties: the smaller), scores included."""
+    f, fit = _lloyd(spark, sf_dir)
+    pred = learn.assign(f, fit.centres)
     named = learn.majority_labels(pred).withColumnRenamed("class_", "pred")
-    return _supports(metrics.classification_report(pred.join(named, "cluster"), "class_", "pred"))
+    return _rounded(metrics.classification_report(pred.join(named, "cluster"), "class_", "pred"))
 
 
 @register("model_roundtrip", f"""
@@ -178,22 +244,18 @@ def dbscan_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("id", F.col("cluster").cast("bigint").alias("cluster"))
 
 
-@register("train_job", f"""
-WITH o AS (SELECT label, dense_rank() OVER (ORDER BY label) - 1 AS k FROM (SELECT DISTINCT label FROM embeddings)),
+@register("train_job", _report_sql(f"""WITH o AS (SELECT label, dense_rank() OVER (ORDER BY label) - 1 AS k FROM (SELECT DISTINCT label FROM embeddings)),
 r AS (SELECT e.vec_id, o.k, count(*) OVER (PARTITION BY o.k) AS n,
              row_number() OVER (PARTITION BY o.k ORDER BY md5(concat(CAST(e.vec_id AS VARCHAR), ':42')), e.vec_id) AS rn
       FROM embeddings e JOIN o USING (label)),
 kept AS (SELECT vec_id AS id, k FROM r WHERE rn <= (SELECT min(n) FROM r) UNION ALL SELECT -i - 1, 5 FROM range(50) AS b(i)),
-t AS (SELECT k FROM kept WHERE {_IS_TEST.format(id="id")})
-SELECT CAST(k AS VARCHAR) AS label, CAST(count(*) AS BIGINT) AS support, 1 AS shares FROM t GROUP BY k
-UNION ALL SELECT s.label, CAST((SELECT count(*) FROM t) AS BIGINT), 1 FROM {_SUMMARY_ROWS}
-""")
+SELECT k AS y, k AS p FROM kept WHERE {_IS_TEST.format(id="id")}"""))
 def train_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Training plan (§3.2): one table per class → label union (D1) → drop missing (D3) → balance
     → background rows (D4) → split (D10) → validate (D11) → forest (M1) → predict (M2) → report (E5)."""
     from .jobs import train_random_forest
-    f = _features(spark, sf_dir)
+    f = _features(spark, sf_dir).withColumn("features", marked("features", "class_"))
     labels = [r["class_"] for r in f.select("class_").distinct().orderBy("class_").collect()]  # class names (≤ classes)
     tables = {f"class_{c}": f.where(F.col("class_") == c).drop("class_") for c in labels}
     res = train_random_forest(tables, ["pixel_id"], 64, background=5, downsample=True, num_trees=100, max_depth=15)
-    return _supports(res.report)
+    return _rounded(res.report)
