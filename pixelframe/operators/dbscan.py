@@ -78,27 +78,16 @@ def neighbour_pairs_join(df: DataFrame, id_col: str, features: str, eps: float,
             .select("a", "b"))
 
 
-def _block_pairs_fn(eps2: float, chunk_bytes: int = 32 << 20):
+def _block_pairs_fn(eps2: float):
     def fn(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
             return pd.DataFrame({"a": pd.Series([], dtype="int64"), "b": pd.Series([], dtype="int64")})
-        la = left["_id"].to_numpy(np.int64)
-        ra = right["_rid"].to_numpy(np.int64)
-        lv = np.stack(left["_v"].to_numpy()).astype(np.float64)
-        rv = np.stack(right["_rv"].to_numpy()).astype(np.float64)
-        same_block = bool(left["_same"].iloc[0])
-        chunk = max(1, chunk_bytes // max(1, rv.nbytes))
-        out_a, out_b = [], []
-        for s in range(0, len(la), chunk):
-            diff = lv[s:s + chunk, None, :] - rv[None, :, :]
-            hit = np.einsum("ijk,ijk->ij", diff, diff) <= eps2
-            i, j = np.nonzero(hit)
-            a, b = la[s + i], ra[j]
-            keep = a < b if same_block else a != b
-            a, b = a[keep], b[keep]
-            out_a += [a, b]
-            out_b += [b, a]
-        return pd.DataFrame({"a": np.concatenate(out_a), "b": np.concatenate(out_b)})
+        la, ra = left["_id"].to_numpy(np.int64), right["_rid"].to_numpy(np.int64)
+        i, j = np.nonzero(_within(_matrix(left["_v"]), _matrix(right["_rv"]), eps2))
+        a, b = la[i], ra[j]
+        keep = a < b if left["_same"].iloc[0] else a != b
+        a, b = a[keep], b[keep]
+        return pd.DataFrame({"a": np.concatenate([a, b]), "b": np.concatenate([b, a])})
     return fn
 
 
@@ -149,13 +138,26 @@ def neighbour_pairs(df: DataFrame, id_col: str, features: str, eps: float, n_dir
     return _per_block_pair(rows, pairs, _block_pairs_fn(float(eps) * float(eps)), "a long, b long")
 
 
-def _within(lv: np.ndarray, rv: np.ndarray, eps2: float, chunk_bytes: int = 32 << 20) -> np.ndarray:
-    """Which pairs of the two sides lie within ε; differences are taken some rows at a time."""
-    hit = np.zeros((len(lv), len(rv)), bool)
-    chunk = max(1, chunk_bytes // max(1, rv.nbytes))
-    for s in range(0, len(lv), chunk):
-        diff = lv[s:s + chunk, None, :] - rv[None, :, :]
-        hit[s:s + chunk] = np.einsum("ijk,ijk->ij", diff, diff) <= eps2
+def _within(lv: np.ndarray, rv: np.ndarray, eps2: float, chunk: int = 1 << 16) -> np.ndarray:
+    """Which pairs of the two sides lie within ε.
+
+    ``|a|² + |b|² − 2ab`` settles all pairs but those so near to ε that its rounding could matter; these, some at a
+    time, are settled by their differences, as are all pairs where it leaves the range of numbers.
+    """
+    l2, r2 = (lv ** 2).sum(1), (rv ** 2).sum(1)
+    with np.errstate(all="ignore"):
+        d = lv @ rv.T
+        d *= -2
+        d += l2[:, None]
+        d += r2[None, :]
+        hit = d <= eps2
+        unsure = np.abs(d - eps2) <= 1e-9 * (l2.max(initial=0) + r2.max(initial=0) + eps2)
+    if not np.isfinite(d).all():
+        unsure |= ~np.isfinite(d)
+    i, j = np.nonzero(unsure)
+    for s in range(0, len(i), chunk):
+        diff = lv[i[s:s + chunk]] - rv[j[s:s + chunk]]
+        hit[i[s:s + chunk], j[s:s + chunk]] = np.einsum("ij,ij->i", diff, diff) <= eps2
     return hit
 
 
