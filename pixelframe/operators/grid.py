@@ -1,20 +1,21 @@
 """Processing grids over regions.
 
-Cells come from ``explode(sequence(...))`` over each region's bounds, are spread over tasks by cell key,
-and are kept when they intersect the polygon (touching counts) — the edge lists arrive by a
-size-checked broadcast.  A region is identified by (region_id, part) and a cell by (region_id, part, ix,
+Cells come from ``explode(sequence(...))`` over each region's bounds and are kept when they intersect the
+polygon (touching counts).  Where cells × edges would be much work, no cell meets an edge list: each edge walks
+through the cells it crosses, and the cells between are filled by parity along their row.  A region is identified by (region_id, part) and a cell by (region_id, part, ix,
 iy); the grid id is that key as text, so it is unique for every part, has no range to overflow and is
 stable under any partitioning.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
 from . import regions as R
-from .spatial import SPREAD_WORK_LIMIT, edges_fit
+from .spatial import SPREAD_WORK_LIMIT
+
 
 def grid_id_expr(region_id, part, ix, iy):
     """``region_id:part:ix:iy`` as text; an unsplit region has ix = iy = −1."""
@@ -31,10 +32,9 @@ def grid_cells(regions: DataFrame, grid_size: float = 5000.0, overlap: float = 1
     """Square cells of ``grid_size`` stepping by ``grid_size − overlap`` from each region's lower-left
     bound, x-major (G6); the last cells may pass the bound.  Optionally only cells meeting the polygon (G7).
 
-    When the cells × edges work is large, cells are exploded from the bounds alone (small rows), spread
-    over tasks by their key, and only then meet their region's edge list through a size-checked
-    broadcast — so a country-sized region with many cells and edges is tested by many tasks, and no
-    edge list is shuffled.  (region_id, part) must be unique in ``regions``.
+    Small region sets test cells against their region's edges in place.  Past ``SPREAD_WORK_LIMIT`` tests,
+    :func:`walked_cells` finds the same cells with work in proportion to perimeter and output.
+    (region_id, part) must be unique in ``regions``.
     """
     regions = _with_part(regions)
     step = float(grid_size) - float(overlap)
@@ -43,45 +43,78 @@ def grid_cells(regions: DataFrame, grid_size: float = 5000.0, overlap: float = 1
     size = float(grid_size)
     nx = F.ceil((F.col("maxx") - F.col("minx")) / step).cast("int")
     ny = F.ceil((F.col("maxy") - F.col("miny")) / step).cast("int")
-    spread = False
     if keep_intersecting:
-        # cells × edges of the whole table: spread over tasks only when the intersection work is large
-        work = regions.agg(F.coalesce(F.sum(F.greatest(nx, F.lit(0)) * F.greatest(ny, F.lit(0)) * F.size("edges")),
-                                      F.lit(0))).first()[0]
-        spread = work > SPREAD_WORK_LIMIT
-    cols = ["region_id", "part", "minx", "miny", "maxx", "maxy"] + (["edges"] if keep_intersecting and not spread else [])
-    cells = (regions.select(*cols).withColumn("_nx", nx).withColumn("_ny", ny)
+        work = regions.agg(F.coalesce(F.sum(F.greatest(nx, F.lit(0)).cast("double") * F.greatest(ny, F.lit(0)) * F.size("edges")),
+                                      F.lit(0.0))).first()[0]
+        if work > SPREAD_WORK_LIMIT:
+            return _as_cells(walked_cells(regions, step, size), step, size)
+    cells = (regions.withColumn("_nx", nx).withColumn("_ny", ny)
              # zero-width bounds give no cells (sequence(0, -1) would count down)
              .where((F.col("_nx") > 0) & (F.col("_ny") > 0))
              .withColumn("ix", F.explode(F.sequence(F.lit(0), F.col("_nx") - 1)))
-             .withColumn("iy", F.explode(F.sequence(F.lit(0), F.col("_ny") - 1)))
-             .withColumn("cx0", F.col("minx") + F.col("ix") * step)
-             .withColumn("cy0", F.col("miny") + F.col("iy") * step)
-             .withColumn("cx1", F.col("cx0") + size)
-             .withColumn("cy1", F.col("cy0") + size))
+             .withColumn("iy", F.explode(F.sequence(F.lit(0), F.col("_ny") - 1))))
     if keep_intersecting:
-        if spread:
-            cells = cells.repartition("region_id", "part", "ix", "iy")
-            if edges_fit(regions):
-                cells = cells.join(F.broadcast(regions.select("region_id", "part", "edges")), ["region_id", "part"])
-            else:
-                cells = cells.join(_edges_of_rows(regions, step, size), ["region_id", "part", "iy"])
-        cells = cells.where(geo.box_intersects_polygon("edges", F.col("cx0"), F.col("cy0"), F.col("cx1"), F.col("cy1")))
+        x0, y0 = F.col("minx") + F.col("ix") * step, F.col("miny") + F.col("iy") * step
+        cells = cells.where(geo.box_intersects_polygon("edges", x0, y0, x0 + size, y0 + size))
+    return _as_cells(cells, step, size)
+
+
+def _as_cells(cells: DataFrame, step: float, size: float) -> DataFrame:
+    """Id and bounds of cells ``region_id, part, ix, iy`` of regions whose lower-left bound is ``minx, miny``."""
+    x0, y0 = F.col("minx") + F.col("ix") * step, F.col("miny") + F.col("iy") * step
     return cells.select(
         grid_id_expr(F.col("region_id"), F.col("part"), F.col("ix"), F.col("iy")).alias("grid_id"),
-        "region_id", "part", "ix", "iy",
-        F.col("cx0").alias("minx"), F.col("cy0").alias("miny"), F.col("cx1").alias("maxx"), F.col("cy1").alias("maxy"),
-    )
-
-
-def _edges_of_rows(regions: DataFrame, step: float, size: float) -> DataFrame:
-    """``region_id, part, iy, edges``: the edges that may meet each row of cells (one row more on each side
-    than the arithmetic says); a row without edges has no cell that meets the polygon."""
-    e = regions.select("region_id", "part", "miny", F.explode("edges").alias("e"))
-    first = F.greatest(F.ceil((F.least("e.y1", "e.y2") - F.col("miny") - size) / step) - 1, F.lit(0)).cast("int")
-    last = F.floor((F.greatest("e.y1", "e.y2") - F.col("miny")) / step).cast("int") + 1
-    return (e.withColumn("iy", F.explode(F.sequence(first, F.greatest(first, last)))).groupBy("region_id", "part", "iy")
-            .agg(F.collect_list("e").alias("edges")))
+        "region_id", "part", "ix", "iy", x0.alias("minx"), y0.alias("miny"), (x0 + size).alias("maxx"), (y0 + size).alias("maxy"))
+
+
+def walked_cells(regions: DataFrame, step: float, size: float) -> DataFrame:
+    """``region_id, part, ix, iy, minx, miny`` of the cells that meet the polygon; ``minx, miny`` are the region's.
+
+    *Border*: an edge explodes into the rows of cells it may touch, its clip to a row into the cells there (one more on
+    every side than the arithmetic says), and the exact segment–box test keeps those it meets.
+    *Inside*: a cell that no edge meets lies wholly in or out, so the even-odd rule at its centre decides.  An
+    edge that straddles a row's centre line toggles the row's first ``k`` cells.  Sorted, these ``k`` are the ends of
+    the runs inside; equal ones cancel out before the shuffle.
+    Edges are dealt over all tasks first, so one huge polygon is nobody's alone; no edge list meets a cell.
+    """
+    box = (regions.select("region_id", "part", "minx", "miny", "edges",
+                          F.ceil((F.col("maxx") - F.col("minx")) / step).cast("int").alias("_nx"),
+                          F.ceil((F.col("maxy") - F.col("miny")) / step).cast("int").alias("_ny"))
+           .where((F.col("_nx") > 0) & (F.col("_ny") > 0)))
+    key = ["region_id", "part", "minx", "miny", "_nx", "_ny"]
+    e = F.col("e")
+    edges = box.select(*key, F.explode("edges").alias("e")).repartition(
+        "region_id", "part", F.col("e.x1"), F.col("e.y1"), F.col("e.x2"), F.col("e.y2"))
+    low, high = F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"])
+
+    def span(first, last, n):
+        """All of ``first..last`` that lies in ``0..n - 1``."""
+        a, b = F.greatest(first, F.lit(0)).cast("int"), F.least(last, n - 1).cast("int")
+        return F.explode(F.when(a <= b, F.sequence(a, b)).otherwise(F.array().cast("array<int>")))
+
+    rows = edges.withColumn("iy", span(F.ceil((low - F.col("miny") - size) / step) - 1,
+                                       F.floor((high - F.col("miny")) / step) + 1, F.col("_ny")))
+    y0 = F.col("miny") + F.col("iy") * step
+    x_at = lambda y: F.coalesce(e["x1"] + F.least(F.greatest(F.try_divide(y - e["y1"], e["y2"] - e["y1"]), F.lit(0.0)), F.lit(1.0))
+                                * (e["x2"] - e["x1"]), e["x1"])
+    flat = e["y1"] == e["y2"]
+    xa, xb = F.when(flat, e["x1"]).otherwise(x_at(y0)), F.when(flat, e["x2"]).otherwise(x_at(y0 + size))
+    cells = rows.withColumn("ix", span(F.ceil((F.least(xa, xb) - F.col("minx") - size) / step) - 1,
+                                       F.floor((F.greatest(xa, xb) - F.col("minx")) / step) + 1, F.col("_nx")))
+    x0 = F.col("minx") + F.col("ix") * step
+    border = (cells.where(geo.segment_intersects_box(e, x0, y0, x0 + size, y0 + size))
+              .select("region_id", "part", "minx", "miny", "ix", "iy"))
+
+    middle = y0 + size / 2.0
+    crossing = rows.where((e["y1"] > middle) != (e["y2"] > middle))
+    k = F.ceil((x_at(middle) - F.col("minx") - size / 2.0) / step)
+    toggles = (crossing.withColumn("k", F.least(F.greatest(k, F.lit(0)), F.col("_nx")).cast("int"))
+               .groupBy("region_id", "part", "minx", "miny", "iy", "k").agg(F.count(F.lit(1)).alias("_n")).where("_n % 2 = 1"))
+    row = Window.partitionBy("region_id", "part", "iy").orderBy(F.desc("k"))
+    runs = (toggles.withColumn("_r", F.row_number().over(row)).withColumn("_from", F.lead("k", 1, 0).over(row))
+            .where((F.col("_r") % 2 == 1) & (F.col("_from") < F.col("k"))))
+    inside = runs.select("region_id", "part", "minx", "miny", F.explode(F.sequence(F.col("_from"), F.col("k") - 1)).alias("ix"), "iy")
+    return border.unionByName(inside).distinct()
 
 
 def cells_as_regions(cells: DataFrame) -> DataFrame:
