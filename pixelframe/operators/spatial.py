@@ -292,7 +292,7 @@ def within_metres(points: DataFrame, centres: DataFrame, radius_m: float, lon: s
 
     Every centre has its own UTM zone: points within the zone's reach are taken to it, and the square or disc
     is tested there.  A degree box around the centre (with a margin for the projection's scale) makes the
-    bins of the equality join.
+    bins of the equality join; where it passes 180°, a copy of it one turn away meets the points on the other side.
     """
     centre_cols = list(centre_cols or ["centre_id"])
     r = float(radius_m)
@@ -301,12 +301,18 @@ def within_metres(points: DataFrame, centres: DataFrame, radius_m: float, lon: s
                         utm_zone_of(F.col(clon)).alias("_zone"), (F.col(clat) < 0).alias("_south"))
     cs = cs.withColumn("_dlon", F.lit(dlat) / F.greatest(F.cos(F.radians(F.col("_clat"))), F.lit(0.01)))
     b = F.lit(max(2 * dlat, 1e-6))
-    cs = (cs.withColumn("_rbx", F.explode(F.sequence(F.floor((F.col("_clon") - F.col("_dlon")) / b),
-                                                     F.floor((F.col("_clon") + F.col("_dlon")) / b))))
+    cs = cs.withColumn("_turn", F.explode(F.array(*[F.lit(t) for t in (-360.0, 0.0, 360.0)])))
+    west, east = (F.col("_clon") + F.col("_turn") + sign * F.col("_dlon") for sign in (-1, 1))
+    cs = cs.where((F.col("_turn") == 0) | ((east >= -180) & (west <= 180)))
+    # a turned box only needs the bins of the globe's own degrees
+    west, east = (F.when(F.col("_turn") == 0, x).otherwise(F.least(F.greatest(x, F.lit(-180.0)), F.lit(180.0))) for x in (west, east))
+    cs = (cs.withColumn("_rbx", F.explode(F.sequence(F.floor(west / b), F.floor(east / b))))
           .withColumn("_rby", F.explode(F.sequence(F.floor((F.col("_clat") - dlat) / b), F.floor((F.col("_clat") + dlat) / b)))))
     pts = points.withColumn("_bx", F.floor(F.col(lon) / b)).withColumn("_by", F.floor(F.col(lat) / b))
-    out = pts.join(checked_broadcast(cs), (F.col("_bx") == F.col("_rbx")) & (F.col("_by") == F.col("_rby")))
-    x, y = lonlat_to_utm_zone(F.col(lon), F.col(lat), F.col("_zone"), F.col("_south"))
+    off = F.col(lon) - F.col("_turn") - F.col("_clon")  # of all turns, the one that brings the point nearest
+    out = pts.join(checked_broadcast(cs), (F.col("_bx") == F.col("_rbx")) & (F.col("_by") == F.col("_rby"))
+                   & (off > -180) & (off <= 180))
+    x, y = lonlat_to_utm_zone(F.col(lon) - F.col("_turn"), F.col(lat), F.col("_zone"), F.col("_south"))
     cx, cy = lonlat_to_utm_zone(F.col("_clon"), F.col("_clat"), F.col("_zone"), F.col("_south"))
     out = out.withColumn("_dx", x - cx).withColumn("_dy", y - cy)
     if shape == "square":
