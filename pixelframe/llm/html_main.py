@@ -38,6 +38,10 @@ BESIDE = re.compile(r"(?:^|[\s_-])(ad|ads|advert\w*|sponsor\w*|promo\w*|banner|n
                     r"|pagination|pager|tags|login|search|complementary|contentinfo|navigation)(?=$|[\s_-])", re.I)
 #: Words that make even an article something beside the page's own.
 OTHER = re.compile(r"(?:^|[\s_-])(ad|ads|advert\w*|sponsor\w*|promo\w*|comment\w*|replies|reply|related|teaser)(?=$|[\s_-])", re.I)
+#: Class words that tell what a page has or how it stands, not what the element is.
+STATE = re.compile(r"(?:no|not|has|have|with|without)[-_].*|.*[-_](?:open|opened|closed|on|off|enabled|disabled)", re.I)
+#: Elements whose articles are not the page's own.
+FOREIGN = frozenset("nav footer aside menu".split())
 #: Marks with which pages label their main text themselves.
 LABEL = re.compile(r"articlebody|(?:^|[\s_-])main(?=$|[\s_-])", re.I)
 
@@ -56,7 +60,7 @@ def _attributes(rest: str) -> tuple[str, bool]:
         elif name == "style":
             hidden |= "display:none" in value.replace(" ", "")
         else:
-            words.append(value)
+            words += (w for w in value.split() if not STATE.fullmatch(w))
     return " ".join(words), hidden
 
 
@@ -64,8 +68,9 @@ def tokens(page: str) -> list[tuple[str, str, int, int]]:
     """``(kind, text, words, labelled)`` of a page in order: pieces of text, and tags (text is "\\n" where the
     tag ends a block).  ``labelled``: 2 inside an article, 1 inside another part that the page marks as main."""
     out: list[tuple[str, str, int, int]] = []
-    stack: list[tuple[str, int, int, int]] = []  # open elements, and beside, labelled and links around them
-    beside = labelled = links = 0
+    # open elements, and beside, labelled, links and foreign around them
+    stack: list[tuple[str, int, int, int, int]] = []
+    beside = labelled = links = foreign = 0
 
     def text(s: str) -> None:
         if s:
@@ -86,22 +91,23 @@ def tokens(page: str) -> list[tuple[str, str, int, int]]:
             if any(x[0] == name for x in stack):
                 while True:
                     was = beside
-                    last, beside, labelled, links = stack.pop()
+                    last, beside, labelled, links, foreign = stack.pop()
                     aside |= was > beside
                     if last == name:
                         break
         else:
             if (name in ("p", "li", "tr", "td", "th", "dt", "dd", "option") and stack and stack[-1][0] == name
                     or name == "body" and stack and stack[-1][0] == "head"):
-                _, beside, labelled, links = stack.pop()  # its end tag may be left out
+                _, beside, labelled, links, foreign = stack.pop()  # its end tag may be left out
             words, hidden = _attributes(s[got.end():])
             level = 2 if name == "article" or "articlebody" in words else 1 if name == "main" or LABEL.search(words) else 0
-            level = 0 if hidden or OTHER.search(words) else level
+            level = 0 if hidden or foreign or OTHER.search(words) else level
             aside = hidden or not level and name not in ("body", "html") and (
                 name in ASIDE and not (name == "header" and labelled) or bool(BESIDE.search(words)))
             if name not in VOID and not s.endswith("/>"):
-                stack.append((name, beside, labelled, links))
-                # what surrounds a labelled part does not make it something beside
+                stack.append((name, beside, labelled, links, foreign))
+                foreign += aside and (name in FOREIGN or bool(OTHER.search(words)))
+                # what surrounds a labelled part does not make it something beside, unless it is a teaser there
                 beside = 0 if level > labelled else beside + aside
                 labelled = max(labelled, level)
                 links += name == "a"

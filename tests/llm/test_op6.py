@@ -73,3 +73,18 @@ def test_odd_pages(spark):
     assert got[12] == got[13] == TEXT and got[15] == ("word " * 50_000).strip()
     assert H.extract_pages(df.limit(0), H.PRIOR).count() == 0
     assert H.learn(df.where("page_id < 4")) == H.PRIOR
+
+
+@pytest.mark.parametrize("learnt", [False, True])
+def test_class_words_of_ordinary_templates(weights, learnt):
+    """Words that tell a state hide nothing; articles inside something beside are teasers."""
+    w = weights if learnt else H.PRIOR
+    body = "<h1>Title here</h1><p>First paragraph of this article, long enough.</p><p>Second one of it, as long as that.</p>"
+    want = "Title here\nFirst paragraph of this article, long enough.\nSecond one of it, as long as that."
+    teaser = "<article><p>Another story, told elsewhere at some length today.</p></article>"
+    for page in (f'<body>{NAV}<article class="post comments-open hentry">{body}</article></body>',
+                 f'<body>{NAV}<div class="layout no-sidebar"><article>{body}</article></div></body>',
+                 f'<body>{NAV}<div class="layout no-sidebar">{body}</div></body>',
+                 f"<body>{NAV}<article>{body}</article><aside>{teaser}</aside></body>",
+                 f'<body>{NAV}<article>{body}</article><section class="related">{teaser}</section></body>'):
+        assert H.extract(page, w) == want
