@@ -18,14 +18,26 @@ def confusion(df: DataFrame, y: str = "y", p: str = "p", group: list[str] | None
     return df.groupBy(*group, F.col(y).alias("y"), F.col(p).alias("p")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def confusion_dense(df: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
-    """Dense confusion matrix (E1): a row for every pair of labels that occur on either side, zeros included."""
-    sparse = materialize(confusion(df, y, p))  # classes² rows at most
+def confusion_dense(df: DataFrame, y: str = "y", p: str = "p", group: list[str] | None = None) -> DataFrame:
+    """Dense confusion matrix (E1): a row for every pair of labels that occur on either side, zeros included; with
+    ``group``, one matrix over the same labels for each group (null is one too)."""
+    group = list(group or [])
+    sparse = materialize(confusion(df, y, p, group))  # classes² rows per group at most
     labels = sparse.select("y").union(sparse.select("p")).distinct()
-    every = F.array_sort(F.collect_set("y"))
-    pairs = labels.withColumn("p", F.explode(F.lit(labels.agg(every).first()[0])))
-    return (pairs.join(sparse, ["y", "p"], "left")
-            .select("y", F.col("p").cast(sparse.schema["p"].dataType).alias("p"), F.coalesce("n", F.lit(0)).cast("bigint").alias("n")))
+    every = F.lit(labels.agg(F.array_sort(F.collect_set("y"))).first()[0])
+    count = F.coalesce("n", F.lit(0)).cast("bigint").alias("n")
+    if not group:
+        pairs = labels.withColumn("p", F.explode(every))
+        return (pairs.join(sparse, ["y", "p"], "left")
+                .select("y", F.col("p").cast(sparse.schema["p"].dataType).alias("p"), count))
+    pairs = sparse.select(*group).distinct().withColumn("_y", F.explode(every)).withColumn("_p", F.explode(every))
+    seen = sparse.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], "y", "p", "n")
+    same = (F.col("_y") == F.col("y")) & (F.col("_p") == F.col("p"))
+    for i, g in enumerate(group):
+        same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    return pairs.join(seen, same, "left").select(
+        *group, F.col("_y").cast(sparse.schema["y"].dataType).alias("y"),
+        F.col("_p").cast(sparse.schema["p"].dataType).alias("p"), count)
 
 
 def binary_scores(df: DataFrame, y: str = "y", p: str = "p", group: list[str] | None = None,

@@ -279,6 +279,19 @@ def confusion_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.confusion_dense(_t(spark, sf_dir, "labels"), "quality", "toxic")
 
 
+@register("confusion_dense_grouped", """
+WITH g AS (SELECT d.lang, l.quality AS y, l.toxic AS p FROM labels l JOIN documents d ON l.doc_id = d.doc_id),
+l AS (SELECT y AS v FROM g UNION SELECT p FROM g), k AS (SELECT DISTINCT lang FROM g),
+c AS (SELECT lang, y, p, count(*) AS n FROM g GROUP BY ALL)
+SELECT k.lang, a.v AS y, b.v AS p, CAST(coalesce(c.n, 0) AS BIGINT) AS n FROM k CROSS JOIN l a CROSS JOIN l b
+LEFT JOIN c ON c.lang IS NOT DISTINCT FROM k.lang AND c.y = a.v AND c.p = b.v
+""")
+def confusion_dense_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dense confusion matrix per group (E1): the same labels for each, zeros included."""
+    d = _t(spark, sf_dir, "documents").select("doc_id", "lang")
+    return metrics.confusion_dense(_t(spark, sf_dir, "labels").join(d, "doc_id"), "quality", "toxic", ["lang"])
+
+
 @register("confusion", """
 SELECT quality AS y, toxic AS p, CAST(count(*) AS BIGINT) AS n FROM labels GROUP BY 1, 2
 """)

@@ -106,3 +106,12 @@ def test_fill_missing_flat_equals_lambda_form(spark):
     a = sorted((r.id, r.bands) for r in cube.fill_missing(df, "bands").collect())
     b = sorted((r.id, r.bands) for r in cube.fill_missing(df, "bands", n_bands=3).collect())
     assert a == b and a[0][1] == [1.0, 0.0, 0.0]
+
+
+def test_dense_confusion_per_group(spark):
+    from pixelframe.operators import metrics
+    df = spark.createDataFrame([("a", 1, 1), ("a", 1, 2), ("a", 1, 2), (None, 3, 1), ("b", 2, 2)], "g string, y int, p int")
+    got = {(r.g, r.y, r.p): r.n for r in metrics.confusion_dense(df, group=["g"]).collect()}
+    want = {("a", 1, 1): 1, ("a", 1, 2): 2, (None, 3, 1): 1, ("b", 2, 2): 1}
+    assert got == {(g, y, p): want.get((g, y, p), 0) for g in ("a", "b", None) for y in (1, 2, 3) for p in (1, 2, 3)}
+    assert metrics.confusion_dense(df).count() == 9
