@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.geo import lonlat_to_utm_zone, point_in_polygon, segment_intersects_box, utm_zone_of
+from ..session import materialize
+from . import cover
 
 # A region side is broadcast below these: rows, edges, and bytes as estimated from its rows.
 DEFAULT_BROADCAST_EDGE_LIMIT = 1_000_000
@@ -176,11 +178,16 @@ def spatial_join(points: DataFrame, regions: DataFrame, bin_size: float, x: str
     ``floor(x / tile_size)``, ``floor(y / tile_size)`` (``tile_size`` a multiple of ``bin_size``).  The
     region bins then carry the same keys and the join includes them, so dynamic partition pruning reads
     only the tile folders some region touches.
+
+    Regions of many bins and edges (more than SPREAD_WORK_LIMIT tests) are joined by their hierarchical
+    cover instead (:func:`cover_join`), with the same answers.
     """
     region_cols = list(region_cols or ["region_id"])
     pts = point_bins(points, bin_size, x, y)
     if how == "mask":
         return _mask_join(pts, regions, bin_size, region_cols, broadcast, x, y, tiles)
+    if how in ("inner", "semi", "anti") and region_stats(regions, bin_size)["work"] > SPREAD_WORK_LIMIT:
+        return cover_join(points, regions, bin_size, x, y, how, region_cols, broadcast, tiles)
     rs = _region_side(regions, bin_size, region_cols, broadcast)
     rs = rs.select(*[F.col(c).alias(c) for c in region_cols],
                    F.col("minx").alias("_minx"), F.col("miny").alias("_miny"),
@@ -199,6 +206,74 @@ def spatial_join(points: DataFrame, regions: DataFrame, bin_size: float, x: str
     raise ValueError(f"unknown how={how!r}")
 
 
+def cover_join(points: DataFrame, regions: DataFrame, bin_size: float, x: str = "x", y: str = "y", how: str = "inner",
+               region_cols: list[str] | None = None, broadcast: bool | None = None,
+               tiles: tuple[str, str, float] | None = None) -> DataFrame:
+    """:func:`spatial_join` (``inner``, ``semi``, ``anti``) by the regions' hierarchical cover.
+
+    The cover's rows follow the regions' perimeter.  A point meets it by an equality on the level and its cell
+    there, once for each level that occurs: about log4 of the region's extent in bins.  Past the broadcast limit this is a
+    shuffle join whose hot cells AQE splits.  The cover is written once to the checkpoint folder.
+    """
+    region_cols = list(region_cols or ["region_id"])
+    if tiles is not None and not _whole_ratio(tiles[2], bin_size):
+        raise ValueError("tile_size must be a whole multiple of bin_size")
+    cells = materialize(cover.cover(regions, bin_size, region_cols, tiles[2] if tiles else None))
+    levels = cover.levels_of(cells)
+    if not levels:
+        if how == "anti":
+            return points
+        empty = points.limit(0)
+        return empty if how == "semi" else empty.join(regions.select(*region_cols).limit(0), how="cross")
+    if how == "semi":
+        cells = cover.without_nested(cells, levels)
+    px, py = F.col(x), F.col(y)
+    inner = [F.col(c) for c in region_cols] if how == "inner" else []
+    # a comparison on the region side: what Spark takes as selective for dynamic partition pruning
+    rs = cells.withColumnsRenamed({c: "_" + c for c in cover.BOUNDS}).where("_minx <= _maxx")
+    rs = rs.select(*inner, "_minx", "_miny", "_maxx", "_maxy", "_lv", "_cx", "_cy", "_full", "_edges", "_flips", "_odd")
+    if tiles is not None:
+        tx, ty, tsize = tiles
+        ratio = int(round(float(tsize) / float(bin_size)))
+        # keys typed like the partition columns, so the join compares the bare column (needed for pruning)
+        for c, key, cell in (("_rtx", tx, "_cx"), ("_rty", ty, "_cy")):
+            low = F.call_function("shiftleft", F.col(cell), 2 * F.col("_lv"))
+            rs = rs.withColumn(c, F.floor(low / F.lit(ratio)).cast(points.schema[key].dataType))
+    if broadcast or broadcast is None and _cover_fits(cells):
+        rs = F.broadcast(rs)
+    made = ["_bx", "_by", "_plv", "_px", "_py"]
+    hit = px.between(F.col("_minx"), F.col("_maxx")) & py.between(F.col("_miny"), F.col("_maxy")) & cover.inside(px, py)
+
+    def join(pts: DataFrame, rs: DataFrame, levels: list[int], how: str) -> DataFrame:
+        pts = cover.prefixes(point_bins(pts, bin_size, x, y), levels)
+        key = (pts["_plv"] == rs["_lv"]) & (pts["_px"] == rs["_cx"]) & (pts["_py"] == rs["_cy"])
+        if tiles is not None:
+            key = key & (pts[tiles[0]] == rs["_rtx"]) & (pts[tiles[1]] == rs["_rty"])
+        return pts.join(rs, key & hit, how).drop(*made)
+
+    if how == "anti":  # a point is outside when it is so at every level
+        for lv in levels:
+            points = join(points, rs.where(F.col("_lv") == lv), [lv], "left_anti")
+        return points
+    if how == "semi":
+        return join(points, rs, levels, "left_semi")
+    return join(points, rs, levels, "inner").drop("_minx", "_miny", "_maxx", "_maxy", "_lv", "_cx", "_cy", "_full", "_edges",
+                                                  "_flips", "_odd", "_rtx", "_rty")
+
+
+def _whole_ratio(tile_size: float, bin_size: float) -> bool:
+    ratio = float(tile_size) / float(bin_size)
+    return ratio >= 1 and abs(ratio - round(ratio)) <= 1e-9
+
+
+def _cover_fits(cells: DataFrame) -> bool:
+    """Whether a written cover may be broadcast, by its counted cells, edges and flips."""
+    row = cells.agg(F.count(F.lit(1)).alias("n"),
+                    F.coalesce(F.sum(F.size("_edges") + F.size("_flips")), F.lit(0)).alias("e")).first()
+    return (row["n"] <= DEFAULT_BROADCAST_ROW_LIMIT and row["e"] <= DEFAULT_BROADCAST_EDGE_LIMIT
+            and row["n"] * 192 + row["e"] * EDGE_BYTES <= DEFAULT_BROADCAST_BYTES)
+
+
 def _bin_key(pts: DataFrame, rs: DataFrame, bin_size: float,
              tiles: tuple[str, str, float] | None) -> tuple[DataFrame, Column]:
     """The region side and the equality on the bin, with tile keys on the tile partitions as well."""
@@ -206,9 +281,9 @@ def _bin_key(pts: DataFrame, rs: DataFrame, bin_size: float,
     if tiles is None:
         return rs, key
     tx, ty, tsize = tiles
-    ratio = float(tsize) / float(bin_size)
-    if ratio < 1 or abs(ratio - round(ratio)) > 1e-9:
+    if not _whole_ratio(tsize, bin_size):
         raise ValueError("tile_size must be a whole multiple of bin_size")
+    ratio = float(tsize) / float(bin_size)
     # keys typed like the partition columns, so the join compares the bare column (needed for pruning)
     rs = (rs.withColumn("_rtx", F.floor(F.col("_rbx") / F.lit(int(round(ratio)))).cast(pts.schema[tx].dataType))
           .withColumn("_rty", F.floor(F.col("_rby") / F.lit(int(round(ratio)))).cast(pts.schema[ty].dataType)))
