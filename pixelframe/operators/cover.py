@@ -33,33 +33,36 @@ BOUNDS = ("minx", "miny", "maxx", "maxy")
 _EDGE = ("x1", "y1", "x2", "y2")
 
 
-def _near(e: np.ndarray, left: float, lo: float, right: float, hi: float) -> np.ndarray:
-    """Which edges meet the closed box (separating axes)."""
+def _narrow(e: np.ndarray, flips: np.ndarray, odd: bool, xs: np.ndarray, ys: np.ndarray, s: float, margin: float):
+    """``i, j, edges, flips, odd`` of the cells at columns ``xs`` and rows ``ys`` of width ``s``, from those of a
+    cell around them; cells outside the region, away from its edges, are left out."""
     x1, y1, x2, y2 = e.T
-    over = ((np.minimum(x1, x2) <= right) & (np.maximum(x1, x2) >= left)
-            & (np.minimum(y1, y2) <= hi) & (np.maximum(y1, y2) >= lo))
-    side = np.stack([(x2 - x1) * (cy - y1) - (y2 - y1) * (cx - x1) for cx in (left, right) for cy in (lo, hi)])
-    return over & (side.min(0) <= 0) & (side.max(0) >= 0)
-
-
-def _narrow(e: np.ndarray, flips: np.ndarray, odd: bool, left: float, lo: float, right: float, hi: float):
-    """``edges, flips, odd`` of a cell from those of a cell around it.  The box has its margin already."""
-    near = _near(e, left, lo, right, hi)
-    rest = e[~near]
-    bottom, top = np.minimum(rest[:, 1], rest[:, 3]), np.maximum(rest[:, 1], rest[:, 3])
-    rest = rest[(bottom <= hi) & (top >= lo) & (bottom < top)]
-    if len(rest):
-        # within the cell's rows such an edge lies on one side of the cell: look half-way up its part there
-        x1, y1, x2, y2 = rest.T
-        mid = (np.maximum(np.minimum(y1, y2), lo) + np.minimum(np.maximum(y1, y2), hi)) / 2
-        beyond = x1 + (mid - y1) * ((x2 - x1) / (y2 - y1)) > (left + right) / 2
-        flips = np.concatenate([flips, y1[beyond], y2[beyond]])
-    if len(flips):
-        values, times = np.unique(flips, return_counts=True)
-        values = values[times % 2 == 1]
-        odd ^= bool((values <= lo).sum() % 2)
-        flips = values[(values > lo) & (values <= hi)]
-    return e[near], flips, odd
+    left, right = xs[:, None] * s - margin, (xs[:, None] + 1) * s + margin
+    lo, hi = ys[:, None] * s - margin, (ys[:, None] + 1) * s + margin
+    bottom, top = np.minimum(y1, y2), np.maximum(y1, y2)
+    in_x = (np.minimum(x1, x2) <= right) & (np.maximum(x1, x2) >= left)
+    in_y = (bottom <= hi) & (top >= lo)
+    # which edges meet the closed boxes: overlapping bounds, and corners not all on one side of the line
+    up = np.sort(np.stack([(x2 - x1) * (lo - y1), (x2 - x1) * (hi - y1)]), 0)
+    along = np.sort(np.stack([(y2 - y1) * (left - x1), (y2 - y1) * (right - x1)]), 0)
+    # the others, within a cell's rows, lie on one side of it: look half-way up their part there
+    mid = (np.maximum(bottom, lo) + np.minimum(top, hi)) / 2
+    level = y1 == y2
+    cross = x1 + (mid - y1) * ((x2 - x1) / np.where(level, 1.0, y2 - y1))
+    for i, x in enumerate(xs.tolist()):
+        near = in_y & in_x[i] & (up[0] - along[1, i] <= 0) & (up[1] - along[0, i] >= 0)
+        beyond = in_y & ~near & ~level & (cross > (x + 0.5) * s)
+        for j, y in enumerate(ys.tolist()):
+            f, o = flips, odd
+            if beyond[j].any():
+                f = np.concatenate([f, y1[beyond[j]], y2[beyond[j]]])
+            if len(f):
+                values, times = np.unique(f, return_counts=True)
+                values = values[times % 2 == 1]
+                o ^= bool(np.searchsorted(values, lo[j, 0], "right") % 2)
+                f = values[(values > lo[j, 0]) & (values <= hi[j, 0])]
+            if o or len(f) or near[j].any():
+                yield x, y, e[near[j]], f, o
 
 
 def _descend(cell: tuple, size: float, margin: float, cap: int, most: int | None) -> Iterator[tuple]:
@@ -76,11 +79,9 @@ def _descend(cell: tuple, size: float, margin: float, cap: int, most: int | None
         if lv <= cap and (even or lv == 0) or most is not None and len(e) <= most:
             yield lv, cx, cy, e, flips, odd
             continue
-        s = size * 4 ** (lv - 1)
-        for x in range(4 * cx, 4 * cx + 4):
-            for y in range(4 * cy, 4 * cy + 4):
-                todo.append((lv - 1, x, y, *_narrow(e, flips, odd, x * s - margin, y * s - margin,
-                                                    (x + 1) * s + margin, (y + 1) * s + margin)))
+        for child in _narrow(e, flips, odd, np.arange(4 * cx, 4 * cx + 4), np.arange(4 * cy, 4 * cy + 4),
+                             size * 4 ** (lv - 1), margin):
+            todo.append((lv - 1, *child))
 
 
 def _edges_of(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -137,10 +138,8 @@ def cover(regions: DataFrame, bin_size: float, region_cols: list[str], tile_size
                     wide = max(box[2] - box[0], box[3] - box[1], size)
                     lv = max(0, math.ceil(math.log(wide / size, 4)))
                     s = size * 4 ** lv
-                    cells = [(lv, cx, cy, *_narrow(e, np.zeros(0), False, cx * s - margin, cy * s - margin,
-                                                   (cx + 1) * s + margin, (cy + 1) * s + margin))
-                             for cx in range(math.floor(box[0] / s), math.floor(box[2] / s) + 1)
-                             for cy in range(math.floor(box[1] / s), math.floor(box[3] / s) + 1)]
+                    xs, ys = (np.arange(math.floor(box[k] / s), math.floor(box[k + 2] / s) + 1) for k in (0, 1))
+                    cells = [(lv, *c) for c in _narrow(e, np.zeros(0), False, xs, ys, s, margin)]
                 else:
                     cells = [(*(b.column(at[k])[i].as_py() for k in ("_lv", "_cx", "_cy")), e,
                               np.array(b.column(at["_flips"])[i].as_py() or [], float), b.column(at["_odd"])[i].as_py())]

@@ -42,7 +42,7 @@ def table(spark, points):
 KEYS = ["region_id", "part"]
 
 
-@pytest.mark.parametrize("size", [7.0, 50.0, 100.0, 3000.0])
+@pytest.mark.parametrize("size", [9.0, 100.0])
 def test_same_rows_as_every_edge(spark, size):
     points, regions = sample(4000, 1), polygons(spark, SHAPES)
     want = brute(points, SHAPES)
@@ -72,8 +72,8 @@ def test_rows_follow_the_perimeter(spark):
     shape = [(1, 0, [[(5000 * math.cos(a), 5000 * math.sin(a)) for a in np.linspace(0, 2 * math.pi, 4000, False)]])]
     regions = polygons(spark, shape)
     n = {s: cover.cover(regions, s, KEYS).agg(F.count("*").alias("n"), F.sum(F.size("_edges")).alias("e"),
-                                             F.max(F.size("_flips")).alias("f")).first() for s in (80.0, 40.0, 20.0, 10.0)}
-    for a, b in ((80.0, 40.0), (40.0, 20.0), (20.0, 10.0)):
+                                             F.max(F.size("_flips")).alias("f")).first() for s in (40.0, 20.0, 10.0)}
+    for a, b in ((40.0, 20.0), (20.0, 10.0)):
         assert n[b]["n"] < 2.6 * n[a]["n"]          # bins would be four times as many
     assert n[10.0]["n"] < 40_000 < 0.05 * (10_000 / 10.0) ** 2
     assert n[10.0]["e"] < 6 * n[10.0]["n"] and n[10.0]["f"] <= 8
