@@ -6,8 +6,6 @@ A raster is ``(col, row, value)`` on an affine lattice ``x = x0 + (col + 0.5)·r
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +14,8 @@ from .spatial import checked_broadcast
 # Sentinels that mean "no prediction" on the prediction side.
 PRED_SENTINELS = (-9223372036854775808, 255)
 TARGET_CODE = 8
+# Reference tiles that a crop names one by one; above it the scan is pruned by column and by row of tiles.
+TILE_LIST = 10_000
 
 
 def to_cell(x: Column | str, y: Column | str, x0: float, y0: float, res: float) -> tuple[Column, Column]:
@@ -56,23 +56,62 @@ def mosaic_first(df: DataFrame, keys: tuple[str, str] = ("col", "row"), pred: st
                  *([F.min(order[0]).alias(order[0])] if order[0] not in ("x", "y") else [])))
 
 
-def crop(reference: DataFrame, boxes: DataFrame, x0: float, y0: float, res: float, to_ref=None) -> DataFrame:
-    """The reference cells within the bounds of all ``boxes`` (R8) as ranges of ``col`` and ``row``, which a
-    parquet scan takes as filters.  ``to_ref`` brings the boxes' corners into the reference's CRS; a margin
-    of one cell and of a tenth of the extent covers sides that bend there."""
+def crop(reference: DataFrame, boxes: DataFrame, x0: float, y0: float, res: float, to_ref=None,
+         tile_size: int | None = None, block: int = 2048) -> DataFrame:
+    """The reference cells within the bounds of any of ``boxes`` (R8), one cell more on each side.
+
+    Every box is cut into the blocks of cells it covers, and a cell meets them by an equality on its block:
+    distant boxes read what lies under them, not what lies between.  A reference that is partitioned by
+    ``tile_x, tile_y = floor(col / tile_size), floor(row / tile_size)`` (as :func:`sources.tables.write_map`
+    writes) names its ``tile_size``: tiles are then the blocks, and only folders under some box are read.  Up to
+    TILE_LIST tiles are named to the scan; beyond, dynamic partition pruning leaves the folders whose ``tile_x``
+    and whose ``tile_y`` occur.  The range of all boxes goes to the scan as a filter on ``col`` and ``row``.
+    ``to_ref`` brings a box's corners into the reference's CRS; a tenth of its extent more covers sides that
+    bend there.  Boxes with a null or non-finite corner hold no cells; no boxes: no rows.
+    """
+    span = _cell_ranges(boxes, x0, y0, res, to_ref)
+    m = span.agg(F.min("_c0"), F.max("_c1"), F.min("_r0"), F.max("_r1")).first()
+    if m[0] is None:
+        return reference.limit(0)
+    size = F.lit(int(tile_size or block))
+    for k, lo, hi in (("_bx", "_c0", "_c1"), ("_by", "_r0", "_r1")):
+        span = span.withColumn(k, F.explode(F.sequence(F.floor(F.col(lo) / size), F.floor(F.col(hi) / size))))
+    ranged = reference.where(F.col("col").between(m[0], m[1]) & F.col("row").between(m[2], m[3]))
+    if tile_size:
+        under = span.select("_bx", "_by").distinct().limit(TILE_LIST + 1).collect()
+        if len(under) <= TILE_LIST:
+            ranged = ranged.where(F.concat_ws(",", "tile_x", "tile_y").isin([f"{r['_bx']},{r['_by']}" for r in under]))
+        # keys typed like the partition columns, so that the join compares the bare column
+        tx, ty = ranged["tile_x"], ranged["tile_y"]
+        span = (span.withColumn("_bx", F.col("_bx").cast(reference.schema["tile_x"].dataType))
+                .withColumn("_by", F.col("_by").cast(reference.schema["tile_y"].dataType)))
+    else:
+        tx, ty = F.floor(ranged["col"] / size), F.floor(ranged["row"] / size)
+    # a comparison on the boxes' side: what Spark takes as selective for dynamic partition pruning
+    span = checked_broadcast(span.where("_c0 <= _c1"))
+    inside = ranged["col"].between(span["_c0"], span["_c1"]) & ranged["row"].between(span["_r0"], span["_r1"])
+    return ranged.join(span, (tx == span["_bx"]) & (ty == span["_by"]) & inside, "left_semi")
+
+
+def _cell_ranges(boxes: DataFrame, x0: float, y0: float, res: float, to_ref) -> DataFrame:
+    """``_c0, _c1, _r0, _r1``: the columns and rows of each different box, both ends included."""
     corners = F.explode(F.array(*[F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
                                   for x in ("minx", "maxx") for y in ("miny", "maxy")])).alias("p")
-    p = boxes.select(corners).select("p.x", "p.y")
+    key = ["minx", "miny", "maxx", "maxy"]
+    p = boxes.select(*key).distinct().select(*key, corners).select(*key, "p.x", "p.y")
     if to_ref is not None:
         x, y = to_ref(F.col("x"), F.col("y"))
-        p = p.select(x.alias("x"), y.alias("y"))
-    m = p.agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1")).first()
-    if m["x0"] is None:
-        return reference.limit(0)
-    mx, my = (res if to_ref is None else res + 0.1 * (m[b] - m[a]) for a, b in (("x0", "x1"), ("y0", "y1")))
-    cols = (math.floor((m["x0"] - mx - x0) / res), math.ceil((m["x1"] + mx - x0) / res))
-    rows = (math.floor((y0 - m["y1"] - my) / res), math.ceil((y0 - m["y0"] + my) / res))
-    return reference.where(F.col("col").between(*cols) & F.col("row").between(*rows))
+        p = p.select(*key, x.alias("x"), y.alias("y"))
+    fine = F.lit(True)
+    for c in ("x", "y"):
+        fine = fine & F.coalesce(F.abs(c) < float("inf"), F.lit(False))
+    p = p.withColumn("_fine", fine).groupBy(*key).agg(
+        F.min("x").alias("ax"), F.max("x").alias("bx"), F.min("y").alias("ay"), F.max("y").alias("by"), F.min("_fine").alias("_fine"))
+    bend = 0.0 if to_ref is None else 0.1
+    mx, my = (F.lit(res) + bend * (F.col(b) - F.col(a)) for a, b in (("ax", "bx"), ("ay", "by")))
+    return p.where("_fine").select(
+        F.floor((F.col("ax") - mx - x0) / res).alias("_c0"), F.ceil((F.col("bx") + mx - x0) / res).alias("_c1"),
+        F.floor((y0 - F.col("by") - my) / res).alias("_r0"), F.ceil((y0 - F.col("ay") + my) / res).alias("_r1"))
 
 
 def mask_sentinels(df: DataFrame, pred: str = "pred", sentinels=PRED_SENTINELS) -> DataFrame:

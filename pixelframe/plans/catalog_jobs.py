@@ -24,7 +24,7 @@ _TILE_EDGES = fx.sql_block_edges(fx.TILE_POLYGONS, fx.TILE_BLOCK, fx.TILE_SHIFT)
 # Dataset extraction
 # ---------------------------------------------------------------------------------------------
 
-@register("extract_cube", f"""
+_EXTRACT_CUBE_SQL = f"""
 WITH {fx.SQL_CUBE_PIXELS},
 ins AS ({fx.sql_ray_inside("cpx", "cpx.x", "cpx.y", "cpx.vec_id", _EXTRACT_EDGES)}),
 j AS (SELECT ins.region_id, cpx.x, cpx.y, cpx.embedding FROM ins JOIN cpx ON ins.vec_id = cpx.vec_id
@@ -35,7 +35,10 @@ m AS (SELECT region_id, x, y, i, max(CASE WHEN isnan(v) THEN NULL ELSE CAST(v AS
 SELECT m.region_id, m.x, m.y, n.n_steps, round(sum(mv), 4) AS band_sum, 1 AS class
 FROM m JOIN n ON m.region_id = n.region_id AND m.x = n.x AND m.y = n.y
 GROUP BY m.region_id, m.x, m.y, n.n_steps
-""")
+"""
+
+
+@register("extract_cube", _EXTRACT_CUBE_SQL)
 def extract_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Regions → pixels of map year 2024 → clip → per-pixel max composite → class 1."""
     out = jobs.extract_from_cube(fx.extract_regions(spark, sf_dir), fx.cube_pixels(spark, sf_dir),
@@ -468,3 +471,21 @@ def stream_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return spark.read.parquet(out).select("event_id", "region_id", "class")
+
+
+@register("stream_composite", _EXTRACT_CUBE_SQL)
+def stream_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extraction with its composite over layers that arrive in any order (P14 with S4, P5): the pixels of the
+    cube come as files dealt by a hash, three files a micro-batch; equal to ``extract_cube``."""
+    from ..streaming import extract_stream
+    src, out = scratch_path(spark, "composite-src"), scratch_path(spark, "composite-out")
+    fx.cube_pixels(spark, sf_dir).drop("label").repartition(8, F.xxhash64("vec_id")).write.parquet(src)
+    n = cube.array_width(spark.read.parquet(src), "bands")
+    q = extract_stream.start_composite(
+        spark, src, "vec_id bigint, x double, y double, t timestamp_ntz, bands array<float>", fx.extract_regions(spark, sf_dir),
+        4.0, out, n, year=2024, max_files_per_trigger=3, checkpoint=out + "-ckpt")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    got = extract_stream.read_composite(spark, out, n, cls=1)
+    return got.select("region_id", "x", "y", "n_steps", fx.band_sum("bands").alias("band_sum"), "class")

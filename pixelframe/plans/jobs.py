@@ -174,11 +174,12 @@ def evaluate_predictions(regions: DataFrame, pixels: DataFrame, reference: DataF
                          grid_overlap: float = 500.0, no_grids: int | None = None, seed: int = 42,
                          tiles: tuple[str, str, float] | None = None, pixel_srid: int | None = None,
                          ref_lattice: tuple[float, float, float] | None = None,
-                         ref_srid: int | None = None) -> DataFrame:
+                         ref_srid: int | None = None, ref_tile: int | None = None) -> DataFrame:
     """Map evaluation (E7): per-grid precision / recall / accuracy against the reference, then the mean.
 
     ``reference``: ``(col, row, value)`` on the lattice ``ref_lattice = (x0, y0, res)`` in the CRS ``ref_srid``
-    (default: those of the predictions).  It is cropped to the grids' bounds (R8), and each grid's
+    (default: those of the predictions).  It is cropped to the grids' bounds (R8; ``ref_tile``: the tile
+    size of a reference partitioned by ``tile_x, tile_y``, of which only tiles under grids are read), and each grid's
     predictions are taken at the centres of its cells (R7, R9).  Truth = ``value == target``; the
     prediction is positive when it equals ``positive``.
     """
@@ -190,7 +191,7 @@ def evaluate_predictions(regions: DataFrame, pixels: DataFrame, reference: DataF
     if ref_srid is not None and ref_srid != pixel_srid:
         to_pred = lambda x, y: R.transform_points(x, y, ref_srid, pixel_srid)
         to_ref = lambda x, y: R.transform_points(x, y, pixel_srid, ref_srid)
-    reference = raster.crop(reference, grids, rx0, ry0, rres, to_ref)
+    reference = raster.crop(reference, grids, rx0, ry0, rres, to_ref, ref_tile)
     pairs = raster.align_nearest(preds, reference, x0, y0, res, rx0, ry0, rres, keys=["grid_id"], ref_to_pred=to_pred)
     pairs = raster.drop_unpaired(raster.mask_sentinels(pairs, "pred"), ("pred", "value"))
     pairs = raster.binarise(pairs, "value", target, "truth").withColumn(

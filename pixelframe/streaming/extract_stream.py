@@ -51,3 +51,65 @@ def start_extraction(spark: SparkSession, pixels_path: str, schema: str, regions
         w = w.option("header", True)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()
+
+
+def partial_composite(clipped: DataFrame, keys: list[str], n_bands: int, how: str = "max", tie: str | None = None) -> DataFrame:
+    """What a part of the layers adds to a composite: parts merge in any order (:func:`merge_composites`).
+
+    ``max``: per-band maxima and the number of layers.  ``latest``: the last layer and what it was ranked by.
+    """
+    if how == "max":
+        return cube.composite_max(clipped, keys, "bands", n_bands)
+    if how != "latest":
+        raise ValueError("how must be 'max' or 'latest'")
+    rank = F.struct("t", tie) if tie else F.col("t")
+    return (clipped.withColumn("bands", cube.of_width("bands", n_bands)).withColumn("_rank", rank).groupBy(*keys)
+            .agg(F.max_by("bands", "_rank").alias("bands"), F.max("t").alias("t"), F.max("_rank").alias("_rank")))
+
+
+def merge_composites(parts: DataFrame, keys: list[str], n_bands: int, how: str = "max") -> DataFrame:
+    """The composite of all layers from the partial composites of its parts: one aggregate on the pixel."""
+    if how == "latest":
+        return parts.groupBy(*keys).agg(F.max_by("bands", "_rank").alias("bands"), F.max("t").alias("t"),
+                                        F.max("_rank").alias("_rank"))
+    tops = [F.max(F.col("bands")[i]).alias(f"_m{i}") for i in range(n_bands)]
+    out = parts.groupBy(*keys).agg(F.sum("n_steps").alias("n_steps"), *tops)
+    return out.select(*keys, "n_steps", F.array(*[F.col(f"_m{i}") for i in range(n_bands)]).alias("bands"))
+
+
+def start_composite(spark: SparkSession, pixels_path: str, schema: str, regions: DataFrame, bin_size: float,
+                    out_path: str, n_bands: int, year: int | None = None, how: str = "max", tie: str | None = None,
+                    region_cols: list[str] | None = None, max_files_per_trigger: int | None = None,
+                    *, checkpoint: str, available_now: bool = True) -> StreamingQuery:
+    """Extraction with its composite (P14) that goes on as layers arrive, late ones included.
+
+    Each micro-batch is clipped, reduced to its partial composite and written to its own folder
+    ``out_path/batch=<id>``, replacing what an interrupted attempt at the same batch left: a batch that runs
+    twice counts once.  No state is held between batches; :func:`read_composite` merges the folders.
+    """
+    keys = [*(region_cols or ["region_id"]), "x", "y"]
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        part = partial_composite(clip_stream(batch, regions, bin_size, year, None, region_cols), keys, n_bands, how, tie)
+        part.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
+
+    w = (pixel_stream(spark, pixels_path, schema, max_files_per_trigger).writeStream.foreachBatch(write)
+         .option("checkpointLocation", checkpoint))
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")).start()
+
+
+def read_composite(spark: SparkSession, out_path: str, n_bands: int, how: str = "max", cls: int | None = None,
+                   region_cols: list[str] | None = None, base: DataFrame | None = None, after: int | None = None) -> DataFrame:
+    """The composite of everything that :func:`start_composite` has written so far, with its class.
+
+    A long stream is folded now and then: write this result (without class) elsewhere and pass it as ``base``
+    with ``after``, the last batch in it.  Batches up to that one are not read then.
+    """
+    keys = [*(region_cols or ["region_id"]), "x", "y"]
+    parts = spark.read.parquet(out_path)
+    if after is not None:
+        parts = parts.where(F.col("batch") > after)
+    parts = parts.drop("batch")
+    if base is not None:
+        parts = parts.unionByName(base)
+    return cube.add_class(merge_composites(parts, keys, n_bands, how), cls)
