@@ -283,7 +283,7 @@ def train_from_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Sources and sinks (S1–S7, S10) — written to a fresh folder under the shared checkpoint folder
 # ---------------------------------------------------------------------------------------------
 
-@register("geojson_parts", f"""
+_PARTS_SQL = f"""
 WITH {fx.sql_customer_regions()},
 ce2 AS (SELECT region_id, 0 AS part, ring, x1, y1, x2, y2 FROM ce
         UNION ALL
@@ -293,21 +293,43 @@ ra AS (SELECT region_id, part, ring, abs(sum(x1 * y2 - x2 * y1) / 2.0) AS a, cou
 SELECT region_id, CAST(part AS INTEGER) AS part, CAST(count(*) AS INTEGER) AS n_rings, CAST(sum(nv) AS INTEGER) AS n_vertices,
        round(sum(CASE WHEN ring = 0 THEN a ELSE -a END), 3) AS area
 FROM ra GROUP BY region_id, part
-""")
-def geojson_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """GeoJSON sequence written from customer regions (multi-part every 5th) and read back."""
-    from ..operators import regions as RG
+"""
+
+
+def _multipart_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer regions, every fifth with a second part."""
     reg = fx.customer_regions(spark, sf_dir)
     k = F.col("region_id")
     h = F.lit(4000.0) + ((k * 37) % 1000).cast("double") * 10.0
     shifted = F.transform("rings", lambda r: F.transform(r, lambda p: F.struct((p["x"] + 3.0 * h).alias("x"), p["y"].alias("y"))))
-    reg = reg.withColumn("parts", F.when(k % 5 == 0, F.array(F.col("rings"), shifted)).otherwise(F.array(F.col("rings"))))
+    return reg.withColumn("parts", F.when(k % 5 == 0, F.array(F.col("rings"), shifted)).otherwise(F.array(F.col("rings"))))
+
+
+def _part_rows(regions: DataFrame) -> DataFrame:
+    from ..operators import regions as RG
+    return RG.area(regions).select(
+        "region_id", "part", F.size("rings").alias("n_rings"),
+        F.aggregate("rings", F.lit(0), lambda a, r: a + F.size(r)).alias("n_vertices"), F.round("area", 3).alias("area"))
+
+
+@register("geojson_parts", _PARTS_SQL)
+def geojson_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """GeoJSON sequence written from customer regions (multi-part every 5th) and read back."""
     path = scratch_path(spark, "regions-geojson")
-    geojson.regions_to_geojson_lines(reg).write.mode("overwrite").text(path)
-    back = RG.area(geojson.read_geojson(spark, path, sequence=True, srid=3857))
-    return back.select("region_id", "part", F.size("rings").alias("n_rings"),
-                       F.aggregate("rings", F.lit(0), lambda a, r: a + F.size(r)).alias("n_vertices"),
-                       F.round("area", 3).alias("area"))
+    geojson.regions_to_geojson_lines(_multipart_regions(spark, sf_dir)).write.mode("overwrite").text(path)
+    return _part_rows(geojson.read_geojson(spark, path, sequence=True, srid=3857))
+
+
+@register("geojson_collection", _PARTS_SQL)
+def geojson_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same regions as FeatureCollection documents that name their CRS, with braces and quotes in a property,
+    cut at their features when read back (S1)."""
+    path = scratch_path(spark, "regions-collections")
+    reg = _multipart_regions(spark, sf_dir).withColumn("note", F.concat(F.lit('}"{ \\"features": ['), F.col("region_id")))
+    lines = geojson.regions_to_geojson_lines(reg, {"note": "note"}, also=["region_id"])
+    lines = lines.withColumn("block", F.floor(F.col("region_id") / 65536))
+    geojson.write_collections(lines, path, "block", "region_id", 3857)
+    return _part_rows(geojson.read_geojson(spark, path))
 
 
 _ROUNDTRIP_SQL = f"""

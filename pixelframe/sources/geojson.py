@@ -4,8 +4,7 @@ Two layouts are read:
 
 * GeoJSON text sequences (one Feature per line) — split across tasks like any line file; the layout to
   use for large region sets;
-* a FeatureCollection document (``multiLine``) — one document is parsed by one task, which is fine for
-  the region files this library takes (polygons, not pixels).
+* FeatureCollection documents, cut at their features by many tasks (:mod:`.feature_collection`).
 
 ``coordinates`` is read as raw JSON text and parsed by geometry type, since Polygon and MultiPolygon
 nest to different depths.
@@ -13,11 +12,12 @@ nest to different depths.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.geo import ring_from_coords
 from ..operators.regions import is_supported, with_geometry
+from .feature_collection import document_objects
 
 _FEATURE = ("type string, id string, properties map<string,string>, "
             "geometry struct<type:string, coordinates:string>")
@@ -49,12 +49,14 @@ def features_to_regions(feats: DataFrame, feature_id) -> DataFrame:
     return with_geometry(regions)
 
 
-def read_geojson(spark: SparkSession, path: str, sequence: bool = False, srid: int | None = None) -> DataFrame:
+def read_geojson(spark: SparkSession, path: str, sequence: bool = False, srid: int | None = None,
+                 block_bytes: int = 1 << 18) -> DataFrame:
     """Read regions; ``region_id`` = feature ``id`` when it is a whole number.  Otherwise it is a hash of the text
     id, and without any id its position in the collection (in a sequence: a hash of its coordinates).
 
     The CRS is ``srid`` or the one the collection or the line names; 4326 where none is named.  One that is not
-    lon/lat, web Mercator or a UTM zone raises.
+    lon/lat, web Mercator or a UTM zone raises.  Features without a polygon, and one that the file cuts off, give
+    no rows.
     """
     number = F.expr("try_cast(id AS bigint)")
     text = F.when(F.col("id").isNotNull(), F.xxhash64("id"))
@@ -62,19 +64,21 @@ def read_geojson(spark: SparkSession, path: str, sequence: bool = False, srid: i
         feats = spark.read.schema(_FEATURE + ", crs struct<properties:struct<name:string>>").json(path)
         feats = feats.withColumn("srid", F.lit(srid) if srid else srid_of_name(F.col("crs.properties.name")))
         return features_to_regions(feats, F.coalesce(number, text, F.xxhash64("geometry.coordinates")))
-    schema = ("type string, crs struct<properties:struct<name:string>>, features array<struct<type:string,"
-              "id:string,properties:map<string,string>,geometry:struct<type:string,coordinates:string>>>")
-    doc = spark.read.schema(schema).option("multiLine", True).json(path)
-    crs_srid = srid_of_name(F.col("crs.properties.name"))
-    feats = doc.select(crs_srid.alias("srid"), F.posexplode("features").alias("pos", "f")).select(
-        "srid", "pos", "f.*")
+    objects = document_objects(spark, path, block_bytes=block_bytes)
+    crs = F.from_json("text", "properties struct<name:string>")["properties"]["name"]
+    named = objects.where("key = 'crs'").groupBy("path").agg(F.max_by(crs, "pos").alias("name"))
+    feats = (objects.where("key = 'features'").join(named, "path", "left")
+             .select(srid_of_name(F.col("name")).alias("srid"), "pos", F.from_json("text", _FEATURE).alias("f"))
+             .select("srid", "pos", "f.*"))
     if srid:
         feats = feats.withColumn("srid", F.lit(srid))
     return features_to_regions(feats, F.coalesce(number, text, F.col("pos").cast("bigint")))
 
 
-def regions_to_geojson_lines(regions: DataFrame, props: dict[str, str] | None = None) -> DataFrame:
-    """Regions (``region_id``, ``rings``; optional ``parts`` array of rings-lists) → GeoJSON text lines."""
+def regions_to_geojson_lines(regions: DataFrame, props: dict[str, str] | None = None,
+                             also: list[str] | None = None) -> DataFrame:
+    """Regions (``region_id``, ``rings``; optional ``parts`` array of rings-lists) → GeoJSON text lines ``value``,
+    beside the columns ``also``."""
     def coords(rings):
         return F.to_json(F.transform(rings, lambda r: F.transform(r, lambda p: F.array(p["x"], p["y"]))))
 
@@ -90,4 +94,20 @@ def regions_to_geojson_lines(regions: DataFrame, props: dict[str, str] | None =
     line = F.concat(F.lit('{"type":"Feature","id":'), F.col("region_id").cast("string"),
                     F.lit(',"properties":'), prop_json,
                     F.lit(',"geometry":{"type":"'), gtype, F.lit('","coordinates":'), geom_coords, F.lit("}}"))
-    return regions.select(line.alias("value"))
+    return regions.select(*(also or []), line.alias("value"))
+
+
+def write_collections(lines: DataFrame, path: str, key: str, order: str, srid: int | None = None) -> None:
+    """Feature lines (``value``) → one FeatureCollection document for each ``key``, features by ``order``.
+
+    Each document is one file in the folder of its key, written by one task; documents are written side by side.
+    """
+    crs = f'"crs":{{"type":"name","properties":{{"name":"EPSG:{srid}"}}}},' if srid else ""
+    first = F.row_number().over(Window.partitionBy(key).orderBy(order, "value")) == 1
+    feats = lines.select(key, F.lit(1).alias("_k"), F.col(order).alias("_o"),
+                         F.concat(F.when(first, F.lit("")).otherwise(F.lit(",")), "value").alias("value"))
+    ends = lines.select(key).distinct().select(key, F.explode(F.array(
+        F.struct(F.lit(0).alias("_k"), F.lit('{"type":"FeatureCollection",' + crs + '"features":[').alias("value")),
+        F.struct(F.lit(2).alias("_k"), F.lit("]}").alias("value")))).alias("e")).select(key, "e.*")
+    out = feats.unionByName(ends, allowMissingColumns=True).repartition(key).sortWithinPartitions(key, "_k", "_o", "value")
+    out.select(key, "value").write.mode("overwrite").partitionBy(key).text(path)
