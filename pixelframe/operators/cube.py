@@ -90,12 +90,14 @@ def unnest_tiles(tiles: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Dense tile → one row per pixel (P8), with coordinates from the affine transform.
 
     ``data[pos]`` holds the band vector of pixel ``pos`` in row-major order; ``affine`` is
-    ``[x0, dx, 0, y0, 0, dy]`` (``dy`` negative for north-up); pixel centres are at +0.5.
+    ``[x0, dx, 0, y0, 0, dy]`` (``dy`` negative for north-up); pixel centres are at +0.5.  A chunk of a tile
+    (:mod:`.tiles`) gives the rows, columns and coordinates of its tile.
     """
     keep = list(keep or [])
-    out = tiles.select(*keep, "w", "affine", F.posexplode("data").alias("pos", "bands"))
-    row = F.floor(F.col("pos") / F.col("w")).cast("int")
-    col = (F.col("pos") % F.col("w")).cast("int")
+    r0, c0 = ("row0", "col0") if "row0" in tiles.columns else (F.lit(0).alias("row0"), F.lit(0).alias("col0"))
+    out = tiles.select(*keep, "w", "affine", r0, c0, F.posexplode("data").alias("pos", "bands"))
+    row = (F.col("row0") + F.floor(F.col("pos") / F.col("w"))).cast("int")
+    col = (F.col("col0") + F.col("pos") % F.col("w")).cast("int")
     a = F.col("affine")
     return out.select(
         *keep, row.alias("row"), col.alias("col"),

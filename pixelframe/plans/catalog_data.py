@@ -73,13 +73,16 @@ def _embedding_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
                         data.alias("data"))
 
 
-@register("tile_unnest", """
+SQL_TILE_UNNEST = """
 SELECT vec_id // 64 AS tile_id, CAST((vec_id % 64) // 8 AS INTEGER) AS "row", CAST(vec_id % 8 AS INTEGER) AS col,
        CAST(vec_id // 64 AS DOUBLE) * 80.0 + (CAST(vec_id % 8 AS DOUBLE) + 0.5) * 10.0 AS x,
        1000.0 + (CAST((vec_id % 64) // 8 AS DOUBLE) + 0.5) * -10.0 AS y,
        round(list_sum(list_transform(embedding, lambda v: CAST(v AS DOUBLE))), 4) AS band_sum
 FROM embeddings
-""")
+"""
+
+
+@register("tile_unnest", SQL_TILE_UNNEST)
 def tile_unnest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dense tile → pixel rows with affine coordinates."""
     px = cube.unnest_tiles(_embedding_tiles(spark, sf_dir), keep=["tile_id"]).where(F.col("bands").isNotNull())

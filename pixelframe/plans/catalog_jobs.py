@@ -7,13 +7,13 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import cube, learn, raster, spatial
+from ..operators import cube, learn, raster, spatial, tiles
 from ..sources import geojson, tables
 from ..session import scratch_path
 from . import fixtures as fx
 from . import jobs
 from .catalog import _t, register
-from .catalog_data import _MISSING_SQL, _RASTER_SQL, _embedding_tiles, _pred_pixels
+from .catalog_data import _MISSING_SQL, _RASTER_SQL, SQL_TILE_UNNEST, _embedding_tiles, _pred_pixels
 from .catalog_models import _SQ_DIST, SQL_LABEL_MEANS, marked
 
 _EXTRACT_EDGES = fx.sql_block_edges(fx.EXTRACT_POLYGONS, fx.EXTRACT_BLOCK, fx.EXTRACT_SHIFT)
@@ -46,7 +46,7 @@ def extract_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("region_id", "x", "y", "n_steps", fx.band_sum("bands").alias("band_sum"), "class")
 
 
-@register("extract_tiles", f"""
+_EXTRACT_TILES_SQL = f"""
 WITH tp AS (SELECT vec_id, vec_id // 64 AS tile_id, CAST((vec_id % 64) // 8 AS INTEGER) AS "row",
                    CAST(vec_id % 8 AS INTEGER) AS col,
                    CAST(vec_id // 64 AS DOUBLE) * 80.0 + (CAST(vec_id % 8 AS DOUBLE) + 0.5) * 10.0 AS x,
@@ -56,7 +56,10 @@ SELECT ins.region_id, tp.tile_id, tp."row", tp.col,
        round(list_sum(list_transform(tp.embedding, lambda v: CAST(v AS DOUBLE))), 4) AS band_sum, 2 AS class
 FROM ins JOIN tp ON ins.vec_id = tp.vec_id
 WHERE NOT list_bool_or(list_transform(tp.embedding, lambda v: v IS NULL OR isnan(v)))
-""")
+"""
+
+
+@register("extract_tiles", _EXTRACT_TILES_SQL)
 def extract_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tiles → pixel rows → clip per region → drop missing → class 2."""
     out = jobs.extract_from_tiles(_embedding_tiles(spark, sf_dir).where(F.size("data") > 0),
@@ -64,6 +67,34 @@ def extract_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("region_id", "tile_id", "row", "col", fx.band_sum("bands").alias("band_sum"), "class")
 
 
+def _stored_chunks(spark: SparkSession, sf_dir: str, side: int, bin_size: float) -> DataFrame:
+    """``embeddings`` as the pixels of 8 × 8 tiles, packed into chunks, written and read back."""
+    e = _t(spark, sf_dir, "embeddings").withColumn("tile_id", F.floor(F.col("vec_id") / 64))
+    at = F.col("vec_id") % 64
+    px = e.select("tile_id", F.floor(at / 8).cast("int").alias("row"), (at % 8).cast("int").alias("col"),
+                  F.col("embedding").alias("bands"))
+    affine = F.array((F.col("tile_id") * 80).cast("double"), F.lit(10.0), F.lit(0.0), F.lit(1000.0), F.lit(0.0), F.lit(-10.0))
+    meta = e.select("tile_id").distinct().select("tile_id", F.lit(8).alias("h"), F.lit(8).alias("w"), affine.alias("affine"))
+    path = scratch_path(spark, "tile-chunks")
+    tiles.write_chunks(tiles.chunk_pixels(px, meta, ["tile_id"], side), path, bin_size)
+    return spark.read.parquet(path)
+
+
+@register("tile_chunks", SQL_TILE_UNNEST)
+def tile_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tiles stored as chunks of 3 × 3 pixels at most, unnested with the coordinates of their tiles."""
+    px = cube.unnest_tiles(_stored_chunks(spark, sf_dir, 3, 65536.0), keep=["tile_id"]).where(F.col("bands").isNotNull())
+    return px.select("tile_id", "row", "col", "x", "y", fx.band_sum("bands").alias("band_sum"))
+
+
+@register("extract_tile_chunks", _EXTRACT_TILES_SQL)
+def extract_tile_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extraction from tiles stored as chunks: only chunks under some region are read."""
+    out = jobs.extract_from_tiles(_stored_chunks(spark, sf_dir, 5, 65536.0), fx.tile_regions(spark, sf_dir), bin_size=64.0,
+                                  cls=2, n_bands=64, chunk_bin=65536.0)
+    return out.select("region_id", "tile_id", "row", "col", fx.band_sum("bands").alias("band_sum"), "class")
+
+
 # ---------------------------------------------------------------------------------------------
 # Map and evaluation (R1, R2, R13, E7): nearest-centre model (the labels' means), grids of 6 with
 # overlap 1 over regions above 100 units², lattice x0 = 0, y0 = 0, res = 1.

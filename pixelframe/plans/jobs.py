@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..operators import cube, grid, learn, metrics, prep, raster, spatial
 from ..operators import regions as R
+from ..operators import tiles as T
 from ..session import materialize
 
 
@@ -48,15 +49,18 @@ def extract_from_cube(regions: DataFrame, pixels: DataFrame, year: int | None, b
 
 def extract_from_tiles(tiles: DataFrame, regions: DataFrame, bin_size: float, cls: int | None = None,
                        tile_keys: list[str] | None = None, region_cols: list[str] | None = None,
-                       n_bands: int | None = None, pixel_srid: int | None = None) -> DataFrame:
+                       n_bands: int | None = None, pixel_srid: int | None = None,
+                       chunk_bin: float | None = None) -> DataFrame:
     """Tiles → pixel rows → clip to each region → drop missing → label.
 
     Only tiles whose bounds meet some region's are unnested: a first look reads keys and bounds alone.
-    One scan of those tiles serves every region (the join shares it).
+    One scan of those tiles serves every region (the join shares it).  ``chunk_bin``: ``tiles`` is a table of
+    chunks, written with bins of that size; only folders near a region are read.
     """
     keys = list(tile_keys or ["tile_id"])
     regions = in_pixel_crs(regions, pixel_srid)
-    px = cube.unnest_tiles(tiles_under(tiles, regions, bin_size, keys), keep=keys)
+    under = T.chunks_under(tiles, regions, chunk_bin) if chunk_bin else tiles_under(tiles, regions, bin_size, keys)
+    px = cube.unnest_tiles(under, keep=keys)
     clipped = spatial.spatial_join(px, regions, bin_size, how="inner", region_cols=region_cols)
     return cube.add_class(cube.drop_missing(clipped, "bands", n_bands=n_bands), cls)
 
