@@ -363,6 +363,29 @@ def geojson_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _part_rows(geojson.read_geojson(spark, path))
 
 
+@register("geojson_features", """
+SELECT vec_id AS region_id, CAST(0 AS INTEGER) AS part, 3857 AS srid, CAST(vec_id % 1000 AS DOUBLE) AS minx,
+       CAST(coalesce(label, 0) + 1 AS DOUBLE) * 2.0 AS area,
+       concat('"}{ ', vec_id, ' \\"features": [{', coalesce(label, -1)) AS note
+FROM embeddings
+""")
+def geojson_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rectangle for each vector in FeatureCollection documents of 65,536 features, with quotes, braces and backslashes
+    in a property, read back by many tasks a document (S1)."""
+    from ..operators import regions as RG
+    e = _t(spark, sf_dir, "embeddings").select("vec_id", "label")
+    x, y = (F.col("vec_id") % 1000).cast("double"), F.floor(F.col("vec_id") / 1000).cast("double")
+    w = (F.coalesce("label", F.lit(0)) + 1).cast("double")
+    ring = F.array(*[F.struct(a.alias("x"), b.alias("y")) for a, b in ((x, y), (x + w, y), (x + w, y + 2.0), (x, y + 2.0), (x, y))])
+    note = F.concat(F.lit('"}{ '), F.col("vec_id"), F.lit(' \\"features": [{'), F.coalesce("label", F.lit(-1)))
+    reg = e.select(F.col("vec_id").alias("region_id"), F.array(ring).alias("rings"), note.alias("note"))
+    lines = geojson.regions_to_geojson_lines(reg, {"note": "note"}, also=["region_id"])
+    path = scratch_path(spark, "features-collections")
+    geojson.write_collections(lines.withColumn("block", F.floor(F.col("region_id") / 65536)), path, "block", "region_id", 3857)
+    back = RG.area(geojson.read_geojson(spark, path))
+    return back.select("region_id", "part", "srid", "minx", F.round("area", 6).alias("area"), F.col("props")["note"].alias("note"))
+
+
 _ROUNDTRIP_SQL = f"""
 WITH {_MISSING_SQL}
 SELECT event_id, class_,
