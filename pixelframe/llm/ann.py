@@ -31,9 +31,9 @@ class Parameters:
     rounds: int | None = None  # of the descent, at most
     expand: int = 12         # nodes that a query expands in a step of the search
     steps: int | None = None  # of the search, at most
-    sample: int = 8192       # vectors that the forest's splits are drawn from, at least
-    sent: int = 10           # levels of the forest that are drawn from the sample; a leaf splits further in its task
-    held: int = 1 << 16      # vectors of a leaf that a task is to hold; there are more such levels for larger tables
+    sample: int = 8192       # vectors that the splits of some levels are drawn from; 32 for each of their leaves, if more
+    sent: int = 10           # levels that are drawn from one sample; deeper ones from samples of each leaf
+    held: int = 1 << 16      # vectors of a leaf that a task is to hold; larger leaves are dealt on
 
 
 def _lists(arr: pa.Array) -> list[np.ndarray]:
@@ -41,10 +41,21 @@ def _lists(arr: pa.Array) -> list[np.ndarray]:
     return [flat[i:j] for i, j in zip(off[:-1], off[1:])]
 
 
+def packed(x: np.ndarray) -> list[bytes]:
+    """Rows as a factor (their largest component, single precision) and half-precision numbers of at most 1."""
+    top = np.maximum(np.abs(x).max(1), np.finfo(np.float32).tiny)
+    return [f.tobytes() + r.tobytes() for f, r in zip(top.astype("<f4"), (x / top[:, None]).astype("<f2"))]
+
+
+def unpacked(rows: list[bytes]) -> np.ndarray:
+    """Rows of :func:`packed` in single precision."""
+    raw = np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), -1)
+    top = np.ascontiguousarray(raw[:, :4]).view("<f4")
+    return np.ascontiguousarray(raw[:, 4:]).view("<f2").astype(np.float32) * top
+
+
 def _vectors(col: pa.Array) -> np.ndarray:
-    """Rows of half-precision numbers, as single precision."""
-    size = len(col[0].as_py()) // 2
-    return np.frombuffer(b"".join(col.to_pylist()), "<f2").reshape(-1, size).astype(np.float32)
+    return unpacked(col.to_pylist())
 
 
 def _runs(keys: np.ndarray) -> list[tuple[int, int]]:
@@ -61,47 +72,61 @@ def _graph_batch(rows: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBat
 
 
 def usable(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """``vec_id, embedding`` (doubles) of the vectors that take part, one row per id.
+    """``vec_id, embedding`` (doubles) of the vectors that take part, each different pair once.
 
-    Null ids, null or empty vectors, null or non-finite components and zero vectors do not; of several
-    lengths only the most frequent does; of several vectors of one id the smallest does.
+    Null ids, null or empty vectors, null or non-finite components and zero vectors do not.  All different
+    vectors of one id do, and vectors of every length; rows that repeat both id and vector are one.
     """
     v = rows.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("embedding"))
     fine = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     v = v.where("vec_id is not null and embedding is not null").where(fine & F.exists("embedding", lambda x: x != 0))
-    sizes = v.groupBy(F.size("embedding").alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
-    v = v.where(F.size("embedding") == (sizes[0]["n"] if sizes else 0))
-    return v.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    return v.distinct()
 
 
 def nodes_of(vectors: DataFrame, keep: int) -> tuple[DataFrame, DataFrame]:
-    """Equal vectors are one node, named by its smallest id.
+    """Equal vectors are one node; ``vectors (vec_id, embedding)`` of one length, pairs that differ.
 
     Returns ``node, embedding, v`` and ``node, vec_id`` with the ``keep`` smallest ids of each node: more
-    can never be among as many nearest.  ``v`` is the vector in half precision, scaled to the largest
-    component of the table.
+    can never be among as many nearest.  ``v`` is the vector, :func:`packed`, scaled to the largest component of
+    the table.  A node bears the smallest id whose smallest vector it is; one that is no id's smallest vector, a
+    hash that no other node bears.
     """
-    first = Window.partitionBy("embedding").orderBy("vec_id")
-    low = (vectors.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= keep)
-           .withColumn("node", F.min("vec_id").over(Window.partitionBy("embedding"))))
+    many = (vectors.groupBy("vec_id").agg(F.count(F.lit(1)).alias("_n"), F.min("embedding").alias("_least"))
+            .where("_n > 1").select("vec_id", "_least"))
+    later = F.coalesce(F.col("embedding") != F.col("_least"), F.lit(False))
+    known = vectors.join(many, "vec_id", "left").select("vec_id", "embedding", later.alias("_later"))
+    equal = Window.partitionBy("embedding")
+    low = (known.withColumn("_rep", F.min(F.struct("_later", "vec_id")).over(equal))
+           .withColumn("_r", F.row_number().over(equal.orderBy("vec_id"))).where(F.col("_r") <= keep))
     low = materialize_table(low, "ann-members")
-    one = low.where("_r = 1").select("node", "embedding")
+    salt = 0
+    while True:
+        node = F.when(~F.col("_rep._later"), F.col("_rep.vec_id")).otherwise(F.xxhash64("vec_id", "embedding", F.lit(salt)))
+        # the hash is that of the row that stands for the vector: the one with the smallest id
+        one = low.where("_r = 1").select(node.alias("node"), "embedding", F.col("_rep._later").alias("_h"))
+        hashed = one.where("_h")
+        if hashed.isEmpty() or one.join(hashed.select("node"), "node", "left_semi").groupBy("node").count().where("count > 1").isEmpty():
+            break
+        salt += 1
+    one = one.select("node", "embedding")
     top = one.agg(F.max(F.array_max(F.transform("embedding", F.abs)))).first()[0] or 1.0
 
     def half(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
                 x = b.column("embedding").flatten().to_numpy().reshape(b.num_rows, -1) / top
-                yield pa.RecordBatch.from_arrays([b.column("node"), b.column("embedding"),
-                                                  pa.array([r.tobytes() for r in x.astype("<f2")], pa.binary())],
+                yield pa.RecordBatch.from_arrays([b.column("node"), b.column("embedding"), pa.array(packed(x), pa.binary())],
                                                  names=["node", "embedding", "v"])
 
     nodes = materialize_table(one.mapInArrow(half, "node long, embedding array<double>, v binary"), "ann-nodes")
-    return nodes, low.select("node", "vec_id")
+    first = F.first(F.when(F.col("_r") == 1, F.xxhash64("vec_id", "embedding", F.lit(salt))), True).over(equal)
+    named = F.when(~F.col("_rep._later"), F.col("_rep.vec_id")).otherwise(first)
+    return nodes, low.select(named.alias("node"), "vec_id")
 
 
 def _levels(n: int, p: Parameters) -> int:
-    """Levels of splits that leave ``leaf_rows`` vectors in a leaf; above ``sent``, those that leave ``held``."""
+    """Levels of splits that leave ``leaf_rows`` vectors in a leaf; above ``sent``, those that leave ``held``.
+    Leaves are then split on in their tasks."""
     level = lambda rows: max(0, int(np.ceil(np.log2(max(1, n / rows)))))
     return min(level(p.leaf_rows), max(p.sent, level(p.held)))
 
@@ -115,32 +140,89 @@ def _side(x: np.ndarray, a: np.ndarray, b: np.ndarray, t: np.ndarray, coin: np.n
 def _coins(node: np.ndarray, tree: int) -> np.ndarray:
     """Bits by node and tree: what no split can tell apart is dealt differently in each tree."""
     with np.errstate(over="ignore"):
-        h = (node.astype(np.uint64) + np.uint64(tree * 0x632BE5AB)) * np.uint64(0x9E3779B97F4A7C15)
+        h = (node.astype(np.uint64) + np.uint64(tree * 0x632BE5AB & (1 << 64) - 1)) * np.uint64(0x9E3779B97F4A7C15)
         h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     return h ^ (h >> np.uint64(32))
 
 
-def _forest(sample: np.ndarray, depth: int, p: Parameters) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Trees of splits ``x·(a-b) > t`` by level: the rows a, b of the sample, and medians of the sample."""
-    rng = np.random.default_rng(1)
-    trees = []
-    for tree in range(p.trees if depth else 1):
-        ab, t = np.zeros((2**depth, 2), np.int32), np.zeros(2**depth, np.float32)
-        coin = _coins(np.arange(len(sample)), tree)
-        parts = {1: np.arange(len(sample))}
-        for i in range(1, 2**depth):
-            rows = parts.pop(i)
-            a, b = rng.choice(rows, 2) if len(rows) else rng.integers(0, len(sample), 2)
-            if (sample[a] == sample[b]).all():
-                a, b = rng.integers(0, len(sample), 2)
-            ab[i] = a, b
-            s = np.einsum("nd,nd->n", sample[rows], sample[np.full(len(rows), a)] - sample[np.full(len(rows), b)])
-            # the lower median is a value of the sample, so ties with it are seen as such
-            t[i] = np.partition(s, (len(s) - 1) // 2)[(len(s) - 1) // 2] if len(rows) else 0
-            up = (s > t[i]) | ((s == t[i]) & (coin[rows] >> np.uint64(i.bit_length() - 1) & np.uint64(1) != 0))
-            parts[2 * i], parts[2 * i + 1] = rows[~up], rows[up]
-        trees.append((ab, t))
-    return trees
+def _tree(sample: np.ndarray, depth: int, seed: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """Splits ``x·(a-b) > t`` by level: the rows a, b of the sample, and medians of the sample."""
+    ab, t = np.zeros((2**depth, 2), np.int32), np.zeros(2**depth, np.float32)
+    coin = _coins(np.arange(len(sample)), seed)
+    parts = {1: np.arange(len(sample))}
+    for i in range(1, 2**depth):
+        rows = parts.pop(i)
+        a, b = rng.choice(rows, 2) if len(rows) else rng.integers(0, len(sample), 2)
+        if (sample[a] == sample[b]).all():
+            a, b = rng.integers(0, len(sample), 2)
+        ab[i] = a, b
+        s = np.einsum("nd,nd->n", sample[rows], sample[np.full(len(rows), a)] - sample[np.full(len(rows), b)])
+        # the lower median is a value of the sample, so ties with it are seen as such
+        t[i] = np.partition(s, (len(s) - 1) // 2)[(len(s) - 1) // 2] if len(rows) else 0
+        up = (s > t[i]) | ((s == t[i]) & (coin[rows] >> np.uint64(i.bit_length() - 1) & np.uint64(1) != 0))
+        parts[2 * i], parts[2 * i + 1] = rows[~up], rows[up]
+    return ab, t
+
+
+def _descended(x: np.ndarray, node: np.ndarray, sample: np.ndarray, tree: tuple, depth: int, seed: int) -> np.ndarray:
+    """The leaf of each vector, 0 to ``2**depth - 1``."""
+    (ab, t), at, coin = tree, np.ones(len(x), np.int64), _coins(node, seed)
+    for level in range(depth):
+        at = 2 * at + _side(x, sample[ab[at, 0]], sample[ab[at, 1]], t[at], coin >> np.uint64(level) & np.uint64(1))
+    return at - 2**depth
+
+
+def _sampled(depth: int, p: Parameters) -> int:
+    """Vectors that ``depth`` levels, ``sent`` at most, are drawn from: a bound whatever the table's size."""
+    return max(p.sample, 32 << depth)
+
+
+def dealt_on(leaves: DataFrame, depth: int, p: Parameters) -> DataFrame:
+    """``leaf, node, v`` with each leaf dealt to ``2**depth`` leaves of its own.
+
+    A task reads a leaf in the order of a hash; its first vectors are the sample that the splits are drawn from,
+    the others stream through them.  So a task holds a sample, never a leaf.
+    """
+    most = _sampled(depth, p)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        leaf, drawn, tree, held, size = None, None, None, [], 0
+
+        def out(b):
+            x, node = _vectors(b.column("v")), b.column("node").to_numpy()
+            at = (leaf << depth) + _descended(x, node, drawn, tree, depth, leaf)
+            return pa.RecordBatch.from_arrays([pa.array(at), b.column("node"), b.column("v")], names=["leaf", "node", "v"])
+
+        def fit():
+            nonlocal drawn, tree
+            drawn = np.concatenate([_vectors(b.column("v")) for b in held])
+            tree = _tree(drawn, depth, leaf, np.random.default_rng(leaf))
+
+        for batch in small_batches(batches, 4096):
+            if not batch.num_rows:
+                continue
+            for s, e in _runs(batch.column("leaf").to_numpy()):
+                b = batch.slice(s, e - s)
+                if b.column("leaf")[0].as_py() != leaf:
+                    if held:
+                        fit()
+                        yield from map(out, held)
+                    leaf, drawn, tree, held, size = b.column("leaf")[0].as_py(), None, None, [], 0
+                if tree is not None:
+                    yield out(b)
+                    continue
+                held, size = [*held, b], size + b.num_rows
+                if size >= most:
+                    fit()
+                    yield from map(out, held)
+                    held = []
+        if held:
+            fit()
+            yield from map(out, held)
+
+    ordered = (leaves.withColumn("_h", F.xxhash64("leaf", "node")).repartition("leaf")
+               .sortWithinPartitions("leaf", "_h", "node").drop("_h"))
+    return ordered.mapInArrow(run, "leaf long, node long, v binary")
 
 
 def _halved(x: np.ndarray, most: float, rng: np.random.Generator) -> Iterator[np.ndarray]:
@@ -179,25 +261,23 @@ def start_graph(nodes: DataFrame, n: int, p: Parameters) -> DataFrame:
 
     Every leaf goes whole to a task, which splits it on until its parts have about ``leaf_rows`` vectors.
     """
-    depth = _levels(n, p)
-    sample = nodes.orderBy(F.xxhash64("node", F.lit(1)), "node").limit(max(p.sample, 32 << depth)).select("v").collect()
-    drawn = np.stack([np.frombuffer(bytes(r["v"]), "<f2") for r in sample])
-    trees = _forest(drawn.astype(np.float32), depth, p)
-    leaves = 2**depth
+    levels = _levels(n, p)
+    depth = min(levels, p.sent)
+    sample = nodes.orderBy(F.xxhash64("node", F.lit(1)), "node").limit(_sampled(depth, p)).select("v").collect()
+    drawn = [bytes(r["v"]) for r in sample]
+    rng = np.random.default_rng(1)
+    trees = [_tree(unpacked(drawn), depth, k, rng) for k in range(p.trees if depth else 1)]
     shared = nodes.sparkSession.sparkContext.broadcast((drawn, trees))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, trees = shared.value
+        rows, trees = unpacked(shared.value[0]), shared.value[1]
         for b in small_batches(batches, 4096):
             if not b.num_rows:
                 continue
             x, node = _vectors(b.column("v")), b.column("node").to_numpy()
-            for k, (ab, t) in enumerate(trees):
-                at, coin = np.ones(len(x), np.int64), _coins(node, k)
-                for level in range(depth):
-                    one, two = rows[ab[at, 0]].astype(np.float32), rows[ab[at, 1]].astype(np.float32)
-                    at = 2 * at + _side(x, one, two, t[at], coin >> np.uint64(level) & np.uint64(1))
-                yield pa.RecordBatch.from_arrays([pa.array(k * 2 * leaves + at), b.column("node"), b.column("v")],
+            for k, tree in enumerate(trees):
+                at = (k << depth) + _descended(x, node, rows, tree, depth, k)
+                yield pa.RecordBatch.from_arrays([pa.array(at), b.column("node"), b.column("v")],
                                                  names=["leaf", "node", "v"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,8 +294,11 @@ def start_graph(nodes: DataFrame, n: int, p: Parameters) -> DataFrame:
                         got = np.take_along_axis(sims, near, 1)
                         yield _graph_batch([(int(node[s + r]), node[s + rows[i]], g) for r, i, g in zip(rows, near, got)])
 
-    dealt = (nodes.select("node", "v").mapInArrow(deal, "leaf long, node long, v binary")
-             .repartition("leaf").sortWithinPartitions("leaf", "node"))
+    dealt = nodes.select("node", "v").mapInArrow(deal, "leaf long, node long, v binary")
+    while depth < levels:
+        more = min(levels - depth, p.sent)
+        dealt, depth = dealt_on(dealt, more, p), depth + more
+    dealt = dealt.repartition("leaf").sortWithinPartitions("leaf", "node")
     return merge(dealt.mapInArrow(compare, GRAPH), p.neighbours)
 
 
@@ -284,7 +367,7 @@ def entries(nodes: DataFrame, queries: DataFrame, p: Parameters, sample: int = 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         i, v = shared.value
-        y = np.stack([np.frombuffer(r, "<f2") for r in v]).astype(np.float32)
+        y = unpacked(v)
         for b in small_batches(batches, 512):
             if b.num_rows:
                 sims = _vectors(b.column("v")) @ y.T
@@ -336,13 +419,27 @@ def search(nodes: DataFrame, graph: DataFrame, queries: DataFrame, pools: DataFr
 
 
 def nearest(rows: DataFrame, k: int = 20, every: int = 20, p: Parameters = Parameters()) -> DataFrame:
-    """``query_id, rank, vec_id, score`` of the ``k`` nearest found of each row whose id ``every`` divides.
+    """``query_id, rank, vec_id, score, query_node``: the ``k`` nearest found of each row whose id ``every`` divides.
 
     A query is a node of the graph: its search starts from its own neighbours.  Scores are inner products of
     the original vectors in double precision; ties go to the smaller id.  Equal vectors are searched as one
-    and come back as the rows they are.  No usable vectors: no rows.  See :func:`usable` for what takes part.
+    and come back as the rows they are.  Different vectors of one id are rows of their own: each is found, each is
+    a query (``query_node`` tells them apart) and finds the others.  Vectors of one length meet, a graph for each
+    length.  No usable vectors: no rows.  See :func:`usable` for what takes part.
     """
     vectors = materialize_table(usable(rows), "ann-vectors")
+    sizes = [r["n"] for r in vectors.groupBy(F.size("embedding").alias("n")).count().where("count > 1").orderBy("n").collect()]
+    if not sizes:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double, query_node long")
+    found = [_nearest(vectors.where(F.size("embedding") == n), k, every, p) for n in sizes]
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def _nearest(vectors: DataFrame, k: int, every: int, p: Parameters) -> DataFrame:
+    """:func:`nearest` among vectors of one length."""
     nodes, members = nodes_of(vectors, k + 1)
     graph = build(nodes, p)
     asked = materialize_table(vectors.where(F.col("vec_id") % every == 0).join(nodes, "embedding")
@@ -357,11 +454,12 @@ def nearest(rows: DataFrame, k: int = 20, every: int = 20, p: Parameters = Param
              .join(nodes.select(F.col("node").alias("query"), F.col("embedding").alias("_a")), "query")
              .select("query", "node", F.aggregate(F.zip_with("_a", "_b", lambda a, b: a * b), F.lit(0.0), lambda s, x: s + x)
                      .alias("score")))
-    exact = exact.join(members, "node").select("query", "vec_id", "score")
-    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    exact = exact.join(members, "node")
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "node")
     # a query's own row is one of at most k + 1
     exact = exact.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= k + 1)
-    out = asked.join(exact, asked["node"] == exact["query"]).where("vec_id <> query_id")
-    rank = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    exact = exact.select("query", F.col("node").alias("_hit"), "vec_id", "score")
+    out = asked.join(exact, asked["node"] == exact["query"]).where("vec_id <> query_id or _hit <> node")
+    rank = Window.partitionBy("query_id", "node").orderBy(F.desc("score"), "vec_id", "_hit")
     return (out.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+            .select("query_id", "rank", "vec_id", "score", F.col("node").alias("query_node")))

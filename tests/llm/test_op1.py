@@ -71,7 +71,7 @@ def test_search_of_vectors_outside_the_graph(spark):
     graph = ann.build(nodes, p)
     scale = np.abs(x).max()
     q = rng.normal(size=(20, 8))
-    queries = spark.createDataFrame([(i, bytearray((v / scale).astype("<f2").tobytes())) for i, v in enumerate(q)], "query long, v binary")
+    queries = spark.createDataFrame([(i, bytearray(ann.packed((v / scale)[None])[0])) for i, v in enumerate(q)], "query long, v binary")
     found = ann.search(nodes, graph, queries, ann.entries(nodes, queries, p, sample=100), p)
     got = {r["query"]: set(r["ids"][:5]) for r in found.collect()}
     want = {i: set(np.argsort(-(x @ v))[:5].tolist()) for i, v in enumerate(q)}
@@ -139,10 +139,51 @@ def test_descent_and_search_go_on_until_done(spark):
 
     # vectors along an arc, each linked to the next two: the search must walk from one end to the other
     v = [np.array([math.cos(i / 10), math.sin(i / 10)]) for i in range(16)]
-    half = lambda a: bytearray(a.astype("<f2").tobytes())
+    half = lambda a: bytearray(ann.packed(a[None])[0])
     arc = spark.createDataFrame([(i, half(a)) for i, a in enumerate(v)], "node long, v binary")
     links = spark.createDataFrame([(i, [j for j in (i - 2, i - 1, i + 1, i + 2) if 0 <= j < 16], [0.0]) for i in range(16)], ann.GRAPH)
     query = spark.createDataFrame([(7, half(v[15]))], "query long, v binary")
     pool = spark.createDataFrame([(7, [0], [0.0])], "query long, ids array<long>, sims array<float>")
     found = ann.search(arc, links, query, pool, ann.Parameters(neighbours=3, expand=3)).first()
     assert found["ids"] == [15, 14, 13]
+
+
+def test_several_vectors_of_an_id_and_several_lengths(spark):
+    """Every different vector is found and asks by itself; a vector meets those of its own length."""
+    rows = [(1, [1.0, 0.1]), (1, [5.0, 0.0]), (20, [1.0, 0.0]), (20, [0.0, 2.0]), (20, [1.0, 0.0]), (2, [0.0, 2.0]),
+            (3, [5.0, 0.0]), (1, [0.5, 0.5]), (40, [1.0, 1.0, 1.0]), (7, [2.0, 0.0, 1.0]), (8, [1.0, 2.0, 3.0, 4.0]), (60, [9.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for k in (2, 20):
+        want = []
+        alike = sorted({(i, tuple(v)) for i, v in rows})
+        for q, a in alike:
+            if q % 20 == 0:
+                hits = sorted((-sum(x * y for x, y in zip(a, b)), i, b) for i, b in alike if len(b) == len(a) and (i, b) != (q, a))
+                want += [(q, r + 1, i, -s) for r, (s, i, _) in enumerate(hits[:k])]
+        got = ann.nearest(df, k=k).collect()
+        assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == sorted(want)
+        assert len({r["query_node"] for r in got if r["query_id"] == 20}) == 2
+
+
+def test_one_component_far_above_all_others(spark):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(300, 8))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(1000, [1e9] + [0.0] * 7)]
+    got = lists(ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=100))
+    want = brute({i: np.array(v) for i, v in rows}, 20, 100)
+    assert {q: [i for i, _ in h] for q, h in got.items()} == {q: [i for i, _ in h] for q, h in want.items()}
+
+
+def test_samples_stay_bounded_and_leaves_are_dealt_whole(spark):
+    p = ann.Parameters()
+    assert max(ann._sampled(min(ann._levels(n, p), p.sent), p) for n in (1, 10**6, 10**10, 10**12)) == 1 << 15
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(2000, 6)).astype("f4")
+    x[1500:] = x[1500]  # nothing tells these apart but their coins
+    rows = [(int(i >= 700), i, bytearray(ann.packed(v[None])[0])) for i, v in enumerate(x)]
+    leaves = spark.createDataFrame(rows, "leaf long, node long, v binary")
+    got = ann.dealt_on(leaves, 3, ann.Parameters(sample=100)).collect()
+    assert sorted(r["node"] for r in got) == list(range(2000))
+    assert all(r["leaf"] >> 3 == int(r["node"] >= 700) for r in got)
+    sizes = np.bincount([r["leaf"] for r in got], minlength=16)
+    assert len(sizes) == 16 and sizes[:8].max() < 3 * 700 / 8 and sizes.max() < 500
