@@ -65,6 +65,15 @@ def read_features_csv(spark: SparkSession, path: str, schema: str, names: list[s
     return gather_features(df, names, features)
 
 
+def write_tiled(df: DataFrame, path: str, keys: list[str], id_col: str, mode: str = "overwrite") -> None:
+    """Pixel table → parquet in folders of ``keys``.
+
+    Rows are dealt by ranges of the keys first, so a folder comes from one task and not from each: about as many
+    files as folders and tasks together.  ``id_col`` cuts a folder with very many rows into several ranges.
+    """
+    df.repartitionByRange(*keys, F.xxhash64(id_col)).write.mode(mode).partitionBy(*keys).parquet(path)
+
+
 def read_pixels(spark: SparkSession, path: str, year: int | None = None,
                 tile_keys: list[str] | None = None) -> DataFrame:
     """Embedding pixel source partitioned by ``year``/``tile_key`` (S7): equality filters prune folders."""
