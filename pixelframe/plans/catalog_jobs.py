@@ -444,7 +444,7 @@ def pixel_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     pts = fx.events_points(spark, sf_dir)
     tile = F.concat_ws("_", F.floor(F.col("x") / 50).cast("string"), F.floor(F.col("y") / 100).cast("string"))
     path = scratch_path(spark, "pixels")
-    pts.withColumn("year", F.year("t")).withColumn("tile_key", tile).write.partitionBy("year", "tile_key").parquet(path)
+    tables.write_tiled(pts.withColumn("year", F.year("t")).withColumn("tile_key", tile), path, ["year", "tile_key"], "event_id")
     keys = [f"{i}_{j}" for i in range(int(30 // 50), int(90 // 50) + 1) for j in range(int(100 // 100), int(200 // 100) + 1)]
     px = tables.read_pixels(spark, path, year=2024, tile_keys=keys)
     px = cube.between_times(px, "t", "2024-01-05 00:00:00", "2024-01-20 00:00:00")
