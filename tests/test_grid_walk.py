@@ -84,3 +84,18 @@ def test_work_follows_perimeter_and_output(spark):
 
 def test_empty_table(spark):
     assert grid.walked_cells(polygons(spark, SHAPES).limit(0), 10.0, 10.0).count() == 0
+
+
+def test_ordinary_regions_are_tested_where_they_stand(spark, monkeypatch):
+    """Many small regions send no cell and no edge through a shuffle, only themselves; a large one among them walks."""
+    shapes = [(i, 0, [star(i * 37.5, -i * 11.25, 5 + i % 9, 40, i)]) for i in range(300)] + [(1000, 0, [star(0, 0, 90, 900, 7)])]
+    reg = polygons(spark, shapes)
+    monkeypatch.setattr(grid, "SPREAD_WORK_LIMIT", 10 ** 12)
+    want = cells(grid.grid_cells(reg, 16.0, 3.0))
+    monkeypatch.setattr(grid, "SPREAD_WORK_LIMIT", 20_000)
+    assert cells(grid.grid_cells(reg, 16.0, 3.0)) == want
+    monkeypatch.setattr(grid, "PASS_TESTS", 50)
+    small = reg.where("region_id < 1000")
+    plan = grid.grid_cells(small, 16.0, 3.0)
+    assert plan._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert cells(plan) == [c for c in want if c[1] < 1000]
