@@ -26,6 +26,10 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir, materialize
 from .learn import squared_distance
 
+#: Points of a block.  A point is sent once for each block that neighbours its own, so what is shuffled falls with it;
+#: a task holds one truth value for each pair of points of two blocks.
+BLOCK_ROWS = 8192
+
 
 def principal_directions(df: DataFrame, features: str, n_dirs: int) -> list[list[float]]:
     """Leading principal directions of the features (MLlib PCA: one distributed covariance aggregate)."""
@@ -115,7 +119,7 @@ def _blocks(df: DataFrame, id_col: str, features: str, eps: float, n_dirs: int,
         "_l", *[(F.col(c) + F.col("_off")[j]).alias(c) for j, c in enumerate(ckeys)])
     pairs = (near.join(blocks, ckeys).select("_l", home.alias("_r")).where(F.col("_l") <= F.col("_r"))
              .withColumn("_same", F.col("_l") == F.col("_r")))
-    pairs = materialize(pairs.withColumn("_k", F.to_json(F.struct("_l", "_r"))))
+    pairs = materialize(pairs.withColumn("_k", F.monotonically_increasing_id()))  # written once, so fixed
     return pts.select("_id", "_v", home.alias("_h")), pairs
 
 
@@ -128,7 +132,7 @@ def _per_block_pair(rows: DataFrame, pairs: DataFrame, fn, schema: str) -> DataF
 
 
 def neighbour_pairs(df: DataFrame, id_col: str, features: str, eps: float, n_dirs: int = 2,
-                    dirs: list[list[float]] | None = None, block_rows: int = 2048) -> DataFrame:
+                    dirs: list[list[float]] | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """All ordered pairs (a, b), a ≠ b, with ‖a − b‖ ≤ ε — exact, nothing capped.
 
     For those who want the pairs themselves; their number grows with the square of a dense group, so the
@@ -138,27 +142,31 @@ def neighbour_pairs(df: DataFrame, id_col: str, features: str, eps: float, n_dir
     return _per_block_pair(rows, pairs, _block_pairs_fn(float(eps) * float(eps)), "a long, b long")
 
 
-def _within(lv: np.ndarray, rv: np.ndarray, eps2: float, chunk: int = 1 << 16) -> np.ndarray:
-    """Which pairs of the two sides lie within ε.
+def _within(lv: np.ndarray, rv: np.ndarray, eps2: float, chunk: int = 1 << 16, cells: int = 1 << 22) -> np.ndarray:
+    """Which pairs of the two sides lie within ε; distances are held for about ``cells`` pairs at a time.
 
     ``|a|² + |b|² − 2ab`` settles all pairs but those so near to ε that its rounding could matter; these, some at a
     time, are settled by their differences, as are all pairs where it leaves the range of numbers.
     """
     l2, r2 = (lv ** 2).sum(1), (rv ** 2).sum(1)
-    with np.errstate(all="ignore"):
-        d = lv @ rv.T
-        d *= -2
-        d += l2[:, None]
-        d += r2[None, :]
-        hit = d <= eps2
-        unsure = np.abs(d - eps2) <= 1e-9 * (l2.max(initial=0) + r2.max(initial=0) + eps2)
-    if not np.isfinite(d).all():
-        unsure |= ~np.isfinite(d)
-    i, j = np.nonzero(unsure)
-    for s in range(0, len(i), chunk):
-        diff = lv[i[s:s + chunk]] - rv[j[s:s + chunk]]
-        hit[i[s:s + chunk], j[s:s + chunk]] = np.einsum("ij,ij->i", diff, diff) <= eps2
-    return hit
+    out = np.empty((len(lv), len(rv)), bool)
+    step = max(1, cells // max(1, len(rv)))
+    for at in range(0, len(lv), step):
+        a, hit = lv[at:at + step], out[at:at + step]
+        with np.errstate(all="ignore"):
+            d = a @ rv.T
+            d *= -2
+            d += l2[at:at + step, None]
+            d += r2[None, :]
+            np.less_equal(d, eps2, out=hit)
+            unsure = np.abs(d - eps2) <= 1e-9 * (l2.max(initial=0) + r2.max(initial=0) + eps2)
+        if not np.isfinite(d).all():
+            unsure |= ~np.isfinite(d)
+        i, j = np.nonzero(unsure)
+        for s in range(0, len(i), chunk):
+            diff = a[i[s:s + chunk]] - rv[j[s:s + chunk]]
+            hit[i[s:s + chunk], j[s:s + chunk]] = np.einsum("ij,ij->i", diff, diff) <= eps2
+    return out
 
 
 def _matrix(vectors: pd.Series) -> np.ndarray:
@@ -229,7 +237,7 @@ def _core_flags(rows: DataFrame, pairs: DataFrame, eps: float, min_samples: int)
 
 
 def core_points(df: DataFrame, id_col: str, features: str, eps: float, min_samples: int, n_dirs: int = 2,
-                dirs: list[list[float]] | None = None, block_rows: int = 2048) -> DataFrame:
+                dirs: list[list[float]] | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``(id, n_neighbors, is_core)``; the count includes the point itself.  Ids are unique."""
     rows, pairs = _blocks(df, id_col, features, eps, n_dirs, dirs, block_rows)
     return _core_flags(rows, pairs, eps, min_samples)
@@ -262,7 +270,7 @@ def connected_components(edges: DataFrame, vertices: DataFrame) -> DataFrame:
 
 
 def dbscan(df: DataFrame, id_col: str, features: str, eps: float = 0.5, min_samples: int = 10,
-           n_dirs: int = 2, block_rows: int = 2048) -> DataFrame:
+           n_dirs: int = 2, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``(id, n_neighbors, is_core, cluster)``: cluster −1 = noise.  Ids are unique.
 
     What is written is linear in the points: block members, one count per point, and the forests' edges and
