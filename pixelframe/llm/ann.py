@@ -14,7 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import complete_runs, discard, materialize_table, small_batches
+from ..session import scratch_path
+from .common import collect_garbage, complete_runs, discard, materialize_table, small_batches
 
 GRAPH = "node long, ids array<long>, sims array<float>"
 _GRAPH = pa.schema([("node", pa.int64()), ("ids", pa.list_(pa.int64())), ("sims", pa.list_(pa.float32()))])
@@ -240,20 +241,30 @@ def _halved(x: np.ndarray, most: float, rng: np.random.Generator) -> Iterator[np
 
 
 def merge(proposals: DataFrame, keep: int) -> DataFrame:
-    """The ``keep`` nearest different neighbours of each node over all its rows ``node, ids, sims``."""
+    """The ``keep`` nearest different neighbours of each node over all its rows ``node, ids, sims``.
+
+    Where rows say whether they are ``old``, ``fresh`` counts those kept that no old row has.
+    """
+    told = "old" in proposals.columns
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in complete_runs(batches, "node"):
             ids, sims = _lists(b.column("ids")), _lists(b.column("sims"))
-            node = b.column("node").to_numpy()
-            out = []
+            node, old = b.column("node").to_numpy(), b.column("old").to_pylist() if told else []
+            out, fresh = [], []
             for s, e in _runs(node):
                 i, first = np.unique(np.concatenate(ids[s:e]), return_index=True)
                 x = np.concatenate(sims[s:e])[first]
                 order = np.lexsort((i, -x))[:keep]
                 out.append((int(node[s]), i[order], x[order]))
-            yield _graph_batch(out)
+                if told:
+                    had = np.concatenate([np.zeros(0, np.int64), *(ids[k] for k in range(s, e) if old[k])])
+                    fresh.append(int((~np.isin(i[order], had)).sum()))
+            g = _graph_batch(out)
+            yield pa.RecordBatch.from_arrays([*g.columns, pa.array(fresh, pa.int32())], names=[*g.schema.names, "fresh"]) if told else g
 
-    return proposals.repartition("node").sortWithinPartitions("node").mapInArrow(run, GRAPH)
+    rows = proposals.repartition("node").sortWithinPartitions("node")
+    return rows.mapInArrow(run, GRAPH + ", fresh int" if told else GRAPH)
 
 
 def start_graph(nodes: DataFrame, n: int, p: Parameters) -> DataFrame:
@@ -303,7 +314,7 @@ def start_graph(nodes: DataFrame, n: int, p: Parameters) -> DataFrame:
 
 
 def descend(nodes: DataFrame, graph: DataFrame, round_: int, p: Parameters) -> DataFrame:
-    """One round: the neighbours of each node, and those it is a neighbour of, meet at the node.
+    """One round, the graph with ``fresh``: the neighbours of each node, and those it is a neighbour of, meet at the node.
 
     Of the latter the method takes a sample, drawn anew each round by a hash, so a node that is near to very
     many gathers no more rows than others.  A vector travels with the similarity of its last neighbour;
@@ -335,7 +346,8 @@ def descend(nodes: DataFrame, graph: DataFrame, round_: int, p: Parameters) -> D
             yield _graph_batch(out)
 
     met = edges.join(payload, "member").repartition("pivot").sortWithinPartitions("pivot")
-    return merge(met.mapInArrow(join, GRAPH).unionByName(graph), p.neighbours)
+    found = met.mapInArrow(join, GRAPH).withColumn("old", F.lit(False))
+    return merge(found.unionByName(graph.withColumn("old", F.lit(True))), p.neighbours)
 
 
 def build(nodes: DataFrame, p: Parameters = Parameters()) -> DataFrame:
@@ -348,11 +360,10 @@ def build(nodes: DataFrame, p: Parameters = Parameters()) -> DataFrame:
     r = 0
     while p.rounds is None or r < p.rounds:
         new = materialize_table(descend(nodes, graph, r, p), "ann-graph")
-        old = graph.select("node", F.col("ids").alias("_old"))
-        fresh = F.size(F.array_except("ids", F.coalesce("_old", F.slice("ids", 1, 0))))
-        share = new.join(old, "node", "left").agg(F.sum(fresh) / F.sum(F.size("ids"))).first()[0] or 0
+        share = new.agg(F.sum("fresh") / F.sum(F.size("ids"))).first()[0] or 0
         discard(graph)
-        graph, r = new, r + 1
+        graph, r = new.drop("fresh"), r + 1
+        collect_garbage(nodes.sparkSession)
         if share <= p.delta:
             break
     return graph
@@ -385,8 +396,10 @@ def search(nodes: DataFrame, graph: DataFrame, queries: DataFrame, pools: DataFr
     pool can change, or after ``steps``.  ``queries (query, v)``, ``pools (query, ids, sims)``.
     """
     state = pools.select("query", "ids", "sims", F.slice("ids", 1, 0).alias("done"))
-    seen = pools.select("query", F.explode("ids").alias("node"))
-    step = 0
+    spark, step = nodes.sparkSession, 0
+    # the pairs of each step in a folder of one table: the plan of a step does not grow with the steps before it
+    folder, met = scratch_path(spark, "ann-pairs"), "query long, node long"
+    pools.select("query", F.explode("ids").alias("node")).write.parquet(f"{folder}/step=0")
     while p.steps is None or step < p.steps:
         step += 1
         todo = F.slice(F.array_except("ids", "done"), 1, p.expand)
@@ -396,8 +409,9 @@ def search(nodes: DataFrame, graph: DataFrame, queries: DataFrame, pools: DataFr
             break
         around = (going.select("query", F.explode("todo").alias("node")).join(graph.select("node", "ids"), "node")
                   .select("query", F.explode("ids").alias("node")).distinct())
-        pairs = materialize_table(around.join(seen, ["query", "node"], "left_anti"), "ann-pairs")
-        seen = seen.unionByName(pairs)
+        seen = spark.read.schema(f"{met}, step int").parquet(folder).select("query", "node")
+        around.join(seen, ["query", "node"], "left_anti").write.parquet(f"{folder}/step={step}")
+        pairs = spark.read.schema(met).parquet(f"{folder}/step={step}")
         fresh = pairs.join(nodes.select("node", "v"), "node")
         asked = queries.join(going.select("query"), "query", "left_semi")
         # a query's own vector comes first in its run
@@ -415,6 +429,7 @@ def search(nodes: DataFrame, graph: DataFrame, queries: DataFrame, pools: DataFr
         new = merge(found, p.neighbours).withColumnRenamed("node", "query")
         state = (new.join(going.select("query", F.array_union("done", "todo").alias("done")), "query")
                  .unionByName(ended.drop("todo")))
+        collect_garbage(spark)
     return state.select("query", "ids", "sims")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import re
 from collections.abc import Iterator
 
@@ -62,6 +63,16 @@ def discard(df: DataFrame) -> None:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def collect_garbage(spark: SparkSession) -> None:
+    """Between the rounds of a loop: let the driver drop the plans of rounds that are over.
+
+    Spark removes the shuffles and broadcasts of a plan once the driver's collector has found it dead, which else
+    waits until the heap is full (``spark.cleaner.periodicGC.interval`` is half an hour).
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def release() -> None:
     """Give freed memory back to the system, where the C library can: Python workers outlive their tasks."""
     pa.default_memory_pool().release_unused()

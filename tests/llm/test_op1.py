@@ -187,3 +187,25 @@ def test_samples_stay_bounded_and_leaves_are_dealt_whole(spark):
     assert all(r["leaf"] >> 3 == int(r["node"] >= 700) for r in got)
     sizes = np.bincount([r["leaf"] for r in got], minlength=16)
     assert len(sizes) == 16 and sizes[:8].max() < 3 * 700 / 8 and sizes.max() < 500
+
+
+def test_a_round_counts_what_is_new_and_steps_have_one_plan(spark, monkeypatch):
+    """The share of new neighbours comes with the merge; a step's plan does not hold those of the steps before it."""
+    rows = [(1, [1, 2], [0.9, 0.8], True), (1, [3, 1], [0.85, 0.9], False), (2, [5], [0.5], False), (3, [4], [0.1], True)]
+    got = ann.merge(spark.createDataFrame(rows, ann.GRAPH + ", old boolean"), 2).orderBy("node").collect()
+    assert [(r["node"], r["ids"], r["fresh"]) for r in got] == [(1, [1, 3], 1), (2, [5], 1), (3, [4], 0)]
+    scans = []
+    monkeypatch.setattr(ann, "collect_garbage", lambda s: None)
+    real = ann.merge
+
+    def spied(df, keep):
+        scans.append(df._jdf.queryExecution().optimizedPlan().toString().count("Relation ["))
+        return real(df, keep)
+
+    monkeypatch.setattr(ann, "merge", spied)
+    rng = np.random.default_rng(5)
+    data = spark.createDataFrame([(i, rng.normal(size=8).tolist()) for i in range(400)], "vec_id long, embedding array<double>")
+    p = ann.Parameters(neighbours=4, joined=4, expand=1, trees=1, leaf_rows=16, sample=64, rounds=1)
+    ann.nearest(data, 3, 100, p).collect()
+    steps = scans[2:]
+    assert len(steps) > 3 and len(set(steps)) == 1
