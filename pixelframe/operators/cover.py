@@ -9,6 +9,9 @@ A border cell carries what the even-odd ray to the right needs and no more: the
 all edges beyond its right side the heights (``_flips``) at which the parity of those crossed changes, with the
 parity at its lower side (``_odd``).  Heights where one edge beyond takes over from another cancel, so there are
 about as many as edges near the cell.  The answers are those of the ray against the whole polygon.
+
+A plain region, of few edges and cells, needs no descent: its smallest cells meet its edges, many regions in one numpy
+pass, and carry the few edges their points need in columns of their own (:func:`plain_cells`), so the test is compiled.
 """
 
 from __future__ import annotations
@@ -29,6 +32,11 @@ from ..functions.geo import point_in_polygon
 SPREAD_EDGES = 4096
 #: Rows and edges of a batch that leaves a task.
 BATCH_ROWS, BATCH_EDGES = 4096, 200_000
+#: A plain region has at most so many edges, cells of the smallest size, and edges at one height.
+PLAIN_EDGES, PLAIN_CELLS, PLAIN_SLOTS = 32, 256, 4
+PLAIN_EDGE_COLS = tuple(f"_{k}{i}" for i in range(PLAIN_SLOTS) for k in ("ax", "ay", "dx", "dy"))
+#: Cell–edge pairs of one numpy pass over plain regions, unless a single region has more.
+PASS_TESTS = 100_000
 BOUNDS = ("minx", "miny", "maxx", "maxy")
 _EDGE = ("x1", "y1", "x2", "y2")
 
@@ -158,6 +166,103 @@ def cover(regions: DataFrame, bin_size: float, region_cols: list[str], tile_size
     return ends.withColumn("_full", (F.size("_edges") == 0) & (F.size("_flips") == 0))
 
 
+def is_plain(bin_size: float) -> Column:
+    """Whether a region is plain: few edges, few cells, and at no height more than PLAIN_SLOTS edges side by side."""
+    b = F.lit(float(bin_size))
+    nx, ny = (F.floor(F.col(f"max{k}") / b).cast("double") - F.floor(F.col(f"min{k}") / b) + 1 for k in "xy")
+    few = F.size("edges").between(1, PLAIN_EDGES) & (nx * ny <= PLAIN_CELLS) & ~F.isnan("maxx") & ~F.isnan("maxy")
+
+    def beside(v: Column) -> Column:
+        """The edges at the height where ``v`` begins; nowhere else do they grow in number."""
+        h = F.least(v["y1"], v["y2"])
+        return F.filter("edges", lambda e: (e["y1"] > h) != (e["y2"] > h))
+
+    slots = F.forall("edges", lambda v: F.size(beside(v)) <= PLAIN_SLOTS)
+    return F.coalesce(F.when(few, slots), F.lit(False))
+
+
+def _ranges(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which range, and which of its whole numbers, for all of ``low..high`` of each."""
+    n = np.maximum(high - low + 1, 0)
+    which = np.repeat(np.arange(len(n)), n)
+    return which, low[which] + np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
+
+
+def plain_cells(regions: DataFrame, bin_size: float, region_cols: list[str]) -> DataFrame:
+    """``region_cols, minx, maxx, _cx, _cy, _low, _high, _odd, _ax1, _ay1, _dx1, _dy1, …``: plain regions by cells and strips.
+
+    The ends of a region's edges cut it into strips ``_low <= y < _high``, in each of which the same edges cross every ray.
+    A strip's part of a cell of the smallest size carries the edges near it (start and direction, noughts for none) and
+    whether the number of those beyond its right side is odd.  Parts outside the region are left out.  A point lies in one
+    part of a region at most.  Regions are dealt over the tasks; each meets its own edges only, many in one numpy pass.
+    """
+    size = float(bin_size)
+    keep = list(dict.fromkeys([*region_cols, "minx", "maxx"]))
+    made = ["_cx", "_cy", "_low", "_high", "_odd", *PLAIN_EDGE_COLS]
+    types = [LongType(), LongType(), DoubleType(), DoubleType(), BooleanType(), *[DoubleType()] * len(PLAIN_EDGE_COLS)]
+    schema = StructType([*regions.select(*keep).schema.fields, *(StructField(c, t, False) for c, t in zip(made, types))])
+
+    def cells(b: pa.RecordBatch) -> pa.RecordBatch:
+        xy, off = _edges_of(b.column("edges"))
+        low_x, low_y, high_x, high_y = box = np.stack([b.column(k).to_numpy(zero_copy_only=False) for k in BOUNDS])
+        margin = size * 1e-6 + 1e-12 * np.abs(box).max(0)
+        ends = np.unique(np.stack([np.repeat(np.repeat(np.arange(b.num_rows), np.diff(off)), 2), xy[:, [1, 3]].ravel()], 1), axis=0)
+        ends = ends[np.isfinite(ends[:, 1])]
+        strip = np.flatnonzero(ends[1:, 0] == ends[:-1, 0])
+        region, low, high = ends[strip, 0].astype(np.int64), ends[strip, 1], ends[strip + 1, 1]
+        # the edges of each strip
+        of, edge = _ranges(off[region], off[region + 1] - 1)
+        there = (np.minimum(xy[edge, 1], xy[edge, 3]) <= low[of]) & (np.maximum(xy[edge, 1], xy[edge, 3]) > low[of])
+        of, edge = of[there], edge[there]
+        first = np.searchsorted(of, np.arange(len(strip) + 1))
+        # its parts by rows and columns of cells
+        of, cy = _ranges(*(np.floor(v / size).astype(np.int64) for v in (low, high)))
+        row, cx = _ranges(*(np.floor(v[region[of]] / size).astype(np.int64) for v in (low_x, high_x)))
+        of, cy = of[row], cy[row]
+        m = margin[region[of]]
+        part, at = _ranges(first[of], first[of + 1] - 1)
+        ax, ay, bx, by = xy[edge[at]].T
+        dx, dy = bx - ax, by - ay
+        left, right, bottom, top = (v[part] for v in (cx * size - m, (cx + 1) * size + m, np.maximum(low[of], cy * size - m),
+                                                      np.minimum(high[of], (cy + 1) * size + m)))
+        # above nought where the edge crosses the ray to the right from a corner
+        side = [(dx * (v - ay) - (u - ax) * dy) * np.sign(dy) for u, v in ((left, bottom), (right, bottom), (right, top), (left, top))]
+        beyond, near = np.minimum.reduce(side) > 0, np.maximum.reduce(side) >= 0
+        near &= ~beyond
+        odd = np.bincount(part, beyond, len(cx)).astype(np.int64) % 2 == 1
+        n = np.bincount(part, near, len(cx)).astype(np.int64)
+        out = odd | (n > 0)
+        slots = np.zeros((len(cx), PLAIN_SLOTS, 4))
+        p = part[near]
+        slots[p, np.arange(len(p)) - (np.cumsum(n) - n)[p]] = np.stack([ax, ay, dx, dy], 1)[near]
+        take = pa.array(region[of[out]])
+        values = [cx, cy, low[of], high[of], odd, *slots.reshape(len(cx), len(PLAIN_EDGE_COLS)).T]
+        return pa.RecordBatch.from_arrays([*(b.column(c).take(take) for c in keep), *(pa.array(v[out]) for v in values)],
+                                          names=schema.fieldNames())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            low_x, low_y, high_x, high_y = (np.floor(b.column(k).to_numpy(zero_copy_only=False) / size) for k in BOUNDS)
+            work = np.cumsum((high_x - low_x + 1) * (high_y - low_y + 1) * b.column("edges").value_lengths().to_numpy())
+            start = 0
+            while start < b.num_rows:
+                end = max(start + 1, int(np.searchsorted(work, (work[start - 1] if start else 0) + PASS_TESTS, "right")))
+                yield cells(b.slice(start, end - start))
+                start = end
+
+    some = list(dict.fromkeys([*keep, *BOUNDS]))
+    return regions.select(*some, "edges").repartition(*some).mapInArrow(run, schema)
+
+
+def plain_inside(px: Column, py: Column) -> Column:
+    """Whether a point of its cell is inside, by the edges of :func:`plain_cells`: even-odd, without a lambda."""
+    odd = F.col("_odd")
+    for i in range(0, len(PLAIN_EDGE_COLS), 4):
+        ax, ay, dx, dy = (F.col(c) for c in PLAIN_EDGE_COLS[i:i + 4])
+        odd = odd != ((dx * (py - ay) - (px - ax) * dy) * dy > 0)
+    return (py >= F.col("_low")) & (py < F.col("_high")) & px.between(F.col("_minx"), F.col("_maxx")) & odd
+
+
 def inside(px: Column, py: Column) -> Column:
     """Whether a point of a cover's cell is inside the region."""
     flipped = F.size(F.filter("_flips", lambda f: f <= py)) % 2 == 1

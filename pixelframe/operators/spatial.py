@@ -213,11 +213,20 @@ def cover_join(points: DataFrame, regions: DataFrame, bin_size: float, x: str =
 
     The cover's rows follow the regions' perimeter.  A point meets it by an equality on the level and its cell
     there, once for each level that occurs: about log4 of the region's extent in bins.  Past the broadcast limit this is a
-    shuffle join whose hot cells AQE splits.  The cover is written once to the checkpoint folder.
+    shuffle join whose hot cells AQE splits.  The cover is written once to the checkpoint folder.  An inner join
+    meets plain regions (:func:`cover.is_plain`) by their smallest cells (:func:`plain_join`).
     """
     region_cols = list(region_cols or ["region_id"])
     if tiles is not None and not _whole_ratio(tiles[2], bin_size):
         raise ValueError("tile_size must be a whole multiple of bin_size")
+    if how == "inner":
+        plain = cover.is_plain(bin_size)
+        n = regions.agg(F.count_if(plain).alias("plain"), F.count_if(~plain).alias("rest")).first()
+        if n["plain"]:
+            met = plain_join(points, regions.where(plain), bin_size, x, y, region_cols, broadcast, tiles)
+            if not n["rest"]:
+                return met
+            return met.unionByName(cover_join(points, regions.where(~plain), bin_size, x, y, how, region_cols, broadcast, tiles))
     cells = materialize(cover.cover(regions, bin_size, region_cols, tiles[2] if tiles else None))
     levels = cover.levels_of(cells)
     if not levels:
@@ -233,12 +242,8 @@ def cover_join(points: DataFrame, regions: DataFrame, bin_size: float, x: str =
     rs = cells.withColumnsRenamed({c: "_" + c for c in cover.BOUNDS}).where("_minx <= _maxx")
     rs = rs.select(*inner, "_minx", "_miny", "_maxx", "_maxy", "_lv", "_cx", "_cy", "_full", "_edges", "_flips", "_odd")
     if tiles is not None:
-        tx, ty, tsize = tiles
-        ratio = int(round(float(tsize) / float(bin_size)))
-        # keys typed like the partition columns, so the join compares the bare column (needed for pruning)
-        for c, key, cell in (("_rtx", tx, "_cx"), ("_rty", ty, "_cy")):
-            low = F.call_function("shiftleft", F.col(cell), 2 * F.col("_lv"))
-            rs = rs.withColumn(c, F.floor(low / F.lit(ratio)).cast(points.schema[key].dataType))
+        low = [F.call_function("shiftleft", F.col(c), 2 * F.col("_lv")) for c in ("_cx", "_cy")]
+        rs = _tile_keys(points, rs, *low, bin_size, tiles)
     if broadcast or broadcast is None and _cover_fits(cells):
         rs = F.broadcast(rs)
     made = ["_bx", "_by", "_plv", "_px", "_py"]
@@ -261,6 +266,37 @@ def cover_join(points: DataFrame, regions: DataFrame, bin_size: float, x: str =
                                                   "_flips", "_odd", "_rtx", "_rty")
 
 
+def plain_join(points: DataFrame, regions: DataFrame, bin_size: float, x: str, y: str, region_cols: list[str],
+               broadcast: bool | None, tiles: tuple[str, str, float] | None = None) -> DataFrame:
+    """Inner :func:`spatial_join` with plain regions: a point meets the cells of its own bin only, by a compiled test.
+
+    Past the broadcast limit a sort-merge join, whatever the planner guesses of the cells' size; AQE splits its hot cells.
+    The cells are written to the checkpoint folder only where they must be counted for that (``broadcast=None``).
+    """
+    rs = cover.plain_cells(regions, bin_size, region_cols)
+    # a comparison on the region side: what Spark takes as selective for dynamic partition pruning
+    rs = rs.select(*region_cols, *(F.col(c).alias("_" + c) for c in ("minx", "maxx")), *rs.columns[rs.columns.index("_cx"):]).where("_minx <= _maxx")
+    if tiles is not None:
+        rs = _tile_keys(points, rs, F.col("_cx"), F.col("_cy"), bin_size, tiles)
+    if broadcast is None:
+        rs = materialize(rs)
+        n = rs.count()
+        broadcast = n <= DEFAULT_BROADCAST_ROW_LIMIT and n * 16 * len(rs.columns) <= DEFAULT_BROADCAST_BYTES
+    rs = F.broadcast(rs) if broadcast else rs.hint("merge")
+    pts = point_bins(points, bin_size, x, y)
+    key = (pts["_bx"] == rs["_cx"]) & (pts["_by"] == rs["_cy"])
+    if tiles is not None:
+        key = key & (pts[tiles[0]] == rs["_rtx"]) & (pts[tiles[1]] == rs["_rty"])
+    return pts.join(rs, key & cover.plain_inside(F.col(x), F.col(y)), "inner").select(*points.columns, *region_cols)
+
+
+def _tile_keys(points: DataFrame, rs: DataFrame, cx: Column, cy: Column, bin_size: float, tiles: tuple[str, str, float]) -> DataFrame:
+    """``_rtx, _rty`` of bins ``cx, cy``, typed like the partition columns: the join compares the bare column (needed for pruning)."""
+    ratio = int(round(float(tiles[2]) / float(bin_size)))
+    return rs.withColumns({c: F.floor(v / F.lit(ratio)).cast(points.schema[k].dataType)
+                           for c, k, v in (("_rtx", tiles[0], cx), ("_rty", tiles[1], cy))})
+
+
 def _whole_ratio(tile_size: float, bin_size: float) -> bool:
     ratio = float(tile_size) / float(bin_size)
     return ratio >= 1 and abs(ratio - round(ratio)) <= 1e-9

@@ -133,3 +133,48 @@ def test_nothing_to_join(spark):
     odd = spark.createDataFrame([(1, None, 1.0), (2, float("nan"), 2.0), (3, 5.0, None), (4, 5.0, 5.0)], "id long, x double, y double")
     assert [r["id"] for r in spatial.cover_join(odd, regions, 5.0).collect()] == [4]
     assert sorted(r["id"] for r in spatial.cover_join(odd, regions, 5.0, how="anti").collect()) == [1, 2, 3]
+
+
+def small_shapes(n=60):
+    """Kites and squares, some holed, darts, bow ties and triangles, some with level edges on cell borders; keys by pair."""
+    rng, out = random.Random(7), []
+    for k in range(n):
+        x, y, h = rng.randrange(-900, 1900, 50), rng.randrange(-700, 900, 50), rng.choice([40, 50, 100, 137.5])
+        ring = [[(x - h, y), (x, y - 0.6 * h), (x + h, y), (x, y + h)], [(x - h, y - h), (x, y + h), (x + h, y - h), (x, y - h / 5)],
+                [(x, y), (x, y + h), (x + h, y + h), (x + h, y)], [(x - h, y - h), (x + h, y + h), (x + h, y - h), (x - h, y + h)],
+                [(x - h, y), (x + h, y), (x, y)]][k % 5]
+        hole = [[(x - h / 4, y - h / 4), (x - h / 4, y + h / 4), (x + h / 4, y + h / 4), (x + h / 4, y - h / 4)]] if k % 2 and k % 5 in (0, 2) else []
+        out.append((k // 2, k % 2, [[*r, r[0]] for r in (ring, *hole)]))
+    return out
+
+
+@pytest.mark.parametrize("size", [23.0, 50.0, 400.0])
+def test_plain_regions_join_by_their_cells(spark, size, monkeypatch):
+    monkeypatch.setattr(cover, "PASS_TESTS", 200)
+    shapes, points = small_shapes(), sample(6000, 5)
+    regions = polygons(spark, [*shapes, *((1000 + i, p, r) for i, p, r in SHAPES)])
+    small = regions.where("region_id < 1000")
+    assert small.where(cover.is_plain(size)).count() == len(shapes)
+    want = brute(points, shapes)
+    for bc in (True, False, None):
+        got = spatial.cover_join(table(spark, points), small, size, region_cols=KEYS, broadcast=bc).collect()
+        assert len(got) == len(want) and {(r["id"], r["region_id"], r["part"]) for r in got} == want
+    # beside regions that take the descent
+    got = spatial.cover_join(table(spark, points), regions, size, region_cols=KEYS, broadcast=False).collect()
+    want = brute(points, [*shapes, *((1000 + i, p, r) for i, p, r in SHAPES)])
+    assert len(got) == len(want) and {(r["id"], r["region_id"], r["part"]) for r in got} == want
+
+
+def test_regions_of_many_edges_at_a_height_are_not_plain(spark):
+    comb = [(0, 0), *(p for i in range(5) for p in ((20 * i, 50), (20 * i + 10, 5))), (100, 50), (100, 0), (0, 0)]
+    level = polygons(spark, [(1, 0, [comb]), (2, 0, [[(0, 0), (50, 0), (20, 0), (0, 0)]])])
+    assert [r["region_id"] for r in level.where(cover.is_plain(10.0)).collect()] == [2]
+    assert cover.plain_cells(level.where("region_id = 2"), 10.0, KEYS).count() == 0
+
+
+def test_plain_join_is_compiled_and_merged(spark):
+    """No lambda in the join, and a sort-merge join even where the planner takes the cells for few."""
+    got = spatial.cover_join(table(spark, sample(500, 6)), polygons(spark, small_shapes()), 50.0, region_cols=KEYS, broadcast=False)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    join = plan[plan.index("SortMergeJoin"):].split("\n")[0]
+    assert "lambda" not in join and "Broadcast" not in plan
