@@ -287,7 +287,8 @@ def plain_join(points: DataFrame, regions: DataFrame, bin_size: float, x: str, y
     key = (pts["_bx"] == rs["_cx"]) & (pts["_by"] == rs["_cy"])
     if tiles is not None:
         key = key & (pts[tiles[0]] == rs["_rtx"]) & (pts[tiles[1]] == rs["_rty"])
-    return pts.join(rs, key & cover.plain_inside(F.col(x), F.col(y)), "inner").select(*points.columns, *region_cols)
+    made = [c for c in rs.columns if c not in region_cols]
+    return pts.join(rs, key & cover.plain_inside(F.col(x), F.col(y)), "inner").drop("_bx", "_by", *made)
 
 
 def _tile_keys(points: DataFrame, rs: DataFrame, cx: Column, cy: Column, bin_size: float, tiles: tuple[str, str, float]) -> DataFrame:
