@@ -7,16 +7,20 @@ vector, in both directions, with one another.  Nearness is the inner product.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
 from .common import collect_garbage, complete_runs, discard, materialize_table, small_batches
+from .graph_blocks import (BLOCK, MESSAGE, Proposals, asked, block_vectors, by_block, compared, merged, named, numbered,
+                           place_type, sent)
+from .graph_search import GROUP, scored, shelved
 
+#: Times ``neighbours`` that a query of :func:`nearest` keeps while it searches.
+WIDE = 8
 GRAPH = "node long, ids array<long>, sims array<float>"
 _GRAPH = pa.schema([("node", pa.int64()), ("ids", pa.list_(pa.int64())), ("sims", pa.list_(pa.float32()))])
 
@@ -32,6 +36,7 @@ class Parameters:
     rounds: int | None = None  # of the descent, at most
     expand: int = 12         # nodes that a query expands in a step of the search
     steps: int | None = None  # of the search, at most
+    pool: int | None = None  # nodes that a query keeps while it searches; as many as ``neighbours``
     sample: int = 8192       # vectors that the splits of some levels are drawn from; 32 for each of their leaves, if more
     sent: int = 10           # levels that are drawn from one sample; deeper ones from samples of each leaf
     held: int = 1 << 16      # vectors of a leaf that a task is to hold; larger leaves are dealt on
@@ -132,9 +137,9 @@ def _levels(n: int, p: Parameters) -> int:
     return min(level(p.leaf_rows), max(p.sent, level(p.held)))
 
 
-def _side(x: np.ndarray, a: np.ndarray, b: np.ndarray, t: np.ndarray, coin: np.ndarray) -> np.ndarray:
-    """Whether ``x·(a-b) > t``; a tie falls by ``coin``."""
-    s = np.einsum("nd,nd->n", x, a - b)
+def _side(x: np.ndarray, ab: np.ndarray, t: np.ndarray, coin: np.ndarray) -> np.ndarray:
+    """Whether ``x·ab > t``; a tie falls by ``coin``."""
+    s = np.einsum("nd,nd->n", x, ab)
     return (s > t) | ((s == t) & (coin != 0))
 
 
@@ -168,8 +173,9 @@ def _tree(sample: np.ndarray, depth: int, seed: int, rng: np.random.Generator) -
 def _descended(x: np.ndarray, node: np.ndarray, sample: np.ndarray, tree: tuple, depth: int, seed: int) -> np.ndarray:
     """The leaf of each vector, 0 to ``2**depth - 1``."""
     (ab, t), at, coin = tree, np.ones(len(x), np.int64), _coins(node, seed)
+    between = sample[ab[:, 0]] - sample[ab[:, 1]]
     for level in range(depth):
-        at = 2 * at + _side(x, sample[ab[at, 0]], sample[ab[at, 1]], t[at], coin >> np.uint64(level) & np.uint64(1))
+        at = 2 * at + _side(x, between[at], t[at], coin >> np.uint64(level) & np.uint64(1))
     return at - 2**depth
 
 
@@ -267,106 +273,133 @@ def merge(proposals: DataFrame, keep: int) -> DataFrame:
     return rows.mapInArrow(run, GRAPH + ", fresh int" if told else GRAPH)
 
 
-def start_graph(nodes: DataFrame, n: int, p: Parameters) -> DataFrame:
-    """Neighbours inside the leaves of the forest.
-
-    Every leaf goes whole to a task, which splits it on until its parts have about ``leaf_rows`` vectors.
-    """
-    levels = _levels(n, p)
-    depth = min(levels, p.sent)
+def grown(nodes: DataFrame, n: int, p: Parameters) -> tuple:
+    """A forest for ``n`` nodes: the depth of its trees, the sample that their splits are drawn from, and the trees."""
+    depth = min(_levels(n, p), p.sent)
     sample = nodes.orderBy(F.xxhash64("node", F.lit(1)), "node").limit(_sampled(depth, p)).select("v").collect()
     drawn = [bytes(r["v"]) for r in sample]
     rng = np.random.default_rng(1)
-    trees = [_tree(unpacked(drawn), depth, k, rng) for k in range(p.trees if depth else 1)]
-    shared = nodes.sparkSession.sparkContext.broadcast((drawn, trees))
+    return depth, drawn, [_tree(unpacked(drawn), depth, k, rng) for k in range(p.trees if depth else 1)]
+
+
+def in_blocks(nodes: DataFrame, depth: int, shared) -> DataFrame:
+    """The nodes in blocks, in the order of the first tree's leaves."""
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, tree = unpacked(shared.value[0]), shared.value[1][0]
+        for b in small_batches(batches, 4096):
+            if b.num_rows:
+                at = _descended(_vectors(b.column("v")), b.column("node").to_numpy(), rows, tree, depth, 0)
+                yield pa.RecordBatch.from_arrays([pa.array(at), b.column("node"), b.column("v")], names=["leaf", "node", "v"])
+
+    return numbered(nodes.select("node", "v").mapInArrow(first, "leaf long, node long, v binary"))
+
+
+def forest(blocks: DataFrame, n: int, depth: int, shared, p: Parameters) -> DataFrame:
+    """Neighbours inside the leaves of the forest, as proposals.
+
+    Every leaf goes whole to a task, which splits it on until its parts have about ``leaf_rows`` vectors.
+    """
+    levels, kind = _levels(n, p), place_type(n)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, trees = unpacked(shared.value[0]), shared.value[1]
-        for b in small_batches(batches, 4096):
-            if not b.num_rows:
-                continue
-            x, node = _vectors(b.column("v")), b.column("node").to_numpy()
+        for block, got in by_block(batches):
+            raw = np.frombuffer(got[0][0][2], np.uint8).reshape(len(got[0][0][1]) // 8, -1)
+            x, place = block_vectors(raw), block * BLOCK + np.arange(len(raw))
             for k, tree in enumerate(trees):
-                at = (k << depth) + _descended(x, node, rows, tree, depth, k)
-                yield pa.RecordBatch.from_arrays([pa.array(at), b.column("node"), b.column("v")],
+                at = (k << depth) + _descended(x, place, rows, tree, depth, k)
+                order = np.argsort(at, kind="stable")
+                yield sent([(int(at[order[i]]), 0, block, place[order[i:j]], raw[order[i:j]], None) for i, j in _runs(at[order])])
+
+    def single(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for leaf, got in by_block(batches):
+            for _, a, b, _ in got[0]:
+                place = np.frombuffer(a, np.int64)
+                v = [r.tobytes() for r in np.frombuffer(b, np.uint8).reshape(len(place), -1)]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(place), leaf)), pa.array(place), pa.array(v, pa.binary())],
                                                  names=["leaf", "node", "v"])
 
+    def many(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small_batches(batches, 4096):
+            leaf, place = b.column("leaf").to_numpy(), b.column("node").to_numpy()
+            v = np.array([np.frombuffer(x, np.uint8) for x in b.column("v").to_pylist()])
+            order = np.argsort(leaf, kind="stable")
+            yield sent([(int(leaf[order[i]]), 0, None, place[order[i:j]], v[order[i:j]], None) for i, j in _runs(leaf[order])])
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in complete_runs(batches, "leaf"):
-            node, leaf = b.column("node").to_numpy(), b.column("leaf").to_numpy()
-            for s, e in _runs(leaf):
-                x = _vectors(b.column("v").slice(s, e - s))
-                for rows in _halved(x, 1.5 * p.leaf_rows, np.random.default_rng(int(leaf[s]))):
+        found = Proposals(n, None)
+        for leaf, got in by_block(batches):
+            place = np.concatenate([np.frombuffer(r[1], np.int64) for r in got[0]])
+            raw = np.concatenate([np.frombuffer(r[2], np.uint8) for r in got[0]]).reshape(len(place), -1)
+            order = np.argsort(place)
+            x, place = block_vectors(raw[order]), place[order].astype(kind)
+            for rows in _halved(x, 1.5 * p.leaf_rows, np.random.default_rng(int(leaf))):
+                k = min(p.leaf_keep if len(rows) > p.neighbours + 1 else p.neighbours, len(rows) - 1)
+                if k > 0:
                     sims = x[rows] @ x[rows].T
                     np.fill_diagonal(sims, -np.inf)
-                    k = min(p.leaf_keep if len(rows) > p.neighbours + 1 else p.neighbours, len(rows) - 1)
-                    if k > 0:
-                        near = np.argpartition(-sims, k - 1, 1)[:, :k]
-                        got = np.take_along_axis(sims, near, 1)
-                        yield _graph_batch([(int(node[s + r]), node[s + rows[i]], g) for r, i, g in zip(rows, near, got)])
-
-    dealt = nodes.select("node", "v").mapInArrow(deal, "leaf long, node long, v binary")
-    while depth < levels:
-        more = min(levels - depth, p.sent)
-        dealt, depth = dealt_on(dealt, more, p), depth + more
-    dealt = dealt.repartition("leaf").sortWithinPartitions("leaf", "node")
-    return merge(dealt.mapInArrow(compare, GRAPH), p.neighbours)
-
-
-def descend(nodes: DataFrame, graph: DataFrame, round_: int, p: Parameters) -> DataFrame:
-    """One round, the graph with ``fresh``: the neighbours of each node, and those it is a neighbour of, meet at the node.
-
-    Of the latter the method takes a sample, drawn anew each round by a hash, so a node that is near to very
-    many gathers no more rows than others.  A vector travels with the similarity of its last neighbour;
-    only nearer ones are proposed.
-    """
-    forward = graph.select("node", F.explode(F.slice("ids", 1, p.joined)).alias("member"))
-    drawn = Window.partitionBy("pivot").orderBy("_h", "member")
-    backward = (graph.select(F.explode("ids").alias("pivot"), F.col("node").alias("member"))
-                .withColumn("_h", F.xxhash64("pivot", "member", F.lit(round_)))
-                .withColumn("_r", F.row_number().over(drawn)).where(F.col("_r") <= p.joined).select("pivot", "member"))
-    edges = (forward.withColumnRenamed("node", "pivot").unionByName(backward)
-             .unionByName(nodes.select(F.col("node").alias("pivot"), F.col("node").alias("member"))).distinct())
-    last = F.when(F.size("sims") >= p.neighbours, F.array_min("sims")).otherwise(F.lit(float("-inf"))).cast("float")
-    payload = (nodes.select("node", "v").join(graph.select("node", last.alias("last")), "node", "left")
-               .select(F.col("node").alias("member"), "v", F.coalesce("last", F.lit(float("-inf")).cast("float")).alias("last")))
-
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in complete_runs(batches, "pivot"):
-            x, member = _vectors(b.column("v")), b.column("member").to_numpy()
-            floor = b.column("last").to_numpy()
-            out = []
-            for s, e in _runs(b.column("pivot").to_numpy()):
-                sims = x[s:e] @ x[s:e].T
-                np.fill_diagonal(sims, -np.inf)
-                better = sims > floor[s:e, None]
-                for i in np.flatnonzero(better.any(1)):
-                    j = np.flatnonzero(better[i])
-                    out.append((int(member[s + i]), member[s + j], sims[i, j]))
-            yield _graph_batch(out)
-
-    met = edges.join(payload, "member").repartition("pivot").sortWithinPartitions("pivot")
-    found = met.mapInArrow(join, GRAPH).withColumn("old", F.lit(False))
-    return merge(found.unionByName(graph.withColumn("old", F.lit(True))), p.neighbours)
+                    row, near = _highest(sims, k)
+                    yield from found.add(place[rows[row]], place[rows[near]], sims[row, near])
+        yield from found.flush()
+
+    leaves = blocks.mapInArrow(deal, MESSAGE)
+    if depth < levels:
+        rows = leaves.mapInArrow(single, "leaf long, node long, v binary")
+        while depth < levels:
+            more = min(levels - depth, p.sent)
+            rows, depth = dealt_on(rows, more, p), depth + more
+        leaves = rows.mapInArrow(many, MESSAGE)
+    return leaves.repartition("block").sortWithinPartitions("block").mapInArrow(compare, MESSAGE)
+
+
+def _highest(sims: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the ``k`` highest numbers of each row."""
+    n = sims.shape[1]
+    row, near = np.divmod(np.flatnonzero(sims >= np.partition(sims, n - k, 1)[:, n - k, None]), n)
+    if len(row) != k * len(sims):  # ties
+        near = np.argpartition(-sims, k - 1, 1)[:, :k]
+        row, near = np.repeat(np.arange(len(sims)), k), near.ravel()
+    return row, near
+
+
+def _started(nodes: DataFrame, n: int, p: Parameters) -> tuple[DataFrame, DataFrame]:
+    depth, drawn, trees = grown(nodes, n, p)
+    shared = nodes.sparkSession.sparkContext.broadcast((drawn, trees))
+    blocks = in_blocks(nodes, depth, shared)
+    return blocks, merged(blocks, None, forest(blocks, n, depth, shared, p), n, p.neighbours)
+
+
+def start_graph(nodes: DataFrame, n: int, p: Parameters) -> DataFrame:
+    """The graph of ``nodes (node, v)`` that the descent starts from: neighbours inside the leaves of the forest."""
+    return named(*_started(nodes, n, p), n, p.neighbours)
 
 
 def build(nodes: DataFrame, p: Parameters = Parameters()) -> DataFrame:
     """The neighbour graph ``node, ids, sims`` (nearest first) of ``nodes (node, v)``, descended until hardly
-    any neighbour is new (``delta``)."""
+    any neighbour is new (``delta``).
+
+    In a round the neighbours of each node, and those it is a neighbour of, meet at the node; of the latter
+    the method takes a sample, drawn anew each round.  Only pairs nearer than a node's last neighbour are proposed.
+    """
     n = nodes.count()
     if not n:
         return nodes.sparkSession.createDataFrame([], GRAPH)
-    graph = materialize_table(start_graph(nodes, n, p), "ann-graph")
+    blocks, graph = _started(nodes, n, p)
     r = 0
     while p.rounds is None or r < p.rounds:
-        new = materialize_table(descend(nodes, graph, r, p), "ann-graph")
-        share = new.agg(F.sum("fresh") / F.sum(F.size("ids"))).first()[0] or 0
+        requests = asked(graph, n, p.neighbours, p.joined, r)
+        new = merged(blocks, graph, compared(blocks, graph, requests, n, p.neighbours, r), n, p.neighbours)
+        share = new.agg(F.sum("fresh") / F.sum("held")).first()[0] or 0
         discard(graph)
-        graph, r = new.drop("fresh"), r + 1
+        discard(requests)
+        graph, r = new, r + 1
         collect_garbage(nodes.sparkSession)
         if share <= p.delta:
             break
-    return graph
+    out = materialize_table(named(blocks, graph, n, p.neighbours), "ann-graph")
+    discard(graph)
+    discard(blocks)
+    return out
 
 
 def entries(nodes: DataFrame, queries: DataFrame, p: Parameters, sample: int = 1024) -> DataFrame:
@@ -391,42 +424,27 @@ def entries(nodes: DataFrame, queries: DataFrame, p: Parameters, sample: int = 1
 def search(nodes: DataFrame, graph: DataFrame, queries: DataFrame, pools: DataFrame, p: Parameters = Parameters()) -> DataFrame:
     """``query, ids, sims``: the nearest nodes found from each query's pool on.
 
-    A step expands the ``expand`` nearest nodes of a pool that were not expanded, scores their unseen
-    neighbours and keeps the nearest ``neighbours``.  It ends when all nodes of all pools were expanded, so no
-    pool can change, or after ``steps``.  ``queries (query, v)``, ``pools (query, ids, sims)``.
+    A step expands the ``expand`` nearest nodes of a pool that were not expanded (up to an eighth of a wide pool),
+    scores their neighbours and keeps the nearest ``pool``.  It ends when all nodes of all pools were expanded, so no pool can change, or after
+    ``steps``.  ``queries (query, v)``, ``pools (query, ids, sims)``.
     """
+    keep = p.pool or p.neighbours
     state = pools.select("query", "ids", "sims", F.slice("ids", 1, 0).alias("done"))
     spark, step = nodes.sparkSession, 0
-    # the pairs of each step in a folder of one table: the plan of a step does not grow with the steps before it
-    folder, met = scratch_path(spark, "ann-pairs"), "query long, node long"
-    pools.select("query", F.explode("ids").alias("node")).write.parquet(f"{folder}/step=0")
+    shelves, n = shelved(nodes, graph)
+    groups = max(1, -(-queries.count() // GROUP))
+    floor = F.when(F.size("sims") >= keep, F.array_min("sims")).otherwise(F.lit(float("-inf"))).cast("float")
     while p.steps is None or step < p.steps:
         step += 1
-        todo = F.slice(F.array_except("ids", "done"), 1, p.expand)
+        # the first steps expand fewer of a wide pool, it is still poor
+        todo = F.slice(F.array_except("ids", "done"), 1, min(p.expand << step - 1, max(p.expand, keep // 8)))
         state = materialize_table(state.withColumn("todo", todo), "ann-pools")
         going, ended = state.where("size(todo) > 0"), state.where("size(todo) = 0")
         if going.isEmpty():
             break
-        around = (going.select("query", F.explode("todo").alias("node")).join(graph.select("node", "ids"), "node")
-                  .select("query", F.explode("ids").alias("node")).distinct())
-        seen = spark.read.schema(f"{met}, step int").parquet(folder).select("query", "node")
-        around.join(seen, ["query", "node"], "left_anti").write.parquet(f"{folder}/step={step}")
-        pairs = spark.read.schema(met).parquet(f"{folder}/step={step}")
-        fresh = pairs.join(nodes.select("node", "v"), "node")
-        asked = queries.join(going.select("query"), "query", "left_semi")
-        # a query's own vector comes first in its run
-        rows = (fresh.select("query", F.lit(1).alias("k"), "node", "v")
-                .unionByName(asked.select("query", F.lit(0).alias("k"), F.lit(None).cast("bigint").alias("node"), "v"))
-                .repartition("query").sortWithinPartitions("query", "k"))
-
-        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in complete_runs(batches, "query"):
-                x, node = _vectors(b.column("v")), b.column("node").fill_null(-1).to_numpy()
-                query = b.column("query").to_numpy()
-                yield _graph_batch([(int(query[s]), node[s + 1:e], x[s + 1:e] @ x[s]) for s, e in _runs(query)])
-
-        found = rows.mapInArrow(score, GRAPH).unionByName(going.select(F.col("query").alias("node"), "ids", "sims"))
-        new = merge(found, p.neighbours).withColumnRenamed("node", "query")
+        found = scored(shelves, n, queries.join(going.select("query", "todo", floor.alias("floor")), "query"), groups)
+        found = found.unionByName(going.select(F.col("query").alias("node"), "ids", "sims"))
+        new = merge(found, keep).withColumnRenamed("node", "query")
         state = (new.join(going.select("query", F.array_union("done", "todo").alias("done")), "query")
                  .unionByName(ended.drop("todo")))
         collect_garbage(spark)
@@ -461,9 +479,11 @@ def _nearest(vectors: DataFrame, k: int, every: int, p: Parameters) -> DataFrame
                               .select(F.col("vec_id").alias("query_id"), "node"), "ann-queries")
     own = asked.select("node").distinct()  # equal queries search once
     pools = own.join(graph, "node").withColumnRenamed("node", "query")
-    queries = own.join(nodes, "node").select(F.col("node").alias("query"), "v")
-    found = materialize_table(search(nodes, graph, queries, pools, p), "ann-found")
-    hits = (found.select("query", F.explode("ids").alias("node"))
+    queries = materialize_table(own.join(nodes, "node").select(F.col("node").alias("query"), "v"), "ann-asking")
+    # a wide pool finds what narrow ones miss in large tables; its nearest are scored exactly
+    pool = p.pool or WIDE * p.neighbours
+    found = materialize_table(search(nodes, graph, queries, pools, replace(p, pool=pool)), "ann-found")
+    hits = (found.select("query", F.explode(F.slice("ids", 1, max(p.neighbours, 2 * k))).alias("node"))
             .unionByName(own.select(F.col("node").alias("query"), "node")).distinct())
     exact = (hits.join(nodes.select("node", F.col("embedding").alias("_b")), "node")
              .join(nodes.select(F.col("node").alias("query"), F.col("embedding").alias("_a")), "query")

@@ -209,3 +209,53 @@ def test_a_round_counts_what_is_new_and_steps_have_one_plan(spark, monkeypatch):
     ann.nearest(data, 3, 100, p).collect()
     steps = scans[2:]
     assert len(steps) > 3 and len(set(steps)) == 1
+
+
+def test_several_blocks_shelves_and_groups(spark):
+    """Nodes of three blocks and two shelves, queries of two groups; ids are no places."""
+    from pixelframe.llm import graph_blocks as B, graph_search as S
+    n, rng = 9000, np.random.default_rng(13)
+    assert 2 * B.BLOCK < n < 3 * B.BLOCK and S.SHELF < n and S.GROUP < n / 5
+    x = rng.normal(size=(n, 6)).astype("f4")
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    ids = np.arange(n) * 7 - 30_000
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], "vec_id long, embedding array<float>")
+    nodes, _ = ann.nodes_of(ann.usable(df), 1)
+    p = ann.Parameters(neighbours=12, trees=3, leaf_rows=128, leaf_keep=6, joined=8)
+    sims = x @ x.T
+    np.fill_diagonal(sims, -np.inf)
+    want = dict(zip(ids.tolist(), ids[np.argpartition(-sims, 10, 1)[:, :10]].tolist()))
+    blocks, graph = ann._started(nodes, n, p)
+    assert sorted(r["block"] for r in graph.select("block").collect()) == [0, 1, 2]
+    got = {r["node"]: (r["ids"], r["sims"]) for r in ann.build(nodes, p).collect()}
+    assert set(got) == set(want)
+    assert np.mean([len(set(got[i][0][:10]) & set(want[i])) / 10 for i in want]) > 0.97
+    for i in ids[::500].tolist():
+        at = (np.array(got[i][0]) + 30_000) // 7
+        assert len(set(got[i][0])) == 12 and np.allclose(x[at] @ x[(i + 30_000) // 7] / np.abs(x).max() ** 2, got[i][1], atol=4e-3)
+    found = lists(ann.nearest(df, 10, 5, p))
+    assert set(found) == {i for i in want if i % 5 == 0}
+    assert np.mean([len({i for i, _ in found[q]} & set(want[q])) / 10 for q in found]) > 0.99
+
+
+def test_a_round_sends_no_known_pair_and_a_pool_is_wider_than_a_list(spark):
+    """What a node has already is not proposed again; in high dimensions a wide pool finds what a narrow one misses."""
+    from dataclasses import replace
+    from pixelframe.llm import graph_blocks as B
+    rng = np.random.default_rng(14)
+    x = rng.normal(size=(3000, 32)).astype("f4")
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    p = ann.Parameters(neighbours=12, trees=4, leaf_rows=64, leaf_keep=8, joined=10)
+    nodes, _ = ann.nodes_of(ann.usable(df), 1)
+    blocks, graph = ann._started(nodes, 3000, p)
+    found = B.compared(blocks, graph, B.asked(graph, 3000, 12, 10, 0), 3000, 12, 0).collect()
+    g = graph.collect()
+    have = [set(r.tolist()) for r in np.concatenate([np.frombuffer(r["a"], np.int32).reshape(-1, 12) for r in sorted(g, key=lambda r: r["block"])])]
+    t = np.concatenate([np.frombuffer(r["a"], np.uint16) for r in found])
+    c = np.concatenate([np.frombuffer(r["b"], np.int32) for r in found])
+    assert len(t) > 3000 and not any(int(j) in have[i] for i, j in zip(t, c))
+    want = brute({i: v.astype(float) for i, v in enumerate(x)}, 10, 20)
+    recall = [np.mean([len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 10 for q in want])
+              for got in (lists(ann.nearest(df, 10, 20, replace(p, pool=12))), lists(ann.nearest(df, 10, 20, p)))]
+    assert recall[1] > 0.9 and recall[1] > recall[0] + 0.05
