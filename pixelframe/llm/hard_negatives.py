@@ -2,14 +2,13 @@
 
 Vectors are cut into halves, each half has a codebook, and a pair of codewords is a cell.  A row's score with an
 anchor is at most the sum over the halves of ``anchor . codeword + |anchor| * radius``, the radius being the largest
-distance of a member from its codeword.  A heap over the two sorted lists of half bounds (the multi-sequence walk)
-gives an anchor's cells from the highest bound down.  A search ends when each of its windows is
+distance of a member from its codeword.  The sums of the two lists of half bounds, in order, give an anchor's cells from the
+highest bound down (the multi-sequence walk).  A search ends when each of its windows is
 certified: it is full, or out of reach, for whatever the cells not yet visited may hold.
 """
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -53,27 +52,23 @@ class Index:
             dist.append(d)
         return code, dist
 
-    def walk(self, q: np.ndarray) -> Iterator[tuple[float, float, int]]:
-        """``(highest, lowest possible score, place)`` of the cells that hold rows, by descending highest score."""
+    def bounds(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places of the cells that hold rows by descending highest score, and their highest and lowest possible scores."""
         ups, lows = [], []
         for half, book, radius in zip((q[:self.cut], q[self.cut:]), self.books, self.radii):
             mid, reach = book @ half, np.linalg.norm(half) * radius
             slack = 1e-9 * (np.abs(book) @ np.abs(half) + reach) + 1e-9  # rounding of the bounds themselves
             ups.append(mid + reach + slack)
             lows.append(mid - reach - slack)
-        order = [np.argsort(-u, kind="stable") for u in ups]
-        a, b = (u[o] for u, o in zip(ups, order))
-        heap, seen = [(-(a[0] + b[0]), 0, 0)], {(0, 0)}
-        while heap:
-            up, i, j = heapq.heappop(heap)
-            c = int(order[0][i]) * len(self.books[1]) + int(order[1][j])
-            at = int(np.searchsorted(self.cells, c))
-            if at < len(self.cells) and self.cells[at] == c:
-                yield -up, float(lows[0][order[0][i]] + lows[1][order[1][j]]), at
-            for n in ((i + 1, j), (i, j + 1)):
-                if n[0] < len(a) and n[1] < len(b) and n not in seen:
-                    seen.add(n)
-                    heapq.heappush(heap, (-(a[n[0]] + b[n[1]]), *n))
+        i, j = np.divmod(self.cells, len(self.books[1]))
+        up = ups[0][i] + ups[1][j]
+        order = np.argsort(-up, kind="stable")
+        return order, up[order], (lows[0][i] + lows[1][j])[order]
+
+    def walk(self, q: np.ndarray) -> Iterator[tuple[float, float, int]]:
+        """``(highest, lowest possible score, place)`` of the cells that hold rows, by descending highest score."""
+        at, up, low = self.bounds(q)
+        return zip(up.tolist(), low.tolist(), at.tolist())
 
 
 def _nearest(x: np.ndarray, book: np.ndarray, rows: int = 4096) -> tuple[np.ndarray, np.ndarray]:
@@ -160,35 +155,52 @@ def build(rows: DataFrame, width: int, sample_rows: int = 16_384, cell_rows: int
 
 #: Scores and the windows' ends stay within this.
 FAR = 1 << 59
-REQUEST = ("anchor long, label long, same boolean, v array<long>, los array<long>, his array<long>, shard long, "
-           "cells array<long>, walked long, next double")
+REQUEST = ("anchor long, walked long, next double, shard long, anchors array<long>, labels array<long>, same boolean, "
+           "kind string, v binary, los array<long>, his array<long>, sizes array<int>, cells array<long>")
 
 
 def _walked(searches: DataFrame, index, width: int, rows: int) -> DataFrame:
-    """The next cells of each search, holding about ``rows`` rows, as a request per shard; and one row without shard
-    that tells how many cells the search has then walked through and the bound of the next one."""
+    """The next cells of each search, holding about ``rows`` rows, as a request of many searches to each shard; and
+    a row without shard for each search that tells how many cells it has then walked through and the bound of the next one.
+
+    In a request ``los`` and ``his`` have as many windows for each anchor, empty ones added, and ``cells`` is cut by ``sizes``.
+    """
     ints, longs = pa.list_(pa.int64()), pa.int64()
-    types = [longs, longs, pa.bool_(), ints, ints, ints, longs, ints, longs, pa.float64()]
+    types = [longs, longs, pa.float64(), longs, ints, ints, pa.bool_(), pa.string(), pa.binary(), ints, ints, pa.list_(pa.int32()), ints]
     names = [c.split()[0] for c in REQUEST.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = index.value
-        for b in small_batches(batches, 16):
-            out = []
-            for r in b.to_pylist():
-                low, high, n, taken, asked, bound = min(r["los"]), max(r["his"]), 0, 0, {}, None
-                for up, down, cell in at.walk(np.array(r["v"], np.float64)):
-                    if n >= r["walked"] and (taken >= rows or up < low):
-                        bound = up
-                        break
-                    n += 1
-                    if n > r["walked"] and down <= high:
-                        taken += int(at.rows[cell])
-                        for shard in range(int(at.first[cell]), int(at.first[cell] + at.spread[cell])):
-                            asked.setdefault(shard, []).append(int(at.cells[cell]))
-                head = (r["anchor"], r["label"], r["same"], r["v"], r["los"], r["his"])
-                out += [(*head, shard, cells, None, None) for shard, cells in asked.items()]
-                out.append((r["anchor"], None, None, None, None, None, None, None, n, bound))
+        for b in small_batches(batches, 256):
+            anchor, label, start = (b.column(c).to_numpy() for c in ("anchor", "label", "walked"))
+            v = b.column("v").flatten().to_numpy().reshape(b.num_rows, width)
+            kind = next(k for k in ("<i2", "<i4", "<i8") if k == "<i8" or np.abs(v.astype(np.float64)).max(initial=0) < np.iinfo(k).max)
+            windows = list(zip(b.column("los").to_pylist(), b.column("his").to_pylist()))
+            wide = max(len(lo) for lo, _ in windows)
+            los = np.array([lo + [1] * (wide - len(lo)) for lo, _ in windows], np.int64)
+            his = np.array([hi + [0] * (wide - len(hi)) for _, hi in windows], np.int64)
+            out, asked = [], []
+            for r, (lo, hi) in enumerate(windows):
+                place, up, down = at.bounds(v[r].astype(np.float64))
+                # on from where it stood, until the rows are enough or no cell reaches the windows
+                n, open_ = int(start[r]), down <= max(hi)
+                taken = np.cumsum(np.where(open_, at.rows[place], 0)[n:])
+                end = n + min(int(np.searchsorted(taken, rows)) + 1, int(np.searchsorted(-up[n:], -min(lo), "right")))
+                end = min(end, len(up))
+                out.append((int(anchor[r]), end, float(up[end]) if end < len(up) else None, *[None] * 10))
+                got = place[n:end][open_[n:end]]
+                asked.append(np.stack([np.repeat(at.first[got], at.spread[got]), np.full(at.spread[got].sum(), r),
+                                       np.repeat(at.cells[got], at.spread[got])]))
+                many = np.repeat(np.cumsum(at.spread[got]) - at.spread[got], at.spread[got])
+                asked[-1][0] += np.arange(len(many)) - many
+            shard, who, cell = np.concatenate(asked, 1)
+            order = np.lexsort((cell, who, shard))
+            shard, who, cell = shard[order], who[order], cell[order]
+            cuts = np.flatnonzero(np.diff(shard, prepend=-1, append=-1)) if len(shard) else [0]
+            for i, j in zip(cuts[:-1], cuts[1:]):
+                own, sizes = np.unique(who[i:j], return_counts=True)
+                out.append((None, None, None, int(shard[i]), anchor[own], label[own], b.column("same")[0].as_py(), kind,
+                            v[own].astype(kind).tobytes(), los[own].ravel(), his[own].ravel(), sizes, cell[i:j]))
             yield pa.RecordBatch.from_arrays([pa.array([o[c] for o in out], t) for c, t in enumerate(types)], names=names)
 
     return searches.select("anchor", "label", "same", "v", "los", "his", "walked").mapInArrow(run, REQUEST)
@@ -203,40 +215,53 @@ class _Shard:
         cells = t.column("cell").to_numpy()[order]
         self.cells, starts = np.unique(cells, return_index=True)
         self.bounds = np.append(starts, len(cells))
-        self.row, self.label = (t.column(c).to_numpy()[order] for c in ("row", "label"))
+        self.row, self.label = (t.column(c).to_numpy()[order] for c in ("row", "row_label"))
         ids = t.column("vec_id").combine_chunks()
         self.null = ids.is_null().to_numpy(zero_copy_only=False)[order]
         self.vec_id = ids.fill_null(0).to_numpy()[order]
-        self.v = t.column("v").combine_chunks().flatten().to_numpy().reshape(len(cells), width)[order]
+        self.v = t.column("row_v").combine_chunks().flatten().to_numpy().reshape(len(cells), width)[order]
         self.top = float(np.abs(self.v.astype(np.float64)).max(initial=0))
         self.real = self.v.astype(np.float64)
 
-    def scores(self, at: np.ndarray, v: list[int]) -> np.ndarray:
-        """Exact inner products: in double precision while that is exact, else by Python's integers."""
-        q = np.array(v, np.float64)
-        if self.top * np.abs(q).max(initial=0) * max(1, len(v)) < EXACT:
-            return (self.real[at] @ q).astype(np.int64)
-        return np.array([max(-FAR, min(FAR, sum(int(a) * b for a, b in zip(x, v)))) for x in self.v[at]], np.int64)
-
-    def answer(self, r: dict, k: int) -> Iterator[tuple]:
-        places = np.searchsorted(self.cells, r["cells"])
-        at = np.concatenate([np.arange(self.bounds[p], self.bounds[p + 1]) for c, p in zip(r["cells"], places)
-                             if p < len(self.cells) and self.cells[p] == c] or [np.zeros(0, np.int64)])
-        at = at[((self.label[at] == r["label"]) == r["same"]) & (self.row[at] != r["anchor"])]
-        score = self.scores(at, r["v"])
-        for w, (lo, hi) in enumerate(zip(r["los"], r["his"])):
-            fits = np.flatnonzero((score >= lo) & (score <= hi))
-            i = at[fits]
-            for j in np.lexsort((self.vec_id[i], self.null[i], -score[fits]))[:k]:
-                yield r["anchor"], w, int(score[fits[j]]), None if self.null[i[j]] else int(self.vec_id[i[j]])
+    def answers(self, r: dict, width: int, k: int) -> Iterator[pa.RecordBatch]:
+        """The best rows of each anchor and window of a request: all its scores in one product while that is exact."""
+        m = len(r["anchors"])
+        v = np.frombuffer(r["v"], r["kind"]).reshape(m, width).astype(np.int64)
+        los, his = r["los"].reshape(m, -1), r["his"].reshape(m, -1)
+        asked = np.zeros((m, len(self.cells) + 1), bool)
+        place = np.searchsorted(self.cells, r["cells"])  # a cell of several shards may have no row here
+        there = self.cells[np.minimum(place, len(self.cells) - 1)] == r["cells"]
+        asked[np.repeat(np.arange(m), r["sizes"])[there], place[there]] = True
+        fits = np.repeat(asked[:, :-1], np.diff(self.bounds), 1)
+        fits &= (self.label[None] == r["labels"][:, None]) == r["same"]
+        fits &= self.row[None] != r["anchors"][:, None]
+        if self.top * float(np.abs(v.astype(np.float64)).max(initial=0)) * max(1, width) < EXACT:
+            scores = v.astype(np.float64) @ self.real.T
+            fits &= (scores >= los.min(1)[:, None]) & (scores <= his.max(1)[:, None])
+            who, at = np.nonzero(fits)
+            score = scores[who, at].astype(np.int64)
+        else:
+            who, at = np.nonzero(fits)
+            score = np.array([max(-FAR, min(FAR, sum(int(a) * int(b) for a, b in zip(self.v[j], v[i])))) for i, j in zip(who, at)], np.int64)
+        for w in range(los.shape[1]):
+            i = np.flatnonzero((score >= los[who, w]) & (score <= his[who, w]))
+            i = i[np.lexsort((self.vec_id[at[i]], self.null[at[i]], -score[i], who[i]))]
+            own = who[i]
+            starts = np.searchsorted(own, np.arange(m))
+            i = i[np.arange(len(i)) - starts[own] < k]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(r["anchors"][who[i]]), pa.array(np.full(len(i), w, np.int32)), pa.array(score[i]),
+                pa.array(self.vec_id[at[i]], mask=self.null[at[i]])], names=["anchor", "w", "score", "vec_id"])
 
 
 def _answered(indexed: DataFrame, asked: DataFrame, width: int, k: int) -> DataFrame:
     """Each request's best rows in its shard.  A task holds one shard's rows; the requests stream past them."""
     rows = indexed.join(asked.select("shard").distinct(), "shard", "left_semi").withColumn("request", F.lit(False))
-    requests = asked.drop("walked", "next").withColumn("request", F.lit(True))
+    rows = rows.withColumnRenamed("v", "row_v").withColumnRenamed("label", "row_label")
+    requests = asked.drop("anchor", "walked", "next").withColumn("request", F.lit(True))
     meet = (rows.unionByName(requests, allowMissingColumns=True).repartition("shard")
             .sortWithinPartitions("shard", "request"))
+    arrays = ["anchors", "labels", "los", "his", "sizes", "cells"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, shard, now = [], None, None
@@ -252,11 +277,10 @@ def _answered(indexed: DataFrame, asked: DataFrame, width: int, k: int) -> DataF
                     continue
                 if now is None and parts:
                     now = _Shard(parts, width)
-                for c in small_batches(iter([b.slice(i, j - i)]), 64):
-                    out = [a for r in c.select(["anchor", "label", "same", "v", "los", "his", "cells"]).to_pylist()
-                           for a in now.answer(r, k)]
-                    yield pa.RecordBatch.from_arrays([pa.array([o[x] for o in out], t) for x, t in enumerate(
-                        (pa.int64(), pa.int32(), pa.int64(), pa.int64()))], names=["anchor", "w", "score", "vec_id"])
+                for x in range(i, j):
+                    r = {c: b.column(c)[x].values.to_numpy() for c in arrays}
+                    r |= {c: b.column(c)[x].as_py() for c in ("same", "kind", "v")}
+                    yield from now.answers(r, width, k)
 
     return meet.mapInArrow(run, "anchor long, w int, score long, vec_id long")
 
@@ -278,7 +302,8 @@ def search(index: Index, indexed: DataFrame, searches: DataFrame, width: int, k:
     found: DataFrame | None = None
     best = Window.partitionBy("anchor", "w").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"))
     while True:
-        asked = materialize_table(_walked(open_, shared, width, first_rows), "requests")
+        tasks = max(1, min(-(-open_.count() // 32), 8 * spark.sparkContext.defaultParallelism))
+        asked = materialize_table(_walked(open_.repartition(tasks, "anchor"), shared, width, first_rows), "requests")
         answers = _answered(indexed, asked.where("shard is not null"), width, k)
         if found is not None:
             answers = found.unionByName(answers)

@@ -93,3 +93,21 @@ def test_relabelled(spark):
 def test_empty_table(spark):
     assert H.mine(spark.createDataFrame([], SCHEMA)).collect() == []
     assert H.mine(spark.createDataFrame([(1, [1.0], 1)], SCHEMA)).collect() == []
+
+
+def test_searches_are_dealt_and_share_requests(spark, monkeypatch):
+    """The walk of many anchors runs in several tasks, and a shard gets a request for many anchors, not one for each."""
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(x) for x in rng.normal(0, 1, 6)], int(rng.integers(0, 3))) for i in range(1500)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    seen, real = [], H._walked
+
+    def spied(searches, index, width, n):
+        out = real(searches, index, width, n)
+        asked = out.where("shard is not null").collect()
+        seen.append((searches.rdd.getNumPartitions(), len(asked), sum(len(r["anchors"]) for r in asked)))
+        return out
+
+    monkeypatch.setattr(H, "_walked", spied)
+    assert got(H.mine(df, every=10, cell_rows=8, shard_rows=64)) == sorted(slow(rows, every=10), key=str)
+    assert seen[0][0] > 1 and all(n * 3 < pairs for _, n, pairs in seen[:1])
